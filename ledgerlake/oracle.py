@@ -250,5 +250,106 @@ GROUP BY player_id""",
     return q
 
 
+MARTS = [
+    KDP,
+    """
+m_daily AS (
+  SELECT player_id, CAST("timestamp" AS DATE) AS transaction_date, CURRENT_TIMESTAMP AS updated_datetime
+  FROM clean_transactions WHERE type IN ('Deposit', 'Withdraw')
+  GROUP BY player_id, CAST("timestamp" AS DATE)
+)""",
+    """
+m_segment AS (
+  SELECT kdp.country_code, COUNT(pd.amount) AS deposit_count, SUM(pd.amount) AS total_deposits,
+         CURRENT_TIMESTAMP AS updated_datetime
+  FROM kdp LEFT JOIN (SELECT t.player_id, t.amount FROM clean_transactions t
+                      JOIN kdp ON t.player_id = kdp.player_id WHERE t.type = 'Deposit') pd
+    ON kdp.player_id = pd.player_id
+  GROUP BY kdp.country_code HAVING COUNT(pd.amount) > 0
+)""",
+    """
+m_top AS (
+  SELECT player_id, CURRENT_TIMESTAMP AS updated_datetime FROM (
+    SELECT player_id, ROW_NUMBER() OVER (PARTITION BY player_id
+                                         ORDER BY amount DESC NULLS FIRST, "timestamp" DESC NULLS FIRST) AS r
+    FROM clean_transactions WHERE type = 'Deposit') WHERE r <= 3
+  GROUP BY player_id
+)""",
+]
+
+
+def _unique(table: str, source: str, column: str) -> str:
+    return f"""SELECT '{table}' AS table_name, '{column}' AS column_name, 'unique' AS test_name,
+       CAST(COUNT(*) AS BIGINT) AS failures
+FROM (SELECT {column} FROM {source} WHERE {column} IS NOT NULL GROUP BY {column} HAVING COUNT(*) > 1)"""
+
+
+def _not_null(table: str, source: str, column: str) -> str:
+    return f"""SELECT '{table}' AS table_name, '{column}' AS column_name, 'not_null' AS test_name,
+       CAST(COUNT(*) AS BIGINT) AS failures
+FROM {source} WHERE {column} IS NULL"""
+
+
+def _quality() -> str:
+    parts = [
+        _unique("raw_players", "clean_players", "id"),
+        _not_null("raw_players", "clean_players", "id"),
+        _unique("raw_affiliates", "clean_affiliates", "id"),
+        _not_null("raw_affiliates", "clean_affiliates", "id"),
+        _unique("raw_transactions", "clean_transactions", "id"),
+        _not_null("raw_transactions", "clean_transactions", "id"),
+        _not_null("raw_transactions", "clean_transactions", "player_id"),
+        _not_null("daily_ledger", "m_daily", "player_id"),
+        _not_null("daily_ledger", "m_daily", "transaction_date"),
+        _not_null("daily_ledger", "m_daily", "updated_datetime"),
+        _not_null("segment_totals", "m_segment", "country_code"),
+        _not_null("segment_totals", "m_segment", "deposit_count"),
+        _not_null("segment_totals", "m_segment", "total_deposits"),
+        _not_null("segment_totals", "m_segment", "updated_datetime"),
+        _unique("top_n_wide", "m_top", "player_id"),
+        _not_null("top_n_wide", "m_top", "player_id"),
+        _not_null("top_n_wide", "m_top", "updated_datetime"),
+    ]
+    return with_ctes(CLEANING + MARTS, "\nUNION ALL\n".join(parts))
+
+
+def _invariants() -> str:
+    body = """
+SELECT 'raw_players' AS table_name, 'affiliate_id' AS column_name, 'one_player_per_affiliate' AS test_name,
+       CAST(COUNT(*) AS BIGINT) AS failures
+FROM (SELECT affiliate_id FROM clean_players WHERE affiliate_id IS NOT NULL
+      GROUP BY affiliate_id HAVING COUNT(*) > 1)
+UNION ALL
+SELECT 'raw_players', 'affiliate_id', 'affiliate_exists', CAST(COUNT(*) AS BIGINT)
+FROM clean_players WHERE affiliate_id IS NOT NULL
+  AND affiliate_id NOT IN (SELECT id FROM clean_affiliates WHERE id IS NOT NULL)
+UNION ALL
+SELECT 'raw_transactions', 'player_id', 'player_approved',
+       CAST(COALESCE(SUM(CASE WHEN upper(CAST(p.is_kyc_approved AS VARCHAR)) = 'TRUE' THEN 0 ELSE 1 END), 0) AS BIGINT)
+FROM clean_transactions t LEFT JOIN clean_players p ON t.player_id IS NOT DISTINCT FROM p.id
+UNION ALL
+SELECT 'raw_transactions', 'player_id', 'player_after_creation',
+       CAST(COALESCE(SUM(CASE WHEN t."timestamp" >= p.created_at THEN 0 ELSE 1 END), 0) AS BIGINT)
+FROM clean_transactions t LEFT JOIN clean_players p ON t.player_id IS NOT DISTINCT FROM p.id
+UNION ALL
+SELECT 'daily_ledger', 'withdrawals', 'not_positive', CAST(COUNT(*) AS BIGINT)
+FROM (SELECT SUM(CASE WHEN type = 'Withdraw' THEN -amount ELSE 0 END) AS w
+      FROM clean_transactions WHERE type IN ('Deposit', 'Withdraw')
+      GROUP BY player_id, CAST("timestamp" AS DATE)) WHERE w > 0"""
+    return with_ctes(CLEANING, body)
+
+
 def oracle_sql() -> dict[str, str]:
-    return _sql()
+    q = _sql()
+    q["check_unique"] = with_ctes(
+        STAGING,
+        "SELECT id, COUNT(*) AS n_records FROM raw_players WHERE id IS NOT NULL GROUP BY id HAVING COUNT(*) > 1",
+    )
+    cols = ["id", "affiliate_id", "country_code", "is_kyc_approved", "created_at", "updated_at", "ver"]
+    q["check_not_null"] = with_ctes(
+        STAGING,
+        "\nUNION ALL\n".join(_not_null("raw_players", "raw_players", c) for c in cols),
+    )
+    q["quality_report"] = _quality()
+    q["invariant_report"] = _invariants()
+    return q

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlake.operators import keyed
-from ledgerlake.plans import clean, marts
+from ledgerlake.plans import clean, marts, quality
 from ledgerlake.sources import staging
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -119,6 +119,44 @@ def q_top_n_wide(spark, sf_dir):
     return marts.top_n_wide(_cleaned(spark, sf_dir)["transactions"], 3, stamp=False)
 
 
+# --- data tests -----------------------------------------------------------------
+
+
+def _marts(c: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    return {
+        "daily_ledger": marts.daily_ledger(c["transactions"]),
+        "segment_totals": marts.segment_totals(c["players"], c["affiliates"], c["transactions"]),
+        "top_n_wide": marts.top_n_wide(c["transactions"], 3),
+    }
+
+
+def q_check_unique(spark, sf_dir):
+    return quality.duplicates(staging.raw_players(spark, sf_dir), "id")
+
+
+def q_check_not_null(spark, sf_dir):
+    raw = staging.raw_players(spark, sf_dir)
+    return quality.check_not_null(raw, "raw_players", raw.columns)
+
+
+def q_quality_report(spark, sf_dir):
+    c = _cleaned(spark, sf_dir)
+    tables = {
+        "raw_players": clean.landing_players(c["players"]),
+        "raw_affiliates": c["affiliates"],
+        "raw_transactions": c["transactions"],
+        **_marts(c),
+    }
+    return quality.quality_report(tables)
+
+
+def q_invariant_report(spark, sf_dir):
+    c = _cleaned(spark, sf_dir)
+    return quality.invariant_report(
+        c["players"], c["affiliates"], c["transactions"], marts.daily_ledger(c["transactions"], stamp=False)
+    )
+
+
 REGISTRY: dict[str, Query] = {
     "latest_by_key": q_latest_by_key,
     "null_dangling": q_null_dangling,
@@ -135,6 +173,10 @@ REGISTRY: dict[str, Query] = {
     "segment_totals": q_segment_totals,
     "rank_per_player": q_rank_per_player,
     "top_n_wide": q_top_n_wide,
+    "check_unique": q_check_unique,
+    "check_not_null": q_check_not_null,
+    "quality_report": q_quality_report,
+    "invariant_report": q_invariant_report,
 }
 
 
