@@ -339,8 +339,186 @@ FROM (SELECT SUM(CASE WHEN type = 'Withdraw' THEN -amount ELSE 0 END) AS w
     return with_ctes(CLEANING, body)
 
 
+SEED = 42
+AS_OF = "TIMESTAMP '2025-09-01 00:00:00'"
+
+
+def _h(table: str, column: str, key: str) -> str:
+    """md5 draw: first 8 hex digits of md5('seed|table|column|key')."""
+    return (
+        f"CAST(('0x' || substr(md5(concat_ws('|', '{SEED}', '{table}', '{column}', CAST({key} AS VARCHAR))), 1, 8))"
+        " AS BIGINT)"
+    )
+
+
+def _id_stats(source: str) -> str:
+    return f"""SELECT COALESCE(MAX(id), 0) + 1 AS next_id,
+       COUNT(DISTINCT id) + COALESCE(MAX(CASE WHEN id IS NULL THEN 1 ELSE 0 END), 0) AS distinct_ids
+FROM {source}"""
+
+
+# Generated players (target = 2 × distinct ids, so the count to add equals
+# the distinct count).
+EXPANDED_PLAYERS = [
+    f"""
+p_stats AS (
+  SELECT COALESCE(MAX(id), 0) + 1 AS start_id,
+         COUNT(DISTINCT id) + COALESCE(MAX(CASE WHEN id IS NULL THEN 1 ELSE 0 END), 0) AS n_ids,
+         COALESCE(MAX(affiliate_id), 0) AS max_aff
+  FROM raw_players
+)""",
+    f"""
+p_new AS (
+  SELECT id,
+         (['DE', 'BR', 'GB', 'US', 'CA'])[{_h('players', 'country_code', 'id')} % 5 + 1] AS country_code,
+         {_h('players', 'is_kyc_approved', 'id')} % 2 = 0 AS is_kyc_approved,
+         {AS_OF} - to_seconds({_h('players', 'created_at', 'id')} % (365 * 86400 + 1)) AS created_at,
+         {_h('players', 'affiliate_id', 'id')} % 2 = 0 AS linked
+  FROM (SELECT (SELECT start_id FROM p_stats) + r AS id
+        FROM (SELECT unnest(range(0, (SELECT n_ids FROM p_stats))) AS r))
+)""",
+    """
+expanded_players AS (
+  SELECT id, affiliate_id, country_code, is_kyc_approved, created_at, updated_at, ver FROM raw_players
+  UNION ALL
+  SELECT id,
+         CASE WHEN linked THEN (SELECT max_aff FROM p_stats)
+              + SUM(CASE WHEN linked THEN 1 ELSE 0 END) OVER (ORDER BY id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+         END AS affiliate_id,
+         country_code, is_kyc_approved, created_at, created_at AS updated_at, CAST(NULL AS INTEGER) AS ver
+  FROM p_new
+)""",
+]
+
+
+def _letters(number: str, width: int = 6) -> str:
+    return " || ".join(f"chr(CAST(65 + ({number}) // {26**j} % 26 AS INTEGER))" for j in range(width - 1, -1, -1))
+
+
+EXPANDED_AFFILIATES = [
+    """
+a_stats AS (
+  SELECT COALESCE(MAX(id), 0) + 1 AS start_id,
+         COUNT(DISTINCT id) + COALESCE(MAX(CASE WHEN id IS NULL THEN 1 ELSE 0 END), 0) AS n_ids
+  FROM raw_affiliates
+)""",
+    """
+a_taken AS (
+  SELECT * FROM (
+    SELECT affiliate_id AS id, created_at AS redeemed_at,
+           ROW_NUMBER() OVER (ORDER BY id ASC NULLS LAST, affiliate_id ASC, created_at ASC NULLS LAST) - 1 AS pos
+    FROM expanded_players
+    WHERE affiliate_id IS NOT NULL AND affiliate_id >= (SELECT start_id FROM a_stats))
+  WHERE pos < (SELECT n_ids FROM a_stats)
+)""",
+    """
+a_pad AS (
+  SELECT r AS pos,
+         COALESCE((SELECT id FROM a_taken WHERE pos = (SELECT COUNT(*) FROM a_taken) - 1),
+                  (SELECT start_id FROM a_stats)) + r - (SELECT COUNT(*) FROM a_taken) + 1 AS id,
+         CAST(NULL AS TIMESTAMP) AS redeemed_at
+  FROM (SELECT unnest(range((SELECT COUNT(*) FROM a_taken), (SELECT n_ids FROM a_stats))) AS r)
+)""",
+    f"""
+a_new AS (
+  SELECT id,
+         {_letters("(pos * 7919 + " + "CAST(('0x' || substr(md5('42|affiliates|code|offset'), 1, 8)) AS BIGINT) % 308915776) % 308915776")} AS code,
+         (['YouTube', 'Discord', 'X', NULL])[{_h('affiliates', 'origin', 'pos')} % 4 + 1] AS origin,
+         redeemed_at
+  FROM (SELECT pos, id, redeemed_at FROM a_taken UNION ALL SELECT pos, id, redeemed_at FROM a_pad)
+)""",
+]
+
+
+EXPANDED_TRANSACTIONS = [
+    """
+t_stats AS (
+  SELECT COALESCE(MAX(id), 0) + 1 AS start_id,
+         COUNT(DISTINCT id) + COALESCE(MAX(CASE WHEN id IS NULL THEN 1 ELSE 0 END), 0) AS n_ids
+  FROM raw_transactions
+)""",
+    """
+xp_latest AS (
+  SELECT * FROM (
+    SELECT *, ROW_NUMBER() OVER (
+      PARTITION BY id
+      ORDER BY updated_at DESC NULLS FIRST, affiliate_id DESC NULLS LAST, country_code DESC NULLS LAST,
+               is_kyc_approved DESC NULLS LAST, created_at DESC NULLS LAST, ver DESC NULLS LAST) AS rn
+    FROM expanded_players) WHERE rn = 1
+)""",
+    """
+t_players AS (
+  SELECT id AS player, created_at AS created,
+         ROW_NUMBER() OVER (ORDER BY id ASC NULLS LAST, created_at ASC NULLS LAST) - 1 AS pidx
+  FROM xp_latest WHERE upper(CAST(is_kyc_approved AS VARCHAR)) = 'TRUE'
+)""",
+    f"""
+t_rows AS (
+  SELECT k.id, p.player, CAST(floor(epoch(p.created)) AS BIGINT) AS cs,
+         CAST(floor(epoch({AS_OF})) AS BIGINT) AS as_of_s,
+         (['Deposit', 'Withdraw', 'Bonus'])[{_h('transactions', 'type', 'k.id')} % 3 + 1] AS type
+  FROM (SELECT id, {_h('transactions', 'player_id', 'id')} % (SELECT COUNT(*) FROM t_players) AS pidx
+        FROM (SELECT (SELECT start_id FROM t_stats) + r AS id
+              FROM (SELECT unnest(range(0, (SELECT n_ids FROM t_stats))) AS r))) k
+  JOIN t_players p ON k.pidx = p.pidx
+)""",
+    f"""
+t_new AS (
+  SELECT id,
+         make_timestamp((cs + CASE WHEN gap <= 0 THEN (1 + {_h('transactions', 'timestamp_minutes', 'id')} % 60) * 60
+                                   ELSE {_h('transactions', 'timestamp', 'id')} % (gap + 1) END) * 1000000) AS "timestamp",
+         player AS player_id, type,
+         CAST(CAST(CASE type WHEN 'Deposit' THEN 5000 + {_h('transactions', 'amount', 'id')} % 95001
+                             WHEN 'Withdraw' THEN 2500 + {_h('transactions', 'amount', 'id')} % 77501
+                             WHEN 'Bonus' THEN 1000 + {_h('transactions', 'amount', 'id')} % 9001 END
+                   AS DECIMAL(18,0)) / 100 AS DECIMAL(18,2)) AS amount
+  FROM (SELECT *, (CASE WHEN cs > as_of_s THEN cs + 30 * 86400 ELSE as_of_s END) - cs AS gap FROM t_rows)
+)""",
+]
+
+
 def oracle_sql() -> dict[str, str]:
     q = _sql()
+    q["next_identifier"] = with_ctes(STAGING, _id_stats("raw_transactions"))
+    q["shortfall"] = with_ctes(
+        STAGING,
+        "\nUNION ALL\n".join(
+            f"SELECT '{name}' AS table_name, next_id, distinct_ids, GREATEST(1000 - distinct_ids, 0) AS shortfall "
+            f"FROM ({_id_stats('raw_' + name)})"
+            for name in ("players", "affiliates", "transactions")
+        ),
+    )
+    q["running_allocation"] = with_ctes(
+        STAGING,
+        """
+SELECT id, ver, affiliate_id,
+       CASE WHEN affiliate_id IS NOT NULL THEN
+         (SELECT COALESCE(MAX(id), 0) FROM raw_affiliates)
+         + SUM(CASE WHEN affiliate_id IS NOT NULL THEN 1 ELSE 0 END)
+             OVER (ORDER BY id, ver ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+       END AS allocated
+FROM raw_players""",
+    )
+    q["union_increment"] = with_ctes(
+        STAGING + [EVENT_TRANSACTIONS],
+        """
+SELECT id, "timestamp", player_id, type, CAST(amount AS DOUBLE) AS amount FROM raw_transactions
+UNION ALL
+SELECT id + (SELECT COALESCE(MAX(id), 0) + 1 FROM raw_transactions), "timestamp", player_id, type,
+       CAST(amount AS DOUBLE) FROM event_transactions""",
+    )
+    q["extend_players"] = with_ctes(STAGING + EXPANDED_PLAYERS, "SELECT * FROM expanded_players")
+    q["extend_affiliates"] = with_ctes(
+        STAGING + EXPANDED_PLAYERS + EXPANDED_AFFILIATES,
+        "SELECT id, code, origin, redeemed_at FROM raw_affiliates UNION ALL SELECT * FROM a_new",
+    )
+    q["extend_transactions"] = with_ctes(
+        STAGING + EXPANDED_PLAYERS + EXPANDED_TRANSACTIONS,
+        """
+SELECT id, "timestamp", player_id, type, CAST(amount AS DOUBLE) AS amount FROM raw_transactions
+UNION ALL
+SELECT id, "timestamp", player_id, type, CAST(amount AS DOUBLE) FROM t_new""",
+    )
     q["check_unique"] = with_ctes(
         STAGING,
         "SELECT id, COUNT(*) AS n_records FROM raw_players WHERE id IS NOT NULL GROUP BY id HAVING COUNT(*) > 1",

@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlake.operators import keyed
-from ledgerlake.plans import clean, marts, quality
+from ledgerlake.operators import aggregates, keyed, sequence
+from ledgerlake.plans import clean, increment, marts, quality
 from ledgerlake.sources import staging
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -157,6 +157,70 @@ def q_invariant_report(spark, sf_dir):
     )
 
 
+# --- identifiers, sequences, increments ------------------------------------------
+
+SEED = 42
+AS_OF = increment.DEFAULT_AS_OF
+# The reference's fixed target size per table.
+REFERENCE_TARGET = 1000
+
+
+def _doubled(df: DataFrame) -> int:
+    """Target used by the registered increment queries: twice the current
+    number of distinct ids, so the generated part grows with the input."""
+    return 2 * int(df.agg(aggregates.distinct_with_null_expr("id")).first()[0])
+
+
+def q_next_identifier(spark, sf_dir):
+    return aggregates.id_stats(staging.raw_transactions(spark, sf_dir), "id")
+
+
+def q_shortfall(spark, sf_dir):
+    parts = []
+    for name, df in staging.raw_tables(spark, sf_dir).items():
+        parts.append(
+            aggregates.id_stats(df, "id", REFERENCE_TARGET).select(F.lit(name).alias("table_name"), "*")
+        )
+    return quality.union_all(parts)
+
+
+def q_running_allocation(spark, sf_dir):
+    players = staging.raw_players(spark, sf_dir)
+    start = staging.raw_affiliates(spark, sf_dir).agg(F.max("id")).first()[0] or 0
+    rows = players.select("id", "ver", "affiliate_id")
+    return sequence.running_allocation(
+        rows, ["id", "ver"], F.col("affiliate_id").isNotNull(), int(start), "allocated"
+    )
+
+
+def q_union_increment(spark, sf_dir):
+    base = staging.raw_transactions(spark, sf_dir)
+    start = aggregates.id_stats(base, "id").select("next_id")
+    events = staging.event_transactions(spark, sf_dir)
+    # New ids continue from the base's max + 1 (scalar subquery, evaluated once).
+    extra = events.withColumn("id", F.col("id") + start.scalar())
+    return base.unionByName(extra.select("player_id", "amount", "type", "timestamp", "id"))
+
+
+def _expanded_players(spark, sf_dir) -> DataFrame:
+    base = staging.raw_players(spark, sf_dir)
+    return increment.extend_players(base, _doubled(base), SEED, AS_OF)
+
+
+def q_extend_players(spark, sf_dir):
+    return _expanded_players(spark, sf_dir)
+
+
+def q_extend_affiliates(spark, sf_dir):
+    base = staging.raw_affiliates(spark, sf_dir)
+    return increment.extend_affiliates(base, _expanded_players(spark, sf_dir), _doubled(base), SEED)
+
+
+def q_extend_transactions(spark, sf_dir):
+    base = staging.raw_transactions(spark, sf_dir)
+    return increment.extend_transactions(base, _expanded_players(spark, sf_dir), _doubled(base), SEED, AS_OF)
+
+
 REGISTRY: dict[str, Query] = {
     "latest_by_key": q_latest_by_key,
     "null_dangling": q_null_dangling,
@@ -177,6 +241,13 @@ REGISTRY: dict[str, Query] = {
     "check_not_null": q_check_not_null,
     "quality_report": q_quality_report,
     "invariant_report": q_invariant_report,
+    "next_identifier": q_next_identifier,
+    "shortfall": q_shortfall,
+    "running_allocation": q_running_allocation,
+    "union_increment": q_union_increment,
+    "extend_players": q_extend_players,
+    "extend_affiliates": q_extend_affiliates,
+    "extend_transactions": q_extend_transactions,
 }
 
 
