@@ -32,6 +32,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -75,9 +76,23 @@ def _stats(df: DataFrame, key: str = "id", *extra: Column) -> tuple:
     return tuple(df.agg(next_identifier_expr(key), distinct_with_null_expr(key), *extra).first())
 
 
+MIN_ROWS_PER_PARTITION = 10_000
+
+
 def _range(spark: SparkSession, start: int, qty: int) -> DataFrame:
-    parts = max(1, math.ceil(qty / ROWS_PER_PARTITION))
-    return spark.range(start, start + qty, 1, parts)
+    """Generated ids in ordered slices: at least one slice per core of the
+    cluster (so the draws run in parallel), at most a million rows each."""
+    by_size = math.ceil(qty / ROWS_PER_PARTITION)
+    by_cores = min(spark.sparkContext.defaultParallelism, math.ceil(qty / MIN_ROWS_PER_PARTITION))
+    return spark.range(start, start + qty, 1, max(1, by_size, by_cores))
+
+
+Target = int | Callable[[int], int]
+
+
+def _target(target: Target, n_ids: int) -> int:
+    """A fixed target, or one derived from the current distinct id count."""
+    return int(target(n_ids)) if callable(target) else int(target)
 
 
 def _as_of_seconds(as_of: str) -> Column:
@@ -96,11 +111,11 @@ def code_offset(seed: int, width: int = CODE_WIDTH) -> int:
     return int(hashlib.md5(f"{seed}|affiliates|code|offset".encode()).hexdigest()[:8], 16) % 26**width
 
 
-def extend_players(base: DataFrame, target: int, seed: int = 42, as_of: str = DEFAULT_AS_OF) -> DataFrame:
+def extend_players(base: DataFrame, target: Target, seed: int = 42, as_of: str = DEFAULT_AS_OF) -> DataFrame:
     """G1 — append generated players until ``target`` distinct ids exist."""
     spark = base.sparkSession
     start, n_ids, max_aff = _stats(base, "id", F.max("affiliate_id"))
-    qty = target - n_ids
+    qty = _target(target, n_ids) - n_ids
     if qty <= 0:
         return base
     key = F.col("id")
@@ -151,7 +166,7 @@ def _resolve_clashes(rows: DataFrame, base: DataFrame, seed: int) -> DataFrame:
 def extend_affiliates(
     base: DataFrame,
     players: DataFrame,
-    target: int,
+    target: Target,
     seed: int = 42,
     code_width: int = CODE_WIDTH,
 ) -> DataFrame:
@@ -159,7 +174,7 @@ def extend_affiliates(
     ids, until ``target`` distinct ids exist."""
     spark = base.sparkSession
     start, n_ids = _stats(base, "id")
-    qty = target - n_ids
+    qty = _target(target, n_ids) - n_ids
     if qty <= 0:
         return base
     if qty > 26**code_width:
@@ -210,7 +225,7 @@ def _cents(txn_type: Column, h: Column) -> Column:
 def extend_transactions(
     base: DataFrame,
     players: DataFrame,
-    target: int,
+    target: Target,
     seed: int = 42,
     as_of: str = DEFAULT_AS_OF,
     versions: str = "latest",
@@ -224,7 +239,7 @@ def extend_transactions(
     """
     spark = base.sparkSession
     start, n_ids = _stats(base, "id")
-    qty = target - n_ids
+    qty = _target(target, n_ids) - n_ids
     if qty <= 0:
         return base
     if versions == "latest":

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from ledgerlake.operators import aggregates, keyed, sequence
 from ledgerlake.plans import clean, increment, marts, quality
+from ledgerlake.session import ensure_checkpoint_dir
 from ledgerlake.sources import staging
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,8 +35,27 @@ def comparable(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def _cleaned(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return clean.clean_all(staging.raw_tables(spark, sf_dir))
+class _Cleaned:
+    """Cleaned tables of one staging input, built on first use only."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir, self._built = spark, sf_dir, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            s, d = self.spark, self.sf_dir
+            if name == "players":
+                df = clean.clean_players(staging.raw_players(s, d), staging.raw_affiliates(s, d))
+            elif name == "affiliates":
+                df = clean.clean_affiliates(staging.raw_affiliates(s, d), self["players"])
+            else:
+                df = clean.clean_transactions(staging.raw_transactions(s, d), self["players"])
+            self._built[name] = df
+        return self._built[name]
+
+
+def _cleaned(spark: SparkSession, sf_dir: str) -> _Cleaned:
+    return _Cleaned(spark, sf_dir)
 
 
 def _latest_players(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,7 +142,7 @@ def q_top_n_wide(spark, sf_dir):
 # --- data tests -----------------------------------------------------------------
 
 
-def _marts(c: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def _marts(c) -> dict[str, DataFrame]:
     return {
         "daily_ledger": marts.daily_ledger(c["transactions"]),
         "segment_totals": marts.segment_totals(c["players"], c["affiliates"], c["transactions"]),
@@ -139,10 +159,22 @@ def q_check_not_null(spark, sf_dir):
     return quality.check_not_null(raw, "raw_players", raw.columns)
 
 
-def q_quality_report(spark, sf_dir):
+def _landed(spark, sf_dir) -> dict[str, DataFrame]:
+    """The cleaned tables as the tests see them after the load: materialised
+    once (checkpoint in the shared folder) instead of recomputed per test."""
     c = _cleaned(spark, sf_dir)
+    return {
+        "players": clean.landing_players(c["players"]).checkpoint(eager=True),
+        "affiliates": c["affiliates"].checkpoint(eager=True),
+        "transactions": c["transactions"].checkpoint(eager=True),
+    }
+
+
+def q_quality_report(spark, sf_dir):
+    ensure_checkpoint_dir(spark)
+    c = _landed(spark, sf_dir)
     tables = {
-        "raw_players": clean.landing_players(c["players"]),
+        "raw_players": c["players"],
         "raw_affiliates": c["affiliates"],
         "raw_transactions": c["transactions"],
         **_marts(c),
@@ -165,10 +197,10 @@ AS_OF = increment.DEFAULT_AS_OF
 REFERENCE_TARGET = 1000
 
 
-def _doubled(df: DataFrame) -> int:
+def _doubled(n_ids: int) -> int:
     """Target used by the registered increment queries: twice the current
     number of distinct ids, so the generated part grows with the input."""
-    return 2 * int(df.agg(aggregates.distinct_with_null_expr("id")).first()[0])
+    return 2 * n_ids
 
 
 def q_next_identifier(spark, sf_dir):
@@ -204,7 +236,7 @@ def q_union_increment(spark, sf_dir):
 
 def _expanded_players(spark, sf_dir) -> DataFrame:
     base = staging.raw_players(spark, sf_dir)
-    return increment.extend_players(base, _doubled(base), SEED, AS_OF)
+    return increment.extend_players(base, _doubled, SEED, AS_OF)
 
 
 def q_extend_players(spark, sf_dir):
@@ -213,12 +245,12 @@ def q_extend_players(spark, sf_dir):
 
 def q_extend_affiliates(spark, sf_dir):
     base = staging.raw_affiliates(spark, sf_dir)
-    return increment.extend_affiliates(base, _expanded_players(spark, sf_dir), _doubled(base), SEED)
+    return increment.extend_affiliates(base, _expanded_players(spark, sf_dir), _doubled, SEED)
 
 
 def q_extend_transactions(spark, sf_dir):
     base = staging.raw_transactions(spark, sf_dir)
-    return increment.extend_transactions(base, _expanded_players(spark, sf_dir), _doubled(base), SEED, AS_OF)
+    return increment.extend_transactions(base, _expanded_players(spark, sf_dir), _doubled, SEED, AS_OF)
 
 
 REGISTRY: dict[str, Query] = {

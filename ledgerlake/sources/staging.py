@@ -16,8 +16,17 @@ from pyspark.sql import functions as F
 from ledgerlake.schemas import AMOUNT
 
 
+_SOURCES: dict[tuple[int, str], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Scan of one driver table. The DataFrame is reused within a session, so
+    the file listing and footer read happen once per table, not per query."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark._jsparkSession), path)
+    if key not in _SOURCES:
+        _SOURCES[key] = spark.read.parquet(path)
+    return _SOURCES[key]
 
 
 def _ts(text: str):
