@@ -477,8 +477,57 @@ t_new AS (
 ]
 
 
+def _cents_text(cents: str, sign: str = "") -> str:
+    return f"'{sign}' || CAST(abs({cents}) // 100 AS VARCHAR) || '.' || lpad(CAST(abs({cents}) % 100 AS VARCHAR), 2, '0')"
+
+
+COERCE_IDS = """
+SELECT key, text,
+       CASE WHEN try_cast(text AS DECIMAL(38,6)) = floor(try_cast(text AS DECIMAL(38,6)))
+            THEN CAST(try_cast(text AS DECIMAL(38,6)) AS BIGINT) END AS id_value
+FROM (SELECT o_orderkey AS key,
+             CASE o_orderkey % 6 WHEN 0 THEN CAST(o_orderkey AS VARCHAR)
+                                 WHEN 1 THEN CAST(o_orderkey AS VARCHAR) || '.0'
+                                 WHEN 2 THEN CAST(o_orderkey AS VARCHAR) || '.5'
+                                 WHEN 3 THEN 'x' || CAST(o_orderkey AS VARCHAR)
+                                 WHEN 4 THEN ''
+                                 ELSE CAST(o_orderkey + 9007199254740993 AS VARCHAR) END AS text
+      FROM orders)"""
+
+COERCE_AMOUNTS = f"""
+SELECT key, text, CAST(try_cast(text AS DECIMAL(18,2)) AS DOUBLE) AS amount
+FROM (SELECT o_orderkey AS key,
+             CASE o_orderkey % 5 WHEN 0 THEN {_cents_text('cents')}
+                                 WHEN 1 THEN CAST(cents // 100 AS VARCHAR)
+                                 WHEN 2 THEN 'abc'
+                                 WHEN 3 THEN {_cents_text('cents')} || '5'
+                                 ELSE {_cents_text('cents', '-')} END AS text
+      FROM (SELECT o_orderkey, CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders))"""
+
+COERCE_TIMESTAMPS = """
+SELECT key, text, timezone('UTC', try_strptime(text, '%Y-%m-%d %H:%M:%S%z')) AS parsed
+FROM (SELECT o_orderkey AS key,
+             CASE o_orderkey % 5 WHEN 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') || '+00:00'
+                                 WHEN 1 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') || '+02:00'
+                                 WHEN 2 THEN strftime(ts, '%Y-%m-%d')
+                                 WHEN 3 THEN strftime(ts, '%Y/%m/%d %H:%M:%S') || '+00:00'
+                                 ELSE 'bad' END AS text
+      FROM (SELECT o_orderkey, o_orderdate + to_seconds(o_orderkey % 86400) AS ts FROM orders))"""
+
+TEXT_TRUTH = """
+SELECT key, text
+FROM (SELECT c_custkey AS key,
+             (['TRUE', 'true', 'True', 't', 'yes', '1', NULL, 'FALSE'])[c_custkey % 8 + 1] AS text
+      FROM customer)
+WHERE COALESCE(upper(text) = 'TRUE', false)"""
+
+
 def oracle_sql() -> dict[str, str]:
     q = _sql()
+    q["coerce_ids"] = COERCE_IDS
+    q["coerce_amounts"] = COERCE_AMOUNTS
+    q["coerce_timestamps"] = COERCE_TIMESTAMPS
+    q["text_truth_filter"] = TEXT_TRUTH
     q["next_identifier"] = with_ctes(STAGING, _id_stats("raw_transactions"))
     q["shortfall"] = with_ctes(
         STAGING,

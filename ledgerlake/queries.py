@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerlake.functions import coerce
 from ledgerlake.operators import aggregates, keyed, sequence
 from ledgerlake.plans import clean, increment, marts, quality
 from ledgerlake.session import ensure_checkpoint_dir
@@ -110,6 +111,71 @@ def q_clean_transactions(spark, sf_dir):
     return _cleaned(spark, sf_dir)["transactions"]
 
 
+# --- coercion of text columns ------------------------------------------------
+# Text variants are made from the driver keys by arithmetic (every row is
+# kept; the key picks which spelling a row gets).
+
+
+def _cents_text(cents, sign=""):
+    whole = F.floor(F.abs(cents) / 100).cast("long").cast("string")
+    frac = F.lpad((F.abs(cents) % 100).cast("string"), 2, "0")
+    return F.concat(F.lit(sign), whole, F.lit("."), frac)
+
+
+def q_coerce_ids(spark, sf_dir):
+    k = F.col("o_orderkey")
+    text = (
+        F.when(k % 6 == 0, k.cast("string"))
+        .when(k % 6 == 1, F.concat(k.cast("string"), F.lit(".0")))
+        .when(k % 6 == 2, F.concat(k.cast("string"), F.lit(".5")))
+        .when(k % 6 == 3, F.concat(F.lit("x"), k.cast("string")))
+        .when(k % 6 == 4, F.lit(""))
+        .otherwise((k + F.lit(9007199254740993)).cast("string"))
+    )
+    rows = staging.read_table(spark, sf_dir, "orders").select(k.alias("key"), text.alias("text"))
+    return rows.select("key", "text", coerce.whole_number("text").alias("id_value"))
+
+
+def q_coerce_amounts(spark, sf_dir):
+    k = F.col("o_orderkey")
+    cents = F.round(F.col("o_totalprice") * 100).cast("long")
+    text = (
+        F.when(k % 5 == 0, _cents_text(cents))
+        .when(k % 5 == 1, F.floor(cents / 100).cast("long").cast("string"))
+        .when(k % 5 == 2, F.lit("abc"))
+        .when(k % 5 == 3, F.concat(_cents_text(cents), F.lit("5")))
+        .otherwise(_cents_text(cents, "-"))
+    )
+    rows = staging.read_table(spark, sf_dir, "orders").select(k.alias("key"), text.alias("text"))
+    return rows.select("key", "text", coerce.amount("text").alias("amount"))
+
+
+def q_coerce_timestamps(spark, sf_dir):
+    k = F.col("o_orderkey")
+    ts = F.timestamp_seconds(F.unix_seconds(F.col("o_orderdate").cast("timestamp")) + k % 86400)
+    base = F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
+    text = (
+        F.when(k % 5 == 0, F.concat(base, F.lit("+00:00")))
+        .when(k % 5 == 1, F.concat(base, F.lit("+02:00")))
+        .when(k % 5 == 2, F.date_format(ts, "yyyy-MM-dd"))
+        .when(k % 5 == 3, F.concat(F.date_format(ts, "yyyy/MM/dd HH:mm:ss"), F.lit("+00:00")))
+        .otherwise(F.lit("bad"))
+    )
+    rows = staging.read_table(spark, sf_dir, "orders").select(k.alias("key"), text.alias("text"))
+    return rows.select("key", "text", coerce.utc_timestamp("text").alias("parsed"))
+
+
+# Spellings of a truth flag used to exercise the KYC text rule.
+TRUTH_SPELLINGS = ["TRUE", "true", "True", "t", "yes", "1", None, "FALSE"]
+
+
+def q_text_truth_filter(spark, sf_dir):
+    c = F.col("c_custkey")
+    text = F.element_at(F.array(*[F.lit(v) for v in TRUTH_SPELLINGS]), (c % len(TRUTH_SPELLINGS) + 1).cast("int"))
+    rows = staging.read_table(spark, sf_dir, "customer").select(c.alias("key"), text.alias("text"))
+    return rows.where(coerce.truth_text("text"))
+
+
 # --- marts --------------------------------------------------------------------
 
 
@@ -260,6 +326,10 @@ REGISTRY: dict[str, Query] = {
     "fill_from_linked": q_fill_from_linked,
     "kyc_time_gate": q_kyc_time_gate,
     "null_safe_join": q_null_safe_join,
+    "coerce_ids": q_coerce_ids,
+    "coerce_amounts": q_coerce_amounts,
+    "coerce_timestamps": q_coerce_timestamps,
+    "text_truth_filter": q_text_truth_filter,
     "clean_players": q_clean_players,
     "clean_affiliates": q_clean_affiliates,
     "clean_transactions": q_clean_transactions,
