@@ -51,6 +51,7 @@ def selected_players(
     players: DataFrame,
     affiliates: DataFrame,
     channel: str = "Discord",
+    by_player: bool = False,
 ) -> DataFrame:
     """A4 (J3 + F1 + F3) — distinct (player_id, country_code) of approved
     players whose affiliate came through ``channel``.
@@ -63,11 +64,13 @@ def selected_players(
         F.col("id").alias("player_id"), "country_code", "affiliate_id"
     )
     a = affiliates.where(F.col("origin") == channel).select(F.col("id").alias("__aff"))
-    return (
-        p.join(a, F.col("affiliate_id") == F.col("__aff"), "inner")
-        .select("player_id", "country_code")
-        .distinct()
-    )
+    pairs = p.join(a, F.col("affiliate_id") == F.col("__aff"), "inner").select("player_id", "country_code")
+    if by_player:
+        # Hash-partitioned by player first: that layout also satisfies the
+        # distinct on (player_id, country_code) and any later per-player
+        # window or join, so all of them share one exchange.
+        pairs = pairs.repartition("player_id")
+    return pairs.distinct()
 
 
 def segment_totals(
@@ -89,7 +92,7 @@ def segment_totals(
     by weighting with m, computed by a window over the selected players,
     which are already partitioned by player_id for the join.
     """
-    kdp = selected_players(players, affiliates, channel).repartition("player_id")
+    kdp = selected_players(players, affiliates, channel, by_player=True)
     kdp = kdp.withColumn("__m", F.count(F.lit(1)).over(Window.partitionBy("player_id")))
     per_player = (
         transactions.where(F.col("type") == txn_type)
