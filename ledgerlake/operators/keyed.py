@@ -194,15 +194,25 @@ def kyc_time_gate(
     player's creation time.
 
     The join is null-safe (ledger L16: a null player id matches the null-id
-    player, of which de-dup leaves at most one). The approval test is the text
-    rule of L10 and is applied to the player side before the join, so the
-    build side is as small as possible. Only ``created_at`` is compared (L19).
+    player, of which de-dup leaves at most one). It is run as two joins so
+    that null keys never share a shuffle partition with the rest: rows with
+    a player id take a plain equi-join (no null keys, so a skewed key is left
+    to AQE's skew split or broadcast), rows without one join only the null-id
+    players. The approval test is the text rule of L10 and is applied to the
+    player side before the join, so the build side is as small as possible.
+    Only ``created_at`` is compared (L19).
     """
     gate = players.where(truth_text(approved)).select(
         F.col("id").alias("__pid"), F.col(created).alias("__created")
     )
+    keyed = transactions.where(F.col(player_key).isNotNull()).join(
+        gate.where(F.col("__pid").isNotNull()), F.col(player_key) == F.col("__pid"), "inner"
+    )
+    unkeyed = transactions.where(F.col(player_key).isNull()).join(
+        gate.where(F.col("__pid").isNull()), F.col(player_key).eqNullSafe(F.col("__pid")), "inner"
+    )
     return (
-        transactions.join(gate, F.col(player_key).eqNullSafe(F.col("__pid")), "inner")
+        keyed.unionByName(unkeyed)
         .where(F.col(ts) >= F.col("__created"))
         .select(*transactions.columns)
     )
