@@ -18,6 +18,10 @@ from pyspark.sql import SparkSession
 RESULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
+    # Parquet written by pandas stores nanosecond timestamps, which Spark
+    # otherwise refuses to read (ledger L26); they arrive as BIGINT nanos and
+    # sources.files.read_parquet turns declared timestamp columns back.
+    "spark.sql.legacy.parquet.nanosAsLong": "true",
 }
 
 # Settings that change the *plan*: runtime re-planning, broadcast of sides

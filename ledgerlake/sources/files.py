@@ -60,9 +60,25 @@ def read_raw_table(
     return read_csv(spark, path, raw_schema(table), na_tokens, pattern)
 
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """S2 — Parquet scan; filters and projections are pushed into it."""
-    return spark.read.parquet(path)
+def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """S2 — Parquet scan; filters and projections are pushed into it.
+
+    With a declared ``schema``, a timestamp column that arrives as BIGINT is
+    a nanosecond timestamp from a pandas writer (ledger L26) and is converted
+    back; other declared columns are coerced as usual.
+    """
+    df = spark.read.parquet(path)
+    if schema is None:
+        return df
+    declared = {f.name: f.dataType for f in schema.fields}
+    fixed = []
+    for f in df.schema.fields:
+        target = declared.get(f.name)
+        if isinstance(target, T.TimestampType) and isinstance(f.dataType, T.LongType):
+            fixed.append(F.timestamp_micros(F.floor(F.col(f.name) / 1000).cast("long")).alias(f.name))
+        else:
+            fixed.append(F.col(f"`{f.name}`"))
+    return coerce_frame(df.select(*fixed), schema)
 
 
 def write_parquet(df: DataFrame, path: str) -> str:

@@ -165,3 +165,44 @@ def test_row_index_matches_global_order(spark):
     df = spark.range(0, 5000, 1, 7).select(((F.col("id") * 7919) % 5003).alias("k"))
     got = sequence.row_index(df, ["k"], "i").orderBy("k").collect()
     assert [r.i for r in got] == list(range(5000))
+
+
+def test_l14_display_order_nulls_last(spark):
+    df = frame(spark, [(None, dt.date(2024, 1, 1)), (2, dt.date(2024, 1, 2)), (1, None), (1, dt.date(2024, 1, 1))],
+               "player_id long, transaction_date date")
+    got = [(r.player_id, r.transaction_date) for r in marts.display_order("daily_ledger", df).collect()]
+    assert got == [(1, dt.date(2024, 1, 1)), (1, None), (2, dt.date(2024, 1, 2)), (None, dt.date(2024, 1, 1))]
+
+
+def test_l24_linked_creation_time_wins(spark):
+    affs = frame(spark, [(1, "A", None, ts("2020-01-01")), (2, "B", None, ts("2020-01-01")), (3, "C", None, None)],
+                 "id long, code string, origin string, redeemed_at timestamp")
+    players = frame(spark, [(10, 1, ts("2024-05-05")), (11, None, ts("2024-06-06")), (12, 3, None)],
+                    "id long, affiliate_id long, created_at timestamp")
+    got = {r.id: r.redeemed_at for r in keyed.fill_from_linked(affs, players).collect()}
+    assert got == {1: ts("2024-05-05"), 2: ts("2020-01-01"), 3: None}
+
+
+def test_l26_pandas_nanosecond_parquet(spark, tmp_dir):
+    import pandas as pd
+
+    from ledgerlake.schemas import PLAYERS
+    from ledgerlake.sources import files
+
+    pdf = pd.DataFrame({"id": [1, 2], "created_at": pd.to_datetime(["2024-01-10 17:07:01.123456+00:00", None], utc=True)})
+    pdf.to_parquet(f"{tmp_dir}/p.parquet", index=False)
+    schema = T.StructType([PLAYERS["id"], PLAYERS["created_at"]])
+    got = sorted(files.read_parquet(spark, f"{tmp_dir}/p.parquet", schema).collect(), key=lambda r: r.id)
+    assert got[0].created_at == dt.datetime(2024, 1, 10, 17, 7, 1, 123456) and got[1].created_at is None
+
+
+def test_l28_versions_all_counts_stale_approval(spark):
+    from ledgerlake.plans import increment
+
+    players = frame(spark, [(1, None, "DE", "TRUE", ts("2024-01-01"), ts("2024-01-01")),
+                            (1, None, "DE", "FALSE", ts("2024-01-01"), ts("2024-02-01"))],
+                    "id long, affiliate_id long, country_code string, is_kyc_approved string, created_at timestamp, updated_at timestamp")
+    base = frame(spark, [(1, ts("2024-01-05"), 1, "Deposit", None)],
+                 "id long, timestamp timestamp, player_id long, type string, amount decimal(18,2)")
+    assert increment.extend_transactions(base, players, 10) is base  # latest version is not approved
+    assert increment.extend_transactions(base, players, 10, versions="all").count() == 10
