@@ -45,6 +45,7 @@ from ledgerlake.operators.aggregates import distinct_with_null_expr, next_identi
 from ledgerlake.operators.keyed import latest_by_key
 from ledgerlake.operators.sequence import row_index, running_allocation
 from ledgerlake.schemas import AMOUNT
+from ledgerlake.session import parallelism
 
 # Generator domains and ranges.
 COUNTRIES = ["DE", "BR", "GB", "US", "CA"]
@@ -83,7 +84,7 @@ def _range(spark: SparkSession, start: int, qty: int) -> DataFrame:
     """Generated ids in ordered slices: at least one slice per core of the
     cluster (so the draws run in parallel), at most a million rows each."""
     by_size = math.ceil(qty / ROWS_PER_PARTITION)
-    by_cores = min(spark.sparkContext.defaultParallelism, math.ceil(qty / MIN_ROWS_PER_PARTITION))
+    by_cores = min(parallelism(spark), math.ceil(qty / MIN_ROWS_PER_PARTITION))
     return spark.range(start, start + qty, 1, max(1, by_size, by_cores))
 
 

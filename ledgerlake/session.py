@@ -40,19 +40,37 @@ PLAN_CONF = {
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the engine's runtime settings to an existing session."""
-    for key, value in {**RESULT_CONF, **PLAN_CONF}.items():
+    for key, value in RESULT_CONF.items():
         spark.conf.set(key, value)
+    for key, value in PLAN_CONF.items():
+        try:
+            spark.conf.set(key, value)
+        except Exception:  # a tuning knob the deployment does not let us change
+            pass
     ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
+def parallelism(spark: SparkSession) -> int:
+    """Cores of the cluster (default parallelism), or the shuffle partition
+    count where no driver-side SparkContext exists (Spark Connect)."""
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     """Return the checkpoint folder, setting a local one only when none is set.
 
     A cluster names a shared folder in ``spark.checkpoint.dir``; that value
     always wins. Only an unset value (local tests) gets a fresh temp folder.
+    Under Spark Connect the server owns this setting and nothing is changed.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no driver-side SparkContext
+        return spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if current:
         return current

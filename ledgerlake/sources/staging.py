@@ -23,7 +23,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Scan of one driver table. The DataFrame is reused within a session, so
     the file listing and footer read happen once per table, not per query."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark._jsparkSession), path)
+    key = (id(spark), path)
     if key not in _SOURCES:
         _SOURCES[key] = spark.read.parquet(path)
     return _SOURCES[key]

@@ -30,7 +30,7 @@ def main(argv):
         df = Q.REGISTRY[name](spark, sf_dir)
         df.collect()
         plan = df._jdf.queryExecution().executedPlan().toString()
-        plan = plan.split("+- == Initial Plan ==")[0]
+        plan = plan.split("\n+- == Initial Plan ==")[0]
         counts = {
             "shuffle exchanges": len(re.findall(r"\bExchange hashpartitioning|\bExchange rangepartitioning|\bExchange SinglePartition", plan)),
             "broadcasts": len(re.findall(r"BroadcastExchange", plan)),
