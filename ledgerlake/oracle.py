@@ -197,11 +197,11 @@ WHERE upper(CAST(p.is_kyc_approved AS VARCHAR)) = 'TRUE' AND t."timestamp" >= p.
         STAGING,
         """
 SELECT t.id, t."timestamp", t.player_id, t.type, CAST(t.amount AS DOUBLE) AS amount,
-       p.matched_player, p.country_code
+       p.matched_player, p.country_code, p.ver
 FROM (SELECT id, "timestamp", CASE WHEN id % 101 <> 0 THEN player_id END AS player_id, type, amount
       FROM raw_transactions) t
-JOIN (SELECT CASE WHEN id % 500 <> 7 THEN id END AS matched_player, country_code
-      FROM raw_players WHERE ver = 0) p
+JOIN (SELECT CASE WHEN id % 500 <> 7 THEN id END AS matched_player, country_code, ver
+      FROM raw_players) p
   ON t.player_id IS NOT DISTINCT FROM p.matched_player""",
     )
     q["clean_players"] = with_ctes(CLEANING, "SELECT * FROM clean_players")

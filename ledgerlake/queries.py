@@ -90,12 +90,13 @@ def q_kyc_time_gate(spark, sf_dir):
 
 def q_null_safe_join(spark, sf_dir):
     """J1 with null keys on both sides: every 101st order has no player, and
-    every 500th customer (offset 7) has a null id; null matches null."""
+    every 500th customer (offset 7) has a null id; null matches null. All
+    player versions take part, so a player with two versions matches twice."""
     t = staging.raw_transactions(spark, sf_dir)
     t = t.withColumn("player_id", F.when(F.col("id") % 101 != 0, F.col("player_id")))
-    p = staging.raw_players(spark, sf_dir).where(F.col("ver") == 0)
+    p = staging.raw_players(spark, sf_dir)
     p = p.withColumn("id", F.when(F.col("id") % 500 != 7, F.col("id")))
-    gate = p.select(F.col("id").alias("matched_player"), F.col("country_code"))
+    gate = p.select(F.col("id").alias("matched_player"), F.col("country_code"), F.col("ver"))
     return t.join(gate, F.col("player_id").eqNullSafe(F.col("matched_player")), "inner")
 
 
