@@ -41,7 +41,14 @@ def row_index(
     ``checkpoint=False`` is safe only when ``df`` recomputes to the same
     partitions (again, ``spark.range``).
     """
-    ordered = df if presorted else df.orderBy(*order_by)
+    if presorted:
+        ordered = df
+    else:
+        # A content hash as the last sort key lets the range partitioner spread
+        # rows that tie on ``order_by`` (a hot key) over several partitions;
+        # only fully identical rows still tie, and their order is immaterial.
+        spread = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+        ordered = df.orderBy(*order_by, spread)
     tagged = ordered.withColumn("__ri_pid", F.spark_partition_id()).withColumn(
         "__ri_pos",
         F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), _PARTITION_SHIFT),

@@ -82,3 +82,23 @@ def test_marts_hot_player(skewed):
     assert hot_dep["amount"].isna().any()
     assert pd.isna(top.loc[HOT_PLAYER, "first_largest_deposit"])
     assert len(top) == dep["player_id"].nunique()
+
+
+def test_row_index_spreads_a_hot_sort_key(spark):
+    from ledgerlake.operators import sequence
+
+    df = spark.range(0, 20000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id")).alias("k"), F.col("id").alias("v")
+    )
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = sequence.row_index(df, ["k"], "i")
+        sizes = [r[1] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        ks = out.orderBy("i").select("k").collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert [r.k for r in ks] == sorted(r.k for r in ks)
+    assert out.select("i").distinct().count() == 20000
+    # the hot key (a third of the rows) is not in one partition
+    assert max(sizes) < 20000 // 3
