@@ -47,10 +47,16 @@ def daily_run(
     na_tokens=PANDAS_NA_TOKENS,
     pattern: str = TIMESTAMP_PATTERN,
     extend: bool = True,
+    expanded_format: str = "csv",
     fail_on_test_failure: bool = True,
 ) -> RunResult:
     """Run the whole batch. ``raw_dir`` holds ``players``, ``affiliates`` and
-    ``transactions`` CSV files or folders (``<name>.csv`` or ``<name>``)."""
+    ``transactions`` CSV files or folders (``<name>.csv`` or ``<name>``).
+
+    ``expanded_format="csv"`` hands the extended tables to the cleaning step
+    as text, like the reference; ``"parquet"`` keeps them typed, which gives
+    the same values (generated values always parse) at a fraction of the I/O
+    on large inputs."""
     configure(spark)
     out = RunResult()
 
@@ -64,16 +70,27 @@ def daily_run(
 
     raw = {t: files.read_raw_table(spark, raw_path(t), t, na_tokens, pattern) for t in TABLES}
 
-    # 1. Extend (G1, then G2 and G3 from the expanded players), written as CSV.
+    if expanded_format not in ("csv", "parquet"):
+        raise ValueError("expanded_format must be 'csv' or 'parquet'")
+
+    def hand_off(df, table: str):
+        path = f"{work_dir}/expanded/{table}"
+        if expanded_format == "csv":
+            out.expanded[table] = files.write_csv(df, path)
+            return files.read_raw_table(spark, path, table, na_tokens, pattern)
+        out.expanded[table] = files.write_parquet(df, path)
+        return files.read_parquet(spark, path)
+
+    # 1. Extend (G1, then G2 and G3 from the expanded players).
     if extend:
-        players_x = increment.extend_players(raw["players"], target, seed, as_of)
-        out.expanded["players"] = files.write_csv(players_x, f"{work_dir}/expanded/players")
-        players_x = files.read_raw_table(spark, out.expanded["players"], "players", na_tokens, pattern)
+        players_x = hand_off(increment.extend_players(raw["players"], target, seed, as_of), "players")
         aff_x = increment.extend_affiliates(raw["affiliates"], players_x, target, seed)
         txn_x = increment.extend_transactions(raw["transactions"], players_x, target, seed, as_of)
-        out.expanded["affiliates"] = files.write_csv(aff_x, f"{work_dir}/expanded/affiliates")
-        out.expanded["transactions"] = files.write_csv(txn_x, f"{work_dir}/expanded/transactions")
-        raw = {t: files.read_raw_table(spark, out.expanded[t], t, na_tokens, pattern) for t in TABLES}
+        raw = {
+            "players": players_x,
+            "affiliates": hand_off(aff_x, "affiliates"),
+            "transactions": hand_off(txn_x, "transactions"),
+        }
 
     # 2. Clean (C1 → C2, C3); cleaned players are written once and read twice.
     out.transformed["players"] = files.write_parquet(

@@ -35,3 +35,16 @@ def test_daily_run_without_extension_matches_golden(spark, tmp_dir):
     ledger = spark.table(result.marts["daily_ledger"])
     assert sorted(r.player_id for r in ledger.collect()) == [3, 7, 8]
     assert spark.table(result.marts["segment_totals"]).count() == 0
+
+
+def test_parquet_hand_off_gives_same_tables(spark, tmp_dir):
+    raw = os.path.join(tmp_dir, "raw")
+    os.makedirs(raw)
+    for name, text in (("players", PLAYERS_CSV), ("affiliates", AFFILIATES_CSV), ("transactions", TRANSACTIONS_CSV)):
+        with open(os.path.join(raw, f"{name}.csv"), "w") as f:
+            f.write(text)
+    daily_run.daily_run(spark, raw, os.path.join(tmp_dir, "w1"), database="r1c", target=30)
+    a = {t: sorted(map(str, catalog.source(spark, "r1c", f"raw_{t}").collect())) for t in ("players", "affiliates", "transactions")}
+    daily_run.daily_run(spark, raw, os.path.join(tmp_dir, "w2"), database="r1c", target=30, expanded_format="parquet")
+    b = {t: sorted(map(str, catalog.source(spark, "r1c", f"raw_{t}").collect())) for t in ("players", "affiliates", "transactions")}
+    assert a == b
