@@ -16,14 +16,23 @@ from pyspark.sql import functions as F
 from ledgerlake.schemas import AMOUNT
 
 
-_SOURCES: dict[tuple[int, str], DataFrame] = {}
+_SOURCES: dict[tuple[str, str], DataFrame] = {}
+
+
+def _session_token(spark: SparkSession) -> str:
+    """Identity of a live session: a stopped and recreated session gets a new
+    application id, so a cached scan never outlives its session."""
+    try:
+        return f"{spark.sparkContext.applicationId}:{id(spark)}"
+    except Exception:  # Spark Connect
+        return f"connect:{id(spark)}"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Scan of one driver table. The DataFrame is reused within a session, so
     the file listing and footer read happen once per table, not per query."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
+    key = (_session_token(spark), path)
     if key not in _SOURCES:
         _SOURCES[key] = spark.read.parquet(path)
     return _SOURCES[key]
