@@ -146,7 +146,7 @@ kdp AS (
 )"""
 
 RANKED = """
-SELECT player_id, CAST(amount AS DOUBLE) AS amount, "timestamp", deposit_rank FROM (
+SELECT player_id, CAST(amount AS DOUBLE) AS amount, "timestamp", CAST(deposit_rank AS INTEGER) AS deposit_rank FROM (
   SELECT player_id, amount, "timestamp",
          ROW_NUMBER() OVER (PARTITION BY player_id
                             ORDER BY amount DESC NULLS FIRST, "timestamp" DESC NULLS FIRST) AS deposit_rank
@@ -382,9 +382,9 @@ expanded_players AS (
   SELECT id, affiliate_id, country_code, is_kyc_approved, created_at, updated_at, ver FROM raw_players
   UNION ALL
   SELECT id,
-         CASE WHEN linked THEN (SELECT max_aff FROM p_stats)
+         CAST(CASE WHEN linked THEN (SELECT max_aff FROM p_stats)
               + SUM(CASE WHEN linked THEN 1 ELSE 0 END) OVER (ORDER BY id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
-         END AS affiliate_id,
+         END AS BIGINT) AS affiliate_id,
          country_code, is_kyc_approved, created_at, created_at AS updated_at, CAST(NULL AS INTEGER) AS ver
   FROM p_new
 )""",
@@ -541,11 +541,11 @@ def oracle_sql() -> dict[str, str]:
         STAGING,
         """
 SELECT id, ver, affiliate_id,
-       CASE WHEN affiliate_id IS NOT NULL THEN
+       CAST(CASE WHEN affiliate_id IS NOT NULL THEN
          (SELECT COALESCE(MAX(id), 0) FROM raw_affiliates)
          + SUM(CASE WHEN affiliate_id IS NOT NULL THEN 1 ELSE 0 END)
              OVER (ORDER BY id, ver ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
-       END AS allocated
+       END AS BIGINT) AS allocated
 FROM raw_players""",
     )
     q["union_increment"] = with_ctes(

@@ -51,3 +51,14 @@ def test_same_result_other_partitioning(spark, name):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert before == after
+
+
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_oracle_column_types_match(spark, duck, name):
+    spark_types = dict(E.queries()[name](spark, SF).dtypes)
+    duck_types = {r[0]: r[1] for r in duck.execute(f"DESCRIBE {E.oracle_sql()[name]}").fetchall()}
+    assert {c: SPARK_TO_DUCK.get(t, t) for c, t in spark_types.items()} == duck_types
