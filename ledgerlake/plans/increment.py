@@ -33,7 +33,6 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Callable
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,7 +42,7 @@ from ledgerlake.functions.coerce import truth_text
 from ledgerlake.functions.draws import between, choice, draw, letters
 from ledgerlake.operators.aggregates import distinct_with_null_expr, next_identifier_expr
 from ledgerlake.operators.keyed import latest_by_key
-from ledgerlake.operators.sequence import row_index, running_allocation
+from ledgerlake.operators.sequence import row_index, running_allocation, take_first
 from ledgerlake.schemas import AMOUNT
 from ledgerlake.session import parallelism
 
@@ -65,13 +64,6 @@ DEFAULT_AS_OF = "2025-09-01 00:00:00"
 ROWS_PER_PARTITION = 1_000_000
 
 
-@dataclass(frozen=True)
-class IncrementSpec:
-    target: int
-    seed: int = 42
-    as_of: str = DEFAULT_AS_OF
-
-
 def _stats(df: DataFrame, key: str = "id", *extra: Column) -> tuple:
     """The scalars that size an increment (one small aggregate action)."""
     return tuple(df.agg(next_identifier_expr(key), distinct_with_null_expr(key), *extra).first())
@@ -190,7 +182,7 @@ def extend_affiliates(
         .where(F.col("id") >= start)
     )
     order = [F.col("__player").asc_nulls_last(), F.col("id").asc(), F.col("redeemed_at").asc_nulls_last()]
-    taken = row_index(linked, order, "__pos").where(F.col("__pos") < qty).drop("__player")
+    taken = take_first(linked, qty, order, "__pos").drop("__player")
     n_taken = taken.count()
     rows = taken
     if n_taken < qty:

@@ -22,9 +22,6 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-REPORT_COLUMNS = ["table_name", "column_name", "test_name", "failures"]
-
-
 @dataclass(frozen=True)
 class TableTests:
     """Declared tests of one table."""
