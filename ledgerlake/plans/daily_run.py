@@ -129,3 +129,41 @@ def daily_run(
     else:
         out.tests = [tuple(r) for r in report.collect()]
     return out
+
+
+def main(argv: list[str] | None = None) -> int:
+    """Command line: ``python -m ledgerlake.plans.daily_run --raw DIR --work DIR``.
+
+    Uses the active session (e.g. under ``spark-submit``) or builds one.
+    """
+    import argparse
+
+    parser = argparse.ArgumentParser(description="Daily extend → clean → land → marts → tests run")
+    parser.add_argument("--raw", required=True, help="folder with players/affiliates/transactions CSV")
+    parser.add_argument("--work", required=True, help="shared folder for expanded and transformed data")
+    parser.add_argument("--database", default="data")
+    parser.add_argument("--target", type=int, default=1000)
+    parser.add_argument("--seed", type=int, default=42)
+    parser.add_argument("--as-of", default=increment.DEFAULT_AS_OF)
+    parser.add_argument("--no-extend", action="store_true")
+    parser.add_argument("--expanded-format", choices=("csv", "parquet"), default="csv")
+    args = parser.parse_args(argv)
+    spark = SparkSession.builder.getOrCreate()
+    result = daily_run(
+        spark,
+        args.raw,
+        args.work,
+        database=args.database,
+        target=args.target,
+        seed=args.seed,
+        as_of=args.as_of,
+        extend=not args.no_extend,
+        expanded_format=args.expanded_format,
+    )
+    for row in result.tests:
+        print("\t".join(map(str, row)))
+    return 0
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())
