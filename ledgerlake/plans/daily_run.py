@@ -148,7 +148,8 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--no-extend", action="store_true")
     parser.add_argument("--expanded-format", choices=("csv", "parquet"), default="csv")
     args = parser.parse_args(argv)
-    spark = SparkSession.builder.getOrCreate()
+    # An existing session (spark-submit) is used as is; a new one has no UI.
+    spark = SparkSession.builder.config("spark.ui.enabled", "false").getOrCreate()
     result = daily_run(
         spark,
         args.raw,
