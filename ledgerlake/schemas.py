@@ -55,6 +55,11 @@ LANDING_COLUMNS = {
     "amount DECIMAL(18,2)",
 }
 
+# Bucketing column of each landing table: the marts read transactions per
+# player and join players on their id, so both tables are stored hash-
+# partitioned on that key and the marts need no shuffle of them.
+LANDING_BUCKET_COLUMNS = {"players": "id", "transactions": "player_id"}
+
 # Transaction types and affiliate channels (fixed domain values).
 DEPOSIT = "Deposit"
 WITHDRAW = "Withdraw"

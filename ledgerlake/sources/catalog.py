@@ -10,40 +10,69 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.schemas import LANDING_COLUMNS, LANDING_NAMES
+from pyspark.sql import functions as F
+
+from ledgerlake.schemas import LANDING_BUCKET_COLUMNS, LANDING_COLUMNS, LANDING_NAMES
 
 
 def _q(name: str) -> str:
     return ".".join(f"`{part}`" for part in name.split("."))
 
 
-def ensure_landing_table(spark: SparkSession, database: str, table: str) -> str:
+def ensure_landing_table(
+    spark: SparkSession, database: str, table: str, buckets: int | None = None
+) -> str:
     """S5 — create the database and the landing table if absent.
 
     The truncate of the reference is folded into the load (``INSERT
     OVERWRITE``), so readers never see an empty table between two steps.
+    With ``buckets``, players are stored bucketed by ``id`` and transactions
+    by ``player_id``, so the marts read them already partitioned by player
+    and skip their shuffles. Use it only when no single player dominates:
+    a bucketed scan reads a whole bucket in one task.
     """
     name = f"{database}.{LANDING_NAMES[table]}"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {_q(database)}")
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {_q(name)} ({LANDING_COLUMNS[table]}) USING parquet")
+    layout = ""
+    if buckets and table in LANDING_BUCKET_COLUMNS:
+        layout = f" CLUSTERED BY ({LANDING_BUCKET_COLUMNS[table]}) INTO {int(buckets)} BUCKETS"
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {_q(name)} ({LANDING_COLUMNS[table]}) USING parquet{layout}")
     return name
 
 
+def _bucket_spec(spark: SparkSession, name: str) -> tuple[list[str], int] | None:
+    """Bucket columns and count of a catalog table, or None."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {_q(name)}").collect()
+    info = {r[0]: r[1] for r in rows if r[0]}
+    if "Num Buckets" not in info:
+        return None
+    cols = [c.strip(" `[]") for c in info.get("Bucket Columns", "").strip("[]").split(",") if c.strip()]
+    return cols, int(info["Num Buckets"])
+
+
 def load_table(df: DataFrame, name: str, column_order: list[str] | None = None) -> str:
     """S6 — replace the content of table ``name`` with ``df`` in one write.
 
     Columns are selected in ``column_order`` (default: the table's own
-    order), because ``insertInto`` matches by position.
+    order), because ``insertInto`` matches by position. For a bucketed table
+    the rows are first hash-partitioned on the bucket columns with the bucket
+    count, which is the same assignment the bucketing uses, so each task
+    writes one file per bucket instead of one per bucket it happens to see.
     """
     spark = df.sparkSession
     order = column_order or spark.table(name).columns
-    df.select(*order).write.insertInto(name, overwrite=True)
+    out = df.select(*order)
+    spec = _bucket_spec(spark, name)
+    if spec:
+        cols, n = spec
+        out = out.repartition(n, *[F.col(c) for c in cols])
+    out.write.insertInto(name, overwrite=True)
     return name
 
 
-def land(df: DataFrame, spark: SparkSession, database: str, table: str) -> str:
+def land(df: DataFrame, spark: SparkSession, database: str, table: str, buckets: int | None = None) -> str:
     """C4 for one table: S5 + S6."""
-    name = ensure_landing_table(spark, database, table)
+    name = ensure_landing_table(spark, database, table, buckets)
     return load_table(df, name)
 
 

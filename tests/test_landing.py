@@ -4,6 +4,7 @@ VARCHAR(4) rejects longer country codes (ledger L25)."""
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerlake.plans import clean
 from ledgerlake.sources import catalog, files
@@ -45,3 +46,20 @@ def test_materialize_and_files_round_trip(spark, tmp_dir):
     assert row.created_at == dt.datetime(2024, 1, 1) and row.id == 1
     text = spark.read.text(c).collect()
     assert any("2024-01-01 00:00:00+00:00" in r.value for r in text)
+
+
+def test_bucketed_landing_removes_mart_shuffles(spark):
+    from ledgerlake.plans import marts
+
+    t = spark.createDataFrame(
+        [(i, dt.datetime(2024, 1, 1 + i % 20), i % 7, ["Deposit", "Withdraw", "Bonus"][i % 3], None) for i in range(200)],
+        "id long, timestamp timestamp, player_id long, type string, amount decimal(18,2)",
+    ).withColumn("amount", (F.col("id") / 4).cast("decimal(18,2)"))
+    plain = catalog.land(t, spark, "bucket_t", "transactions")
+    ledger_plain = sorted(map(tuple, marts.daily_ledger(spark.table(plain), stamp=False).collect()))
+    spark.sql("DROP TABLE IF EXISTS bucket_t.raw_transactions")
+    name = catalog.land(t, spark, "bucket_t", "transactions", buckets=4)
+    ledger = marts.daily_ledger(spark.table(name), stamp=False)
+    assert sorted(map(tuple, ledger.collect())) == ledger_plain
+    plan = ledger._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan
