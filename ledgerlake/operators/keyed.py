@@ -182,6 +182,42 @@ def fill_from_linked(
     )
 
 
+# Number of salts spreading null join keys (see null_safe_join).
+NULL_SALTS = 64
+
+
+def null_safe_join(
+    left: DataFrame,
+    right: DataFrame,
+    left_key: str,
+    right_key: str,
+    how: str = "inner",
+    salts: int = NULL_SALTS,
+) -> DataFrame:
+    """Equi-join where a null key matches a null key (``<=>``), without
+    sending every null-key row to one shuffle partition.
+
+    A plain ``<=>`` join hashes all null keys to the same partition. Here the
+    join key is (key is null, key), and for null keys the second part is a
+    salt: left rows take one of ``salts`` values from a hash of the row,
+    right rows with a null key are replicated once per salt. Non-null keys
+    are unchanged, so their partitioning and skew handling are Spark's.
+    Replication is ``salts`` × (right rows with a null key); use it where the
+    right side has few of them — after de-dup a key column holds at most one.
+    """
+    key_type = dict(left.dtypes)[left_key]
+    lnull = F.col(left_key).isNull()
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(salts)).cast(key_type)
+    l2 = left.withColumn("__ln", lnull).withColumn("__lk", F.when(lnull, salt).otherwise(F.col(left_key)))
+    rnull = F.col(right_key).isNull()
+    all_salts = F.sequence(F.lit(0), F.lit(salts - 1)).cast(f"array<{key_type}>")
+    r2 = right.withColumn("__rn", rnull).withColumn(
+        "__rk", F.explode(F.when(rnull, all_salts).otherwise(F.array(F.col(right_key).cast(key_type))))
+    )
+    cond = (F.col("__ln") == F.col("__rn")) & (F.col("__lk") == F.col("__rk"))
+    return l2.join(r2, cond, how).drop("__ln", "__lk", "__rn", "__rk")
+
+
 def kyc_time_gate(
     transactions: DataFrame,
     players: DataFrame,
@@ -194,25 +230,18 @@ def kyc_time_gate(
     player's creation time.
 
     The join is null-safe (ledger L16: a null player id matches the null-id
-    player, of which de-dup leaves at most one). It is run as two joins so
-    that null keys never share a shuffle partition with the rest: rows with
-    a player id take a plain equi-join (no null keys, so a skewed key is left
-    to AQE's skew split or broadcast), rows without one join only the null-id
-    players. The approval test is the text rule of L10 and is applied to the
-    player side before the join, so the build side is as small as possible.
-    Only ``created_at`` is compared (L19).
+    player, of which de-dup leaves at most one) and salts the null keys
+    (:func:`null_safe_join`), so they never pile up in one partition; a hot
+    non-null player is split by AQE's skew join or avoided by a broadcast.
+    The approval test is the text rule of L10 and is applied to the player
+    side before the join, so the build side is as small as possible. Only
+    ``created_at`` is compared (L19).
     """
     gate = players.where(truth_text(approved)).select(
         F.col("id").alias("__pid"), F.col(created).alias("__created")
     )
-    keyed = transactions.where(F.col(player_key).isNotNull()).join(
-        gate.where(F.col("__pid").isNotNull()), F.col(player_key) == F.col("__pid"), "inner"
-    )
-    unkeyed = transactions.where(F.col(player_key).isNull()).join(
-        gate.where(F.col("__pid").isNull()), F.col(player_key).eqNullSafe(F.col("__pid")), "inner"
-    )
     return (
-        keyed.unionByName(unkeyed)
+        null_safe_join(transactions, gate, player_key, "__pid", "inner")
         .where(F.col(ts) >= F.col("__created"))
         .select(*transactions.columns)
     )

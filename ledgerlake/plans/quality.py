@@ -22,6 +22,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlake.operators.keyed import null_safe_join
+
 @dataclass(frozen=True)
 class TableTests:
     """Declared tests of one table."""
@@ -138,15 +140,8 @@ def invariant_report(
         F.col("is_kyc_approved").cast("string").alias("__kyc"),
         F.col("created_at").alias("__created"),
     )
-    # Null-safe left join, run as two joins so null player ids never share a
-    # shuffle partition with the rest (same split as the KYC gate).
-    keyed = transactions.where(F.col("player_id").isNotNull()).join(
-        p.where(F.col("__pid").isNotNull()), F.col("player_id") == F.col("__pid"), "left"
-    )
-    unkeyed = transactions.where(F.col("player_id").isNull()).join(
-        p.where(F.col("__pid").isNull()), F.col("player_id").eqNullSafe(F.col("__pid")), "left"
-    )
-    t = keyed.unionByName(unkeyed)
+    # Null-safe left join with salted null keys (same join as the KYC gate).
+    t = null_safe_join(transactions, p, "player_id", "__pid", "left")
     gate = t.agg(
         F.sum(
             F.when(F.coalesce(F.upper(F.col("__kyc")) == "TRUE", F.lit(False)), 0).otherwise(1)

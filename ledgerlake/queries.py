@@ -97,7 +97,7 @@ def q_null_safe_join(spark, sf_dir):
     p = staging.raw_players(spark, sf_dir)
     p = p.withColumn("id", F.when(F.col("id") % 500 != 7, F.col("id")))
     gate = p.select(F.col("id").alias("matched_player"), F.col("country_code"), F.col("ver"))
-    return t.join(gate, F.col("player_id").eqNullSafe(F.col("matched_player")), "inner")
+    return keyed.null_safe_join(t, gate, "player_id", "matched_player", "inner")
 
 
 def q_clean_players(spark, sf_dir):

@@ -102,3 +102,28 @@ def test_row_index_spreads_a_hot_sort_key(spark):
     assert out.select("i").distinct().count() == 20000
     # the hot key (a third of the rows) is not in one partition
     assert max(sizes) < 20000 // 3
+
+
+def test_null_safe_join_spreads_null_keys(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        left = spark.range(0, 30000, 1, 8).select(
+            "id", F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id") % 100).alias("k")
+        )
+        right = spark.range(0, 100).select(F.col("id").alias("rk"), (F.col("id") * 10).alias("v")).union(
+            spark.createDataFrame([(None, -1)], "rk long, v long")
+        )
+        out = keyed.null_safe_join(left, right, "k", "rk", "inner")
+        rows = out.select("id", "k", "v").collect()
+        assert len(rows) == 30000
+        assert all((r.v == -1) if r.k is None else (r.v == r.k * 10) for r in rows)
+        sizes = [r[1] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        assert max(sizes) < 10000  # the 10,000 null-key rows are not in one partition
+        left_out = keyed.null_safe_join(left, right.where(F.col("rk").isNotNull()), "k", "rk", "left")
+        assert left_out.count() == 30000 and left_out.where(F.col("v").isNull()).count() == 10000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "64m")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
