@@ -99,6 +99,8 @@ def local_session(
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("LEDGERLAKE_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Remove checkpoint files once their DataFrame is garbage collected.
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if warehouse:
         builder = builder.config("spark.sql.warehouse.dir", warehouse)

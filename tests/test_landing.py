@@ -63,3 +63,17 @@ def test_bucketed_landing_removes_mart_shuffles(spark):
     assert sorted(map(tuple, ledger.collect())) == ledger_plain
     plan = ledger._jdf.queryExecution().executedPlan().toString()
     assert "Exchange hashpartitioning" not in plan
+
+
+def test_csv_columns_matched_by_header_name(spark, tmp_dir):
+    import os
+
+    path = f"{tmp_dir}/tx"
+    os.makedirs(path)
+    with open(f"{path}/a.csv", "w") as f:
+        f.write("amount,type,player_id,timestamp,id\n12.5,Deposit,3,2024-01-10 17:07:01+00:00,9.0\nNA,Bonus,,bad,x\n")
+    rows = sorted(files.read_raw_table(spark, path, "transactions").collect(), key=lambda r: str(r.id))
+    assert dict(files.read_raw_table(spark, path, "transactions").dtypes)["amount"] == "decimal(18,2)"
+    assert rows[0].id == 9 and rows[0].player_id == 3 and str(rows[0].amount) == "12.50"
+    assert rows[0].timestamp == dt.datetime(2024, 1, 10, 17, 7, 1)
+    assert rows[1].id is None and rows[1].amount is None and rows[1].timestamp is None and rows[1].type == "Bonus"
