@@ -5,9 +5,9 @@ Positions are computed in two phases instead:
 
 1. sort (range-partitioned, so every task holds one contiguous, ordered slice)
    and tag each row with its partition id and its place inside the partition;
-2. count rows per partition — a table with one row per partition, a size
-   bounded by the partition count — turn the counts into starting offsets and
-   broadcast them back.
+2. count rows per partition — one row per partition, a size bounded by the
+   partition count — turn the counts into starting offsets and broadcast
+   them back.
 
 The tagged rows are checkpointed first (to the shared folder in
 ``spark.checkpoint.dir``), so both phases see the same partitioning even if
@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.session import ensure_checkpoint_dir
@@ -27,20 +27,22 @@ from ledgerlake.session import ensure_checkpoint_dir
 _PARTITION_SHIFT = 33
 
 
-def row_index(
+def indexed_rows(
     df: DataFrame,
     order_by: Sequence[str | Column],
     name: str = "row_index",
     presorted: bool = False,
     checkpoint: bool = True,
-) -> DataFrame:
-    """Add ``name``: the 0-based position of each row in ``order_by`` order.
+) -> tuple[DataFrame, int]:
+    """Add ``name``: the 0-based position of each row in ``order_by`` order;
+    also return the number of rows.
 
     ``presorted=True`` skips the sort when the partitions of ``df`` are
     already ordered slices (e.g. a fresh ``spark.range``);
     ``checkpoint=False`` is safe only when ``df`` recomputes to the same
     partitions (again, ``spark.range``).
     """
+    spark = df.sparkSession
     if presorted:
         ordered = df
     else:
@@ -54,22 +56,34 @@ def row_index(
         F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), _PARTITION_SHIFT),
     )
     if checkpoint:
-        ensure_checkpoint_dir(df.sparkSession)
+        ensure_checkpoint_dir(spark)
         tagged = tagged.checkpoint(eager=True)
-    # One row per partition: bounded by the partition count, safe to broadcast.
-    counts = tagged.groupBy("__ri_pid").agg(F.count(F.lit(1)).alias("__ri_n"))
-    offsets = counts.select(
-        "__ri_pid",
-        F.coalesce(
-            F.sum("__ri_n").over(Window.orderBy("__ri_pid").rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0),
-        ).alias("__ri_offset"),
-    )
-    return (
-        tagged.join(F.broadcast(offsets), "__ri_pid")
+    # One row per partition — bounded by the partition count, not the data —
+    # so it is collected, turned into starting offsets and broadcast back.
+    counts = sorted(tuple(r) for r in tagged.groupBy("__ri_pid").agg(F.count(F.lit(1))).collect())
+    offsets, total = [], 0
+    for pid, n in counts:
+        offsets.append((int(pid), total))
+        total += int(n)
+    offsets_df = spark.createDataFrame(offsets, "__ri_pid int, __ri_offset long")
+    indexed = (
+        tagged.join(F.broadcast(offsets_df), "__ri_pid")
         .withColumn(name, F.col("__ri_offset") + F.col("__ri_pos"))
         .drop("__ri_pid", "__ri_pos", "__ri_offset")
     )
+    return indexed, total
+
+
+def row_index(
+    df: DataFrame,
+    order_by: Sequence[str | Column],
+    name: str = "row_index",
+    presorted: bool = False,
+    checkpoint: bool = True,
+) -> DataFrame:
+    """Add ``name``: the 0-based position of each row in ``order_by`` order
+    (see :func:`indexed_rows`)."""
+    return indexed_rows(df, order_by, name, presorted, checkpoint)[0]
 
 
 def running_allocation(

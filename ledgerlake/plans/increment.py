@@ -42,7 +42,7 @@ from ledgerlake.functions.coerce import truth_text
 from ledgerlake.functions.draws import between, choice, draw, letters
 from ledgerlake.operators.aggregates import distinct_with_null_expr, next_identifier_expr
 from ledgerlake.operators.keyed import latest_by_key
-from ledgerlake.operators.sequence import row_index, running_allocation, take_first
+from ledgerlake.operators.sequence import indexed_rows, running_allocation
 from ledgerlake.schemas import AMOUNT
 from ledgerlake.session import parallelism
 
@@ -182,8 +182,9 @@ def extend_affiliates(
         .where(F.col("id") >= start)
     )
     order = [F.col("__player").asc_nulls_last(), F.col("id").asc(), F.col("redeemed_at").asc_nulls_last()]
-    taken = take_first(linked, qty, order, "__pos").drop("__player")
-    n_taken = taken.count()
+    ranked, n_linked = indexed_rows(linked, order, "__pos")
+    taken = ranked.where(F.col("__pos") < qty).drop("__player")  # O5: the first qty linked rows
+    n_taken = min(n_linked, qty)
     rows = taken
     if n_taken < qty:
         if n_taken:
@@ -242,10 +243,9 @@ def extend_transactions(
     approved = players.where(truth_text("is_kyc_approved")).select(
         F.col("id").alias("__player"), F.col("created_at").alias("__created")
     )
-    indexed = row_index(
+    indexed, n_players = indexed_rows(
         approved, [F.col("__player").asc_nulls_last(), F.col("__created").asc_nulls_last()], "__pidx"
     )
-    n_players = indexed.count()
     if n_players == 0:
         return base
     key = F.col("id")
