@@ -170,8 +170,10 @@ def extend_affiliates(
     qty = _target(target, n_ids) - n_ids
     if qty <= 0:
         return base
-    if qty > 26**code_width:
-        raise ValueError(f"{qty} new codes do not fit in {code_width} letters")
+    # Codes stay ``code_width`` letters while the permutation has room for
+    # every new row; beyond 26^width rows a letter is added (exact below 26^11).
+    while 26**code_width < qty:
+        code_width += 1
     linked = (
         players.where(F.col("affiliate_id").isNotNull())
         .select(

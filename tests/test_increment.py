@@ -96,3 +96,11 @@ def test_transactions_rules(spark):
             assert c <= r.timestamp <= c + dt.timedelta(days=30)
         else:
             assert c <= r.timestamp <= dt.datetime(2025, 9, 1)
+
+
+def test_code_width_grows_with_quantity(spark):
+    base = affiliates(spark, [(1, "AAAAAA", None, None)])
+    ps = players(spark, [(10, None, "DE", "TRUE", T0, T0)])
+    out = increment.extend_affiliates(base, ps, 700, code_width=2)  # 699 new codes > 26^2
+    codes = [r.code for r in out.collect() if r.id != 1]
+    assert len(codes) == 699 and len(set(codes)) == 699 and {len(c) for c in codes} == {3}
