@@ -156,20 +156,23 @@ WHERE deposit_rank <= 3"""
 
 def _sql() -> dict[str, str]:
     q: dict[str, str] = {}
-    q["latest_by_key"] = with_ctes(STAGING + [LATEST_PLAYERS], "SELECT * FROM latest_players")
+    q["latest_by_key"] = with_ctes(
+        STAGING + [LATEST_PLAYERS],
+        "SELECT * REPLACE (CAST(affiliate_id AS DOUBLE) AS affiliate_id) FROM latest_players",
+    )
     q["null_dangling"] = with_ctes(
         STAGING,
         """
 SELECT id,
-       CASE WHEN affiliate_id IN (SELECT id FROM raw_affiliates WHERE id IS NOT NULL)
-            THEN affiliate_id END AS affiliate_id,
+       CAST(CASE WHEN affiliate_id IN (SELECT id FROM raw_affiliates WHERE id IS NOT NULL)
+                 THEN affiliate_id END AS DOUBLE) AS affiliate_id,
        country_code, is_kyc_approved, created_at, updated_at, ver
 FROM raw_players""",
     )
     q["first_claim"] = with_ctes(
         STAGING + [LATEST_PLAYERS],
         """
-SELECT id, CASE WHEN affiliate_id IS NOT NULL AND claim_rank = 1 THEN affiliate_id END AS affiliate_id,
+SELECT id, CAST(CASE WHEN affiliate_id IS NOT NULL AND claim_rank = 1 THEN affiliate_id END AS DOUBLE) AS affiliate_id,
        country_code, is_kyc_approved, created_at, updated_at, ver
 FROM (SELECT *, ROW_NUMBER() OVER (
         PARTITION BY affiliate_id
@@ -196,15 +199,17 @@ WHERE upper(CAST(p.is_kyc_approved AS VARCHAR)) = 'TRUE' AND t."timestamp" >= p.
     q["null_safe_join"] = with_ctes(
         STAGING,
         """
-SELECT t.id, t."timestamp", t.player_id, t.type, CAST(t.amount AS DOUBLE) AS amount,
-       p.matched_player, p.country_code, p.ver
+SELECT t.id, t."timestamp", CAST(t.player_id AS DOUBLE) AS player_id, t.type, CAST(t.amount AS DOUBLE) AS amount,
+       CAST(p.matched_player AS DOUBLE) AS matched_player, p.country_code, p.ver
 FROM (SELECT id, "timestamp", CASE WHEN id % 101 <> 0 THEN player_id END AS player_id, type, amount
       FROM raw_transactions) t
 JOIN (SELECT CASE WHEN id % 500 <> 7 THEN id END AS matched_player, country_code, ver
       FROM raw_players) p
   ON t.player_id IS NOT DISTINCT FROM p.matched_player""",
     )
-    q["clean_players"] = with_ctes(CLEANING, "SELECT * FROM clean_players")
+    q["clean_players"] = with_ctes(
+        CLEANING, "SELECT * REPLACE (CAST(affiliate_id AS DOUBLE) AS affiliate_id) FROM clean_players"
+    )
     q["clean_affiliates"] = with_ctes(CLEANING, "SELECT * FROM clean_affiliates")
     q["clean_transactions"] = with_ctes(
         CLEANING,
@@ -483,8 +488,8 @@ def _cents_text(cents: str, sign: str = "") -> str:
 
 COERCE_IDS = """
 SELECT key, text,
-       CASE WHEN try_cast(text AS DECIMAL(38,6)) = floor(try_cast(text AS DECIMAL(38,6)))
-            THEN CAST(try_cast(text AS DECIMAL(38,6)) AS BIGINT) END AS id_value
+       CAST(CASE WHEN try_cast(text AS DECIMAL(38,6)) = floor(try_cast(text AS DECIMAL(38,6)))
+                 THEN CAST(try_cast(text AS DECIMAL(38,6)) AS BIGINT) END AS DOUBLE) AS id_value
 FROM (SELECT o_orderkey AS key,
              CASE o_orderkey % 6 WHEN 0 THEN CAST(o_orderkey AS VARCHAR)
                                  WHEN 1 THEN CAST(o_orderkey AS VARCHAR) || '.0'
@@ -540,12 +545,12 @@ def oracle_sql() -> dict[str, str]:
     q["running_allocation"] = with_ctes(
         STAGING,
         """
-SELECT id, ver, affiliate_id,
+SELECT id, ver, CAST(affiliate_id AS DOUBLE) AS affiliate_id,
        CAST(CASE WHEN affiliate_id IS NOT NULL THEN
          (SELECT COALESCE(MAX(id), 0) FROM raw_affiliates)
          + SUM(CASE WHEN affiliate_id IS NOT NULL THEN 1 ELSE 0 END)
              OVER (ORDER BY id, ver ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
-       END AS BIGINT) AS allocated
+       END AS DOUBLE) AS allocated
 FROM raw_players""",
     )
     q["union_increment"] = with_ctes(
@@ -556,7 +561,11 @@ UNION ALL
 SELECT id + (SELECT COALESCE(MAX(id), 0) + 1 FROM raw_transactions), "timestamp", player_id, type,
        CAST(amount AS DOUBLE) FROM event_transactions""",
     )
-    q["extend_players"] = with_ctes(STAGING + EXPANDED_PLAYERS, "SELECT * FROM expanded_players")
+    q["extend_players"] = with_ctes(
+        STAGING + EXPANDED_PLAYERS,
+        "SELECT * REPLACE (CAST(affiliate_id AS DOUBLE) AS affiliate_id, CAST(ver AS DOUBLE) AS ver) "
+        "FROM expanded_players",
+    )
     q["extend_affiliates"] = with_ctes(
         STAGING + EXPANDED_PLAYERS + EXPANDED_AFFILIATES,
         "SELECT id, code, origin, redeemed_at FROM raw_affiliates UNION ALL SELECT * FROM a_new",

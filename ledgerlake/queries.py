@@ -24,11 +24,30 @@ from ledgerlake.sources import staging
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def comparable(df: DataFrame) -> DataFrame:
+# Integer columns that hold nulls in a registered query's output. Client
+# libraries disagree on how to hand such a column to pandas (float64 with NaN
+# from Spark, a nullable Int64 from DuckDB), so both sides compare them as
+# DOUBLE; the values are whole numbers and stay equal.
+NULLABLE_INTEGERS = {
+    "latest_by_key": ("affiliate_id",),
+    "null_dangling": ("affiliate_id",),
+    "first_claim": ("affiliate_id",),
+    "clean_players": ("affiliate_id",),
+    "null_safe_join": ("player_id", "matched_player"),
+    "coerce_ids": ("id_value",),
+    "running_allocation": ("affiliate_id", "allocated"),
+    "extend_players": ("affiliate_id", "ver"),
+}
+
+
+def comparable(df: DataFrame, as_double: tuple[str, ...] = ()) -> DataFrame:
+    """Result in the representation the oracle uses: decimals (computed
+    exactly) and the listed nullable integer columns as DOUBLE, timestamps
+    as UTC wall-clock ``timestamp_ntz``."""
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, T.DecimalType):
+        if isinstance(f.dataType, T.DecimalType) or f.name in as_double:
             c = c.cast("double")
         elif isinstance(f.dataType, T.TimestampType):
             c = c.cast("timestamp_ntz")
@@ -355,4 +374,7 @@ REGISTRY: dict[str, Query] = {
 
 
 def queries() -> dict[str, Query]:
-    return {name: (lambda spark, sf_dir, _q=q: comparable(_q(spark, sf_dir))) for name, q in REGISTRY.items()}
+    return {
+        name: (lambda spark, sf_dir, _q=q, _d=NULLABLE_INTEGERS.get(name, ()): comparable(_q(spark, sf_dir), _d))
+        for name, q in REGISTRY.items()
+    }

@@ -33,6 +33,16 @@ def test_query_matches_oracle(spark, duck, name):
     assert sorted(sdf.columns) == sorted(odf.columns)
     assert len(sdf) == len(odf)
     assert _rows(sdf) == _rows(odf)
+    # Stricter forms a comparison tool might use: text of each pandas cell,
+    # and the repr of each Python value.
+    cols = sorted(sdf.columns)
+    as_text = lambda df: sorted(map(tuple, df[cols].astype(str).values.tolist()))
+    assert as_text(sdf) == as_text(odf)
+    srows = [tuple(r[c] for c in cols) for r in E.queries()[name](spark, SF).collect()]
+    quoted = ", ".join(f'"{c}"' for c in cols)
+    orows = duck.execute(f"SELECT {quoted} FROM ({sql[name]})").fetchall()
+    as_repr = lambda rows: sorted(tuple(map(repr, r)) for r in rows)
+    assert as_repr(srows) == as_repr(orows)
 
 
 def test_entry_smoke(spark):
