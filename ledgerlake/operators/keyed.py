@@ -182,40 +182,82 @@ def fill_from_linked(
     )
 
 
-# Number of salts spreading null join keys (see null_safe_join).
-NULL_SALTS = 64
+# Number of salts a hot (or null) join key is spread over.
+SALTS = 64
+NULL_SALTS = SALTS
 
 
-def null_safe_join(
+def hot_keys(
+    df: DataFrame,
+    key: str,
+    share: float = 0.01,
+    sample: float = 0.01,
+    seed: int = 7,
+    min_count: int = 10,
+) -> list:
+    """Non-null values of ``key`` that hold at least ``share`` of the rows of
+    a ``sample`` of ``df`` (and at least ``min_count`` sampled rows, so small
+    inputs do not flag keys by chance). At most ``1/share`` values can pass,
+    so the list is bounded whatever the data size; the sample reads only
+    ``key``."""
+    sampled = df.select(F.col(key).alias("__hk")).where(F.col("__hk").isNotNull()).sample(fraction=sample, seed=seed)
+    counts = sampled.groupBy("__hk").agg(F.count(F.lit(1)).alias("__n"))
+    total = sampled.count()
+    if total == 0:
+        return []
+    return [r[0] for r in counts.where(F.col("__n") >= max(share * total, min_count)).collect()]
+
+
+def salted_join(
     left: DataFrame,
     right: DataFrame,
     left_key: str,
     right_key: str,
     how: str = "inner",
-    salts: int = NULL_SALTS,
+    null_safe: bool = True,
+    hot: list | tuple = (),
+    salts: int = SALTS,
 ) -> DataFrame:
-    """Equi-join where a null key matches a null key (``<=>``), without
-    sending every null-key row to one shuffle partition.
-
-    A plain ``<=>`` join hashes all null keys to the same partition. Here the
-    join key is (key is null, key), and for null keys the second part is a
-    salt: left rows take one of ``salts`` values from a hash of the row,
-    right rows with a null key are replicated once per salt. Non-null keys
-    are unchanged, so their partitioning and skew handling are Spark's.
-    Replication is ``salts`` × (right rows with a null key); use it where the
-    right side has few of them — after de-dup a key column holds at most one.
+    """Equi-join on ``left_key = right_key`` (``<=>`` when ``null_safe``) in
+    which the null group and the ``hot`` keys are spread over ``salts`` shuffle
+    partitions instead of one.
+
+    Each left row of such a key takes one salt from a hash of the row; each
+    right row of such a key is replicated once per salt, so every left row
+    still meets every matching right row exactly once. Other keys use salt 0
+    and join as usual. Replication is ``salts`` × (right rows of spread keys),
+    so the right side should be the one with few rows per key (e.g. players,
+    one per id after de-dup).
     """
-    key_type = dict(left.dtypes)[left_key]
-    lnull = F.col(left_key).isNull()
-    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(salts)).cast(key_type)
-    l2 = left.withColumn("__ln", lnull).withColumn("__lk", F.when(lnull, salt).otherwise(F.col(left_key)))
-    rnull = F.col(right_key).isNull()
-    all_salts = F.sequence(F.lit(0), F.lit(salts - 1)).cast(f"array<{key_type}>")
-    r2 = right.withColumn("__rn", rnull).withColumn(
-        "__rk", F.explode(F.when(rnull, all_salts).otherwise(F.array(F.col(right_key).cast(key_type))))
+    lk, rk = F.col(left_key), F.col(right_key)
+    hot = list(hot)
+    spread_l = lk.isin(hot) if hot else F.lit(False)
+    spread_r = rk.isin(hot) if hot else F.lit(False)
+    if null_safe:
+        spread_l, spread_r = spread_l | lk.isNull(), spread_r | rk.isNull()
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
+    l2 = left.withColumn("__ls", F.when(spread_l, F.pmod(row_hash, F.lit(salts))).otherwise(F.lit(0)).cast("int"))
+    r2 = right.withColumn(
+        "__rs",
+        F.explode(F.when(spread_r, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))),
     )
-    cond = (F.col("__ln") == F.col("__rn")) & (F.col("__lk") == F.col("__rk"))
-    return l2.join(r2, cond, how).drop("__ln", "__lk", "__rn", "__rk")
+    keys = lk.eqNullSafe(rk) if null_safe else lk == rk
+    return l2.join(r2, keys & (F.col("__ls") == F.col("__rs")), how).drop("__ls", "__rs")
+
+
+def null_safe_join(
+    left: DataFrame,
+    right: DataFrame,
+    left_key: str,
+    right_key: str,
+    how: str = "inner",
+    salts: int = NULL_SALTS,
+    hot: list | tuple = (),
+) -> DataFrame:
+    """J1's join: a null key matches a null key (``<=>``), and the null group
+    (plus any ``hot`` keys) is salted (:func:`salted_join`) so it never piles
+    up in one shuffle partition."""
+    return salted_join(left, right, left_key, right_key, how, True, hot, salts)
 
 
 def kyc_time_gate(
@@ -225,14 +267,16 @@ def kyc_time_gate(
     approved: str = "is_kyc_approved",
     created: str = "created_at",
     ts: str = "timestamp",
+    hot: list | tuple = (),
 ) -> DataFrame:
     """J1 + F4 + F5 — transactions of approved players, not before the
     player's creation time.
 
     The join is null-safe (ledger L16: a null player id matches the null-id
-    player, of which de-dup leaves at most one) and salts the null keys
-    (:func:`null_safe_join`), so they never pile up in one partition; a hot
-    non-null player is split by AQE's skew join or avoided by a broadcast.
+    player, of which de-dup leaves at most one) and salts the null keys and
+    the ``hot`` player ids (:func:`salted_join`; see :func:`hot_keys`), so
+    neither piles up in one partition. Without a hot list, a hot player is
+    left to AQE's skew split or avoided by a broadcast of the players.
     The approval test is the text rule of L10 and is applied to the player
     side before the join, so the build side is as small as possible. Only
     ``created_at`` is compared (L19).
@@ -241,7 +285,7 @@ def kyc_time_gate(
         F.col("id").alias("__pid"), F.col(created).alias("__created")
     )
     return (
-        null_safe_join(transactions, gate, player_key, "__pid", "inner")
+        null_safe_join(transactions, gate, player_key, "__pid", "inner", hot=hot)
         .where(F.col(ts) >= F.col("__created"))
         .select(*transactions.columns)
     )

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from ledgerlake.functions.coerce import TIMESTAMP_PATTERN, coerce_frame
 from ledgerlake.operators.keyed import (
     fill_from_linked,
+    hot_keys,
     kyc_time_gate,
     latest_by_key,
     link_claims,
@@ -69,12 +70,19 @@ def clean_transactions(
     transactions: DataFrame,
     cleaned_players: DataFrame,
     pattern: str = TIMESTAMP_PATTERN,
+    hot_key_share: float | None = 0.01,
 ) -> DataFrame:
     """C3 — latest version per transaction, only approved players, none
-    before the player's creation time."""
+    before the player's creation time.
+
+    Player ids holding at least ``hot_key_share`` of a 1% sample of the raw
+    transactions are salted in the gate join
+    (:func:`ledgerlake.operators.keyed.hot_keys`); the sample reads only the
+    player id column. ``None`` leaves hot players to AQE's skew split."""
     t = _typed(transactions, TRANSACTIONS, pattern)
+    hot = hot_keys(t, "player_id", hot_key_share) if hot_key_share else ()
     latest = latest_by_key(t, "id", "timestamp")
-    return kyc_time_gate(latest, cleaned_players).select(*TRANSACTION_COLUMNS)
+    return kyc_time_gate(latest, cleaned_players, hot=hot).select(*TRANSACTION_COLUMNS)
 
 
 def clean_all(raw: dict[str, DataFrame], pattern: str = TIMESTAMP_PATTERN) -> dict[str, DataFrame]:

@@ -49,6 +49,7 @@ def daily_run(
     extend: bool = True,
     expanded_format: str = "csv",
     buckets: int = 0,
+    hot_key_share: float | None = 0.01,
     fail_on_test_failure: bool = True,
 ) -> RunResult:
     """Run the whole batch. ``raw_dir`` holds ``players``, ``affiliates`` and
@@ -64,7 +65,11 @@ def daily_run(
     the three marts then read transactions without a shuffle. It is off by
     default because a bucketed scan reads each bucket in one task: if one
     player holds a large share of all transactions, that task gets all of it,
-    whereas the unbucketed plan combines the player's rows map-side first."""
+    whereas the unbucketed plan combines the player's rows map-side first.
+
+    ``hot_key_share``: player ids with at least this share of a 1% sample of
+    the transactions are salted in the KYC gate join (None: leave hot keys
+    to AQE's skew split)."""
     configure(spark)
     out = RunResult()
 
@@ -109,7 +114,8 @@ def daily_run(
         clean.clean_affiliates(raw["affiliates"], players, pattern), f"{work_dir}/transformed/affiliates"
     )
     out.transformed["transactions"] = files.write_parquet(
-        clean.clean_transactions(raw["transactions"], players, pattern), f"{work_dir}/transformed/transactions"
+        clean.clean_transactions(raw["transactions"], players, pattern, hot_key_share),
+        f"{work_dir}/transformed/transactions",
     )
 
     # 3. Land (C4): fixed schema, full refresh.

@@ -127,3 +127,19 @@ def test_null_safe_join_spreads_null_keys(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
         spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "64m")
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_hot_player_is_salted_in_the_gate(spark, skewed):
+    txns, players = skewed
+    hot = keyed.hot_keys(txns, "player_id", share=0.05, sample=0.2)
+    assert hot == [HOT_PLAYER]
+    salted = keyed.kyc_time_gate(txns, players, hot=hot)
+    plain = keyed.kyc_time_gate(txns, players)
+    assert sorted(map(tuple, salted.collect())) == sorted(map(tuple, plain.collect()))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [r[1] for r in salted.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    hot_rows = salted.where(F.col("player_id") == HOT_PLAYER).count()
+    assert hot_rows > 0 and max(sizes) < hot_rows  # the hot player's rows are not in one partition
