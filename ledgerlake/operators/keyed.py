@@ -33,6 +33,84 @@ def _asc_nulls_last_key(cols: Sequence[str]) -> list[Column]:
     return fields
 
 
+# Number of salts a hot (or null) join key is spread over.
+SALTS = 64
+NULL_SALTS = SALTS
+
+
+def hot_keys(
+    df: DataFrame,
+    key: str,
+    share: float = 0.01,
+    sample: float = 0.01,
+    seed: int = 7,
+    min_count: int = 10,
+) -> list:
+    """Non-null values of ``key`` that hold at least ``share`` of the rows of
+    a ``sample`` of ``df`` (and at least ``min_count`` sampled rows, so small
+    inputs do not flag keys by chance). At most ``1/share`` values can pass,
+    so the list is bounded whatever the data size; the sample reads only
+    ``key``."""
+    sampled = df.select(F.col(key).alias("__hk")).where(F.col("__hk").isNotNull()).sample(fraction=sample, seed=seed)
+    counts = sampled.groupBy("__hk").agg(F.count(F.lit(1)).alias("__n"))
+    total = sampled.count()
+    if total == 0:
+        return []
+    return [r[0] for r in counts.where(F.col("__n") >= max(share * total, min_count)).collect()]
+
+
+def salted_join(
+    left: DataFrame,
+    right: DataFrame,
+    left_key: str,
+    right_key: str,
+    how: str = "inner",
+    null_safe: bool = True,
+    hot: list | tuple = (),
+    salts: int = SALTS,
+) -> DataFrame:
+    """Equi-join on ``left_key = right_key`` (``<=>`` when ``null_safe``) in
+    which the null group and the ``hot`` keys are spread over ``salts`` shuffle
+    partitions instead of one.
+
+    Each left row of such a key takes one salt from a hash of the row; each
+    right row of such a key is replicated once per salt, so every left row
+    still meets every matching right row exactly once. Other keys use salt 0
+    and join as usual. Replication is ``salts`` × (right rows of spread keys),
+    so the right side should be the one with few rows per key (e.g. players,
+    one per id after de-dup).
+    """
+    lk, rk = F.col(left_key), F.col(right_key)
+    hot = list(hot)
+    spread_l = lk.isin(hot) if hot else F.lit(False)
+    spread_r = rk.isin(hot) if hot else F.lit(False)
+    if null_safe:
+        spread_l, spread_r = spread_l | lk.isNull(), spread_r | rk.isNull()
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
+    l2 = left.withColumn("__ls", F.when(spread_l, F.pmod(row_hash, F.lit(salts))).otherwise(F.lit(0)).cast("int"))
+    r2 = right.withColumn(
+        "__rs",
+        F.explode(F.when(spread_r, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))),
+    )
+    keys = lk.eqNullSafe(rk) if null_safe else lk == rk
+    return l2.join(r2, keys & (F.col("__ls") == F.col("__rs")), how).drop("__ls", "__rs")
+
+
+def null_safe_join(
+    left: DataFrame,
+    right: DataFrame,
+    left_key: str,
+    right_key: str,
+    how: str = "inner",
+    salts: int = NULL_SALTS,
+    hot: list | tuple = (),
+) -> DataFrame:
+    """J1's join: a null key matches a null key (``<=>``), and the null group
+    (plus any ``hot`` keys) is salted (:func:`salted_join`) so it never piles
+    up in one shuffle partition."""
+    return salted_join(left, right, left_key, right_key, how, True, hot, salts)
+
+
 def latest_by_key(
     df: DataFrame,
     key: str,
@@ -109,12 +187,15 @@ def _claim_winners(claimed: DataFrame, link: str, order: Sequence[str]) -> DataF
     )
 
 
-def _keep_winner(df: DataFrame, link: str, winners: DataFrame, order: Sequence[str]) -> DataFrame:
+def _keep_winner(
+    df: DataFrame, link: str, winners: DataFrame, order: Sequence[str], hot: Sequence = ()
+) -> DataFrame:
     mine = F.struct(*_asc_nulls_last_key(order))
     linked = df.where(F.col(link).isNotNull())
     unlinked = df.where(F.col(link).isNull())
+    # Winners hold one row per link, so salting a hot link replicates one row.
     kept = (
-        linked.join(winners, F.col(link) == F.col("__wkey"), "left")
+        salted_join(linked, winners, link, "__wkey", "left", null_safe=False, hot=hot)
         .withColumn(link, F.when(mine.eqNullSafe(F.col("__winner")), F.col(link)))
         .select(*df.columns)
     )
@@ -125,17 +206,20 @@ def first_claim(
     df: DataFrame,
     link: str = "affiliate_id",
     order_by: Sequence[str] = ("created_at", "id"),
+    hot_key_share: float | None = 0.01,
 ) -> DataFrame:
     """A11 + P7 — when several rows carry the same non-null ``link``, only the
     first in ``order_by`` order (ascending, nulls last; ledger L5) keeps it;
     the others get null. Rows are never dropped.
 
     The winner per link is a grouped ``min`` (partial aggregation, skew-safe),
-    joined back on the link.
+    joined back on the link; links holding at least ``hot_key_share`` of a
+    sample of the rows are salted in that join (:func:`hot_keys`).
     """
     order = _claim_order(df, link, order_by)
+    hot = hot_keys(df, link, hot_key_share) if hot_key_share else ()
     winners = _claim_winners(df.where(F.col(link).isNotNull()), link, order)
-    return _keep_winner(df, link, winners, order)
+    return _keep_winner(df, link, winners, order, hot)
 
 
 def link_claims(
@@ -144,6 +228,7 @@ def link_claims(
     targets: DataFrame,
     target_key: str = "id",
     order_by: Sequence[str] = ("created_at", "id"),
+    hot_key_share: float | None = 0.01,
 ) -> DataFrame:
     """J6 then A11 in one pass: a link survives only if its target exists and
     this row is its first claimant among rows with an existing target.
@@ -156,8 +241,9 @@ def link_claims(
     keys = valid_keys(targets, target_key, "__key")
     valid = df.where(F.col(link).isNotNull()).join(keys, F.col(link) == F.col("__key"), "left_semi")
     order = _claim_order(df, link, order_by)
+    hot = hot_keys(df, link, hot_key_share) if hot_key_share else ()
     winners = _claim_winners(valid, link, order)
-    return _keep_winner(df, link, winners, order)
+    return _keep_winner(df, link, winners, order, hot)
 
 
 def fill_from_linked(
@@ -182,84 +268,6 @@ def fill_from_linked(
     )
 
 
-# Number of salts a hot (or null) join key is spread over.
-SALTS = 64
-NULL_SALTS = SALTS
-
-
-def hot_keys(
-    df: DataFrame,
-    key: str,
-    share: float = 0.01,
-    sample: float = 0.01,
-    seed: int = 7,
-    min_count: int = 10,
-) -> list:
-    """Non-null values of ``key`` that hold at least ``share`` of the rows of
-    a ``sample`` of ``df`` (and at least ``min_count`` sampled rows, so small
-    inputs do not flag keys by chance). At most ``1/share`` values can pass,
-    so the list is bounded whatever the data size; the sample reads only
-    ``key``."""
-    sampled = df.select(F.col(key).alias("__hk")).where(F.col("__hk").isNotNull()).sample(fraction=sample, seed=seed)
-    counts = sampled.groupBy("__hk").agg(F.count(F.lit(1)).alias("__n"))
-    total = sampled.count()
-    if total == 0:
-        return []
-    return [r[0] for r in counts.where(F.col("__n") >= max(share * total, min_count)).collect()]
-
-
-def salted_join(
-    left: DataFrame,
-    right: DataFrame,
-    left_key: str,
-    right_key: str,
-    how: str = "inner",
-    null_safe: bool = True,
-    hot: list | tuple = (),
-    salts: int = SALTS,
-) -> DataFrame:
-    """Equi-join on ``left_key = right_key`` (``<=>`` when ``null_safe``) in
-    which the null group and the ``hot`` keys are spread over ``salts`` shuffle
-    partitions instead of one.
-
-    Each left row of such a key takes one salt from a hash of the row; each
-    right row of such a key is replicated once per salt, so every left row
-    still meets every matching right row exactly once. Other keys use salt 0
-    and join as usual. Replication is ``salts`` × (right rows of spread keys),
-    so the right side should be the one with few rows per key (e.g. players,
-    one per id after de-dup).
-    """
-    lk, rk = F.col(left_key), F.col(right_key)
-    hot = list(hot)
-    spread_l = lk.isin(hot) if hot else F.lit(False)
-    spread_r = rk.isin(hot) if hot else F.lit(False)
-    if null_safe:
-        spread_l, spread_r = spread_l | lk.isNull(), spread_r | rk.isNull()
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
-    l2 = left.withColumn("__ls", F.when(spread_l, F.pmod(row_hash, F.lit(salts))).otherwise(F.lit(0)).cast("int"))
-    r2 = right.withColumn(
-        "__rs",
-        F.explode(F.when(spread_r, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))),
-    )
-    keys = lk.eqNullSafe(rk) if null_safe else lk == rk
-    return l2.join(r2, keys & (F.col("__ls") == F.col("__rs")), how).drop("__ls", "__rs")
-
-
-def null_safe_join(
-    left: DataFrame,
-    right: DataFrame,
-    left_key: str,
-    right_key: str,
-    how: str = "inner",
-    salts: int = NULL_SALTS,
-    hot: list | tuple = (),
-) -> DataFrame:
-    """J1's join: a null key matches a null key (``<=>``), and the null group
-    (plus any ``hot`` keys) is salted (:func:`salted_join`) so it never piles
-    up in one shuffle partition."""
-    return salted_join(left, right, left_key, right_key, how, True, hot, salts)
-
-
 def kyc_time_gate(
     transactions: DataFrame,
     players: DataFrame,

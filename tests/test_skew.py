@@ -143,3 +143,17 @@ def test_hot_player_is_salted_in_the_gate(spark, skewed):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     hot_rows = salted.where(F.col("player_id") == HOT_PLAYER).count()
     assert hot_rows > 0 and max(sizes) < hot_rows  # the hot player's rows are not in one partition
+
+
+def test_hot_link_first_claim_salted_equals_plain(spark):
+    i = F.col("id")
+    players = spark.range(0, 9000, 1, 8).select(
+        i,
+        F.when(i % 3 == 0, F.lit(1)).when(i % 3 == 1, i % 500).alias("affiliate_id"),
+        F.timestamp_seconds(F.lit(1_600_000_000) + (i * 7919) % 100_000).alias("created_at"),
+    )
+    assert keyed.hot_keys(players, "affiliate_id", share=0.05, sample=0.3) == [1]
+    salted = keyed.first_claim(players, hot_key_share=0.05)
+    plain = keyed.first_claim(players, hot_key_share=None)
+    assert sorted(map(tuple, salted.collect())) == sorted(map(tuple, plain.collect()))
+    assert salted.where(F.col("affiliate_id") == 1).count() == 1
