@@ -153,16 +153,20 @@ def null_dangling(
     link: str,
     targets: DataFrame,
     target_key: str = "id",
+    hot_key_share: float | None = 0.01,
 ) -> DataFrame:
     """J6 + P7 — set ``link`` to null where no row of ``targets`` has that key.
 
-    Rows are kept; only the column is nulled. Null links bypass the join.
+    Rows are kept; only the column is nulled. Null links bypass the join;
+    hot links are salted in it (target keys are distinct, so a salted key
+    replicates one row).
     """
     keys = valid_keys(targets, target_key, "__key").withColumn("__hit", F.lit(True))
+    hot = hot_keys(df, link, hot_key_share) if hot_key_share else ()
     linked = df.where(F.col(link).isNotNull())
     unlinked = df.where(F.col(link).isNull())
     checked = (
-        linked.join(keys, F.col(link) == F.col("__key"), "left")
+        salted_join(linked, keys, link, "__key", "left", False, hot)
         .withColumn(link, F.when(F.col("__hit"), F.col(link)))
         .select(*df.columns)
     )
@@ -239,9 +243,9 @@ def link_claims(
     join-back that removes later claimants.
     """
     keys = valid_keys(targets, target_key, "__key")
-    valid = df.where(F.col(link).isNotNull()).join(keys, F.col(link) == F.col("__key"), "left_semi")
-    order = _claim_order(df, link, order_by)
     hot = hot_keys(df, link, hot_key_share) if hot_key_share else ()
+    valid = salted_join(df.where(F.col(link).isNotNull()), keys, link, "__key", "left_semi", False, hot)
+    order = _claim_order(df, link, order_by)
     winners = _claim_winners(valid, link, order)
     return _keep_winner(df, link, winners, order, hot)
 

@@ -22,7 +22,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.operators.keyed import null_safe_join
+from ledgerlake.operators.keyed import hot_keys, null_safe_join
 
 @dataclass(frozen=True)
 class TableTests:
@@ -140,8 +140,8 @@ def invariant_report(
         F.col("is_kyc_approved").cast("string").alias("__kyc"),
         F.col("created_at").alias("__created"),
     )
-    # Null-safe left join with salted null keys (same join as the KYC gate).
-    t = null_safe_join(transactions, p, "player_id", "__pid", "left")
+    # Null-safe left join with salted null keys and hot players (as the KYC gate).
+    t = null_safe_join(transactions, p, "player_id", "__pid", "left", hot=hot_keys(transactions, "player_id"))
     gate = t.agg(
         F.sum(
             F.when(F.coalesce(F.upper(F.col("__kyc")) == "TRUE", F.lit(False)), 0).otherwise(1)
