@@ -262,7 +262,9 @@ def fill_from_linked(
 
     ``linked`` rows with a null link or value are ignored; the linked value
     wins and the row's own ``target`` is only the fallback (ledger L24).
-    Left join: every row of ``df`` is kept.
+    Left join: every row of ``df`` is kept. In C2 both sides hold at most one
+    row per key (affiliates after de-dup, players after first claim), so the
+    join has no hot key; with many partners per key, AQE splits the skew.
     """
     partners = linked.select(F.col(link).alias("__link"), F.col(value).alias("__value")).dropna()
     return (

@@ -58,7 +58,8 @@ def selected_players(
 
     Inner join on the affiliate id: Catalyst adds ``IS NOT NULL`` on both keys
     and pushes it, with ``origin = channel``, into the scans, so players
-    without a link never reach the shuffle.
+    without a link never reach the shuffle. Landed players carry each
+    affiliate id at most once (first claim), so no link is hot.
     """
     p = players.where(boolean("is_kyc_approved")).select(
         F.col("id").alias("player_id"), "country_code", "affiliate_id"
