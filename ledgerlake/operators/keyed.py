@@ -38,25 +38,44 @@ SALTS = 64
 NULL_SALTS = SALTS
 
 
-def hot_keys(
+def hot_key_table(
     df: DataFrame,
     key: str,
     share: float = 0.01,
     sample: float = 0.01,
     seed: int = 7,
     min_count: int = 10,
-) -> list:
-    """Non-null values of ``key`` that hold at least ``share`` of the rows of
-    a ``sample`` of ``df`` (and at least ``min_count`` sampled rows, so small
-    inputs do not flag keys by chance). At most ``1/share`` values can pass,
-    so the list is bounded whatever the data size; the sample reads only
-    ``key``."""
+) -> DataFrame:
+    """Lazy one-column frame ``__hk`` of the non-null ``key`` values holding
+    at least ``share`` of a ``sample`` of ``df`` (and at least ``min_count``
+    sampled rows, so small inputs flag nothing by chance).
+
+    Every row holds at least ``share`` of the sample, so the frame has at
+    most ``1/share`` rows whatever the data size: it is safe to broadcast.
+    Nothing runs on the driver; the sample (one column) is evaluated as part
+    of the query that uses the table.
+    """
     sampled = df.select(F.col(key).alias("__hk")).where(F.col("__hk").isNotNull()).sample(fraction=sample, seed=seed)
+    total = sampled.select(F.count(F.lit(1))).scalar()
     counts = sampled.groupBy("__hk").agg(F.count(F.lit(1)).alias("__n"))
-    total = sampled.count()
-    if total == 0:
-        return []
-    return [r[0] for r in counts.where(F.col("__n") >= max(share * total, min_count)).collect()]
+    return counts.where(F.col("__n") >= F.greatest(F.lit(min_count), total * share)).select("__hk")
+
+
+def hot_keys(df: DataFrame, key: str, share: float = 0.01, **kwargs) -> list:
+    """The rows of :func:`hot_key_table` collected (at most ``1/share``)."""
+    return [r[0] for r in hot_key_table(df, key, share, **kwargs).collect()]
+
+
+def _hot_flag(df: DataFrame, key: str, hot, tag: str) -> tuple[DataFrame, Column]:
+    """``df`` plus a boolean column: is the row's key in ``hot`` (a list, or a
+    bounded hot-key table joined by broadcast)."""
+    if hot is None or (isinstance(hot, (list, tuple)) and not hot):
+        return df, F.lit(False)
+    if isinstance(hot, (list, tuple)):
+        return df, F.col(key).isin(list(hot))
+    flags = F.broadcast(hot.select(F.col("__hk").alias(f"__hk{tag}"), F.lit(True).alias(f"__hot{tag}")))
+    flagged = df.join(flags, F.col(key) == F.col(f"__hk{tag}"), "left").drop(f"__hk{tag}")
+    return flagged, F.coalesce(F.col(f"__hot{tag}"), F.lit(False))
 
 
 def salted_join(
@@ -66,34 +85,36 @@ def salted_join(
     right_key: str,
     how: str = "inner",
     null_safe: bool = True,
-    hot: list | tuple = (),
+    hot=(),
     salts: int = SALTS,
 ) -> DataFrame:
     """Equi-join on ``left_key = right_key`` (``<=>`` when ``null_safe``) in
     which the null group and the ``hot`` keys are spread over ``salts`` shuffle
     partitions instead of one.
 
-    Each left row of such a key takes one salt from a hash of the row; each
-    right row of such a key is replicated once per salt, so every left row
-    still meets every matching right row exactly once. Other keys use salt 0
-    and join as usual. Replication is ``salts`` × (right rows of spread keys),
-    so the right side should be the one with few rows per key (e.g. players,
-    one per id after de-dup).
+    ``hot`` is a list of key values or a bounded hot-key table
+    (:func:`hot_key_table`). Each left row of such a key takes one salt from
+    a hash of the row; each right row of such a key is replicated once per
+    salt, so every left row still meets every matching right row exactly
+    once. Other keys use salt 0 and join as usual. Replication is ``salts`` ×
+    (right rows of spread keys), so the right side should be the one with
+    few rows per key (e.g. players, one per id after de-dup).
     """
+    columns = left.columns
+    left, spread_l = _hot_flag(left, left_key, hot, "l")
+    right, spread_r = _hot_flag(right, right_key, hot, "r")
     lk, rk = F.col(left_key), F.col(right_key)
-    hot = list(hot)
-    spread_l = lk.isin(hot) if hot else F.lit(False)
-    spread_r = rk.isin(hot) if hot else F.lit(False)
     if null_safe:
         spread_l, spread_r = spread_l | lk.isNull(), spread_r | rk.isNull()
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in columns])
     l2 = left.withColumn("__ls", F.when(spread_l, F.pmod(row_hash, F.lit(salts))).otherwise(F.lit(0)).cast("int"))
     r2 = right.withColumn(
         "__rs",
         F.explode(F.when(spread_r, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))),
     )
     keys = lk.eqNullSafe(rk) if null_safe else lk == rk
-    return l2.join(r2, keys & (F.col("__ls") == F.col("__rs")), how).drop("__ls", "__rs")
+    joined = l2.join(r2, keys & (F.col("__ls") == F.col("__rs")), how)
+    return joined.drop("__ls", "__rs", "__hotl", "__hotr")
 
 
 def null_safe_join(
@@ -103,7 +124,7 @@ def null_safe_join(
     right_key: str,
     how: str = "inner",
     salts: int = NULL_SALTS,
-    hot: list | tuple = (),
+    hot=(),
 ) -> DataFrame:
     """J1's join: a null key matches a null key (``<=>``), and the null group
     (plus any ``hot`` keys) is salted (:func:`salted_join`) so it never piles
@@ -153,7 +174,7 @@ def null_dangling(
     link: str,
     targets: DataFrame,
     target_key: str = "id",
-    hot_key_share: float | None = 0.01,
+    hot_key_share: float | None = None,
 ) -> DataFrame:
     """J6 + P7 — set ``link`` to null where no row of ``targets`` has that key.
 
@@ -162,7 +183,7 @@ def null_dangling(
     replicates one row).
     """
     keys = valid_keys(targets, target_key, "__key").withColumn("__hit", F.lit(True))
-    hot = hot_keys(df, link, hot_key_share) if hot_key_share else ()
+    hot = hot_key_table(df, link, hot_key_share) if hot_key_share else ()
     linked = df.where(F.col(link).isNotNull())
     unlinked = df.where(F.col(link).isNull())
     checked = (
@@ -191,9 +212,7 @@ def _claim_winners(claimed: DataFrame, link: str, order: Sequence[str]) -> DataF
     )
 
 
-def _keep_winner(
-    df: DataFrame, link: str, winners: DataFrame, order: Sequence[str], hot: Sequence = ()
-) -> DataFrame:
+def _keep_winner(df: DataFrame, link: str, winners: DataFrame, order: Sequence[str], hot=()) -> DataFrame:
     mine = F.struct(*_asc_nulls_last_key(order))
     linked = df.where(F.col(link).isNotNull())
     unlinked = df.where(F.col(link).isNull())
@@ -210,18 +229,19 @@ def first_claim(
     df: DataFrame,
     link: str = "affiliate_id",
     order_by: Sequence[str] = ("created_at", "id"),
-    hot_key_share: float | None = 0.01,
+    hot_key_share: float | None = None,
 ) -> DataFrame:
     """A11 + P7 — when several rows carry the same non-null ``link``, only the
     first in ``order_by`` order (ascending, nulls last; ledger L5) keeps it;
     the others get null. Rows are never dropped.
 
     The winner per link is a grouped ``min`` (partial aggregation, skew-safe),
-    joined back on the link; links holding at least ``hot_key_share`` of a
-    sample of the rows are salted in that join (:func:`hot_keys`).
+    joined back on the link. The other side of that join holds one row per
+    link, so AQE's skew split of a hot link re-reads little; with
+    ``hot_key_share`` the hot links are salted instead (:func:`hot_key_table`).
     """
     order = _claim_order(df, link, order_by)
-    hot = hot_keys(df, link, hot_key_share) if hot_key_share else ()
+    hot = hot_key_table(df, link, hot_key_share) if hot_key_share else ()
     winners = _claim_winners(df.where(F.col(link).isNotNull()), link, order)
     return _keep_winner(df, link, winners, order, hot)
 
@@ -232,7 +252,8 @@ def link_claims(
     targets: DataFrame,
     target_key: str = "id",
     order_by: Sequence[str] = ("created_at", "id"),
-    hot_key_share: float | None = 0.01,
+    hot_key_share: float | None = None,
+    hot=None,
 ) -> DataFrame:
     """J6 then A11 in one pass: a link survives only if its target exists and
     this row is its first claimant among rows with an existing target.
@@ -240,10 +261,13 @@ def link_claims(
     Same result as ``first_claim(null_dangling(df))`` with one join fewer:
     winners are computed over the rows that pass a semi-join with the target
     keys, so a dangling link finds no winner and is nulled by the same
-    join-back that removes later claimants.
+    join-back that removes later claimants. ``hot`` lists links to salt;
+    by default they are sampled from ``df`` (pass a list sampled from the raw
+    input when ``df`` is itself an aggregate, so the sample stays a scan).
     """
     keys = valid_keys(targets, target_key, "__key")
-    hot = hot_keys(df, link, hot_key_share) if hot_key_share else ()
+    if hot is None:
+        hot = hot_key_table(df, link, hot_key_share) if hot_key_share else ()
     valid = salted_join(df.where(F.col(link).isNotNull()), keys, link, "__key", "left_semi", False, hot)
     order = _claim_order(df, link, order_by)
     winners = _claim_winners(valid, link, order)
@@ -281,14 +305,14 @@ def kyc_time_gate(
     approved: str = "is_kyc_approved",
     created: str = "created_at",
     ts: str = "timestamp",
-    hot: list | tuple = (),
+    hot=(),
 ) -> DataFrame:
     """J1 + F4 + F5 — transactions of approved players, not before the
     player's creation time.
 
     The join is null-safe (ledger L16: a null player id matches the null-id
     player, of which de-dup leaves at most one) and salts the null keys and
-    the ``hot`` player ids (:func:`salted_join`; see :func:`hot_keys`), so
+    the ``hot`` player ids (:func:`salted_join`; see :func:`hot_key_table`), so
     neither piles up in one partition. Without a hot list, a hot player is
     left to AQE's skew split or avoided by a broadcast of the players.
     The approval test is the text rule of L10 and is applied to the player

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from ledgerlake.functions.coerce import TIMESTAMP_PATTERN, coerce_frame
 from ledgerlake.operators.keyed import (
     fill_from_linked,
-    hot_keys,
+    hot_key_table,
     kyc_time_gate,
     latest_by_key,
     link_claims,
@@ -37,6 +37,7 @@ def clean_players(
     players: DataFrame,
     affiliates: DataFrame,
     pattern: str = TIMESTAMP_PATTERN,
+    hot_key_share: float | None = None,
 ) -> DataFrame:
     """C1 — latest version per player, dangling affiliate links nulled, only
     the first claimant (by creation time, then id) keeps a shared link.
@@ -48,8 +49,11 @@ def clean_players(
     """
     p = _typed(players, PLAYERS, pattern, keep=("is_kyc_approved",))
     a = _typed(affiliates.select("id"), T.StructType([AFFILIATES["id"]]), pattern)
+    # Optional salting of hot links (AQE's split is cheap here, see
+    # first_claim); the sample reads the raw versions, one column.
+    hot = hot_key_table(p, "affiliate_id", hot_key_share) if hot_key_share else ()
     latest = latest_by_key(p, "id", "updated_at")
-    linked = link_claims(latest, "affiliate_id", a, "id", ("created_at", "id"))
+    linked = link_claims(latest, "affiliate_id", a, "id", ("created_at", "id"), hot=hot)
     return linked.select(*PLAYER_COLUMNS)
 
 
@@ -77,10 +81,11 @@ def clean_transactions(
 
     Player ids holding at least ``hot_key_share`` of a 1% sample of the raw
     transactions are salted in the gate join
-    (:func:`ledgerlake.operators.keyed.hot_keys`); the sample reads only the
-    player id column. ``None`` leaves hot players to AQE's skew split."""
+    (:func:`ledgerlake.operators.keyed.hot_key_table`, a bounded table
+    broadcast into the join; no driver-side action); the sample reads only
+    the player id column. ``None`` leaves hot players to AQE's skew split."""
     t = _typed(transactions, TRANSACTIONS, pattern)
-    hot = hot_keys(t, "player_id", hot_key_share) if hot_key_share else ()
+    hot = hot_key_table(t, "player_id", hot_key_share) if hot_key_share else ()
     latest = latest_by_key(t, "id", "timestamp")
     return kyc_time_gate(latest, cleaned_players, hot=hot).select(*TRANSACTION_COLUMNS)
 
