@@ -157,3 +157,12 @@ def test_hot_link_first_claim_salted_equals_plain(spark):
     plain = keyed.first_claim(players, hot_key_share=None)
     assert sorted(map(tuple, salted.collect())) == sorted(map(tuple, plain.collect()))
     assert salted.where(F.col("affiliate_id") == 1).count() == 1
+
+
+def test_lazy_hot_key_table_in_the_gate(spark, skewed):
+    txns, players = skewed
+    table = keyed.hot_key_table(txns, "player_id", share=0.05, sample=0.2)
+    assert [r[0] for r in table.collect()] == [HOT_PLAYER]  # bounded: at most 1/share rows
+    salted = keyed.kyc_time_gate(txns, players, hot=table)
+    plain = keyed.kyc_time_gate(txns, players)
+    assert sorted(map(tuple, salted.collect())) == sorted(map(tuple, plain.collect()))
