@@ -10,7 +10,11 @@ Scale notes (one key may hold a third of all rows):
   task instead.
 * Rows with a null link key can never match, so they bypass the join
   instead of all hashing to one shuffle partition.
-* Join-backs are plain equi-joins: AQE turns them into broadcast joins when
+* Where a null key must match (the null-safe KYC gate) and where a hot key
+  would meet a large partition of the other side (a hot player in the gate),
+  the key is salted (:func:`salted_join`); the hot keys come from a bounded,
+  lazily built sample table (:func:`hot_key_table`).
+* Other joins are plain equi-joins: AQE turns them into broadcast joins when
   the measured build side is small and splits skewed partitions otherwise.
 """
 
