@@ -205,3 +205,15 @@ def test_l28_versions_all_counts_stale_approval(spark):
                  "id long, timestamp timestamp, player_id long, type string, amount decimal(18,2)")
     assert increment.extend_transactions(base, players, 10) is base  # latest version is not approved
     assert increment.extend_transactions(base, players, 10, versions="all").count() == 10
+
+
+def test_l15_day_boundary_is_utc(spark):
+    from ledgerlake.session import configure
+
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        configure(spark)  # the engine pins UTC again
+        t = _txns(spark, [(1, ts("2024-01-01 23:30:00"), 1, "Deposit", Decimal("5.00"))])
+        assert [r.transaction_date for r in marts.daily_ledger(t).collect()] == [dt.date(2024, 1, 1)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
