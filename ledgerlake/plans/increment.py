@@ -18,7 +18,8 @@ Rules kept from the reference:
 * affiliates: ids are the players' affiliate ids ≥ start, in player order,
   then last id + 1, …; redeemed_at is that player's created_at (null for
   padding rows); origin one of three channels or null, evenly; a fresh code of
-  six capital letters, unique against the base codes;
+  six capital letters (a seventh once 26^6 codes are not enough), unique
+  against the base codes;
 * transactions: only KYC-approved players (none → base unchanged); type
   evenly from three; amount uniform per type, 2 places; time uniform between
   the player's creation and ``as_of`` (30 days after creation if that is
