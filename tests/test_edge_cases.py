@@ -217,3 +217,11 @@ def test_l15_day_boundary_is_utc(spark):
         assert [r.transaction_date for r in marts.daily_ledger(t).collect()] == [dt.date(2024, 1, 1)]
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_display_order_of_segment_totals_and_top_n(spark):
+    seg = frame(spark, [("A", 1, Decimal("5.00")), ("B", 1, None), ("C", 2, Decimal("9.00"))],
+                "country_code string, deposit_count long, total_deposits decimal(18,2)")
+    assert [r.country_code for r in marts.display_order("segment_totals", seg).collect()] == ["B", "C", "A"]
+    top = frame(spark, [(None,), (2,), (1,)], "player_id long")
+    assert [r.player_id for r in marts.display_order("top_n_wide", top).collect()] == [1, 2, None]
