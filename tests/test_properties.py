@@ -13,7 +13,7 @@ from hypothesis import strategies as st
 
 from ledgerlake.operators import keyed
 
-SETTINGS = settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+SETTINGS = settings(max_examples=15, deadline=None, derandomize=True, suppress_health_check=list(HealthCheck))
 
 
 @st.composite
