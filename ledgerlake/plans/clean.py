@@ -90,17 +90,24 @@ def clean_transactions(
     return kyc_time_gate(latest, cleaned_players, hot=hot).select(*TRANSACTION_COLUMNS)
 
 
-def clean_all(raw: dict[str, DataFrame], pattern: str = TIMESTAMP_PATTERN) -> dict[str, DataFrame]:
+def clean_all(
+    raw: dict[str, DataFrame],
+    pattern: str = TIMESTAMP_PATTERN,
+    hot_player_share: float | None = 0.01,
+    hot_link_share: float | None = None,
+) -> dict[str, DataFrame]:
     """C1–C3 on a dict of raw frames ``players``/``affiliates``/``transactions``.
 
     Cleaned players feed both other tables; the caller decides whether to
     persist or write them once (see :mod:`ledgerlake.plans.daily_run`).
+    ``hot_player_share`` / ``hot_link_share`` switch hot-key salting of the
+    KYC gate / the first-claim joins (None: AQE's skew split).
     """
-    players = clean_players(raw["players"], raw["affiliates"], pattern)
+    players = clean_players(raw["players"], raw["affiliates"], pattern, hot_link_share)
     return {
         "players": players,
         "affiliates": clean_affiliates(raw["affiliates"], players, pattern),
-        "transactions": clean_transactions(raw["transactions"], players, pattern),
+        "transactions": clean_transactions(raw["transactions"], players, pattern, hot_player_share),
     }
 
 
