@@ -33,8 +33,6 @@ PLAN_CONF = {
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
-    # Window top-k pushdown (WindowGroupLimit) trims hot groups map-side.
-    "spark.sql.optimizer.windowGroupLimitThreshold": "1000",
 }
 
 
@@ -43,14 +41,44 @@ def configure(spark: SparkSession) -> SparkSession:
     for key, value in RESULT_CONF.items():
         spark.conf.set(key, value)
     for key, value in PLAN_CONF.items():
+        if _set_by_deployment(spark, key):
+            continue
         try:
             spark.conf.set(key, value)
         except Exception:  # a tuning knob the deployment does not let us change
             pass
-    ensure_checkpoint_dir(spark)
+    if _may_checkpoint(spark):
+        ensure_checkpoint_dir(spark)
     return spark
 
 
+def _set_by_deployment(spark: SparkSession, key: str) -> bool:
+    """Whether the application was started with a value of its own: plan
+    settings fit the executors' size, which the deployment knows."""
+    try:
+        return spark.sparkContext.getConf().contains(key)
+    except Exception:  # Spark Connect: no driver-side SparkContext
+        return False
+
+
+def _is_local(master: str) -> bool:
+    """One JVM (``local``, ``local[8]``), where every task sees the same disk."""
+    return master == "local" or master.startswith("local[")
+
+
+def _may_checkpoint(spark: SparkSession) -> bool:
+    """Whether a checkpoint folder is set or may be chosen here."""
+    try:
+        sc = spark.sparkContext
+    except Exception:
+        return False
+    return bool(sc.getCheckpointDir() or _configured_dir(spark)) or _is_local(sc.master)
+
+
+def _configured_dir(spark: SparkSession) -> str | None:
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+
+
 def parallelism(spark: SparkSession) -> int:
     """Cores of the cluster (default parallelism), or the shuffle partition
     count where no driver-side SparkContext exists (Spark Connect)."""
@@ -61,10 +89,11 @@ def parallelism(spark: SparkSession) -> int:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
-    """Return the checkpoint folder, setting a local one only when none is set.
+    """Return the checkpoint folder, setting a local one only in local mode.
 
     A cluster names a shared folder in ``spark.checkpoint.dir``; that value
-    always wins. Only an unset value (local tests) gets a fresh temp folder.
+    always wins. Where it is unset, a local master (tests) gets a fresh temp
+    folder and any other raises: executors do not see each other's disks.
     Under Spark Connect the server owns this setting and nothing is changed.
     """
     try:
@@ -74,10 +103,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None
-    )
+    configured = _configured_dir(spark)
     if not configured:
+        if not _is_local(sc.master):
+            raise ValueError(
+                f"spark.checkpoint.dir is not set and the master is {sc.master}: name a folder that all executors share"
+            )
         configured = tempfile.mkdtemp(prefix="ledgerlake-ckpt-", dir="/tmp")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
