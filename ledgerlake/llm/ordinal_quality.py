@@ -78,7 +78,7 @@ class OrdinalModel:
         return 1 / (1 + np.exp(-np.clip(z[:, None] - self.theta[None, :], -40, 40)))
 
 
-def train(feats: list[np.ndarray], grades: np.ndarray, levels: int, bits: int, l1: float = 2e-4, steps: int = 250) -> OrdinalModel:
+def train(feats: list[np.ndarray], grades: np.ndarray, levels: int, bits: int, l1: float = 3e-4, steps: int = 200) -> OrdinalModel:
     """Fit weights and ordered thresholds. Thresholds are a first value plus
     positive steps, so their order holds by construction."""
     n = len(feats)
@@ -88,6 +88,10 @@ def train(feats: list[np.ndarray], grades: np.ndarray, levels: int, bits: int, l
         return OrdinalModel(np.zeros(1 << bits), np.where(np.arange(1, levels) <= grade, -40.0, 40.0), bits)
     idx = np.concatenate(feats)
     row = np.repeat(np.arange(n), [len(f) for f in feats])
+    # a text adds at most 1/n to a weight's gradient, so a feature in fewer than
+    # l1 * n texts can never leave zero
+    seen = np.bincount(idx, minlength=1 << bits)[idx] >= l1 * n
+    idx, row = idx[seen], row[seen]
     used, col = np.unique(idx, return_inverse=True)
     share = np.array([max(0.5, (grades >= k).sum()) / n for k in range(1, levels)])
     share = np.clip(share, 0.5 / n, 1 - 0.5 / n)
@@ -144,32 +148,28 @@ def train(feats: list[np.ndarray], grades: np.ndarray, levels: int, bits: int, l
     return OrdinalModel(weight, thetas(t), bits)
 
 
-def fit(rated: DataFrame, levels: int, most: int = 8000, bits: int = 18, l1: float = 2e-4) -> OrdinalModel:
-    """Train on ``most`` distinct rated texts (columns ``text``, ``grade`` 0 to
-    ``levels - 1``): those that come first by a hash of text and grade. They
-    are counted first, so that rows far above the cut that the count implies
-    are dropped before any text is shuffled."""
+def fit(rated: DataFrame, levels: int, most: int = 8000, bits: int = 18, l1: float = 3e-4) -> OrdinalModel:
+    """Train on at most ``most`` distinct rated texts (columns ``text``, ``grade``
+    0 to ``levels - 1``): those that come first by a hash of text and grade.
+    Ratings are counted first, so that rows far above the cut that the count
+    implies are dropped early."""
     prepare(rated.sparkSession)
     hashed = rated.where(f"grade BETWEEN 0 AND {levels - 1}").select(
         F.coalesce("text", F.lit("")).alias("text"), F.col("grade").cast("int").alias("grade")
     ).withColumn("h", F.xxhash64("text", "grade"))
-    n = hashed.select("h").distinct().count()
-    sample = (
-        hashed.where(unit_hash(F.col("h")) <= (2 * most + 50) / max(n, 1))
-        .dropDuplicates(["h"])
-        .orderBy("h", "grade")
-        .limit(most)
-    )
+    n = hashed.select("grade").count()
+    sample = hashed.where(unit_hash(F.col("h")) <= (2 * most + 50) / max(n, 1)).dropDuplicates(["h"])
 
     def run(batches):
         import pyarrow as pa
 
         for b in batches:
             f = features(b.column("text").to_pylist(), bits)
-            yield pa.RecordBatch.from_pydict({"grade": b.column("grade"), "f": pa.array(f, pa.list_(pa.int32()))})
+            yield pa.RecordBatch.from_pydict({"h": b.column("h"), "grade": b.column("grade"), "f": pa.array(f, pa.list_(pa.int32()))})
 
-    rows = sample.mapInArrow(run, "grade int, f array<int>").toArrow()
-    feats = [np.array(x, np.int32) for x in rows.column("f").to_pylist()]
+    rows = sample.mapInArrow(run, "h long, grade int, f array<int>").orderBy("h", "grade").limit(most).toArrow()
+    column = rows.column("f").combine_chunks()
+    feats = np.split(column.flatten().to_numpy(), np.cumsum(np.diff(column.offsets.to_numpy()))[:-1]) if len(rows) else []
     return train(feats, rows.column("grade").to_numpy(), levels, bits, l1)
 
 

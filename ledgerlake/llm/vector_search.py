@@ -92,7 +92,7 @@ def search(
     k: int = 5,
     sample_rows: int = 20_000,
     most_lists: int = 4096,
-    probe_share: float = 0.25,
+    probe_share: float = 0.6,
     part_rows: int = 4096,
     query_batch: int = 1024,
     block: int = 16,
