@@ -56,7 +56,11 @@ def _set_by_deployment(spark: SparkSession, key: str) -> bool:
     """Whether the application was started with a value of its own: plan
     settings fit the executors' size, which the deployment knows."""
     try:
-        return spark.sparkContext.getConf().contains(key)
+        conf = spark.sparkContext.getConf()
+        if key == "spark.sql.adaptive.autoBroadcastJoinThreshold":
+            # Spark's default for it is the general threshold
+            return conf.contains(key) or conf.contains("spark.sql.autoBroadcastJoinThreshold")
+        return conf.contains(key)
     except Exception:  # Spark Connect: no driver-side SparkContext
         return False
 
