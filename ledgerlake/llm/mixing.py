@@ -92,6 +92,9 @@ def mix_plan(
         sized.withColumns({"s": F.coalesce("source", F.lit("")), "none": F.col("source").isNull()}).drop("source")
         .join(goal.withColumns({"s": F.coalesce("source", F.lit("")), "none": F.col("source").isNull()}).drop("source"), ["s", "none"])
         .withColumn("slice", F.floor(place * slices).cast("long"))
+        # else the join's partitioning by source would serve the window below
+        # and a hot source would stay in one task
+        .repartition("s", "none", "slice")
     )
     totals = placed.groupBy("s", "none", "slice").agg(F.sum("size").alias("in_slice"))
     earlier = Window.partitionBy("s", "none").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
