@@ -13,8 +13,8 @@ than ``least_chars`` go only as exact repeats.
    i-th character, for every i in the half that may differ, and its own hash.
    Equal variants meet: two lines without the same i-th character differ in
    that character; a line equal to another without one character is one
-   deletion away. So each meeting is tied to its earliest line, one row per
-   member, and no pairs inside a meeting are formed.
+   deletion away. So each member of a meeting is tied to the earliest one, and
+   no pairs inside a meeting are formed.
 4. Every tie is verified by the edit distance of the texts.
 
 Defined cases: a null text stays null; rows are told apart by id and text, so
@@ -25,7 +25,7 @@ that cannot clash (``__`` prefix).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import prepare, written
@@ -94,32 +94,31 @@ def near_lines(every: DataFrame, first: DataFrame) -> DataFrame:
     alive = first.select("h1", "h2", "n", "born", "born.*").join(mine, ["h1", "h2"])
     texts = every.select("none", "id", "th", "pos", "line")
     # identical rows of one document give the same line twice
-    alive = written(texts.join(alive, ["none", "id", "th", "pos"]).drop("none", "id", "th", "pos").dropDuplicates(["h1", "h2"]), "near-lines")
+    alive = texts.join(alive, ["none", "id", "th", "pos"]).drop("none", "id", "th", "pos").dropDuplicates(["h1", "h2"])
+    # numbers in order of birth: one long stands for a line from here on
+    alive = written(alive.orderBy("born").withColumn("ln", F.monotonically_increasing_id()), "near-lines")
     # the differing half, one position wider for pairs of different length
     half = F.floor(F.col("n") / 2).cast("int")
     lo = F.when(F.col("edit_first"), F.lit(1)).otherwise(F.greatest(F.lit(1), half - 1)).cast("int")
     hi = F.when(F.col("edit_last"), F.col("n")).otherwise(F.least(F.col("n"), half + 2)).cast("int")
     own = F.struct(F.lit(0).alias("i"), F.xxhash64("line").alias("v"))
-    meet = alive.select("h1", "h2", "born", F.explode(F.concat(F.array(own), _variants(lo, hi))).alias("x")).select("h1", "h2", "born", "x.i", "x.v")
-    # the same character replaced: equal variants of the same place
-    who = F.struct("born", "h1", "h2")
-    same = meet.where("i > 0").groupBy("v", "i").agg(F.min(who).alias("w"), F.count(F.lit(1)).alias("c")).where("c > 1").select("v", "i", "w")
-    # one character more or less: a line and another one's variant
-    pair = (
-        meet.groupBy("v")
-        .agg(F.min(F.when(F.col("i") == 0, who)).alias("whole"), F.min(F.when(F.col("i") > 0, who)).alias("less"))
-        .where("whole IS NOT NULL AND less IS NOT NULL")
+    meet = alive.select("ln", F.explode(F.concat(F.array(own), _variants(lo, hi))).alias("x")).select("ln", "x.i", "x.v")
+    # Different lines with one variant in common differ in the character left
+    # out, so a variant's rows are bounded by the alphabet, not by the corpus.
+    place, variant = Window.partitionBy("v", "i"), Window.partitionBy("v")
+    met = meet.select(
+        "ln",
+        # the same character replaced: equal variants of the same place
+        F.when(F.col("i") > 0, F.min("ln").over(place)).alias("same"),
+        # one character more or less: a line and another one's variant
+        F.when(F.col("i") > 0, F.min(F.when(F.col("i") == 0, F.col("ln"))).over(variant))
+        .otherwise(F.min(F.when(F.col("i") > 0, F.col("ln"))).over(variant))
+        .alias("other"),
     )
-    ties = (
-        meet.where("i > 0").join(same, ["v", "i"]).select("h1", "h2", "born", "w")
-        .unionByName(meet.join(pair, "v").select("h1", "h2", "born", F.when(F.col("i") == 0, F.col("less")).otherwise(F.col("whole")).alias("w")))
-        .where("w.born < born")
-        .select("h1", "h2", F.col("w.h1").alias("w1"), F.col("w.h2").alias("w2"))
-        .distinct()
-    )
-    text = alive.select("h1", "h2", "line")
-    other = text.select(F.col("h1").alias("w1"), F.col("h2").alias("w2"), F.col("line").alias("earlier"))
-    checked = ties.join(text, ["h1", "h2"]).join(other, ["w1", "w2"])
+    ties = met.select("ln", F.explode(F.array("same", "other")).alias("w")).where("w < ln").distinct()
+    text = alive.select("ln", "h1", "h2", "line")
+    earlier = alive.select(F.col("ln").alias("w"), F.col("line").alias("earlier"))
+    checked = ties.join(text, "ln").join(earlier, "w")
     return checked.where(F.levenshtein("line", "earlier", EDITS) >= 0).select("h1", "h2").distinct()
 
 
