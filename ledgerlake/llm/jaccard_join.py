@@ -265,7 +265,8 @@ def jaccard_join(
     member = written(member.join(size, "grp"), "members")
 
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string").alias("text")).join(
-        member.select("rep", "grp", "copies", "chunks", "h1", "h2"), "rep"
+        # the members grow with the corpus, so they are never broadcast
+        member.select("rep", "grp", "copies", "chunks", "h1", "h2").hint("merge"), "rep"
     )
     sets = _sets(texts, n, ["rep", "grp", "copies", "chunks"])
     sets = sets.withColumn("c", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int"))
