@@ -157,7 +157,7 @@ def linked(a: list[np.ndarray], b: list[np.ndarray] | None, threshold: float, ro
     row, col = row[keep], column[back[keep]]
     order = np.argsort(col, kind="stable")
     row, col = row[order], col[order]
-    width = max(1, room // len(both))
+    width = max(1, min(room // len(both), int(shared.sum())))
     common = np.zeros((len(a), len(both) - (len(a) if b is not None else 0)), np.float32)
     for lo in range(0, int(shared.sum()), width):
         x, y = np.searchsorted(col, [lo, lo + width])
@@ -204,13 +204,16 @@ def compare_blocks(blocks: DataFrame, threshold: float) -> DataFrame:
     def run(frames):
         for f in whole_groups(frames, ["grp", "i", "j"], ["side", "rep"]):
             out = []
-            for _, g in f.groupby(["grp", "i", "j"], sort=False):
-                ids, weight, side = (g[c].to_numpy() for c in ("rep", "copies", "side"))
-                sets = [np.frombuffer(x, np.uint64) for x in g["grams"]]
-                if g["i"].iloc[0] == g["j"].iloc[0]:
-                    out.append(ties(linked(sets, None, threshold), ids, weight))
-                elif (cut := int((side == 0).sum())) and cut < len(sets):
-                    out.append(ties(linked(sets[:cut], sets[cut:], threshold), ids, weight, cut))
+            key = f[["grp", "i", "j"]].to_numpy()
+            edge = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]).any(axis=1), [True])))
+            ids, weight, side, grams = (f[c].to_numpy() for c in ("rep", "copies", "side", "grams"))
+            for lo, hi in zip(edge[:-1], edge[1:]):
+                sets = [np.frombuffer(x, np.uint64) for x in grams[lo:hi]]
+                if key[lo, 1] == key[lo, 2]:
+                    if hi - lo > 1:
+                        out.append(ties(linked(sets, None, threshold), ids[lo:hi], weight[lo:hi]))
+                elif (cut := int((side[lo:hi] == 0).sum())) and cut < len(sets):
+                    out.append(ties(linked(sets[:cut], sets[cut:], threshold), ids[lo:hi], weight[lo:hi], cut))
             if out:
                 yield pd.DataFrame({c: np.concatenate([o[k] for o in out]) for k, c in enumerate(("rep", "links", "tied"))})
 
