@@ -112,5 +112,6 @@ def clean_all(
 
 
 def landing_players(cleaned: DataFrame) -> DataFrame:
-    """Landing projection of players: the approval flag becomes a BOOLEAN."""
-    return cleaned.withColumn("is_kyc_approved", F.col("is_kyc_approved").try_cast("boolean"))
+    """Landing projection of players: the approval flag becomes a BOOLEAN. Text
+    that is no boolean raises when the rows are read; null stays null."""
+    return cleaned.withColumn("is_kyc_approved", F.col("is_kyc_approved").cast("boolean"))

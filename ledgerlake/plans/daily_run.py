@@ -1,8 +1,8 @@
 """The daily end-to-end batch — extend → clean → land → marts → tests.
 
 One Spark application runs the steps in the reference's order. Every hand-off
-goes through storage (expanded CSV, transformed Parquet, catalog tables), as
-in the reference; this also cuts the lineage, so a lost executor only reruns
+goes through storage (expanded and transformed files, catalog tables), as in the
+reference; this also cuts the lineage, so a lost executor only reruns
 tasks of the current step. ``work_dir`` must be shared storage on a cluster.
 """
 
@@ -18,11 +18,7 @@ from ledgerlake.session import configure
 from ledgerlake.sources import catalog, files
 
 TABLES = ("players", "affiliates", "transactions")
-MART_NAMES = {
-    "daily_ledger": "player_daily_transaction",
-    "segment_totals": "discord_kyc_deposit_by_country",
-    "top_n_wide": "deposit_per_player",
-}
+MART_NAMES = {"daily_ledger": "daily_ledger", "segment_totals": "segment_totals", "top_n_wide": "top_n_wide"}
 
 
 @dataclass
@@ -47,18 +43,21 @@ def daily_run(
     na_tokens=PANDAS_NA_TOKENS,
     pattern: str = TIMESTAMP_PATTERN,
     extend: bool = True,
-    expanded_format: str = "csv",
+    expanded_format: str = "parquet",
     buckets: int = 0,
     hot_key_share: float | None = 0.01,
     fail_on_test_failure: bool = True,
+    multi_line: bool = False,
 ) -> RunResult:
     """Run the whole batch. ``raw_dir`` holds ``players``, ``affiliates`` and
     ``transactions`` CSV files or folders (``<name>.csv`` or ``<name>``).
 
-    ``expanded_format="csv"`` hands the extended tables to the cleaning step
-    as text, like the reference; ``"parquet"`` keeps them typed, which gives
-    the same values (generated values always parse) at a fraction of the I/O
-    on large inputs.
+    ``expanded_format="parquet"`` hands the extended tables to the cleaning
+    step typed; ``"csv"`` hands them over as text, like the reference. Text is
+    read back in the layout it was written in, whatever ``pattern`` and
+    ``na_tokens`` the raw files need, so both give the same values; Parquet
+    takes a fraction of the I/O. ``multi_line``: the raw files hold line breaks
+    inside quotes (:func:`ledgerlake.sources.files.read_csv`).
 
     ``buckets`` > 0 stores the players and transactions landing tables
     bucketed by player (see :func:`ledgerlake.sources.catalog.ensure_landing_table`):
@@ -74,14 +73,12 @@ def daily_run(
     out = RunResult()
 
     def raw_path(name: str) -> str:
-        import os
-
         for cand in (f"{raw_dir}/{name}.csv", f"{raw_dir}/{name}"):
-            if "://" in raw_dir or os.path.exists(cand):
+            if files.exists(spark, cand):
                 return cand
         return f"{raw_dir}/{name}.csv"
 
-    raw = {t: files.read_raw_table(spark, raw_path(t), t, na_tokens, pattern) for t in TABLES}
+    raw = {t: files.read_raw_table(spark, raw_path(t), t, na_tokens, pattern, multi_line) for t in TABLES}
 
     if expanded_format not in ("csv", "parquet"):
         raise ValueError("expanded_format must be 'csv' or 'parquet'")
@@ -90,7 +87,9 @@ def daily_run(
         path = f"{work_dir}/expanded/{table}"
         if expanded_format == "csv":
             out.expanded[table] = files.write_csv(df, path)
-            return files.read_raw_table(spark, path, table, na_tokens, pattern)
+            # as written by write_csv, not as the raw files: generated text may
+            # hold line breaks and words that stand for null in the raw files
+            return files.read_raw_table(spark, path, table, (), files.TIMESTAMP_PATTERN, multi_line)
         out.expanded[table] = files.write_parquet(df, path)
         return files.read_parquet(spark, path)
 
@@ -137,7 +136,9 @@ def daily_run(
     # 5. Tests (T3) on what was stored.
     stored = {f"raw_{t}": src[t] for t in TABLES}
     stored.update({key: spark.table(name) for key, name in out.marts.items()})
-    report = quality.quality_report(stored)
+    report = quality.quality_report(stored).unionByName(
+        quality.union_all([quality.check_row_count(src[t], transformed[t], f"raw_{t}") for t in TABLES])
+    )
     if fail_on_test_failure:
         out.tests = quality.run_tests(report)
     else:
@@ -160,7 +161,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--seed", type=int, default=42)
     parser.add_argument("--as-of", default=increment.DEFAULT_AS_OF)
     parser.add_argument("--no-extend", action="store_true")
-    parser.add_argument("--expanded-format", choices=("csv", "parquet"), default="csv")
+    parser.add_argument("--expanded-format", choices=("csv", "parquet"), default="parquet")
     args = parser.parse_args(argv)
     # An existing session (spark-submit) is used as is; a new one has no UI.
     spark = SparkSession.builder.config("spark.ui.enabled", "false").getOrCreate()

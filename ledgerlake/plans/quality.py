@@ -86,6 +86,18 @@ def check_not_null(df: DataFrame, table: str, columns: Sequence[str]) -> DataFra
     )
 
 
+def check_row_count(stored: DataFrame, written: DataFrame, table: str) -> DataFrame:
+    """One report row: how many rows more or fewer the stored table has than
+    the files it was loaded from."""
+    other = written.select(F.count(F.lit(1))).scalar()
+    return stored.agg(F.count(F.lit(1)).alias("a")).withColumn("b", other).select(
+        F.lit(table).alias("table_name"),
+        F.lit("*").alias("column_name"),
+        F.lit("row_count").alias("test_name"),
+        F.abs(F.col("a") - F.col("b")).cast("long").alias("failures"),
+    )
+
+
 def table_report(df: DataFrame, tests: TableTests) -> list[DataFrame]:
     parts = [check_unique(df, tests.name, c) for c in tests.unique]
     if tests.not_null:

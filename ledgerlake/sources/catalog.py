@@ -8,8 +8,9 @@ on load; in particular ``VARCHAR(4)`` rejects a longer country code
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
 
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.schemas import LANDING_BUCKET_COLUMNS, LANDING_COLUMNS, LANDING_NAMES
@@ -24,8 +25,9 @@ def ensure_landing_table(
 ) -> str:
     """S5 — create the database and the landing table if absent.
 
-    The truncate of the reference is folded into the load (``INSERT
-    OVERWRITE``), so readers never see an empty table between two steps.
+    The truncate of the reference is folded into the load, which switches the
+    table to completely written files (:func:`load_table`), so readers never
+    see an empty table between two steps.
     With ``buckets``, players are stored bucketed by ``id`` and transactions
     by ``player_id``, so the marts read them already partitioned by player
     and skip their shuffles. Use it only when no single player dominates:
@@ -50,8 +52,43 @@ def _bucket_spec(spark: SparkSession, name: str) -> tuple[list[str], int] | None
     return cols, int(info["Num Buckets"])
 
 
+_VERSION = "__v_"
+
+
+def _version_path(spark: SparkSession, name: str) -> str:
+    """A new folder next to the tables of the database of ``name``."""
+    database, table = name.split(".")
+    base = spark.sql(f"DESCRIBE DATABASE {_q(database)}").where("info_name = 'Location'").first()[1]
+    return f"{base.rstrip('/')}/{table}{_VERSION}{uuid.uuid4().hex}"
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder wherever it lies."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+def _location(spark: SparkSession, name: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {_q(name)}").where("col_name = 'Location'").collect()
+    return rows[0][1]
+
+
+def _switch(spark: SparkSession, name: str, path: str) -> None:
+    """Point table ``name`` at the files in ``path`` and drop the files of the
+    version it had, if an earlier load wrote them."""
+    before = _location(spark, name)
+    spark.sql(f"ALTER TABLE {_q(name)} SET LOCATION '{path}'")
+    spark.catalog.refreshTable(name)
+    if _VERSION in before:
+        _delete(spark, before)
+
+
 def load_table(df: DataFrame, name: str, column_order: list[str] | None = None) -> str:
-    """S6 — replace the content of table ``name`` with ``df`` in one write.
+    """S6 — replace the content of table ``name`` with ``df``, all or nothing.
+
+    The rows are written to a new folder under the declared types first; only
+    when that has succeeded is the table pointed at it. A rejected load leaves
+    the table as it was.
 
     Columns are selected in ``column_order`` (default: the table's own
     order), because ``insertInto`` matches by position. For a bucketed table
@@ -66,7 +103,17 @@ def load_table(df: DataFrame, name: str, column_order: list[str] | None = None)
     if spec:
         cols, n = spec
         out = out.repartition(n, *[F.col(c) for c in cols])
-    out.write.insertInto(name, overwrite=True)
+    path = _version_path(spark, name)
+    staged = f"{name.split('.')[0]}.{path.rsplit('/', 1)[1]}"
+    spark.sql(f"CREATE TABLE {_q(staged)} LIKE {_q(name)} LOCATION '{path}'")
+    try:
+        out.write.insertInto(staged)
+    except Exception:
+        spark.sql(f"DROP TABLE {_q(staged)}")
+        _delete(spark, path)
+        raise
+    spark.sql(f"DROP TABLE {_q(staged)}")  # the entry only: its files were given a location
+    _switch(spark, name, path)
     return name
 
 
@@ -82,11 +129,24 @@ def source(spark: SparkSession, database: str, table: str) -> DataFrame:
 
 
 def materialize(df: DataFrame, database: str, name: str) -> str:
-    """S8 — store a query result as a table, replacing the previous one."""
+    """S8 — store a query result as a table, replacing the previous one only
+    once the new rows are written."""
     spark = df.sparkSession
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {_q(database)}")
     full = f"{database}.{name}"
-    df.write.mode("overwrite").format("parquet").saveAsTable(full)
+    path = _version_path(spark, full)
+    try:
+        df.write.parquet(path)
+    except Exception:
+        _delete(spark, path)
+        raise
+    known = spark.catalog.tableExists(full)
+    if known and [(f.name, f.dataType) for f in spark.table(full).schema] == [(f.name, f.dataType) for f in df.schema]:
+        _switch(spark, full, path)
+        return full
+    if known:
+        spark.sql(f"DROP TABLE {_q(full)}")
+    spark.catalog.createTable(full, path=path, source="parquet")
     return full
 
 

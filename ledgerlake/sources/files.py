@@ -40,11 +40,28 @@ def read_csv(
     schema: T.StructType | None = None,
     na_tokens=PANDAS_NA_TOKENS,
     pattern: str = TIMESTAMP_PATTERN,
+    multi_line: bool = False,
 ) -> DataFrame:
-    """S1 — header CSV → DataFrame. All columns are read as text, matched by
-    header name; ``na_tokens`` become null; columns named in ``schema`` are
-    coerced (bad values → null), the others stay text."""
-    df = spark.read.option("header", True).option("inferSchema", False).option("mode", "PERMISSIVE").csv(path)
+    """S1 — header CSV → DataFrame. All columns are read as text, named by the
+    header; ``na_tokens`` become null; columns named in ``schema`` are coerced
+    (bad values → null), the others stay text. Quotes inside quoted text are
+    doubled, as spreadsheet programs and pandas write them.
+
+    Nothing is read wrong in silence: a record with another number of fields
+    than the header raises, and so does a file whose header differs from that
+    of the first file. Text with line breaks inside quotes needs
+    ``multi_line=True``, which reads each file in one task; without it such a
+    record raises."""
+    df = (
+        spark.read.option("header", True)
+        .option("inferSchema", False)
+        .option("enforceSchema", False)
+        .option("columnPruning", False)  # else a short record goes unnoticed
+        .option("mode", "FAILFAST")
+        .option("escape", '"')
+        .option("multiLine", multi_line)
+        .csv(path)
+    )
     df = df.select(*[null_tokens(F.col(f"`{c}`"), na_tokens).alias(c) for c in df.columns])
     return coerce_frame(df, schema, pattern) if schema is not None else df
 
@@ -55,9 +72,10 @@ def read_raw_table(
     table: str,
     na_tokens=PANDAS_NA_TOKENS,
     pattern: str = TIMESTAMP_PATTERN,
+    multi_line: bool = False,
 ) -> DataFrame:
     """S1 for one of the three base tables (players/affiliates/transactions)."""
-    return read_csv(spark, path, raw_schema(table), na_tokens, pattern)
+    return read_csv(spark, path, raw_schema(table), na_tokens, pattern, multi_line)
 
 
 def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -81,6 +99,12 @@ def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = N
     return coerce_frame(df.select(*fixed), schema)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists, in any file system Spark can reach."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+
+
 def write_parquet(df: DataFrame, path: str) -> str:
     """S3 — Parquet sink, replacing what is there. Returns the path."""
     df.write.mode("overwrite").parquet(path)
@@ -89,10 +113,14 @@ def write_parquet(df: DataFrame, path: str) -> str:
 
 def write_csv(df: DataFrame, path: str, timestamp_format: str = CSV_TIMESTAMP_OUT) -> str:
     """S4 — header CSV sink, no index column, replacing what is there.
-    Timestamps are written with their UTC offset (X4). Returns the path."""
+    Timestamps are written with their UTC offset (X4); text keeps its outer
+    blanks, and quotes are doubled. Returns the path."""
     (
         df.write.mode("overwrite")
         .option("header", True)
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .option("timestampFormat", timestamp_format)
         .csv(path)
     )

@@ -1,6 +1,7 @@
 """R1 end to end on the golden sample: extend → clean → land → marts → tests."""
 
 import os
+import re
 
 from ledgerlake.plans import daily_run
 from ledgerlake.sources import catalog
@@ -15,7 +16,7 @@ def test_daily_run_end_to_end(spark, tmp_dir):
         with open(os.path.join(raw, f"{name}.csv"), "w") as f:
             f.write(text)
     result = daily_run.daily_run(spark, raw, os.path.join(tmp_dir, "work"), database="r1", target=40)
-    assert len(result.tests) == 17 and all(r[3] == 0 for r in result.tests)
+    assert len(result.tests) == 20 and all(r[3] == 0 for r in result.tests)
     players = catalog.source(spark, "r1", "raw_players")
     assert players.count() == 40  # 10 distinct base players + 30 generated
     assert spark.table(result.marts["daily_ledger"]).count() > 0
@@ -43,8 +44,26 @@ def test_parquet_hand_off_gives_same_tables(spark, tmp_dir):
     for name, text in (("players", PLAYERS_CSV), ("affiliates", AFFILIATES_CSV), ("transactions", TRANSACTIONS_CSV)):
         with open(os.path.join(raw, f"{name}.csv"), "w") as f:
             f.write(text)
-    daily_run.daily_run(spark, raw, os.path.join(tmp_dir, "w1"), database="r1c", target=30)
+    daily_run.daily_run(spark, raw, os.path.join(tmp_dir, "w1"), database="r1c", target=30, expanded_format="csv")
     a = {t: sorted(map(str, catalog.source(spark, "r1c", f"raw_{t}").collect())) for t in ("players", "affiliates", "transactions")}
     daily_run.daily_run(spark, raw, os.path.join(tmp_dir, "w2"), database="r1c", target=30, expanded_format="parquet")
     b = {t: sorted(map(str, catalog.source(spark, "r1c", f"raw_{t}").collect())) for t in ("players", "affiliates", "transactions")}
     assert a == b
+
+
+def test_hand_off_does_not_depend_on_the_raw_pattern(spark, tmp_dir):
+    """Raw files in another timestamp layout: both hand-offs land the same rows,
+    and no transaction is lost."""
+    raw = os.path.join(tmp_dir, "raw")
+    os.makedirs(raw)
+    for name, text in (("players", PLAYERS_CSV), ("affiliates", AFFILIATES_CSV), ("transactions", TRANSACTIONS_CSV)):
+        with open(os.path.join(raw, f"{name}.csv"), "w") as f:
+            f.write(re.sub(r"(\d{4}-\d\d-\d\d) (\d\d:\d\d:\d\d\+00:00)", r"\1T\2", text))
+    landed = []
+    for fmt in ("csv", "parquet"):
+        daily_run.daily_run(
+            spark, raw, os.path.join(tmp_dir, fmt), database=f"r1p_{fmt}", target=30, expanded_format=fmt, pattern="yyyy-MM-dd'T'HH:mm:ssXXX"
+        )
+        landed.append({t: sorted(map(str, catalog.source(spark, f"r1p_{fmt}", f"raw_{t}").collect())) for t in daily_run.TABLES})
+    assert landed[0] == landed[1]
+    assert landed[0]["transactions"] and not any("created_at=None" in r for r in landed[0]["players"])

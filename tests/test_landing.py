@@ -77,3 +77,52 @@ def test_csv_columns_matched_by_header_name(spark, tmp_dir):
     assert rows[0].id == 9 and rows[0].player_id == 3 and str(rows[0].amount) == "12.50"
     assert rows[0].timestamp == dt.datetime(2024, 1, 10, 17, 7, 1)
     assert rows[1].id is None and rows[1].amount is None and rows[1].timestamp is None and rows[1].type == "Bonus"
+
+
+def test_rejected_load_keeps_the_old_rows(spark):
+    name = catalog.land(clean.landing_players(players(spark)), spark, "landing_k", "players")
+    before = sorted(map(str, spark.table(name).collect()))
+    for bad in (players(spark, "ABCDE"), players(spark).withColumn("is_kyc_approved", F.lit("maybe"))):
+        with pytest.raises(Exception):
+            catalog.land(clean.landing_players(bad), spark, "landing_k", "players")
+        assert sorted(map(str, spark.table(name).collect())) == before
+    assert [t.name for t in spark.catalog.listTables("landing_k")] == ["raw_players"]
+    catalog.land(clean.landing_players(players(spark, "FR")), spark, "landing_k", "players")
+    assert [r.country_code for r in spark.table(name).collect()] == ["FR"]
+
+
+def test_failed_rebuild_keeps_the_old_mart(spark):
+    full = catalog.materialize(spark.range(5), "marts_k", "m")
+    with pytest.raises(Exception):
+        catalog.materialize(spark.range(5).withColumn("id", F.raise_error(F.lit("stop")).cast("long")), "marts_k", "m")
+    assert spark.table(full).count() == 5
+    catalog.materialize(spark.range(3).select(F.col("id"), F.lit("x").alias("other")), "marts_k", "m")
+    assert spark.table(full).columns == ["id", "other"] and spark.table(full).count() == 3
+
+
+def _csv(folder, **texts):
+    import os
+
+    os.makedirs(folder)
+    for name, text in texts.items():
+        with open(f"{folder}/{name}.csv", "w", newline="") as f:
+            f.write(text)
+    return folder
+
+
+def test_csv_quotes_and_line_breaks(spark, tmp_dir):
+    path = _csv(f"{tmp_dir}/q", a='id,note,code\n1,"say ""hi"", ok",X\n2,"two\nlines",Y\n3, padded ,Z\n')
+    rows = sorted(map(tuple, files.read_csv(spark, path, multi_line=True).collect()))
+    assert rows == [("1", 'say "hi", ok', "X"), ("2", "two\nlines", "Y"), ("3", " padded ", "Z")]
+    with pytest.raises(Exception):
+        files.read_csv(spark, path).collect()  # the line break needs multi_line
+    with pytest.raises(Exception):
+        files.read_csv(spark, path).select("id").collect()
+    out = files.write_csv(spark.createDataFrame(rows, "id string, note string, code string"), f"{tmp_dir}/q2")
+    assert sorted(map(tuple, files.read_csv(spark, out, multi_line=True).collect())) == rows
+
+
+def test_csv_files_of_other_columns_raise(spark, tmp_dir):
+    path = _csv(f"{tmp_dir}/h", a="id,code\n1,X\n", b="code,id\nY,2\n")
+    with pytest.raises(Exception):
+        files.read_csv(spark, path).collect()
