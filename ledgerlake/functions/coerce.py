@@ -37,9 +37,10 @@ PANDAS_NA_TOKENS = (
     "null",
 )
 
-# Default timestamp text pattern: ISO date, space, time, numeric UTC offset
-# ("2024-01-10 17:07:01+00:00"). Other layouts become null (ledger L7).
-TIMESTAMP_PATTERN = "yyyy-MM-dd HH:mm:ssXXX"
+# Default timestamp text pattern: ISO date, space, time, and a numeric UTC
+# offset ("2024-01-10 17:07:01+00:00") that may be missing: naive text is UTC
+# (ledger L6), the session's zone. Other layouts become null (ledger L7).
+TIMESTAMP_PATTERN = "yyyy-MM-dd HH:mm:ss[XXX]"
 
 
 def _col(c: str | Column) -> Column:
@@ -72,7 +73,8 @@ def amount(c: str | Column, dtype: T.DecimalType = T.DecimalType(18, 2)) -> Colu
 
 
 def utc_timestamp(c: str | Column, pattern: str = TIMESTAMP_PATTERN) -> Column:
-    """Text with an offset → UTC timestamp; other text → null.
+    """Text of the pattern → UTC timestamp, naive text read as UTC; other text →
+    null (P6, L6, L7).
 
     Use :func:`coerce_column` when the input may already be typed.
     """

@@ -1,7 +1,8 @@
 """Seeded, order-free random draws as column expressions.
 
-Each draw is the first 8 hex digits of ``md5("seed|table|column|key")`` read
-as an unsigned 32-bit integer. It depends only on its inputs, so a recomputed
+Each draw is the first 15 hex digits of ``md5("seed|table|column|key")`` read
+as an unsigned 60-bit integer, so that a remainder picks evenly among any
+number of rows a table can hold. It depends only on its inputs, so a recomputed
 task (lost executor, speculative copy) produces the same rows, the result
 does not depend on partitioning, and an SQL engine with ``md5`` can reproduce
 every value.
@@ -14,13 +15,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-DRAW_RANGE = 1 << 32
+DRAW_DIGITS = 15
+DRAW_RANGE = 1 << (4 * DRAW_DIGITS)
 
 
 def draw(seed: int | str, table: str, column: str, key: Column) -> Column:
-    """Unsigned 32-bit draw for ``key`` (BIGINT in [0, 2^32))."""
+    """Unsigned 60-bit draw for ``key`` (BIGINT in [0, 2^60))."""
     text = F.concat_ws("|", F.lit(str(seed)), F.lit(table), F.lit(column), key.cast("string"))
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
+    return F.conv(F.substring(F.md5(text), 1, DRAW_DIGITS), 16, 10).cast("long")
 
 
 def choice(values: Sequence[object], h: Column) -> Column:

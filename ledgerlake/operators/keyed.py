@@ -6,8 +6,8 @@ Scale notes (one key may hold a third of all rows):
 * "one row per key" is a grouped ``max``/``min`` over a struct whose leading
   fields encode the order. That is a partial + final aggregate, so a hot key
   is collapsed on the map side to one row per map partition before the
-  shuffle. A window ``row_number`` would send every row of the hot key to one
-  task instead.
+  shuffle (a ``row_number = 1`` window is trimmed before the shuffle as well,
+  by WindowGroupLimit, at the price of the same sort).
 * Rows with a null link key can never match, so they bypass the join
   instead of all hashing to one shuffle partition.
 * Where a null key must match (the null-safe KYC gate) and where a hot key
@@ -37,9 +37,11 @@ def _asc_nulls_last_key(cols: Sequence[str]) -> list[Column]:
     return fields
 
 
-# Number of salts a hot (or null) join key is spread over.
-SALTS = 64
-NULL_SALTS = SALTS
+def default_salts(df: DataFrame) -> int:
+    """Salts a hot (or null) join key is spread over: as many as the session
+    has shuffle partitions, so that a key with a third of all rows still makes
+    tasks of ordinary size."""
+    return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
 def hot_key_table(
@@ -70,16 +72,9 @@ def hot_keys(df: DataFrame, key: str, share: float = 0.01, **kwargs) -> list:
     return [r[0] for r in hot_key_table(df, key, share, **kwargs).collect()]
 
 
-def _hot_flag(df: DataFrame, key: str, hot, tag: str) -> tuple[DataFrame, Column]:
-    """``df`` plus a boolean column: is the row's key in ``hot`` (a list, or a
-    bounded hot-key table joined by broadcast)."""
-    if hot is None or (isinstance(hot, (list, tuple)) and not hot):
-        return df, F.lit(False)
-    if isinstance(hot, (list, tuple)):
-        return df, F.col(key).isin(list(hot))
-    flags = F.broadcast(hot.select(F.col("__hk").alias(f"__hk{tag}"), F.lit(True).alias(f"__hot{tag}")))
-    flagged = df.join(flags, F.col(key) == F.col(f"__hk{tag}"), "left").drop(f"__hk{tag}")
-    return flagged, F.coalesce(F.col(f"__hot{tag}"), F.lit(False))
+def _is_hot(key: str, hot) -> Column:
+    """Whether the row's key is one of the ``hot`` values (a bounded list)."""
+    return F.col(key).isin(list(hot)) if hot else F.lit(False)
 
 
 def salted_join(
@@ -90,7 +85,7 @@ def salted_join(
     how: str = "inner",
     null_safe: bool = True,
     hot=(),
-    salts: int = SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
     """Equi-join on ``left_key = right_key`` (``<=>`` when ``null_safe``) in
     which the null group and the ``hot`` keys are spread over ``salts`` shuffle
@@ -105,9 +100,13 @@ def salted_join(
     few rows per key (e.g. players, one per id after de-dup).
     """
     columns = left.columns
-    left, spread_l = _hot_flag(left, left_key, hot, "l")
-    right, spread_r = _hot_flag(right, right_key, hot, "r")
+    salts = salts or default_salts(left)
+    if isinstance(hot, DataFrame):
+        # both sides must see one and the same set: a lazy sample evaluated
+        # twice could differ, and rows salted on one side only would be lost
+        hot = [r[0] for r in hot.collect()]
     lk, rk = F.col(left_key), F.col(right_key)
+    spread_l, spread_r = F.coalesce(_is_hot(left_key, hot), F.lit(False)), F.coalesce(_is_hot(right_key, hot), F.lit(False))
     if null_safe:
         spread_l, spread_r = spread_l | lk.isNull(), spread_r | rk.isNull()
     row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in columns])
@@ -118,7 +117,7 @@ def salted_join(
     )
     keys = lk.eqNullSafe(rk) if null_safe else lk == rk
     joined = l2.join(r2, keys & (F.col("__ls") == F.col("__rs")), how)
-    return joined.drop("__ls", "__rs", "__hotl", "__hotr")
+    return joined.drop("__ls", "__rs")
 
 
 def null_safe_join(
@@ -127,7 +126,7 @@ def null_safe_join(
     left_key: str,
     right_key: str,
     how: str = "inner",
-    salts: int = NULL_SALTS,
+    salts: int | None = None,
     hot=(),
 ) -> DataFrame:
     """J1's join: a null key matches a null key (``<=>``), and the null group

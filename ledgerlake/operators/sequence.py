@@ -107,17 +107,3 @@ def running_allocation(
     start_col = start if isinstance(start, Column) else F.lit(start)
     allocated = indexed.withColumn(name, (start_col + F.col("__k") + 1).cast("long")).drop("__k")
     return allocated.unionByName(rest)
-
-
-def take_first(
-    df: DataFrame,
-    n: int,
-    order_by: Sequence[str | Column],
-    name: str = "position",
-) -> DataFrame:
-    """O5 — the first ``n`` rows in ``order_by`` order, with their position.
-
-    ``n`` is the feature here (the positional take of the reference), not a
-    cap: all rows are ranked, then positions ≥ ``n`` are filtered out.
-    """
-    return row_index(df, order_by, name).where(F.col(name) < n)

@@ -32,23 +32,24 @@ raw_affiliates AS (
          CASE s_suppkey % 4 WHEN 0 THEN 'YouTube' WHEN 1 THEN 'Discord' WHEN 2 THEN 'X' END AS origin,
          CASE WHEN s_suppkey % 5 <> 0 THEN TIMESTAMP '1996-06-01 00:00:00' END AS redeemed_at
   FROM supplier
+  UNION ALL
+  SELECT s_suppkey, s_name, 'Discord', TIMESTAMP '1997-01-01 00:00:00' FROM supplier WHERE s_suppkey % 10 = 3
 )"""
 
 RAW_TRANSACTIONS = """
 raw_transactions AS (
-  SELECT o_orderkey AS id, o_orderdate AS "timestamp", o_custkey AS player_id,
+  SELECT o_orderkey AS id, o_orderdate + to_seconds(o_orderkey * 7919 % 86400 + v.ver * 86400) AS "timestamp", o_custkey AS player_id,
          CASE o_orderstatus WHEN 'F' THEN 'Deposit' WHEN 'O' THEN 'Withdraw' WHEN 'P' THEN 'Bonus' END AS type,
-         CASE WHEN o_orderkey % 97 <> 0 THEN CAST(o_totalprice AS DECIMAL(18,2)) END AS amount
-  FROM orders
+         CASE WHEN o_orderkey % 97 <> 0 THEN CAST(CAST(o_totalprice AS DECIMAL(18,2)) + v.ver AS DECIMAL(18,2)) END AS amount
+  FROM orders JOIN (VALUES (0), (1)) AS v(ver) ON v.ver = 0 OR o_orderkey % 7 = 0
 )"""
 
 EVENT_TRANSACTIONS = """
 event_transactions AS (
   SELECT event_id AS id, ts AS "timestamp", user_id AS player_id,
-         CASE event_type WHEN 'purchase' THEN 'Deposit' WHEN 'click' THEN 'Withdraw' ELSE 'Bonus' END AS type,
+         CASE event_type WHEN 'purchase' THEN 'Deposit' WHEN 'click' THEN 'Withdraw' WHEN 'signup' THEN 'Bonus' ELSE 'Other' END AS type,
          CAST(value AS DECIMAL(18,2)) AS amount
   FROM events
-  WHERE event_type IN ('purchase', 'click', 'signup')
 )"""
 
 # --- cleaning -----------------------------------------------------------------
@@ -138,11 +139,23 @@ WHERE type IN ('Deposit', 'Withdraw')
 GROUP BY player_id, CAST("timestamp" AS DATE)"""
 
 
-KDP = """
-kdp AS (
-  SELECT DISTINCT p.id AS player_id, p.country_code
-  FROM clean_players p JOIN clean_affiliates a ON p.affiliate_id = a.id
-  WHERE p.is_kyc_approved AND a.origin = 'Discord'
+CHANNEL_PAIRS = """
+channel_pairs AS (
+  SELECT id AS player_id, country_code FROM clean_players
+  WHERE is_kyc_approved AND affiliate_id IN (SELECT id FROM clean_affiliates WHERE origin = 'Discord')
+  GROUP BY id, country_code
+)"""
+
+# Totals per player, each counted once per country code of that player.
+COUNTRY_TOTALS = """
+per_player AS (
+  SELECT player_id, COUNT(amount) AS n, SUM(amount) AS s FROM clean_transactions WHERE type = 'Deposit' GROUP BY player_id
+),
+copies AS (SELECT player_id, COUNT(*) AS m FROM channel_pairs GROUP BY player_id),
+country_totals AS (
+  SELECT country_code, CAST(SUM(m * n) AS BIGINT) AS deposit_count, SUM(m * s) AS total_deposits
+  FROM channel_pairs JOIN copies USING (player_id) JOIN per_player USING (player_id)
+  GROUP BY country_code HAVING SUM(n) > 0
 )"""
 
 RANKED = """
@@ -158,21 +171,21 @@ def _sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["latest_by_key"] = with_ctes(
         STAGING + [LATEST_PLAYERS],
-        "SELECT * REPLACE (CAST(affiliate_id AS DOUBLE) AS affiliate_id) FROM latest_players",
+        "SELECT * REPLACE (CAST(affiliate_id AS VARCHAR) AS affiliate_id) FROM latest_players",
     )
     q["null_dangling"] = with_ctes(
         STAGING,
         """
 SELECT id,
        CAST(CASE WHEN affiliate_id IN (SELECT id FROM raw_affiliates WHERE id IS NOT NULL)
-                 THEN affiliate_id END AS DOUBLE) AS affiliate_id,
+                 THEN affiliate_id END AS VARCHAR) AS affiliate_id,
        country_code, is_kyc_approved, created_at, updated_at, ver
 FROM raw_players""",
     )
     q["first_claim"] = with_ctes(
         STAGING + [LATEST_PLAYERS],
         """
-SELECT id, CAST(CASE WHEN affiliate_id IS NOT NULL AND claim_rank = 1 THEN affiliate_id END AS DOUBLE) AS affiliate_id,
+SELECT id, CAST(CASE WHEN affiliate_id IS NOT NULL AND claim_rank = 1 THEN affiliate_id END AS VARCHAR) AS affiliate_id,
        country_code, is_kyc_approved, created_at, updated_at, ver
 FROM (SELECT *, ROW_NUMBER() OVER (
         PARTITION BY affiliate_id
@@ -199,16 +212,20 @@ WHERE upper(CAST(p.is_kyc_approved AS VARCHAR)) = 'TRUE' AND t."timestamp" >= p.
     q["null_safe_join"] = with_ctes(
         STAGING,
         """
-SELECT t.id, t."timestamp", CAST(t.player_id AS DOUBLE) AS player_id, t.type, CAST(t.amount AS DOUBLE) AS amount,
-       CAST(p.matched_player AS DOUBLE) AS matched_player, p.country_code, p.ver
+SELECT t.id, t."timestamp", CAST(t.player_id AS VARCHAR) AS player_id, t.type, CAST(t.amount AS DOUBLE) AS amount,
+       CAST(p.matched_player AS VARCHAR) AS matched_player, p.country_code, p.ver
 FROM (SELECT id, "timestamp", CASE WHEN id % 101 <> 0 THEN player_id END AS player_id, type, amount
       FROM raw_transactions) t
-JOIN (SELECT CASE WHEN id % 500 <> 7 THEN id END AS matched_player, country_code, ver
-      FROM raw_players) p
+JOIN (SELECT matched_player, country_code, ver FROM (
+        SELECT *, ROW_NUMBER() OVER (
+          PARTITION BY matched_player
+          ORDER BY updated_at DESC NULLS FIRST, affiliate_id DESC NULLS LAST, country_code DESC NULLS LAST,
+                   is_kyc_approved DESC NULLS LAST, created_at DESC NULLS LAST, ver DESC NULLS LAST) AS rn
+        FROM (SELECT CASE WHEN id % 500 <> 7 THEN id END AS matched_player, * FROM raw_players)) WHERE rn = 1) p
   ON t.player_id IS NOT DISTINCT FROM p.matched_player""",
     )
     q["clean_players"] = with_ctes(
-        CLEANING, "SELECT * REPLACE (CAST(affiliate_id AS DOUBLE) AS affiliate_id) FROM clean_players"
+        CLEANING, "SELECT * REPLACE (CAST(affiliate_id AS VARCHAR) AS affiliate_id) FROM clean_players"
     )
     q["clean_affiliates"] = with_ctes(CLEANING, "SELECT * FROM clean_affiliates")
     q["clean_transactions"] = with_ctes(
@@ -217,68 +234,40 @@ JOIN (SELECT CASE WHEN id % 500 <> 7 THEN id END AS matched_player, country_code
     )
     q["daily_ledger"] = with_ctes(CLEANING, _ledger("clean_transactions"))
     q["conditional_sum_by_day"] = with_ctes([EVENT_TRANSACTIONS], _ledger("event_transactions"))
-    q["distinct_selected_players"] = with_ctes(CLEANING + [KDP], "SELECT * FROM kdp")
+    q["distinct_selected_players"] = with_ctes(CLEANING + [CHANNEL_PAIRS], "SELECT * FROM channel_pairs")
     q["segment_totals"] = with_ctes(
-        CLEANING
-        + [
-            KDP,
-            """
-player_deposits AS (
-  SELECT t.player_id, t.amount FROM clean_transactions t
-  JOIN kdp ON t.player_id = kdp.player_id WHERE t.type = 'Deposit'
-)""",
-        ],
-        """
-SELECT kdp.country_code, COUNT(pd.amount) AS deposit_count, CAST(SUM(pd.amount) AS DOUBLE) AS total_deposits
-FROM kdp LEFT JOIN player_deposits pd ON kdp.player_id = pd.player_id
-GROUP BY kdp.country_code
-HAVING COUNT(pd.amount) > 0""",
+        CLEANING + [CHANNEL_PAIRS, COUNTRY_TOTALS],
+        "SELECT country_code, deposit_count, CAST(total_deposits AS DOUBLE) AS total_deposits FROM country_totals",
     )
     q["rank_per_player"] = with_ctes(STAGING, RANKED.format(source="raw_transactions"))
-    q["top_n_wide"] = with_ctes(
-        CLEANING,
-        """
-SELECT player_id,
-  CAST(MAX(CASE WHEN deposit_rank = 1 THEN amount END) AS DOUBLE) AS first_largest_deposit,
-  MAX(CASE WHEN deposit_rank = 1 THEN "timestamp" END) AS first_largest_deposit_date,
-  CAST(MAX(CASE WHEN deposit_rank = 2 THEN amount END) AS DOUBLE) AS second_largest_deposit,
-  MAX(CASE WHEN deposit_rank = 2 THEN "timestamp" END) AS second_largest_deposit_date,
-  CAST(MAX(CASE WHEN deposit_rank = 3 THEN amount END) AS DOUBLE) AS third_largest_deposit,
-  MAX(CASE WHEN deposit_rank = 3 THEN "timestamp" END) AS third_largest_deposit_date
-FROM (SELECT player_id, amount, "timestamp",
-             ROW_NUMBER() OVER (PARTITION BY player_id
-                                ORDER BY amount DESC NULLS FIRST, "timestamp" DESC NULLS FIRST) AS deposit_rank
-      FROM clean_transactions WHERE type = 'Deposit')
-WHERE deposit_rank <= 3
-GROUP BY player_id""",
-    )
+    q["top_n_wide"] = with_ctes(CLEANING, _top_three())
     return q
 
 
+def _top_three() -> str:
+    order = 'ORDER BY amount DESC NULLS FIRST, "timestamp" DESC NULLS FIRST'
+    cols = ", ".join(
+        f"CAST(amounts[{k}] AS DOUBLE) AS {name}_largest_deposit, times[{k}] AS {name}_largest_deposit_date"
+        for k, name in enumerate(("first", "second", "third"), 1)
+    )
+    return f"""
+SELECT player_id, {cols}
+FROM (SELECT player_id, list(amount {order}) AS amounts, list("timestamp" {order}) AS times
+      FROM clean_transactions WHERE type = 'Deposit' GROUP BY player_id)"""
+
+
 MARTS = [
-    KDP,
+    CHANNEL_PAIRS,
+    COUNTRY_TOTALS,
     """
 m_daily AS (
-  SELECT player_id, CAST("timestamp" AS DATE) AS transaction_date, CURRENT_TIMESTAMP AS updated_datetime
+  SELECT DISTINCT player_id, CAST("timestamp" AS DATE) AS transaction_date, CURRENT_TIMESTAMP AS updated_datetime
   FROM clean_transactions WHERE type IN ('Deposit', 'Withdraw')
-  GROUP BY player_id, CAST("timestamp" AS DATE)
-)""",
-    """
-m_segment AS (
-  SELECT kdp.country_code, COUNT(pd.amount) AS deposit_count, SUM(pd.amount) AS total_deposits,
-         CURRENT_TIMESTAMP AS updated_datetime
-  FROM kdp LEFT JOIN (SELECT t.player_id, t.amount FROM clean_transactions t
-                      JOIN kdp ON t.player_id = kdp.player_id WHERE t.type = 'Deposit') pd
-    ON kdp.player_id = pd.player_id
-  GROUP BY kdp.country_code HAVING COUNT(pd.amount) > 0
 )""",
+    "m_segment AS (SELECT *, CURRENT_TIMESTAMP AS updated_datetime FROM country_totals)",
     """
 m_top AS (
-  SELECT player_id, CURRENT_TIMESTAMP AS updated_datetime FROM (
-    SELECT player_id, ROW_NUMBER() OVER (PARTITION BY player_id
-                                         ORDER BY amount DESC NULLS FIRST, "timestamp" DESC NULLS FIRST) AS r
-    FROM clean_transactions WHERE type = 'Deposit') WHERE r <= 3
-  GROUP BY player_id
+  SELECT DISTINCT player_id, CURRENT_TIMESTAMP AS updated_datetime FROM clean_transactions WHERE type = 'Deposit'
 )""",
 ]
 
@@ -349,9 +338,9 @@ AS_OF = "TIMESTAMP '2025-09-01 00:00:00'"
 
 
 def _h(table: str, column: str, key: str) -> str:
-    """md5 draw: first 8 hex digits of md5('seed|table|column|key')."""
+    """md5 draw: first 15 hex digits of md5('seed|table|column|key')."""
     return (
-        f"CAST(('0x' || substr(md5(concat_ws('|', '{SEED}', '{table}', '{column}', CAST({key} AS VARCHAR))), 1, 8))"
+        f"CAST(('0x' || substr(md5(concat_ws('|', '{SEED}', '{table}', '{column}', CAST({key} AS VARCHAR))), 1, 15))"
         " AS BIGINT)"
     )
 
@@ -427,7 +416,7 @@ a_pad AS (
     f"""
 a_new AS (
   SELECT id,
-         {_letters("(pos * 7919 + " + "CAST(('0x' || substr(md5('42|affiliates|code|offset'), 1, 8)) AS BIGINT) % 308915776) % 308915776")} AS code,
+         {_letters("(pos * 7919 + " + "CAST(('0x' || substr(md5('42|affiliates|code|offset'), 1, 15)) AS BIGINT) % 308915776) % 308915776")} AS code,
          (['YouTube', 'Discord', 'X', NULL])[{_h('affiliates', 'origin', 'pos')} % 4 + 1] AS origin,
          redeemed_at
   FROM (SELECT pos, id, redeemed_at FROM a_taken UNION ALL SELECT pos, id, redeemed_at FROM a_pad)
@@ -489,7 +478,7 @@ def _cents_text(cents: str, sign: str = "") -> str:
 COERCE_IDS = """
 SELECT key, text,
        CAST(CASE WHEN try_cast(text AS DECIMAL(38,6)) = floor(try_cast(text AS DECIMAL(38,6)))
-                 THEN CAST(try_cast(text AS DECIMAL(38,6)) AS BIGINT) END AS DOUBLE) AS id_value
+                 THEN CAST(try_cast(text AS DECIMAL(38,6)) AS BIGINT) END AS VARCHAR) AS id_value
 FROM (SELECT o_orderkey AS key,
              CASE o_orderkey % 6 WHEN 0 THEN CAST(o_orderkey AS VARCHAR)
                                  WHEN 1 THEN CAST(o_orderkey AS VARCHAR) || '.0'
@@ -510,15 +499,29 @@ FROM (SELECT o_orderkey AS key,
       FROM (SELECT o_orderkey, CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders))"""
 
 COERCE_TIMESTAMPS = """
-SELECT key, text, timezone('UTC', try_strptime(text, '%Y-%m-%d %H:%M:%S%z')) AS parsed
+SELECT key, text,
+       COALESCE(timezone('UTC', try_strptime(text, '%Y-%m-%d %H:%M:%S%z')), try_strptime(text, '%Y-%m-%d %H:%M:%S')) AS parsed
 FROM (SELECT o_orderkey AS key,
-             CASE o_orderkey % 5 WHEN 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') || '+00:00'
+             CASE o_orderkey % 6 WHEN 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') || '+00:00'
                                  WHEN 1 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') || '+02:00'
                                  WHEN 2 THEN strftime(ts, '%Y-%m-%d')
                                  WHEN 3 THEN strftime(ts, '%Y/%m/%d %H:%M:%S') || '+00:00'
+                                 WHEN 4 THEN strftime(ts, '%Y-%m-%d %H:%M:%S')
                                  ELSE 'bad' END AS text
       FROM (SELECT o_orderkey, o_orderdate + to_seconds(o_orderkey % 86400) AS ts FROM orders))"""
 
+CSV_ROUND_TRIP = r"""
+SELECT o_orderkey AS key,
+       CASE o_orderkey % 5 WHEN 0 THEN ' "' || o_orderpriority || '", ok '
+                           WHEN 1 THEN o_orderpriority || chr(10) || 'second line'
+                           WHEN 2 THEN 'back\slash ' || o_orderpriority
+                           WHEN 3 THEN o_orderpriority END AS text,
+       o_orderdate + to_seconds(o_orderkey % 86400) AS "at"
+FROM orders"""
+
+# The run reads the declared columns only: the files have no version number.
+LATEST_VERSIONS_OF_FILES = LATEST_PLAYERS.replace(", ver DESC NULLS LAST", "")
+
 TEXT_TRUTH = """
 SELECT key, text
 FROM (SELECT c_custkey AS key,
@@ -545,12 +548,12 @@ def oracle_sql() -> dict[str, str]:
     q["running_allocation"] = with_ctes(
         STAGING,
         """
-SELECT id, ver, CAST(affiliate_id AS DOUBLE) AS affiliate_id,
+SELECT id, ver, CAST(affiliate_id AS VARCHAR) AS affiliate_id,
        CAST(CASE WHEN affiliate_id IS NOT NULL THEN
          (SELECT COALESCE(MAX(id), 0) FROM raw_affiliates)
          + SUM(CASE WHEN affiliate_id IS NOT NULL THEN 1 ELSE 0 END)
              OVER (ORDER BY id, ver ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
-       END AS DOUBLE) AS allocated
+       END AS VARCHAR) AS allocated
 FROM raw_players""",
     )
     q["union_increment"] = with_ctes(
@@ -563,7 +566,7 @@ SELECT id + (SELECT COALESCE(MAX(id), 0) + 1 FROM raw_transactions), "timestamp"
     )
     q["extend_players"] = with_ctes(
         STAGING + EXPANDED_PLAYERS,
-        "SELECT * REPLACE (CAST(affiliate_id AS DOUBLE) AS affiliate_id, CAST(ver AS DOUBLE) AS ver) "
+        "SELECT * REPLACE (CAST(affiliate_id AS VARCHAR) AS affiliate_id, CAST(ver AS VARCHAR) AS ver) "
         "FROM expanded_players",
     )
     q["extend_affiliates"] = with_ctes(
@@ -577,6 +580,27 @@ SELECT id, "timestamp", player_id, type, CAST(amount AS DOUBLE) AS amount FROM r
 UNION ALL
 SELECT id, "timestamp", player_id, type, CAST(amount AS DOUBLE) FROM t_new""",
     )
+    q["csv_round_trip"] = CSV_ROUND_TRIP
+    q["parquet_round_trip"] = with_ctes(
+        STAGING, 'SELECT id, "timestamp", player_id, type, CAST(amount AS DOUBLE) AS amount FROM raw_transactions'
+    )
+    q["land_players"] = q["clean_players"]
+    q["stored_ledger"] = with_ctes(
+        CLEANING,
+        f"SELECT *, ROW_NUMBER() OVER (ORDER BY player_id NULLS LAST, transaction_date NULLS LAST) - 1 AS place FROM ({_ledger('clean_transactions')})",
+    )
+    stored = {
+        "raw_players": "clean_players",
+        "raw_affiliates": "clean_affiliates",
+        "raw_transactions": "clean_transactions",
+        "daily_ledger": "m_daily",
+        "segment_totals": "m_segment",
+        "top_n_wide": "m_top",
+    }
+    q["daily_run"] = with_ctes(
+        [RAW_PLAYERS, RAW_AFFILIATES, RAW_TRANSACTIONS, LATEST_VERSIONS_OF_FILES, *CLEANING[4:], *MARTS],
+        "\nUNION ALL\n".join(f"SELECT '{k}' AS table_name, COUNT(*) AS n_rows, CAST(20 AS BIGINT) AS n_tests FROM {v}" for k, v in stored.items()),
+    )
     q["check_unique"] = with_ctes(
         STAGING,
         "SELECT id, COUNT(*) AS n_records FROM raw_players WHERE id IS NOT NULL GROUP BY id HAVING COUNT(*) > 1",

@@ -40,12 +40,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlake.functions.coerce import truth_text
-from ledgerlake.functions.draws import between, choice, draw, letters
+from ledgerlake.functions.draws import DRAW_DIGITS, between, choice, draw, letters
 from ledgerlake.operators.aggregates import distinct_with_null_expr, next_identifier_expr
 from ledgerlake.operators.keyed import latest_by_key
 from ledgerlake.operators.sequence import indexed_rows, running_allocation
 from ledgerlake.schemas import AMOUNT
-from ledgerlake.session import parallelism
+from ledgerlake.session import ensure_checkpoint_dir, parallelism
 
 # Generator domains and ranges.
 COUNTRIES = ["DE", "BR", "GB", "US", "CA"]
@@ -102,7 +102,7 @@ def _conform(new: DataFrame, base: DataFrame) -> DataFrame:
 
 def code_offset(seed: int, width: int = CODE_WIDTH) -> int:
     """Seed-dependent offset of the code permutation (same md5 rule as draws)."""
-    return int(hashlib.md5(f"{seed}|affiliates|code|offset".encode()).hexdigest()[:8], 16) % 26**width
+    return int(hashlib.md5(f"{seed}|affiliates|code|offset".encode()).hexdigest()[:DRAW_DIGITS], 16) % 26**width
 
 
 def extend_players(base: DataFrame, target: Target, seed: int = 42, as_of: str = DEFAULT_AS_OF) -> DataFrame:
@@ -147,6 +147,7 @@ def _resolve_clashes(rows: DataFrame, base: DataFrame, seed: int) -> DataFrame:
     round_no = 0
     while not rows.join(taken, F.col("code") == F.col("__taken"), "left_semi").isEmpty():
         extra = letters(draw(seed, "affiliates", f"code_extra{round_no}", F.col("__pos")) % 26, 1)
+        ensure_checkpoint_dir(rows.sparkSession)
         rows = (
             rows.join(taken, F.col("code") == F.col("__taken"), "left")
             .withColumn("code", F.when(F.col("__clash"), F.concat(F.col("code"), extra)).otherwise(F.col("code")))

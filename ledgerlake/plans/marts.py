@@ -86,17 +86,20 @@ def segment_totals(
     players who came through ``channel``; countries with no non-null amount
     are left out (HAVING count > 0).
 
-    Plan: transactions are first reduced to one row per player (partial
-    aggregation, skew-safe), then joined once to the selected players
-    (J4/J5 collapse, ledger L22). The SQL semantics for a player listed under
+    Plan: transactions are cut down to the selected players (a semi-join, which
+    AQE broadcasts when their measured size allows), reduced to one row per
+    player (partial aggregation, skew-safe), then joined once to the selected
+    players (J4/J5 collapse, ledger L22). The SQL semantics for a player listed under
     m country codes — every amount counted m times per country — are kept
     by weighting with m, computed by a window over the selected players,
     which are already partitioned by player_id for the join.
     """
     kdp = selected_players(players, affiliates, channel, by_player=True)
     kdp = kdp.withColumn("__m", F.count(F.lit(1)).over(Window.partitionBy("player_id")))
+    # only the selected players' amounts are summed and shuffled
     per_player = (
         transactions.where(F.col("type") == txn_type)
+        .join(kdp.select(F.col("player_id")), "player_id", "left_semi")
         .groupBy(F.col("player_id").alias("__pid"))
         .agg(
             F.count("amount").alias("__n"),

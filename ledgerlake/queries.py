@@ -9,6 +9,7 @@ ledger L12) and timestamps become UTC wall-clock ``timestamp_ntz``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,17 +18,18 @@ from pyspark.sql import types as T
 
 from ledgerlake.functions import coerce
 from ledgerlake.operators import aggregates, keyed, sequence
-from ledgerlake.plans import clean, increment, marts, quality
+from ledgerlake.plans import clean, daily_run, increment, marts, quality
+from ledgerlake.schemas import SCHEMAS
 from ledgerlake.session import ensure_checkpoint_dir
-from ledgerlake.sources import staging
+from ledgerlake.sources import catalog, files, staging
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 # Integer columns that hold nulls in a registered query's output. Client
 # libraries disagree on how to hand such a column to pandas (float64 with NaN
-# from Spark, a nullable Int64 from DuckDB), so both sides compare them as
-# DOUBLE; the values are whole numbers and stay equal.
+# from Spark, a nullable Int64 from DuckDB), so both sides compare their text,
+# which keeps every digit.
 NULLABLE_INTEGERS = {
     "latest_by_key": ("affiliate_id",),
     "null_dangling": ("affiliate_id",),
@@ -37,17 +39,20 @@ NULLABLE_INTEGERS = {
     "coerce_ids": ("id_value",),
     "running_allocation": ("affiliate_id", "allocated"),
     "extend_players": ("affiliate_id", "ver"),
+    "land_players": ("affiliate_id",),
 }
 
 
-def comparable(df: DataFrame, as_double: tuple[str, ...] = ()) -> DataFrame:
+def comparable(df: DataFrame, as_text: tuple[str, ...] = ()) -> DataFrame:
     """Result in the representation the oracle uses: decimals (computed
-    exactly) and the listed nullable integer columns as DOUBLE, timestamps
-    as UTC wall-clock ``timestamp_ntz``."""
+    exactly) as DOUBLE, the listed nullable integer columns as text,
+    timestamps as UTC wall-clock ``timestamp_ntz``."""
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, T.DecimalType) or f.name in as_double:
+        if f.name in as_text:
+            c = c.cast("string")
+        elif isinstance(f.dataType, T.DecimalType):
             c = c.cast("double")
         elif isinstance(f.dataType, T.TimestampType):
             c = c.cast("timestamp_ntz")
@@ -109,13 +114,14 @@ def q_kyc_time_gate(spark, sf_dir):
 
 def q_null_safe_join(spark, sf_dir):
     """J1 with null keys on both sides: every 101st order has no player, and
-    every 500th customer (offset 7) has a null id; null matches null. All
-    player versions take part, so a player with two versions matches twice."""
+    every 500th customer (offset 7) has a null id; null matches null. The
+    players are reduced to their latest versions first, so at most one has a
+    null id, however many null ids the transactions hold."""
     t = staging.raw_transactions(spark, sf_dir)
     t = t.withColumn("player_id", F.when(F.col("id") % 101 != 0, F.col("player_id")))
     p = staging.raw_players(spark, sf_dir)
     p = p.withColumn("id", F.when(F.col("id") % 500 != 7, F.col("id")))
-    gate = p.select(F.col("id").alias("matched_player"), F.col("country_code"), F.col("ver"))
+    gate = keyed.latest_by_key(p, "id", "updated_at").select(F.col("id").alias("matched_player"), F.col("country_code"), F.col("ver"))
     return keyed.null_safe_join(t, gate, "player_id", "matched_player", "inner")
 
 
@@ -175,10 +181,11 @@ def q_coerce_timestamps(spark, sf_dir):
     ts = F.timestamp_seconds(F.unix_seconds(F.col("o_orderdate").cast("timestamp")) + k % 86400)
     base = F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
     text = (
-        F.when(k % 5 == 0, F.concat(base, F.lit("+00:00")))
-        .when(k % 5 == 1, F.concat(base, F.lit("+02:00")))
-        .when(k % 5 == 2, F.date_format(ts, "yyyy-MM-dd"))
-        .when(k % 5 == 3, F.concat(F.date_format(ts, "yyyy/MM/dd HH:mm:ss"), F.lit("+00:00")))
+        F.when(k % 6 == 0, F.concat(base, F.lit("+00:00")))
+        .when(k % 6 == 1, F.concat(base, F.lit("+02:00")))
+        .when(k % 6 == 2, F.date_format(ts, "yyyy-MM-dd"))
+        .when(k % 6 == 3, F.concat(F.date_format(ts, "yyyy/MM/dd HH:mm:ss"), F.lit("+00:00")))
+        .when(k % 6 == 4, base)
         .otherwise(F.lit("bad"))
     )
     rows = staging.read_table(spark, sf_dir, "orders").select(k.alias("key"), text.alias("text"))
@@ -339,6 +346,84 @@ def q_extend_transactions(spark, sf_dir):
     return increment.extend_transactions(base, _expanded_players(spark, sf_dir), _doubled, SEED, AS_OF)
 
 
+# --- files, tables and the whole run: written to the shared folder, read back ---
+
+
+def _folder(spark, name: str) -> str:
+    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _database(spark, name: str) -> str:
+    """A database of its own below the shared folder, so that two runs never
+    meet in one table."""
+    full = f"{name}_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {full} LOCATION '{_folder(spark, name)}'")
+    return full
+
+
+def q_csv_round_trip(spark, sf_dir):
+    """S4, X4, S1 — text with quotes, commas, line breaks and outer blanks, and
+    timestamps with their offset, through a CSV folder."""
+    k = F.col("o_orderkey")
+    name = F.col("o_orderpriority")
+    text = (
+        F.when(k % 5 == 0, F.concat(F.lit(' "'), name, F.lit('", ok ')))
+        .when(k % 5 == 1, F.concat(name, F.lit("\nsecond line")))
+        .when(k % 5 == 2, F.concat(F.lit("back\\slash "), name))
+        .when(k % 5 == 3, name)
+    )
+    rows = staging.read_table(spark, sf_dir, "orders").select(
+        k.alias("key"), text.alias("text"), F.timestamp_seconds(F.unix_seconds(F.col("o_orderdate").cast("timestamp")) + k % 86400).alias("at")
+    )
+    path = files.write_csv(rows, _folder(spark, "csv"))
+    schema = T.StructType([T.StructField("key", T.LongType()), T.StructField("at", T.TimestampType())])
+    return files.read_csv(spark, path, schema, (), multi_line=True)
+
+
+def q_parquet_round_trip(spark, sf_dir):
+    """S3, S2 — typed transactions through a Parquet folder."""
+    path = files.write_parquet(staging.raw_transactions(spark, sf_dir), _folder(spark, "parquet"))
+    return files.read_parquet(spark, path)
+
+
+def q_land_players(spark, sf_dir):
+    """C4 (S5, S6, S7) — the cleaned players in their landing table; landed
+    twice, so the second load replaces the first."""
+    database = _database(spark, "landing")
+    players = clean.landing_players(_cleaned(spark, sf_dir)["players"])
+    catalog.land(players.where("id % 2 = 0"), spark, database, "players")
+    catalog.land(players, spark, database, "players")
+    return catalog.source(spark, database, "raw_players")
+
+
+def q_stored_ledger(spark, sf_dir):
+    """S8, O3 — the daily ledger as a stored table, with each row's place in
+    the reading order."""
+    full = catalog.materialize(_cleaned_ledger(spark, sf_dir), _database(spark, "marts"), "daily_ledger")
+    order = [F.col("player_id").asc_nulls_last(), F.col("transaction_date").asc_nulls_last()]
+    return sequence.row_index(spark.table(full), order, "place")
+
+
+def _cleaned_ledger(spark, sf_dir):
+    return marts.daily_ledger(_cleaned(spark, sf_dir)["transactions"], stamp=False)
+
+
+def q_daily_run(spark, sf_dir):
+    """R1 — raw CSV files through the whole run (no extension): the report of
+    its data tests with the rows of each stored table."""
+    raw = _folder(spark, "raw")
+    for name, df in staging.raw_tables(spark, sf_dir).items():
+        columns = [f.name for f in SCHEMAS[name].fields]
+        files.write_csv(df.select(*columns), f"{raw}/{name}")
+    database = _database(spark, "run")
+    result = daily_run.daily_run(spark, raw, _folder(spark, "work"), database, extend=False, hot_key_share=None)
+    parts = [
+        spark.table(t).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(key).alias("table_name"), "n_rows", F.lit(len(result.tests)).cast("long").alias("n_tests"))
+        for key, t in {**{f"raw_{t}": n for t, n in result.landing.items()}, **result.marts}.items()
+    ]
+    return quality.union_all(parts)
+
+
 REGISTRY: dict[str, Query] = {
     "latest_by_key": q_latest_by_key,
     "null_dangling": q_null_dangling,
@@ -370,6 +455,11 @@ REGISTRY: dict[str, Query] = {
     "extend_players": q_extend_players,
     "extend_affiliates": q_extend_affiliates,
     "extend_transactions": q_extend_transactions,
+    "csv_round_trip": q_csv_round_trip,
+    "parquet_round_trip": q_parquet_round_trip,
+    "land_players": q_land_players,
+    "stored_ledger": q_stored_ledger,
+    "daily_run": q_daily_run,
 }
 
 

@@ -45,7 +45,7 @@ LANDING_NAMES = {
     "transactions": "raw_transactions",
 }
 
-# Landing DDL column lists. country_code is limited to four characters, which
+# The landing tables' column lists. country_code is limited to four characters, which
 # Spark enforces on table writes (ledger L25).
 LANDING_COLUMNS = {
     "players": "id BIGINT, affiliate_id BIGINT, country_code VARCHAR(4), "
@@ -65,7 +65,3 @@ DEPOSIT = "Deposit"
 WITHDRAW = "Withdraw"
 BONUS = "Bonus"
 TRANSACTION_TYPES = [DEPOSIT, WITHDRAW, BONUS]
-
-
-def column_names(table: str) -> list[str]:
-    return [f.name for f in SCHEMAS[table].fields]

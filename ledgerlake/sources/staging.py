@@ -16,26 +16,9 @@ from pyspark.sql import functions as F
 from ledgerlake.schemas import AMOUNT
 
 
-_SOURCES: dict[tuple[str, str], DataFrame] = {}
-
-
-def _session_token(spark: SparkSession) -> str:
-    """Identity of a live session: a stopped and recreated session gets a new
-    application id, so a cached scan never outlives its session."""
-    try:
-        return f"{spark.sparkContext.applicationId}:{id(spark)}"
-    except Exception:  # Spark Connect
-        return f"connect:{id(spark)}"
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan of one driver table. The DataFrame is reused within a session, so
-    the file listing and footer read happen once per table, not per query."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (_session_token(spark), path)
-    if key not in _SOURCES:
-        _SOURCES[key] = spark.read.parquet(path)
-    return _SOURCES[key]
+    """Scan of one driver table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _ts(text: str):
@@ -76,53 +59,70 @@ def raw_players(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_affiliates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Affiliates from ``supplier``; origin cycles through the channels."""
+    """Affiliates from ``supplier``; origin cycles through the channels. Every
+    tenth has a later second version, of another channel."""
     s = F.col("s_suppkey")
-    return read_table(spark, sf_dir, "supplier").select(
+    later = F.col("ver") == 1
+    versions = read_table(spark, sf_dir, "supplier").select(
+        "s_suppkey", "s_name", F.explode(F.when(s % 10 == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("ver")
+    )
+    return versions.select(
         s.alias("id"),
         F.col("s_name").alias("code"),
-        F.when(s % 4 == 0, "YouTube")
+        F.when(later, "Discord")
+        .when(s % 4 == 0, "YouTube")
         .when(s % 4 == 1, "Discord")
         .when(s % 4 == 2, "X")
         .alias("origin"),
-        F.when(s % 5 != 0, _ts("1996-06-01 00:00:00")).alias("redeemed_at"),
+        F.when(later, _ts("1997-01-01 00:00:00")).when(s % 5 != 0, _ts("1996-06-01 00:00:00")).alias("redeemed_at"),
     )
 
 
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transactions from ``orders``: status F/O/P → Deposit/Withdraw/Bonus;
-    every 97th amount is null."""
+    every 97th amount is null, times lie inside the day, and every seventh has
+    a second version a day later with another amount."""
     o = F.col("o_orderkey")
     status = F.col("o_orderstatus")
-    return read_table(spark, sf_dir, "orders").select(
+    later = F.col("ver")
+    versions = read_table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        "o_orderdate",
+        "o_custkey",
+        "o_orderstatus",
+        "o_totalprice",
+        F.explode(F.when(o % 7 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("ver"),
+    )
+    seconds = F.unix_seconds(F.col("o_orderdate").cast("timestamp")) + (o * 7919) % 86400 + later * 86400
+    return versions.select(
         o.alias("id"),
-        F.col("o_orderdate").cast("timestamp").alias("timestamp"),
+        F.timestamp_seconds(seconds).alias("timestamp"),
         F.col("o_custkey").alias("player_id"),
         F.when(status == "F", "Deposit")
         .when(status == "O", "Withdraw")
         .when(status == "P", "Bonus")
         .alias("type"),
-        F.when(o % 97 != 0, F.col("o_totalprice").cast(AMOUNT)).alias("amount"),
+        F.when(o % 97 != 0, (F.col("o_totalprice").cast(AMOUNT) + later).cast(AMOUNT)).alias("amount"),
     )
 
 
 def event_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Second source with sub-day times: ``events`` as transactions.
 
-    purchase → Deposit, click → Withdraw, signup → Bonus; view and error are
-    not transactions and are dropped.
+    purchase → Deposit, click → Withdraw, signup → Bonus, all others → Other,
+    a type that no mart counts.
     """
     et = F.col("event_type")
     return (
         read_table(spark, sf_dir, "events")
-        .filter(et.isin("purchase", "click", "signup"))
         .select(
             F.col("event_id").alias("id"),
             F.col("ts").cast("timestamp").alias("timestamp"),
             F.col("user_id").alias("player_id"),
             F.when(et == "purchase", "Deposit")
             .when(et == "click", "Withdraw")
-            .otherwise("Bonus")
+            .when(et == "signup", "Bonus")
+            .otherwise("Other")
             .alias("type"),
             F.col("value").cast(AMOUNT).alias("amount"),
         )

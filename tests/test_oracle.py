@@ -10,6 +10,7 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, os.path.join(ROOT, "tools"))
 
 import __spark_entry__ as E  # noqa: E402
+from ledgerlake import queries as Q  # noqa: E402
 from check_oracle import TABLES, _rows  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
@@ -24,9 +25,10 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(Q.queries()))
 def test_query_matches_oracle(spark, duck, name):
-    sdf = E.queries()[name](spark, SF).toPandas()
+    result = E.queries()[name](spark, SF)
+    sdf = result.toPandas()
     sql = E.oracle_sql()
     assert name in sql
     odf = duck.execute(sql[name]).df()
@@ -38,7 +40,7 @@ def test_query_matches_oracle(spark, duck, name):
     cols = sorted(sdf.columns)
     as_text = lambda df: sorted(map(tuple, df[cols].astype(str).values.tolist()))
     assert as_text(sdf) == as_text(odf)
-    srows = [tuple(r[c] for c in cols) for r in E.queries()[name](spark, SF).collect()]
+    srows = [tuple(r[c] for c in cols) for r in result.collect()]
     quoted = ", ".join(f'"{c}"' for c in cols)
     orows = duck.execute(f"SELECT {quoted} FROM ({sql[name]})").fetchall()
     as_repr = lambda rows: sorted(tuple(map(repr, r)) for r in rows)
@@ -67,7 +69,7 @@ SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "stri
                  "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(Q.queries()))
 def test_oracle_column_types_match(spark, duck, name):
     spark_types = dict(E.queries()[name](spark, SF).dtypes)
     duck_types = {r[0]: r[1] for r in duck.execute(f"DESCRIBE {E.oracle_sql()[name]}").fetchall()}

@@ -1,5 +1,7 @@
 """The checkpoint folder comes from the session; a temp one only when unset."""
 
+import pytest
+
 from ledgerlake.session import ensure_checkpoint_dir
 
 
@@ -12,8 +14,8 @@ class _Conf:
 
 
 class _Context:
-    def __init__(self, conf):
-        self._conf, self.dir = _Conf(conf), None
+    def __init__(self, conf, master="local[8]"):
+        self._conf, self.dir, self.master = _Conf(conf), None, master
 
     def getCheckpointDir(self):
         return self.dir
@@ -26,9 +28,9 @@ class _Context:
 
 
 class _Session:
-    def __init__(self, session_conf, context_conf):
+    def __init__(self, session_conf, context_conf, master="local[8]"):
         self.conf = _Conf(session_conf)
-        self.sparkContext = _Context(context_conf)
+        self.sparkContext = _Context(context_conf, master)
 
 
 def test_configured_shared_folder_wins():
@@ -48,3 +50,11 @@ def test_temp_folder_only_when_unset():
     s = _Session({}, {})
     path = ensure_checkpoint_dir(s)
     assert path.startswith("/tmp/ledgerlake-ckpt-")
+
+
+@pytest.mark.parametrize("master", ["yarn", "spark://host:7077", "k8s://host", "local-cluster[3,2,1024]"])
+def test_no_local_checkpoint_folder_on_a_cluster(master):
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(_Session({}, {}, master))
+    shared = _Session({}, {"spark.checkpoint.dir": "hdfs://shared"}, master)
+    assert ensure_checkpoint_dir(shared) == "hdfs://shared"

@@ -5,14 +5,14 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
+from ledgerlake import queries as Q
 
 SF = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(Q.queries()))
 def test_no_row_limit_in_plan(spark, name):
-    df = E.queries()[name](spark, SF)
+    df = Q.queries()[name](spark, SF)
     text = df._jdf.queryExecution().optimizedPlan().toString()
     limits = [m for m in re.findall(r"\b(\w*Limit)\b", text) if m != "WindowGroupLimit"]
     assert limits == []
