@@ -131,15 +131,18 @@ def train(texts: list[str], labels: list[str], landmarks: int = 256, order: int
 def training_sample(labelled: DataFrame, per_language: int, most: int) -> list[tuple[str, str]]:
     """(text, language) of a bounded sample: of each language the first
     ``per_language`` distinct texts by a hash of the text, in rounds over the
-    languages, ``most`` in all. The order depends on texts alone.
+    languages, ``most`` in all; of more than ``most`` languages the most
+    frequent. The order depends on texts alone.
 
     Distinct texts are counted per language first; rows far above the cut
     that the count implies are dropped before any text is shuffled."""
     hashed = labelled.where("text IS NOT NULL AND lang IS NOT NULL").select("text", "lang", F.xxhash64("text").alias("h"))
     share = (
         hashed.select("lang", "h").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+        .orderBy(F.desc("n"), "lang").limit(most)
         .select("lang", ((2 * per_language + 50) / F.col("n")).alias("share"))
     )
+    share = F.broadcast(share)  # at most ``most`` rows
     ranked = (
         hashed.join(share, "lang")
         .where(unit_hash(F.col("h")) <= F.col("share"))
