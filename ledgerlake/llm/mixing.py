@@ -77,7 +77,7 @@ def mix_plan(
     docs: DataFrame,
     most_epochs: int = 3,
     seed: str = "mix",
-    slice_rows: int = 20_000,
+    slice_rows: int | None = None,
     order_key: Column | None = None,
 ) -> DataFrame:
     """``doc_id, size, source_size, target, taken`` (and the order key ``key``)
@@ -86,7 +86,9 @@ def mix_plan(
     sized = docs.select("doc_id", "source", words_in("text").alias("size"), (order_key if order_key is not None else key).alias("key"))
     sized = written(sized, "sized")
     goal = targets(sized, most_epochs)
-    slices = F.greatest(F.lit(1), F.ceil(F.col("documents") / slice_rows)).cast("long")
+    # by default as many slices as rows in each: both grow with the square root
+    wanted = F.sqrt(F.col("documents")) if slice_rows is None else F.col("documents") / slice_rows
+    slices = F.greatest(F.lit(1), F.ceil(wanted)).cast("long")
     place = F.conv(F.substring("key", 1, _HEX), 16, 10).cast("double") / F.lit(float(16**_HEX))
     placed = (
         sized.withColumns({"s": F.coalesce("source", F.lit("")), "none": F.col("source").isNull()}).drop("source")
