@@ -13,7 +13,7 @@ text is not swamped by noise.
 
 Defined cases: a null text is an empty one (no features: the grade of the
 thresholds alone); null or unknown ratings teach nothing; repeated rows and
-ratings count as often as they occur; with fewer than two grades in the
+equal ratings of one document count once; with fewer than two grades in the
 sample every document gets that grade; an empty table gives no row; extra
 columns are ignored.
 """
@@ -148,17 +148,19 @@ def train(feats: list[np.ndarray], grades: np.ndarray, levels: int, bits: int, l
     return OrdinalModel(weight, thetas(t), bits)
 
 
-def fit(rated: DataFrame, levels: int, most: int = 8000, bits: int = 18, l1: float = 3e-4) -> OrdinalModel:
-    """Train on at most ``most`` distinct rated texts (columns ``text``, ``grade``
-    0 to ``levels - 1``): those that come first by a hash of text and grade.
-    Ratings are counted first, so that rows far above the cut that the count
-    implies are dropped early."""
-    prepare(rated.sparkSession)
-    hashed = rated.where(f"grade BETWEEN 0 AND {levels - 1}").select(
-        F.coalesce("text", F.lit("")).alias("text"), F.col("grade").cast("int").alias("grade")
-    ).withColumn("h", F.xxhash64("text", "grade"))
-    n = hashed.select("grade").count()
-    sample = hashed.where(unit_hash(F.col("h")) <= (2 * most + 50) / max(n, 1)).dropDuplicates(["h"])
+def fit(docs: DataFrame, ratings: DataFrame, levels: int, most: int = 8000, bits: int = 18, l1: float = 3e-4) -> OrdinalModel:
+    """Train on at most ``most`` ratings (columns ``doc_id``, ``grade`` 0 to
+    ``levels - 1``), those that come first by a hash of the id, and the texts
+    they belong to. The chosen ratings, a bounded number, are broadcast to the
+    documents, so no text is shuffled that is not trained on."""
+    prepare(docs.sparkSession)
+    valid = ratings.where(f"doc_id IS NOT NULL AND grade BETWEEN 0 AND {levels - 1}").select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("grade").cast("int").alias("grade")
+    ).withColumn("h", F.xxhash64("doc_id", "grade"))
+    n = valid.count()
+    chosen = valid.where(unit_hash(F.col("h")) <= (2 * most + 50) / max(n, 1)).orderBy("h", "grade").limit(most)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    sample = texts.join(F.broadcast(chosen.distinct()), "doc_id").dropDuplicates(["h"])
 
     def run(batches):
         import pyarrow as pa
@@ -198,9 +200,8 @@ def score(docs: DataFrame, model: OrdinalModel, tail: int, least: float = 0.5) -
     return source.mapInArrow(run, "doc_id long, expected_grade double, tail_prob double, kept boolean")
 
 
-def graded(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Texts with a three-step rating from the two binary labels: 0 toxic, 1
-    low quality, 2 good. A toxic label decides whatever the quality."""
+def graded(labels: DataFrame) -> DataFrame:
+    """``doc_id, grade``: a three-step rating from the two binary labels: 0
+    toxic, 1 low quality, 2 good. A toxic label decides whatever the quality."""
     grade = F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).when((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0), 2)
-    rating = labels.select("doc_id", grade.alias("grade")).where("grade IS NOT NULL AND doc_id IS NOT NULL")
-    return docs.select("doc_id", "text").join(rating, "doc_id").select("text", "grade")
+    return labels.select("doc_id", grade.alias("grade")).where("grade IS NOT NULL")

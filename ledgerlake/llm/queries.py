@@ -30,7 +30,7 @@ def op1_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expected grade (0 toxic, 1 low quality, 2 good) and P(good) of every
     document; ``kept`` selects those with P(good) of at least a half."""
     docs = table(spark, sf_dir, "documents")
-    model = ordinal_quality.fit(ordinal_quality.graded(docs, table(spark, sf_dir, "labels")), levels=3)
+    model = ordinal_quality.fit(docs, ordinal_quality.graded(table(spark, sf_dir, "labels")), levels=3)
     return ordinal_quality.score(docs, model, tail=2)
 
 

@@ -467,9 +467,9 @@ def test_ordinal_quality(session, docs, empty):
     grade = (tails >= 0.5).sum(axis=1)
     assert (grade == np.array(grades[400:])).mean() > 0.95
     labels = session.createDataFrame([(i, i % 2, 1 if i % 7 == 0 else 0, "t") for i in range(40)] + [(None, 1, 1, "t"), (5, None, None, "t"), (6, 9, None, "t")], "doc_id long, quality int, toxic int, text string")
-    fitted = ordinal_quality.fit(ordinal_quality.graded(docs, labels), 3)
+    fitted = ordinal_quality.fit(docs, ordinal_quality.graded(labels), 3)
     out = ordinal_quality.score(docs, fitted, 2).collect()
     assert len(out) == docs.count() and all(0 <= r.tail_prob <= 1 and 0 <= r.expected_grade <= 2 for r in out)
-    none = ordinal_quality.fit(ordinal_quality.graded(empty, labels), 3)
+    none = ordinal_quality.fit(empty, ordinal_quality.graded(labels), 3)
     assert ordinal_quality.score(docs, none, 2).count() == docs.count()
     assert ordinal_quality.score(empty, fitted, 2).count() == 0
