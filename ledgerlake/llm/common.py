@@ -17,6 +17,9 @@ from ledgerlake.session import ensure_checkpoint_dir
 # Rows of one Arrow batch: texts are long, so batches stay at a few MB.
 BATCH_ROWS = 512
 
+# A key with more than this part (1 / HOT_SHARE) of the rows is dealt over tasks.
+HOT_SHARE = 1000
+
 _SHIPPED: set[str] = set()
 
 
@@ -71,6 +74,25 @@ def unit_hash(h: Column) -> Column:
     return h.cast("double") / F.lit(2.0**64) + F.lit(0.5)
 
 
+def spread_join(rows: DataFrame, per_key: DataFrame, keys: list[str], total: int, counts: DataFrame | None = None) -> DataFrame:
+    """Inner join of ``rows`` with ``per_key`` (one row per key, whose column
+    ``c`` counts the key's rows in ``rows`` or more; it is dropped), safe for
+    hot keys. A key with more than one ``HOT_SHARE``-th of ``total`` (at least
+    the sum of ``c``) is dealt over several salts by a hash of the row, and its
+    one row of ``per_key`` is repeated for each.
+
+    AQE splits a skewed partition only where both sides come straight from a
+    shuffle, which a freshly aggregated ``per_key`` does not. Fewer than
+    ``HOT_SHARE`` keys can be hot, so their list is broadcast. ``counts`` may
+    hold the keys and ``c`` where ``per_key`` costs much to work out twice."""
+    salts = F.greatest(F.lit(1), F.ceil(F.col("c") * HOT_SHARE / F.lit(max(total, 1)))).cast("int")
+    hot = (per_key if counts is None else counts).select(*keys, salts.alias("__salts")).where("__salts > 1")
+    salt = F.pmod(F.xxhash64(*rows.columns), F.coalesce("__salts", F.lit(1))).cast("int")
+    dealt = rows.join(F.broadcast(hot), keys, "left").withColumn("__salt", salt).drop("__salts")
+    copied = per_key.withColumn("__salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("c")
+    return dealt.join(copied, [*keys, "__salt"]).drop("__salt")
+
+
 def whole_groups(frames: Iterator[pd.DataFrame], keys: list[str], unique: list[str] | None = None) -> Iterator[pd.DataFrame]:
     """Regroup sorted batches so that no group of equal ``keys`` is cut: each
     frame given out holds one or more complete groups. Of rows of a group that

@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import prepare, written
+from ledgerlake.llm.common import prepare, spread_join, written
 
 EDITS = 1
 
@@ -79,7 +79,7 @@ def _variants(lo: Column, hi: Column) -> Column:
     )
 
 
-def near_lines(every: DataFrame, first: DataFrame) -> DataFrame:
+def near_lines(every: DataFrame, first: DataFrame, n_keys: int) -> DataFrame:
     """Different lines within one edit of a line born earlier: ``h1, h2``.
 
     ``first`` holds ``h1, h2, born, n, keys`` of each different line (``born``:
@@ -87,8 +87,8 @@ def near_lines(every: DataFrame, first: DataFrame) -> DataFrame:
     taken from ``every``."""
     halves = first.select("h1", "h2", F.explode("keys").alias("x")).select("h1", "h2", "x.first", "x.k")
     # a line holds a key once, so a count of two means two different lines
-    shared = halves.groupBy("k").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("k")
-    mine = halves.join(shared, "k").groupBy("h1", "h2").agg(
+    shared = halves.groupBy("k").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    mine = spread_join(halves, shared, ["k"], n_keys).groupBy("h1", "h2").agg(
         F.bool_or(~F.col("first")).alias("edit_first"), F.bool_or("first").alias("edit_last")
     )
     alive = first.select("h1", "h2", "n", "born", "born.*").join(mine, ["h1", "h2"])
@@ -135,11 +135,12 @@ def dropped_lines(docs: DataFrame, least_chars: int = 20) -> DataFrame:
         .agg(F.min(born).alias("born"), F.count(F.lit(1)).alias("c"), F.min("n").alias("n"), F.first("keys").alias("keys")),
         "first-lines",
     )
-    near = near_lines(every, first.where(F.col("n") >= least_chars))
-    verdict = first.join(near.withColumn("near", F.lit(True)), ["h1", "h2"], "left").where("c > 1 OR near").select("h1", "h2", "born", "near")
+    n_lines, n_keys = first.agg(F.sum("c"), F.sum(F.when(F.col("n") >= least_chars, F.size("keys")))).first()
+    near = near_lines(every, first.where(F.col("n") >= least_chars), n_keys or 0)
+    verdict = first.join(near.withColumn("near", F.lit(True)), ["h1", "h2"], "left").where("c > 1 OR near").select("h1", "h2", "born", "near", "c")
+    # a line that a large part of the corpus repeats has its places dealt over tasks
     gone = (
-        every.select("none", "id", "th", "pos", "h1", "h2")
-        .join(verdict, ["h1", "h2"])
+        spread_join(every.select("none", "id", "th", "pos", "h1", "h2"), verdict, ["h1", "h2"], n_lines or 0, first)
         .where(F.coalesce("near", F.lit(False)) | (F.struct("none", "id", "th", "pos") != F.col("born")))
     )
     return gone.groupBy("none", "id", "th").agg(F.collect_set("pos").alias("drop"))

@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerlake.llm import (
     bpe,
@@ -22,7 +23,7 @@ from ledgerlake.llm import (
     vector_dedup,
     vector_search,
 )
-from ledgerlake.llm.common import components, prepare
+from ledgerlake.llm.common import components, prepare, spread_join
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, size long, key string, line string, rep long, task int"
 
@@ -264,6 +265,18 @@ def test_bands_reach_the_recall():
         assert bands * rows <= 128 and 1 - (1 - threshold**rows) ** bands >= 0.99
 
 
+def test_spread_join_deals_a_hot_key_and_keeps_every_row(session):
+    prepare(session)
+    rows = session.range(0, 3000).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"), F.col("id").alias("x"))
+    counts = rows.groupBy("k").agg(F.count(F.lit(1)).alias("c"), F.min("x").alias("m"))
+    for given in (None, counts):
+        got = spread_join(rows, counts, ["k"], 3000, given)
+        assert got.columns == ["k", "x", "m"]
+        assert sorted(tuple(r) for r in got.collect()) == sorted((-1, x, 0) if x % 3 == 0 else (x, x, x) for x in range(3000))
+    none = spread_join(rows.where("false"), counts.where("false"), ["k"], 0)
+    assert none.count() == 0
+
+
 def test_components(session):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 7), (200, 201), (201, 202), (5, 5)] + [(300, 300 + i) for i in range(1, 60)]
     got = {r.node: r.component for r in components(session.createDataFrame([*edges, (None, 3)], "u long, v long")).collect()}
