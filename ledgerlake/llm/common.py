@@ -124,7 +124,7 @@ def components(edges: DataFrame, rounds: int | None = None) -> DataFrame:
     Alternates large-star and small-star contraction (Kiveris et al., 2014)
     until the edge set stops changing. Each round keeps one row per edge; a
     node with very many edges is met by a one-row-per-node table of minima,
-    so its rows may be split freely. Nulls and self-loops are ignored; no edge
+    so its rows are dealt over several tasks. Nulls and self-loops are ignored; no edge
     gives no row. ``rounds`` limits the rounds in tests only.
     """
     spark = edges.sparkSession
@@ -142,10 +142,9 @@ def components(edges: DataFrame, rounds: int | None = None) -> DataFrame:
     seen, n = stamp(e), 0
     while seen[0] and (rounds is None or n < rounds):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("c")).select("u", F.least("u", "m").alias("m"), "c")
         large = (
-            both.where("v > u")
-            .join(least, "u")
+            spread_join(both.where("v > u"), least, ["u"], 2 * seen[0])
             .where("v <> m")
             .select(F.col("v").alias("u"), F.col("m").alias("v"))
             .distinct()

@@ -32,7 +32,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import components, prepare, whole_groups, written
+from ledgerlake.llm.common import components, prepare, spread_join, whole_groups, written
 from ledgerlake.llm.spans import chunks, mix, words
 
 _STEP = np.uint64(0xD6E8FEB86659FD93)
@@ -258,8 +258,8 @@ def jaccard_join(
         .where("doc_id = rep")
         .select("rep", F.explode("bands").alias("key"))
     )
-    first = keys.groupBy("key").agg(F.min("rep").alias("m"), F.count(F.lit(1)).alias("c")).where("c > 1").select("key", "m")
-    candidate = keys.join(first, "key").select(F.col("rep").alias("u"), F.col("m").alias("v"))
+    first = keys.groupBy("key").agg(F.min("rep").alias("m"), F.count(F.lit(1)).alias("c")).where("c > 1")
+    candidate = spread_join(keys, first, ["key"], bands * classes.count()).select(F.col("rep").alias("u"), F.col("m").alias("v"))
     member = components(candidate)
     roots = member.select("component").distinct().select(F.col("component").alias("rep"), F.col("component").alias("grp"))
     member = member.select(F.col("node").alias("rep"), F.col("component").alias("grp")).unionByName(roots)
