@@ -163,8 +163,9 @@ def fit(labelled: DataFrame, per_language: int = 400, most: int = 2000, landmark
     return train([t for t, _ in sample], [x for _, x in sample], landmarks, order)
 
 
-def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score`` from the whole text."""
+def identify(docs: DataFrame, model: LanguageModel, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``docs`` with the language and score of the whole text in the columns
+    ``names``, which replace columns of that name."""
     prepare(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -178,10 +179,10 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
                 continue
             label, score = m.predict([t or "" for t in b.column("text").to_pylist()], slot)
             out = {n: b.column(n) for n in b.schema.names}
-            yield pa.RecordBatch.from_pydict(out | {"lang_pred": pa.array(label), "score": pa.array(score)})
+            yield pa.RecordBatch.from_pydict(out | {names[0]: pa.array(label), names[1]: pa.array(score)})
 
-    clean = docs.drop("lang_pred", "score")
-    return clean.mapInArrow(run, clean.withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0)}).schema)
+    clean = docs.drop(*names)
+    return clean.mapInArrow(run, clean.withColumns({names[0]: F.lit(""), names[1]: F.lit(0.0)}).schema)
 
 
 def fold(doc_id: Column | str) -> Column:
@@ -199,7 +200,8 @@ def language_id(docs: DataFrame, **settings) -> DataFrame:
 
 def keep_identified(docs: DataFrame, min_score: float = 0.05, **settings) -> DataFrame:
     """Drop the documents whose language cannot be told: no letters, or no
-    language's score reaches ``min_score``. Columns are unchanged."""
+    language's score reaches ``min_score``. Columns are unchanged, also those
+    named ``lang_pred`` or ``score``."""
     model = fit(docs.where(~(fold(F.col("doc_id").cast("string")) == 2)).select("text", "lang"), **settings)
-    scored = identify(docs, model)
-    return scored.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)).select(*docs.columns)
+    scored = identify(docs, model, ("__lang", "__score"))
+    return scored.where((F.col("__lang") != UNKNOWN) & (F.col("__score") >= min_score)).select(*docs.columns)
