@@ -146,10 +146,9 @@ def dropped_lines(docs: DataFrame, least_chars: int = 20) -> DataFrame:
     return gone.groupBy("none", "id", "th").agg(F.collect_set("pos").alias("drop"))
 
 
-def dedup_lines(docs: DataFrame, least_chars: int = 20) -> DataFrame:
+def _cut_lines(docs: DataFrame, least_chars: int) -> DataFrame:
     """``docs`` with the dropped lines taken out of ``text`` (``n_chars``, if
-    present, follows), and ``n_dropped``, ``n_lines``: lines dropped, lines
-    before."""
+    present, follows), and ``__n_dropped``, ``__n_lines``."""
     prepare(docs.sparkSession)
     drop = dropped_lines(docs, least_chars)
     keys = ["__none", "__id", "__th"]
@@ -158,17 +157,29 @@ def dedup_lines(docs: DataFrame, least_chars: int = 20) -> DataFrame:
     parts = F.split(F.col("text").cast("string"), "\n")
     gone = F.map_from_entries(F.transform("__drop", lambda p: F.struct(p, F.lit(True))))
     kept = F.filter(parts, lambda x, i: F.element_at(F.col("__gone"), i).isNull())
-    text = F.when(F.col("__drop").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    out = joined.withColumn("__gone", gone).withColumn("n_dropped", F.coalesce(F.size("__drop"), F.lit(0))).withColumn(
-        "n_dropped", F.greatest(F.col("n_dropped"), F.lit(0)).cast("long")
-    ).withColumn("n_lines", F.coalesce(F.size(parts), F.lit(0)).cast("long")).withColumn("n_lines", F.when(F.col("text").isNull(), 0).otherwise(F.col("n_lines")).cast("long")).withColumn("text", text)
+    out = joined.withColumns(
+        {
+            "__gone": gone,
+            "__n_dropped": F.when(F.col("__drop").isNull(), 0).otherwise(F.size("__drop")).cast("long"),
+            "__n_lines": F.when(F.col("text").isNull(), 0).otherwise(F.size(parts)).cast("long"),
+        }
+    )
+    out = out.withColumn("text", F.when(F.col("__drop").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns, *(c for c in ("n_dropped", "n_lines") if c not in docs.columns))
+    return out.select(*docs.columns, "__n_dropped", "__n_lines")
 
 
-def drop_repeated_lines(docs: DataFrame, **settings) -> DataFrame:
-    """Pipeline form: columns of ``docs``; a document that loses all its text
-    goes, one that had none before stays."""
-    done = dedup_lines(docs.select(*docs.columns), **settings)
-    return done.where((F.col("n_dropped") == 0) | (F.trim("text") != "")).select(*docs.columns)
+def dedup_lines(docs: DataFrame, least_chars: int = 20) -> DataFrame:
+    """``docs`` without the dropped lines, and ``n_dropped``, ``n_lines``: lines
+    dropped, lines before. They replace columns of that name."""
+    out = _cut_lines(docs, least_chars).drop("n_dropped", "n_lines")
+    return out.withColumnsRenamed({"__n_dropped": "n_dropped", "__n_lines": "n_lines"})
+
+
+def drop_repeated_lines(docs: DataFrame, least_chars: int = 20) -> DataFrame:
+    """Pipeline form: columns of ``docs``, also those named as the counts of
+    :func:`dedup_lines`; a document that loses all its text goes, one that had
+    none before stays."""
+    done = _cut_lines(docs, least_chars)
+    return done.where((F.col("__n_dropped") == 0) | (F.trim("text") != "")).select(*docs.columns)
