@@ -252,6 +252,7 @@ def jaccard_join(
         .agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.max("n_shingles").alias("n_shingles")),
         "classes",
     )
+    n_classes = classes.count()
     keys = (
         one.where("n_shingles > 0")
         .join(classes.select("h1", "h2", "rep"), ["h1", "h2"])
@@ -259,13 +260,16 @@ def jaccard_join(
         .select("rep", F.explode("bands").alias("key"))
     )
     first = keys.groupBy("key").agg(F.min("rep").alias("m"), F.count(F.lit(1)).alias("c")).where("c > 1")
-    candidate = spread_join(keys, first, ["key"], bands * classes.count()).select(F.col("rep").alias("u"), F.col("m").alias("v"))
+    candidate = spread_join(keys, first, ["key"], bands * n_classes).select(F.col("rep").alias("u"), F.col("m").alias("v"))
     member = components(candidate)
     roots = member.select("component").distinct().select(F.col("component").alias("rep"), F.col("component").alias("grp"))
     member = member.select(F.col("node").alias("rep"), F.col("component").alias("grp")).unionByName(roots)
-    member = member.join(classes.select("rep", "copies", "n_shingles", "h1", "h2"), "rep")
-    size = member.groupBy("grp").agg(F.ceil(F.sum(F.col("n_shingles") + _ROW_COST) / F.lit(chunk_shingles)).cast("int").alias("chunks"))
-    member = written(member.join(size, "grp"), "members")
+    member = written(member.join(classes.select("rep", "copies", "n_shingles", "h1", "h2"), "rep"), "members")
+    size = member.groupBy("grp").agg(
+        F.ceil(F.sum(F.col("n_shingles") + _ROW_COST) / F.lit(chunk_shingles)).cast("int").alias("chunks"), F.count(F.lit(1)).alias("c")
+    )
+    # a group may hold a large part of all documents
+    member = spread_join(member, size, ["grp"], n_classes)
 
     texts = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string").alias("text")).join(
         # the members grow with the corpus, so they are never broadcast
