@@ -300,6 +300,12 @@ def jaccard_join(
 
 def drop_near_duplicates(docs: DataFrame, **settings) -> DataFrame:
     """The documents that :func:`jaccard_join` keeps, all columns unchanged;
-    identical repeated rows of a kept id collapse to one."""
+    identical repeated rows of a kept id collapse to one (rows of null id, which
+    cannot be told apart, all stay)."""
     gone = jaccard_join(docs, **settings).where("NOT kept").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    again = written(docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("doc_id"), "repeated-ids")
+    if again.isEmpty():
+        return kept
+    once = kept.join(again, "doc_id", "left_anti").select(*docs.columns)
+    return once.unionByName(kept.join(again, "doc_id", "left_semi").select(*docs.columns).dropDuplicates())
