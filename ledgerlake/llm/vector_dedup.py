@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import components, prepare, whole_groups, written
+from ledgerlake.llm.common import components, prepare, spread_join, whole_groups, written
 from ledgerlake.llm.jaccard_join import ties
 from ledgerlake.llm.spans import mix
 
@@ -143,7 +143,8 @@ def near_vectors(
         hashed.groupBy("h1", "h2").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("embedding").alias("embedding")),
         "vector-classes",
     )
-    tables, k = choose_tables(classes.count(), cosine, recall, width)
+    n_classes = classes.count()
+    tables, k = choose_tables(n_classes, cosine, recall, width)
 
     def keys(batches):
         import pyarrow as pa
@@ -159,11 +160,11 @@ def near_vectors(
 
     signed = written(classes.select("rep", "embedding").mapInArrow(keys, "rep long, keys array<long>"), "vector-keys")
     slim = signed.select("rep", F.explode("keys").alias("key"))
-    counts = slim.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    counts = written(slim.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "bucket-sizes")
     spread = F.expr("transform(sequence(0, m - 1), o -> struct(least(p, o) AS i, greatest(p, o) AS j, IF(p <= o, 0, 1) AS side))")
     placed = (
-        slim.join(counts, "key")
-        .withColumn("m", F.ceil(F.col("c") / chunk).cast("int"))
+        # a bucket may hold a large part of all vectors
+        spread_join(slim, counts.withColumn("m", F.ceil(F.col("c") / chunk).cast("int")), ["key"], tables * n_classes)
         .withColumn("p", F.pmod(F.xxhash64("rep"), F.col("m")).cast("int"))
         .select("key", "rep", F.explode(spread).alias("u"))
         .select("key", "rep", "u.*")
