@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import prepare, written
+from ledgerlake.llm.common import prepare, spread_join, written
 
 # A word is a maximal run of bytes other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -85,17 +85,17 @@ def mix_plan(
     key = F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
     sized = docs.select("doc_id", "source", words_in("text").alias("size"), (order_key if order_key is not None else key).alias("key"))
     sized = written(sized, "sized")
-    goal = targets(sized, most_epochs)
+    goal = written(targets(sized, most_epochs).withColumn("c", F.col("documents")), "targets")
+    total = goal.agg(F.sum("c")).first()[0] or 0
+    by_source = lambda df: df.withColumns({"s": F.coalesce("source", F.lit("")), "none": F.col("source").isNull()}).drop("source")
     # by default as many slices as rows in each: both grow with the square root
     wanted = F.sqrt(F.col("documents")) if slice_rows is None else F.col("documents") / slice_rows
     slices = F.greatest(F.lit(1), F.ceil(wanted)).cast("long")
     place = F.conv(F.substring("key", 1, _HEX), 16, 10).cast("double") / F.lit(float(16**_HEX))
     placed = (
-        sized.withColumns({"s": F.coalesce("source", F.lit("")), "none": F.col("source").isNull()}).drop("source")
-        .join(goal.withColumns({"s": F.coalesce("source", F.lit("")), "none": F.col("source").isNull()}).drop("source"), ["s", "none"])
+        spread_join(by_source(sized), by_source(goal), ["s", "none"], total)
         .withColumn("slice", F.floor(place * slices).cast("long"))
-        # else the join's partitioning by source would serve the window below
-        # and a hot source would stay in one task
+        # else the join's partitioning by source could serve the window below
         .repartition("s", "none", "slice")
     )
     totals = placed.groupBy("s", "none", "slice").agg(F.sum("size").alias("in_slice"))
