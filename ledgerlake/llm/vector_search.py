@@ -172,7 +172,9 @@ def search(
 def _scan_units(entries, visits, counts, k, part_rows, query_batch, block, eps, seed) -> DataFrame:
     """Run every (part of a list, batch of its queries)."""
     batches = visits.groupBy("dim", "list").agg(F.ceil(F.count(F.lit(1)) / query_batch).cast("int").alias("batches"))
-    plan = counts.join(batches, ["dim", "list"])
+    # at most ``most_lists`` rows of each dimension; a list may hold a large part
+    # of all vectors, so they are not shuffled by it
+    plan = F.broadcast(counts.join(batches, ["dim", "list"]))
     mine = F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int")
     turn = F.pmod(F.xxhash64(F.lit(3), "vec_id"), F.col("batches")).cast("int")
     stored = entries.join(plan, ["dim", "list"]).select(
