@@ -285,6 +285,23 @@ def test_components(session):
     assert components(session.createDataFrame([], "u long, v long")).count() == 0
 
 
+def test_stages_keep_clashing_columns_and_collapse_repeated_rows(session):
+    rng = random.Random(12)
+    texts = [_words(rng, 30) for _ in range(6)]
+    rows = [(i, t, 10 + i, 20 + i, f"p{i}", 0.25 * i) for i, t in enumerate(texts)]
+    rows += [(6, texts[0], 1, 2, "p", 0.5), (7, texts[1] + "\n" + texts[2], 3, 4, "q", 0.5), rows[3], rows[3]]
+    frame = session.createDataFrame(rows, "doc_id long, text string, n_dropped int, n_lines int, lang_pred string, score double")
+    extra = ["n_dropped", "n_lines", "lang_pred", "score"]
+    want = {r[0]: r[2:] for r in rows}
+    cut = line_dedup.drop_repeated_lines(frame)
+    assert cut.columns == frame.columns
+    assert {r.doc_id: tuple(r[c] for c in extra) for r in cut.collect()} == {i: x for i, x in want.items() if i < 6}
+    kept = jaccard_join.drop_near_duplicates(frame).collect()
+    assert sorted(r.doc_id for r in kept) == [0, 1, 2, 3, 4, 5, 7]
+    told = language_id.keep_identified(frame.withColumn("lang", F.lit("en")), min_score=0.0)
+    assert {r.doc_id: tuple(r[c] for c in extra) for r in told.collect()} == want
+
+
 # --- vectors ---------------------------------------------------------------------------
 
 
