@@ -6,8 +6,8 @@ of projections per key grows with the logarithm of the row count, so that an
 unrelated vector rarely shares a bucket, and the number of tables then follows
 from the target recall at the cosine threshold.
 
-Equal vectors form a class first and only the smallest id of each class takes
-part. The members of a bucket are compared in units of bounded size: a large
+Equal vectors form a numbered class first and one row of each class takes part;
+ids come back only at the end, so an id may stand for several vectors. The members of a bucket are compared in units of bounded size: a large
 bucket is dealt into chunks by hash and each pair of chunks is a unit. A unit
 computes exact cosines in double precision, counts a pair only in the first
 table where the two share a bucket, and gives out one row per member.
@@ -15,8 +15,8 @@ table where the two share a bucket, and gives out one row per member.
 Defined cases: vectors that are null, empty, zero or hold null or non-finite
 components, and vectors of null id, link with nothing and are kept with
 themselves; vectors of different dimension do not meet; repeated rows are
-vectors of their own (equal ids: each row has a result row); ties need no
-rule; an empty table gives no row; extra columns are ignored.
+vectors of their own (equal ids, of equal or different vectors: each row has a
+result row, by its own vector); ties need no rule; an empty table gives no row; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -82,14 +82,14 @@ def _matrix(column) -> np.ndarray:
 
 
 def compare_buckets(units: DataFrame, cosine: float) -> DataFrame:
-    """Compare the members of each unit (``key, i, j``): ``rep, links, tied``."""
+    """Compare the members of each unit (``key, i, j``): ``cls, links, tied``."""
 
     def run(frames):
-        for f in whole_groups(frames, ["key", "i", "j"], ["side", "rep"]):
+        for f in whole_groups(frames, ["key", "i", "j"], ["side", "cls"]):
             out = []
             key = f[["key", "i", "j"]].to_numpy()
             edge = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]).any(axis=1), [True])))
-            ids_all, copies, side_all = (f[c].to_numpy() for c in ("rep", "copies", "side"))
+            ids_all, copies, side_all = (f[c].to_numpy() for c in ("cls", "copies", "side"))
             for lo, hi in zip(edge[:-1], edge[1:]):
                 if hi - lo < 2:
                     continue
@@ -118,12 +118,12 @@ def compare_buckets(units: DataFrame, cosine: float) -> DataFrame:
                 if near.any():
                     out.append(ties(near, ids, weight, None if whole else cut))
             if out:
-                yield pd.DataFrame({c: np.concatenate([o[k] for o in out]) for k, c in enumerate(("rep", "links", "tied"))})
+                yield pd.DataFrame({c: np.concatenate([o[k] for o in out]) for k, c in enumerate(("cls", "links", "tied"))})
 
     return (
         units.repartition("key", "i", "j")
-        .sortWithinPartitions("key", "i", "j", "side", "rep")
-        .mapInPandas(run, "rep long, links long, tied long")
+        .sortWithinPartitions("key", "i", "j", "side", "cls")
+        .mapInPandas(run, "cls long, links long, tied long")
     )
 
 
@@ -140,7 +140,10 @@ def near_vectors(
     h1, h2 = F.xxhash64("embedding"), F.xxhash64(F.lit(1), "embedding")
     hashed = clean.select("vec_id", "embedding", h1.alias("h1"), h2.alias("h2"))
     classes = written(
-        hashed.groupBy("h1", "h2").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("embedding").alias("embedding")),
+        # an id may stand for several vectors, so a class goes by a number of its own
+        hashed.groupBy("h1", "h2")
+        .agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("embedding").alias("embedding"))
+        .withColumn("cls", F.monotonically_increasing_id()),
         "vector-classes",
     )
     n_classes = classes.count()
@@ -156,26 +159,34 @@ def near_vectors(
                 out[rows] = bucket_keys(_matrix(column.iloc[rows]), tables, k, width, seed)
             flat = pa.array(out.view(np.int64).ravel())
             offsets = pa.array(np.arange(len(column) + 1) * tables, pa.int32())
-            yield pa.RecordBatch.from_pydict({"rep": b.column("rep"), "keys": pa.ListArray.from_arrays(offsets, flat)})
+            yield pa.RecordBatch.from_pydict({"cls": b.column("cls"), "keys": pa.ListArray.from_arrays(offsets, flat)})
 
-    signed = written(classes.select("rep", "embedding").mapInArrow(keys, "rep long, keys array<long>"), "vector-keys")
-    slim = signed.select("rep", F.explode("keys").alias("key"))
+    signed = written(classes.select("cls", "embedding").mapInArrow(keys, "cls long, keys array<long>"), "vector-keys")
+    slim = signed.select("cls", F.explode("keys").alias("key"))
     counts = written(slim.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "bucket-sizes")
     spread = F.expr("transform(sequence(0, m - 1), o -> struct(least(p, o) AS i, greatest(p, o) AS j, IF(p <= o, 0, 1) AS side))")
     placed = (
         # a bucket may hold a large part of all vectors
         spread_join(slim, counts.withColumn("m", F.ceil(F.col("c") / chunk).cast("int")), ["key"], tables * n_classes)
-        .withColumn("p", F.pmod(F.xxhash64("rep"), F.col("m")).cast("int"))
-        .select("key", "rep", F.explode(spread).alias("u"))
-        .select("key", "rep", "u.*")
+        .withColumn("p", F.pmod(F.xxhash64("cls"), F.col("m")).cast("int"))
+        .select("key", "cls", F.explode(spread).alias("u"))
+        .select("key", "cls", "u.*")
     )
-    full = classes.select("rep", "copies", "embedding").join(signed, "rep")
-    found = written(compare_buckets(placed.join(full, "rep"), cosine), "vector-links")
-    links = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    linked = components(found.select(F.col("rep").alias("u"), F.col("tied").alias("v"))).withColumnRenamed("node", "rep")
+    full = classes.select("cls", "copies", "embedding").join(signed, "cls")
+    found = written(compare_buckets(placed.join(full, "cls"), cosine), "vector-links")
+    links = found.groupBy("cls").agg(F.sum("links").alias("links"))
+    linked = components(found.select(F.col("cls").alias("u"), F.col("tied").alias("v"))).withColumnRenamed("node", "cls")
+    # the name of a component is the smallest id of its classes
+    grouped = written(
+        classes.select("cls", "rep", "copies", "h1", "h2").join(linked, "cls", "left").withColumn("component", F.coalesce("component", "cls")),
+        "vector-components",
+    )
+    name = grouped.groupBy("component").agg(F.min("rep").alias("component_id"), F.count(F.lit(1)).alias("c"))
     known = (
-        classes.select("rep", "copies", "h1", "h2").join(links, "rep", "left").join(linked, "rep", "left")
-        .select("h1", "h2", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
+        # a component may hold a large part of all classes
+        spread_join(grouped, name, ["component"], n_classes)
+        .join(links, "cls", "left")
+        .select("h1", "h2", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id")
     )
     result = hashed.select("vec_id", "h1", "h2").join(known, ["h1", "h2"]).select("vec_id", "n_links", "component_id")
     alone = base.where(~F.col("good")).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))

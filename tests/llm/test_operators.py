@@ -342,6 +342,28 @@ def test_near_vectors_equal_brute_force(session, vectors, chunk):
     assert vector_dedup.near_vectors(vectors.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("chunk", [512, 4])
+def test_near_vectors_of_one_id_with_different_vectors(session, chunk):
+    rng = np.random.default_rng(4)
+    base = rng.standard_normal((8, 24))
+    rows = [(9, v.tolist()) for v in base] + [(9, base[0].tolist())]
+    rows += [(20 + i, (v + rng.standard_normal(24) * 0.01).tolist()) for i, v in enumerate(base)]
+    rows += [(i, (base[i] + rng.standard_normal(24) * 0.01).tolist()) for i in (3, 5)] + [(40, rng.standard_normal(24).tolist()), (40, base[7].tolist())]
+    frame = session.createDataFrame(rows, "vec_id long, embedding array<float>")
+    near = [[cosine(a, b) >= 0.95 for _, b in rows] for _, a in rows]
+    want = []
+    for x, (i, _) in enumerate(rows):
+        group, todo = {x}, [x]
+        while todo:
+            z = todo.pop()
+            new = {y for y in range(len(rows)) if near[z][y]} - group
+            group |= new
+            todo += new
+        least = min(rows[y][0] for y in group)
+        want.append((i, sum(near[x]) - 1, least, i == least))
+    assert sorted(tuple(r) for r in vector_dedup.near_vectors(frame, chunk=chunk).collect()) == sorted(want)
+
+
 def test_search_recall_and_order(session, vectors):
     good = {r.vec_id: r.embedding for r in vectors.collect() if r.vec_id is not None and usable(r.embedding)}
     out = vector_search.search(vectors, vectors.vec_id % 50 == 0, part_rows=40, query_batch=3).toPandas()
