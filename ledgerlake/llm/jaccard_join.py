@@ -6,7 +6,7 @@ all of its words; a document without words links with nothing.
 
 1. One pass over the texts gives each document the 128-bit hash of its word
    sequence and one key per band. Documents of equal word sequence form a
-   class; from here on only the smallest id of each class takes part.
+   numbered class; from here on only one document of each class takes part.
 2. Representatives that share a band key are tied to the smallest one of that
    key (one row per member, never all pairs). Their connected components are
    groups that no candidate pair leaves.
@@ -19,9 +19,10 @@ all of its words; a document without words links with nothing.
 
 Band and row counts follow from the threshold and the target recall.
 
-Defined cases: null text counts as empty; rows of the same id are one
-document, that with the smallest word hash; a null id links with nothing and is kept;
-empty table, no rows; extra columns are ignored.
+Defined cases: null text counts as empty; rows of one id and one word sequence
+are one document, rows of one id and different words are documents of their own
+(:func:`jaccard_join` then folds them to one row per id); a null id links with
+nothing and is kept; empty table, no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -81,7 +82,8 @@ def shingles(texts: list[str], n: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
 
 
 def signatures(docs: DataFrame, n: int, bands: int, rows: int, seed: int = 7) -> DataFrame:
-    """``doc_id, h1, h2, n_shingles, bands`` of every document with an id."""
+    """``doc_id, th, h1, h2, n_shingles, bands`` of every row; ``th`` is a hash
+    of the text as it stands, ``h1, h2`` of its words."""
 
     def run(batches):
         import pyarrow as pa
@@ -108,38 +110,41 @@ def signatures(docs: DataFrame, n: int, bands: int, rows: int, seed: int = 7) ->
             yield pa.RecordBatch.from_arrays(
                 [
                     b.column("doc_id"),
+                    b.column("th"),
                     pa.array(ids[0]),
                     pa.array(ids[1]),
                     pa.array(np.concatenate([p[1] for p in parts]), pa.int64()),
                     pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1) * bands, pa.int32()), flat),
                 ],
-                names=["doc_id", "h1", "h2", "n_shingles", "bands"],
+                names=["doc_id", "th", "h1", "h2", "n_shingles", "bands"],
             )
 
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return source.mapInArrow(run, "doc_id long, h1 long, h2 long, n_shingles long, bands array<long>")
+    return _rows(docs).mapInArrow(run, "doc_id long, th long, h1 long, h2 long, n_shingles long, bands array<long>")
+
+
+def _rows(docs: DataFrame) -> DataFrame:
+    """``doc_id, th, text`` of every row."""
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text"))
 
 
 def _sets(docs: DataFrame, n: int, carry: list[str]) -> DataFrame:
     """``carry`` columns and each document's sorted distinct shingle hashes as
-    binary (``grams``). Of several texts of one id, only that with the hashes
-    ``h1, h2`` stands for it; the others give no row."""
+    binary (``grams``)."""
 
     def run(batches):
         import pyarrow as pa
 
         for b in batches:
             texts, out = [t or "" for t in b.column("text").to_pylist()], []
-            want = np.stack([b.column("h1").to_numpy(), b.column("h2").to_numpy()])
             for i, j in chunks(texts):
-                h, begin, stop, ids = shingles(texts[i:j], n)
-                same = (ids.view(np.int64) == want[:, i:j]).all(axis=0)
-                out += [np.unique(h[x:y]).tobytes() if ok else None for x, y, ok in zip(begin, stop, same)]
+                h, begin, stop, _ = shingles(texts[i:j], n)
+                out += [np.unique(h[x:y]).tobytes() for x, y in zip(begin, stop)]
             cols = {c: b.column(c) for c in carry} | {"grams": pa.array(out, pa.binary())}
             yield pa.RecordBatch.from_pydict(cols)
 
     schema = docs.select(*carry, F.lit(b"").alias("grams")).schema
-    return docs.select(*carry, "h1", "h2", "text").mapInArrow(run, schema).where("grams IS NOT NULL")
+    return docs.select(*carry, "text").mapInArrow(run, schema)
 
 
 def linked(a: list[np.ndarray], b: list[np.ndarray] | None, threshold: float, room: int = 1 << 22) -> np.ndarray:
@@ -198,15 +203,15 @@ def ties(near: np.ndarray, ids: np.ndarray, weight: np.ndarray, cross: int | Non
 
 def compare_blocks(blocks: DataFrame, threshold: float) -> DataFrame:
     """Compare the members of each unit (``grp, i, j``); ``side`` 0 belongs to
-    chunk i, 1 to chunk j. Returns ``rep, links, tied``."""
+    chunk i, 1 to chunk j. Returns ``cls, links, tied``."""
     import pandas as pd
 
     def run(frames):
-        for f in whole_groups(frames, ["grp", "i", "j"], ["side", "rep"]):
+        for f in whole_groups(frames, ["grp", "i", "j"], ["side", "cls"]):
             out = []
             key = f[["grp", "i", "j"]].to_numpy()
             edge = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]).any(axis=1), [True])))
-            ids, weight, side, grams = (f[c].to_numpy() for c in ("rep", "copies", "side", "grams"))
+            ids, weight, side, grams = (f[c].to_numpy() for c in ("cls", "copies", "side", "grams"))
             for lo, hi in zip(edge[:-1], edge[1:]):
                 sets = [np.frombuffer(x, np.uint64) for x in grams[lo:hi]]
                 if key[lo, 1] == key[lo, 2]:
@@ -215,95 +220,137 @@ def compare_blocks(blocks: DataFrame, threshold: float) -> DataFrame:
                 elif (cut := int((side[lo:hi] == 0).sum())) and cut < len(sets):
                     out.append(ties(linked(sets[:cut], sets[cut:], threshold), ids[lo:hi], weight[lo:hi], cut))
             if out:
-                yield pd.DataFrame({c: np.concatenate([o[k] for o in out]) for k, c in enumerate(("rep", "links", "tied"))})
+                yield pd.DataFrame({c: np.concatenate([o[k] for o in out]) for k, c in enumerate(("cls", "links", "tied"))})
 
     return (
         blocks.repartition("grp", "i", "j")
-        .sortWithinPartitions("grp", "i", "j", "side", "rep")
-        .mapInPandas(run, "rep long, links long, tied long")
+        .sortWithinPartitions("grp", "i", "j", "side", "cls")
+        .mapInPandas(run, "cls long, links long, tied long")
     )
 
 
-def jaccard_join(
+def near_documents(
     docs: DataFrame,
     threshold: float = 0.8,
     n: int = 5,
     recall: float = 0.9995,
     most_hashes: int = 128,
     chunk_shingles: int = 400_000,
-) -> DataFrame:
-    """One row per document id: ``doc_id``, ``n_links`` (other documents of
-    Jaccard similarity ``threshold`` or more found, copies included),
-    ``component_id`` (smallest id reachable by links) and ``kept`` (the
-    smallest of its component). Rows of null ids are kept, with no links."""
+) -> tuple[DataFrame, DataFrame]:
+    """The verdict of every document with an id (``doc_id, h1, h2, th, last_th,
+    n_shingles, n_links, component_id, kept``; ``th`` and ``last_th`` are the
+    smallest and largest text hash of its rows), and the :func:`signatures` of
+    all rows. The first document of a component, by id and hash, is kept."""
     prepare(docs.sparkSession)
     bands, rows = choose_bands(threshold, recall, most_hashes)
-    # the smallest hash decides between rows of one id; the grouping also makes
-    # the stored table independent of how the input was split
     signed = written(signatures(docs, n, bands, rows), "signatures")
-    nulls = signed.where("doc_id IS NULL").select("doc_id")
+    # the grouping also makes the stored table independent of how the input was split
     one = written(
-        signed.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(F.struct("h1", "h2", "n_shingles", "bands")).alias("s")).select("doc_id", "s.*"),
+        signed.where("doc_id IS NOT NULL")
+        .groupBy("doc_id", "h1", "h2")
+        .agg(F.min(F.struct("th", "n_shingles", "bands")).alias("s"), F.max("th").alias("last_th"))
+        .select("doc_id", "h1", "h2", "s.*", "last_th"),
         "signed",
     )
     classes = written(
+        # an id may have several texts, so a class goes by a number of its own
         one.where("n_shingles > 0")
         .groupBy("h1", "h2")
-        .agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.max("n_shingles").alias("n_shingles")),
+        .agg(F.min(F.struct("doc_id", "th")).alias("s"), F.count(F.lit(1)).alias("copies"), F.max("n_shingles").alias("n_shingles"))
+        .select("h1", "h2", F.col("s.doc_id").alias("rep"), "s.th", "copies", "n_shingles")
+        .withColumn("cls", F.monotonically_increasing_id()),
         "classes",
     )
     n_classes = classes.count()
     keys = (
         one.where("n_shingles > 0")
-        .join(classes.select("h1", "h2", "rep"), ["h1", "h2"])
+        .join(classes.select("h1", "h2", "rep", "cls"), ["h1", "h2"])
         .where("doc_id = rep")
-        .select("rep", F.explode("bands").alias("key"))
+        .select("cls", F.explode("bands").alias("key"))
     )
-    first = keys.groupBy("key").agg(F.min("rep").alias("m"), F.count(F.lit(1)).alias("c")).where("c > 1")
-    candidate = spread_join(keys, first, ["key"], bands * n_classes).select(F.col("rep").alias("u"), F.col("m").alias("v"))
+    first = keys.groupBy("key").agg(F.min("cls").alias("m"), F.count(F.lit(1)).alias("c")).where("c > 1")
+    candidate = spread_join(keys, first, ["key"], bands * n_classes).select(F.col("cls").alias("u"), F.col("m").alias("v"))
     member = components(candidate)
-    roots = member.select("component").distinct().select(F.col("component").alias("rep"), F.col("component").alias("grp"))
-    member = member.select(F.col("node").alias("rep"), F.col("component").alias("grp")).unionByName(roots)
-    member = written(member.join(classes.select("rep", "copies", "n_shingles", "h1", "h2"), "rep"), "members")
+    roots = member.select("component").distinct().select(F.col("component").alias("cls"), F.col("component").alias("grp"))
+    member = member.select(F.col("node").alias("cls"), F.col("component").alias("grp")).unionByName(roots)
+    member = written(member.join(classes.select("cls", "rep", "th", "copies", "n_shingles"), "cls"), "members")
     size = member.groupBy("grp").agg(
         F.ceil(F.sum(F.col("n_shingles") + _ROW_COST) / F.lit(chunk_shingles)).cast("int").alias("chunks"), F.count(F.lit(1)).alias("c")
     )
     # a group may hold a large part of all documents
     member = spread_join(member, size, ["grp"], n_classes)
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), F.col("text").cast("string").alias("text")).join(
+    texts = _rows(docs).withColumnRenamed("doc_id", "rep").join(
         # the members grow with the corpus, so they are never broadcast
-        member.select("rep", "grp", "copies", "chunks", "h1", "h2").hint("merge"), "rep"
+        member.select("rep", "th", "cls", "grp", "copies", "chunks").hint("merge"), ["rep", "th"]
     )
-    sets = _sets(texts, n, ["rep", "grp", "copies", "chunks"])
-    sets = sets.withColumn("c", F.pmod(F.xxhash64("rep"), F.col("chunks")).cast("int"))
+    sets = _sets(texts, n, ["cls", "grp", "copies", "chunks"])
+    sets = sets.withColumn("c", F.pmod(F.xxhash64("cls"), F.col("chunks")).cast("int"))
     spread = F.explode(
         F.expr("transform(sequence(0, chunks - 1), o -> struct(least(c, o) AS i, greatest(c, o) AS j, IF(c <= o, 0, 1) AS side))")
     )
-    blocks = sets.select("rep", "grp", "copies", "grams", spread.alias("b")).select("rep", "grp", "copies", "grams", "b.*")
+    blocks = sets.select("cls", "grp", "copies", "grams", spread.alias("b")).select("cls", "grp", "copies", "grams", "b.*")
     found = written(compare_blocks(blocks, threshold), "links")
-    links = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    linked_to = components(found.select(F.col("rep").alias("u"), F.col("tied").alias("v")))
+    links = found.groupBy("cls").agg(F.sum("links").alias("links"))
+    linked_to = components(found.select(F.col("cls").alias("u"), F.col("tied").alias("v")))
+    grouped = written(
+        classes.select("cls", "rep", "h1", "h2", "copies")
+        .join(linked_to.withColumnRenamed("node", "cls"), "cls", "left")
+        .withColumn("component", F.coalesce("component", "cls")),
+        "grouped",
+    )
+    head = grouped.groupBy("component").agg(F.min(F.struct("rep", "h1", "h2")).alias("head"), F.count(F.lit(1)).alias("c"))
     known = (
-        classes.join(links, "rep", "left")
-        .join(linked_to.withColumnRenamed("node", "rep"), "rep", "left")
-        .select("h1", "h2", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
+        # a component may hold a large part of all classes
+        spread_join(grouped, head, ["component"], n_classes)
+        .join(links, "cls", "left")
+        .select("h1", "h2", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "head")
     )
-    result = one.select("doc_id", "h1", "h2").join(known, ["h1", "h2"], "left").select(
-        "doc_id",
+    verdict = one.drop("bands").join(known, ["h1", "h2"], "left").select(
+        "doc_id", "h1", "h2", "th", "last_th", "n_shingles",
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-        F.coalesce("component_id", "doc_id").alias("component_id"),
+        F.coalesce("head.rep", "doc_id").alias("component_id"),
+        F.coalesce(F.col("head") == F.struct(F.col("doc_id").alias("rep"), "h1", "h2"), F.lit(True)).alias("kept"),
+    )
+    return verdict, signed
+
+
+def jaccard_join(docs: DataFrame, **settings) -> DataFrame:
+    """One row per document id: ``doc_id``, ``n_links`` (other documents of
+    Jaccard similarity ``threshold`` or more found, copies included),
+    ``component_id`` (smallest id reachable by links) and ``kept`` (the
+    smallest of its component). Rows of null ids are kept, with no links.
+
+    An id with several different texts adds up their links; it is kept, in a
+    component of its own name, if one of its texts is, and else goes by the
+    smallest of their components. ``settings`` are those of
+    :func:`near_documents`."""
+    verdict, signed = near_documents(docs, **settings)
+    result = (
+        verdict.groupBy("doc_id")
+        .agg(F.sum("n_links").alias("n_links"), F.min("component_id").alias("component_id"), F.max("kept").alias("kept"))
+        .select("doc_id", "n_links", F.when(F.col("kept"), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "kept")
+    )
+    lone = signed.where("doc_id IS NULL").select(
+        "doc_id", F.lit(0).cast("long").alias("n_links"), F.lit(None).cast("long").alias("component_id"), F.lit(True).alias("kept")
     )
-    lone = nulls.select("doc_id", F.lit(0).cast("long").alias("n_links"), F.lit(None).cast("long").alias("component_id"))
-    return result.unionByName(lone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    return result.unionByName(lone)
 
 
 def drop_near_duplicates(docs: DataFrame, **settings) -> DataFrame:
-    """The documents that :func:`jaccard_join` keeps, all columns unchanged;
-    identical repeated rows of a kept id collapse to one (rows of null id, which
-    cannot be told apart, all stay)."""
-    gone = jaccard_join(docs, **settings).where("NOT kept").select("doc_id")
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """The documents that :func:`near_documents` keeps, all columns unchanged:
+    each row is judged by its own text, also where an id has several. Of texts
+    of one id and the same words one stays; identical repeated rows of a kept
+    id collapse to one (rows of null id, which cannot be told apart, all stay)."""
+    verdict, signed = near_documents(docs, **settings)
+    verdict = written(verdict, "verdicts")
+    # the same words in another writing, under one id
+    several = verdict.where("kept AND n_shingles > 0 AND th <> last_th").select("doc_id", "h1", "h2", F.col("th").alias("stays"))
+    spelt = signed.select("doc_id", "th", "h1", "h2").join(several, ["doc_id", "h1", "h2"]).where("th <> stays")
+    lost = signed.select("doc_id", "th", "h1", "h2").join(verdict.where("NOT kept").select("doc_id", "h1", "h2"), ["doc_id", "h1", "h2"])
+    gone = lost.select("doc_id", "th").unionByName(spelt.select("doc_id", "th")).toDF("__id", "__th")
+    tagged = docs.withColumns({"__id": F.col("doc_id").cast("long"), "__th": F.xxhash64(F.col("text").cast("string"))})
+    kept = tagged.join(gone, ["__id", "__th"], "left_anti").select(*docs.columns)
     again = written(docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("doc_id"), "repeated-ids")
     if again.isEmpty():
         return kept

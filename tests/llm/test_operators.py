@@ -259,6 +259,28 @@ def test_jaccard_join_equals_brute_force(session, docs, empty, chunk):
     assert jaccard_join.jaccard_join(empty).count() == 0
 
 
+@pytest.mark.parametrize("chunk", [400_000, 300])
+def test_near_duplicates_of_one_id_with_different_texts(session, chunk):
+    rng = random.Random(14)
+    base = [_words(rng, 40) for _ in range(12)]
+    rows = [(i, base[i], "a") for i in range(4)]
+    # id 9: near copies of smaller ids, texts of its own, one of them in two writings
+    rows += [(9, base[i] + " tail", "a") for i in range(4)] + [(9, base[i], "b") for i in range(4, 8)] + [(9, base[4].upper() + "!", "b")]
+    rows += [(9, base[4], "b"), (9, "", "b"), (9, None, "b")]
+    # other ids near to the texts of id 9, and texts of one id near to each other
+    rows += [(20 + i, base[i] + " tail", "c") for i in range(4, 8)] + [(30, base[8], "c"), (30, base[8] + " tail", "c"), (30, base[9], "c")]
+    rows += [(40, base[8] + " end", "d"), (40, base[10], "d")]
+    frame = session.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    kept = jaccard_join.drop_near_duplicates(frame, chunk_shingles=chunk).collect()
+    assert len({tuple(r) for r in kept}) == len(kept) and {tuple(r) for r in kept} <= set(rows)
+    group = {b.split()[0]: x for x, b in enumerate(base)}
+    got = sorted((group[r.text.lower().split()[0]], r.doc_id) for r in kept if r.text)
+    assert got == [(0, 0), (1, 1), (2, 2), (3, 3), (4, 9), (5, 9), (6, 9), (7, 9), (8, 30), (9, 30), (10, 40)]
+    assert {r.text for r in kept if not r.text} == {"", None}
+    out = {r.doc_id: (r.n_links, r.component_id, r.kept) for r in jaccard_join.jaccard_join(frame, chunk_shingles=chunk).collect()}
+    assert out == {i: (1, i, True) for i in range(4)} | {9: (8, 9, True), 30: (4, 30, True), 40: (2, 40, True)} | {20 + i: (1, 9, False) for i in range(4, 8)}
+
+
 def test_bands_reach_the_recall():
     for threshold in (0.5, 0.8, 0.9):
         bands, rows = jaccard_join.choose_bands(threshold, 0.99)
