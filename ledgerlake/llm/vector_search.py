@@ -9,15 +9,16 @@ a list, columns come in blocks: after each block, candidates whose scaled
 partial distance rejects "closer than the current k-th" by a hypothesis test
 are abandoned; survivors get their exact cosine on the original vectors.
 
-A list is split by hash into parts of bounded size and its queries into
-batches, and each (part, batch) is one unit of work, so no list, however
+A list is split by a hash of row numbers into parts of bounded size and its
+queries into batches, and each (part, batch) is one unit of work, so no list, however
 large, meets in one task. Queries that find fewer than ``k`` candidates in
 their lists search all lists.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite
 components, or with a null id, take no part; queries meet candidates of their
 own dimension; ties go to the smaller id; repeated rows are candidates of
-their own, except those with the query's id; an empty table gives no row;
+their own, except those with the query's id; a repeated query row asks once, and
+different vectors of one id are queries of their own, each with its ranks; an empty table gives no row;
 extra columns are ignored.
 """
 
@@ -99,8 +100,8 @@ def search(
     eps: float = 2.1,
     seed: int = 5,
 ) -> DataFrame:
-    """``query_id, rank, vec_id, score``: the ``k`` nearest of each row of
-    ``vectors`` (columns ``vec_id``, ``embedding``) where ``is_query`` holds."""
+    """``query_id, rank, vec_id, score``: the ``k`` nearest of each different row
+    of ``vectors`` (columns ``vec_id``, ``embedding``) where ``is_query`` holds."""
     spark = prepare(vectors.sparkSession)
     base = (
         vectors.where(usable(F.col("embedding")) & F.col("vec_id").isNotNull())
@@ -145,28 +146,32 @@ def search(
             out = {n: b.column(n) for n in b.schema.names}
             yield pa.RecordBatch.from_pydict(out | {"lists": pa.array(lists, pa.list_(pa.int32()))})
 
-    filed = written(base.mapInArrow(file_rows, "vec_id long, v array<double>, q boolean, dim int, lists array<int>"), "filed")
-    entries = filed.select("vec_id", "v", "dim", F.col("lists")[0].alias("list"))
+    filed = base.mapInArrow(file_rows, "vec_id long, v array<double>, q boolean, dim int, lists array<int>")
+    # an id may be that of many rows, so rows go by a number of their own
+    filed = written(filed.withColumn("row", F.monotonically_increasing_id()), "filed")
+    entries = filed.select("row", "vec_id", "v", "dim", F.col("lists")[0].alias("list"))
     counts = entries.groupBy("dim", "list").agg(F.ceil(F.count(F.lit(1)) / part_rows).cast("int").alias("parts"))
-    visits = filed.where("q").select("vec_id", "v", "dim", F.explode("lists").alias("list"))
+    asking = filed.where("q").withColumns({"h1": F.xxhash64("v"), "h2": F.xxhash64(F.lit(1), "v")}).dropDuplicates(["vec_id", "h1", "h2"])
+    asking = written(asking.select("row", "vec_id", "v", "dim", "lists"), "queries")
+    visits = asking.select("row", "vec_id", "v", "dim", F.explode("lists").alias("list"))
     first = _scan_units(entries, visits, counts, k, part_rows, query_batch, block, eps, seed)
     merged = written(_merge(first, k), "found")
 
     # queries whose lists held fewer than k candidates search all lists
     goal = F.least(F.lit(k), F.col("n") - 1)
     per_dim = spark.createDataFrame([(d, n) for d, n in sizes.items()] or [(0, 0)], "dim int, n long")
-    got = merged.groupBy("query_id").agg(F.count(F.lit(1)).alias("got"))
+    got = merged.groupBy("row").agg(F.count(F.lit(1)).alias("got"))
     short = (
-        filed.where("q").select("vec_id", "v", "dim").join(per_dim, "dim")
-        .join(got.withColumnRenamed("query_id", "vec_id"), "vec_id", "left")
+        asking.select("row", "vec_id", "v", "dim").join(per_dim, "dim")
+        .join(got, "row", "left")
         .where(F.coalesce("got", F.lit(0)) < goal)
     )
-    short = written(short.select("vec_id", "v", "dim"), "short")
+    short = written(short.select("row", "vec_id", "v", "dim"), "short")
     if short.isEmpty():
-        return merged
+        return merged.drop("row")
     every = short.join(counts.select("dim", "list"), "dim")
     rest = _merge(_scan_units(entries, every, counts, k, part_rows, query_batch, block, eps, seed), k)
-    return merged.join(short.select(F.col("vec_id").alias("query_id")), "query_id", "left_anti").unionByName(rest)
+    return merged.join(short.select("row"), "row", "left_anti").unionByName(rest).drop("row")
 
 
 def _scan_units(entries, visits, counts, k, part_rows, query_batch, block, eps, seed) -> DataFrame:
@@ -175,13 +180,13 @@ def _scan_units(entries, visits, counts, k, part_rows, query_batch, block, eps,
     # at most ``most_lists`` rows of each dimension; a list may hold a large part
     # of all vectors, so they are not shuffled by it
     plan = F.broadcast(counts.join(batches, ["dim", "list"]))
-    mine = F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int")
-    turn = F.pmod(F.xxhash64(F.lit(3), "vec_id"), F.col("batches")).cast("int")
+    mine = F.pmod(F.xxhash64("row"), F.col("parts")).cast("int")
+    turn = F.pmod(F.xxhash64(F.lit(3), "row"), F.col("batches")).cast("int")
     stored = entries.join(plan, ["dim", "list"]).select(
-        "dim", "list", mine.alias("part"), F.explode(F.sequence(F.lit(0), F.col("batches") - 1)).alias("batch"), F.lit(0).alias("kind"), "vec_id", "v"
+        "dim", "list", mine.alias("part"), F.explode(F.sequence(F.lit(0), F.col("batches") - 1)).alias("batch"), F.lit(0).alias("kind"), "row", "vec_id", "v"
     )
     asked = visits.join(plan, ["dim", "list"]).select(
-        "dim", "list", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), turn.alias("batch"), F.lit(1).alias("kind"), "vec_id", "v"
+        "dim", "list", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), turn.alias("batch"), F.lit(1).alias("kind"), "row", "vec_id", "v"
     )
 
     def run(frames):
@@ -192,28 +197,28 @@ def _scan_units(entries, visits, counts, k, part_rows, query_batch, block, eps,
                 kind = g["kind"].to_numpy()
                 if kind.min() == kind.max():
                     continue
-                m, ids = unit(_matrix(g["v"])), g["vec_id"].to_numpy()
+                m, ids, row = unit(_matrix(g["v"])), g["vec_id"].to_numpy(), g["row"].to_numpy()
                 turned = m @ rotation(int(dim), seed)
                 s, a = kind == 0, kind == 1
                 for q in np.flatnonzero(a):
                     found, score = scan(turned[q], ids[q], turned[s], ids[s], m[s], m[q], k, block, eps)
-                    out += [(int(ids[q]), int(i), float(c)) for i, c in zip(found, score)]
+                    out += [(int(row[q]), int(ids[q]), int(i), float(c)) for i, c in zip(found, score)]
             if out:
-                yield pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
+                yield pd.DataFrame(out, columns=["row", "query_id", "vec_id", "score"])
 
     keys = ["dim", "list", "part", "batch"]
     return (
         stored.unionByName(asked)
         .repartition(*keys)
-        .sortWithinPartitions(*keys, "kind", "vec_id")
-        .mapInPandas(run, "query_id long, vec_id long, score double")
+        .sortWithinPartitions(*keys, "kind", "row")
+        .mapInPandas(run, "row long, query_id long, vec_id long, score double")
     )
 
 
 def _merge(found: DataFrame, k: int) -> DataFrame:
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= k)
-        .select("query_id", "rank", "vec_id", "score")
+        .select("row", "query_id", "rank", "vec_id", "score")
     )

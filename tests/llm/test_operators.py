@@ -404,6 +404,20 @@ def test_search_recall_and_order(session, vectors):
     assert vector_search.search(vectors.limit(0), vectors.vec_id % 50 == 0).count() == 0
 
 
+def test_search_of_repeated_query_rows(session):
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.standard_normal(8).tolist()) for i in range(40)]
+    # one query row three times, a hot id of equal and different vectors
+    rows += [rows[10]] * 2 + [rows[20]] * 30 + [(20, v) for v in rng.standard_normal((3, 8)).tolist()]
+    frame = session.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    out = vector_search.search(frame, F.col("vec_id") % 10 == 0, part_rows=8, query_batch=3, probe_share=1.0, eps=50.0).collect()
+    want = []
+    for q, v in {(i, tuple(x)) for i, x in rows if i % 10 == 0}:
+        best = sorted((-cosine(v, x), i) for i, x in rows if i != q)[:5]
+        want += [(q, rank + 1, i, round(-c, 9)) for rank, (c, i) in enumerate(best)]
+    assert sorted((r.query_id, r.rank, r.vec_id, round(r.score, 9)) for r in out) == sorted(want)
+
+
 # --- chat -------------------------------------------------------------------------------
 
 
