@@ -127,7 +127,8 @@ def mix_documents(docs: DataFrame, **settings) -> DataFrame:
     Columns are those of ``docs``; ``n_chars`` (if present) follows the text.
     Documents without words share no budget and are not part of the mix."""
     prepare(docs.sparkSession)
-    key = F.md5(F.concat(F.lit("mix|"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("|"), F.md5(F.coalesce("text", F.lit("")).cast("binary"))).cast("binary"))
+    source = F.when(F.col("source").isNull(), F.lit("|")).otherwise(F.concat(F.lit("|="), F.col("source").cast("string")))
+    key = F.md5(F.concat(F.lit("mix|"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("|"), F.md5(F.coalesce("text", F.lit("")).cast("binary")), source).cast("binary"))
     share = (
         mix_plan(docs, order_key=key, **settings)
         .groupBy("key")
@@ -136,7 +137,7 @@ def mix_documents(docs: DataFrame, **settings) -> DataFrame:
         .withColumnRenamed("key", "__key")
     )
     found = docs.withColumn("__key", key).join(share, "__key")
-    # identical rows of one id share what they take; one of them stands for all
+    # identical rows of one id and source share what they take; one of them stands for all
     rows = found.where("__same = 1").unionByName(found.where("__same > 1").dropDuplicates(["__key"]))
     rows = rows.withColumn("__whole", F.expr("CAST(__taken div __size AS INT)")).withColumn("__rest", F.expr("CAST(__taken % __size AS INT)"))
     copies = rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__whole") + F.when(F.col("__rest") > 0, 1).otherwise(0))))

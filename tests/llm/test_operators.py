@@ -500,6 +500,20 @@ def test_mixed_documents_hold_what_the_plan_takes(session, docs):
     assert all(any(t.startswith(r.text) for t in whole) for r in mixed.collect())
 
 
+def test_mixed_documents_of_one_id_and_text_stay_with_their_source(session):
+    rng = random.Random(9)
+    texts = [_words(rng, 20) for _ in range(30)]
+    rows = [(i if i % 3 else None, t, "en", s) for i, t in enumerate(texts) for s in ("a", "b", "", None)]
+    frame = make_docs(session, rows)
+    size = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t))
+    want, got = {}, {}
+    for r in mixing.targets(frame.select("source", mixing.words_in("text").alias("size")), 3).collect():
+        want[r.source] = int(r.target + 0.5)
+    for r in mixing.mix_documents(frame).collect():
+        got[r.source] = got.get(r.source, 0) + size(r.text)
+    assert got == want
+
+
 # --- classifiers ------------------------------------------------------------------------
 
 
