@@ -92,9 +92,17 @@ class Tokens:
         """Ids of one text, special strings read as ordinary text."""
         return self._bpe.encode_ordinary(text)
 
+    def _starts(self, b: Batch) -> np.ndarray:
+        """Start flags of the units that are encoded apart."""
+        return pre_tokens(b)
+
+    def _units(self, units: list[str]) -> list[list[int]]:
+        """Ids of units not seen before."""
+        return list(map(self._bpe.encode_ordinary, units))
+
     def _slice(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         b = Batch.of(texts)
-        start = np.flatnonzero(pre_tokens(b))
+        start = np.flatnonzero(self._starts(b))
         stop = np.append(start[1:], len(b.cp))
         real = b.kind[start] != EDGE
         start, stop = start[real], stop[real]
@@ -104,8 +112,8 @@ class Tokens:
         miss = np.flatnonzero(self._key[slot] != key)
         if len(miss):
             new, first, back = np.unique(key[miss], return_index=True, return_inverse=True)
-            text, encode = "\0".join(texts), self._bpe.encode_ordinary
-            ids = [encode(text[i:j]) for i, j in zip(start[miss[first]].tolist(), stop[miss[first]].tolist())]
+            text = "\0".join(texts)
+            ids = self._units([text[i:j] for i, j in zip(start[miss[first]].tolist(), stop[miss[first]].tolist())])
             lens = np.fromiter(map(len, ids), np.int64, len(ids))
             total = int(lens.sum())
             if self._used + total > len(self._flat):

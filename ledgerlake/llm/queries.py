@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.llm import (
+    alignment,
     chat_format,
     jaccard_join,
     language_id,
@@ -85,6 +86,11 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"))
 
 
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links between two public vocabularies in every document."""
+    return alignment.align_documents(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
@@ -99,6 +105,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_mix_sources,
             op9_language_id,
             op10_jaccard_join,
+            op13_tokenizer_alignment,
         )
     }
 
