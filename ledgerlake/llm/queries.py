@@ -17,12 +17,14 @@ from ledgerlake.llm import (
     jaccard_join,
     language_id,
     line_dedup,
+    lm_scoring,
     mixing,
     ordinal_quality,
     packing,
     training_order,
     vector_dedup,
     vector_search,
+    whitening,
 )
 from ledgerlake.llm.common import prepare, table
 
@@ -86,6 +88,17 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight whitened components of every usable vector."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document under context mixing, next to that of
+    its tokens one by one."""
+    return lm_scoring.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups and links between two public vocabularies in every document."""
     return alignment.align_documents(table(spark, sf_dir, "documents"))
@@ -105,6 +118,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_mix_sources,
             op9_language_id,
             op10_jaccard_join,
+            op11_embedding_whitening,
+            op12_lm_scoring,
             op13_tokenizer_alignment,
         )
     }
