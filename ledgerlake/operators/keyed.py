@@ -3,17 +3,15 @@ linked fill-in and the KYC/time gate.
 
 Scale notes (one key may hold a third of all rows):
 
-* "one row per key" is a grouped ``max``/``min`` over a struct whose leading
-  fields encode the order. That is a partial + final aggregate, so a hot key
-  is collapsed on the map side to one row per map partition before the
-  shuffle (a ``row_number = 1`` window is trimmed before the shuffle as well,
-  by WindowGroupLimit, at the price of the same sort).
+* "one row per key" is a partial + final aggregate, so a hot key is collapsed
+  on the map side to one row per map partition before the shuffle. Its three
+  forms (:func:`latest_by_key`) are measured in ``docs/latest.md``.
 * Rows with a null link key can never match, so they bypass the join
   instead of all hashing to one shuffle partition.
 * Where a null key must match (the null-safe KYC gate) and where a hot key
   would meet a large partition of the other side (a hot player in the gate),
-  the key is salted (:func:`salted_join`); the hot keys come from a bounded,
-  lazily built sample table (:func:`hot_key_table`).
+  the key is salted (:func:`salted_join`); the hot keys come from a mergeable
+  sketch that the same query gathers (:func:`hot_key_sketch`).
 * Other joins are plain equi-joins: AQE turns them into broadcast joins when
   the measured build side is small and splits skewed partitions otherwise.
 """
@@ -22,8 +20,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlake.functions.coerce import truth_text
 
@@ -44,36 +43,36 @@ def default_salts(df: DataFrame) -> int:
     return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
-def hot_key_table(
-    df: DataFrame,
-    key: str,
-    share: float = 0.01,
-    sample: float = 0.01,
-    seed: int = 7,
-    min_count: int = 10,
-) -> DataFrame:
-    """Lazy one-column frame ``__hk`` of the non-null ``key`` values holding
-    at least ``share`` of a ``sample`` of ``df`` (and at least ``min_count``
-    sampled rows, so small inputs flag nothing by chance).
-
-    Every row holds at least ``share`` of the sample, so the frame has at
-    most ``1/share`` rows whatever the data size: it is safe to broadcast.
-    Nothing runs on the driver; the sample (one column) is evaluated as part
-    of the query that uses the table.
-    """
-    sampled = df.select(F.col(key).alias("__hk")).where(F.col("__hk").isNotNull()).sample(fraction=sample, seed=seed)
-    total = sampled.select(F.count(F.lit(1))).scalar()
-    counts = sampled.groupBy("__hk").agg(F.count(F.lit(1)).alias("__n"))
-    return counts.where(F.col("__n") >= F.greatest(F.lit(min_count), total * share)).select("__hk")
+def hot_key_sketch(df: DataFrame, key: str, share: float = 0.01, min_count: int = 10) -> Column:
+    """Array of the non-null ``key`` values that hold at least ``share`` of the
+    rows of ``df`` (and at least ``min_count`` of them): a scalar subquery, so
+    nothing runs while a plan is built, and all uses see one value.
+
+    The keys come from a frequent-items sketch (``approx_top_k``): each task
+    keeps a bounded table of candidates, tables are merged, and no key above
+    ``share`` is missed. The array has at most ``1/share`` keys, whatever the
+    data size. Where ``df`` is a shuffled aggregate that the query needs
+    anyway, the sketch reads that shuffle's output (a reused exchange): the
+    input is scanned once."""
+    most = max(1, round(1 / share))
+    top = df.agg(
+        F.expr(f"approx_top_k(`{key}`, {most}, {min(1 << 20, 16 * most)})").alias("__top"),
+        F.greatest(F.lit(min_count), F.ceil(F.count(key) * F.lit(share))).alias("__least"),
+    )
+    often = F.filter("__top", lambda x: x["item"].isNotNull() & (x["count"] >= F.col("__least")))
+    return top.select(F.transform(often, lambda x: x["item"]).alias("__hot")).scalar()
 
 
 def hot_keys(df: DataFrame, key: str, share: float = 0.01, **kwargs) -> list:
-    """The rows of :func:`hot_key_table` collected (at most ``1/share``)."""
-    return [r[0] for r in hot_key_table(df, key, share, **kwargs).collect()]
+    """The keys of :func:`hot_key_sketch` (at most ``1/share``), collected."""
+    return df.sparkSession.range(1).select(hot_key_sketch(df, key, share, **kwargs).alias("k")).first()["k"]
 
 
 def _is_hot(key: str, hot) -> Column:
-    """Whether the row's key is one of the ``hot`` values (a bounded list)."""
+    """Whether the row's key is one of the ``hot`` values (a bounded list, or
+    an array column)."""
+    if isinstance(hot, Column):
+        return F.array_contains(hot, F.col(key))
     return F.col(key).isin(list(hot)) if hot else F.lit(False)
 
 
@@ -91,8 +90,8 @@ def salted_join(
     which the null group and the ``hot`` keys are spread over ``salts`` shuffle
     partitions instead of one.
 
-    ``hot`` is a list of key values or a bounded hot-key table
-    (:func:`hot_key_table`). Each left row of such a key takes one salt from
+    ``hot`` is a list of key values or an array of them
+    (:func:`hot_key_sketch`). Each left row of such a key takes one salt from
     a hash of the row; each right row of such a key is replicated once per
     salt, so every left row still meets every matching right row exactly
     once. Other keys use salt 0 and join as usual. Replication is ``salts`` ×
@@ -101,20 +100,16 @@ def salted_join(
     """
     columns = left.columns
     salts = salts or default_salts(left)
-    if isinstance(hot, DataFrame):
-        # both sides must see one and the same set: a lazy sample evaluated
-        # twice could differ, and rows salted on one side only would be lost
-        hot = [r[0] for r in hot.collect()]
     lk, rk = F.col(left_key), F.col(right_key)
     spread_l, spread_r = F.coalesce(_is_hot(left_key, hot), F.lit(False)), F.coalesce(_is_hot(right_key, hot), F.lit(False))
     if null_safe:
         spread_l, spread_r = spread_l | lk.isNull(), spread_r | rk.isNull()
     row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in columns])
     l2 = left.withColumn("__ls", F.when(spread_l, F.pmod(row_hash, F.lit(salts))).otherwise(F.lit(0)).cast("int"))
-    r2 = right.withColumn(
-        "__rs",
-        F.explode(F.when(spread_r, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))),
-    )
+    r2 = right.withColumn("__rs", F.when(spread_r, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0))))
+    # outer: else a filter on the array's size goes below the right side's
+    # shuffle, which then is no longer one that the query has already
+    r2 = r2.withColumn("__rs", F.explode_outer("__rs"))
     keys = lk.eqNullSafe(rk) if null_safe else lk == rk
     joined = l2.join(r2, keys & (F.col("__ls") == F.col("__rs")), how)
     return joined.drop("__ls", "__rs")
@@ -135,11 +130,25 @@ def null_safe_join(
     return salted_join(left, right, left_key, right_key, how, True, hot, salts)
 
 
+#: Types whose order fits a long without loss, and the long that keeps it.
+_ORDER_CODES = {
+    T.TimestampType: lambda c: F.unix_micros(c),
+    T.DateType: lambda c: F.unix_date(c).cast("long"),
+    T.LongType: lambda c: c,
+    T.IntegerType: lambda c: c.cast("long"),
+    T.ShortType: lambda c: c.cast("long"),
+    T.ByteType: lambda c: c.cast("long"),
+    T.BooleanType: lambda c: c.cast("long"),
+}
+FORMS = ("struct", "hash", "window")
+
+
 def latest_by_key(
     df: DataFrame,
     key: str,
     sort_by: str,
     tie_break: Sequence[str] | None = None,
+    form: str = "struct",
 ) -> DataFrame:
     """A10 — keep one row per ``key``: the one with the greatest ``sort_by``.
 
@@ -147,9 +156,28 @@ def latest_by_key(
     form one group (L4). Ties on ``sort_by`` are broken by ``tie_break``
     (default: the remaining columns in order), each compared descending with
     nulls last (L2), so the result is deterministic.
+
+    All forms give the same rows (times and plans in ``docs/latest.md``):
+
+    * ``struct``: a grouped ``max`` over a struct of the whole row. One
+      shuffle; a hot key leaves each map task as one row; sorts on both sides
+      of the shuffle, because a struct is no fixed-width buffer;
+    * ``hash``: a hash aggregate finds each key's greatest ``sort_by``, coded
+      as a long that keeps the order, and how many rows have it; the rows that
+      match are fetched by a hash join. No sort, but for the keys that tie.
+      The rows themselves are shuffled, so a hot key is AQE's to split;
+    * ``window``: ``row_number = 1``, trimmed before the shuffle.
     """
     rest = [c for c in df.columns if c not in (key, sort_by)]
     order = list(tie_break) if tie_break is not None else rest
+    if form == "hash":
+        return _latest_by_code(df, key, sort_by, order)
+    if form == "window":
+        by = [F.col(sort_by).desc_nulls_first(), *[F.col(c).desc_nulls_last() for c in order]]
+        ranked = df.withColumn("__rank", F.row_number().over(Window.partitionBy(key).orderBy(*by)))
+        return ranked.where("__rank = 1").select(*df.columns)
+    if form != "struct":
+        raise ValueError(f"form must be one of {FORMS}")
     payload = [c for c in rest if c not in order]
     best = F.max(
         F.struct(
@@ -167,6 +195,27 @@ def latest_by_key(
     )
 
 
+def _latest_by_code(df: DataFrame, key: str, sort_by: str, order: Sequence[str]) -> DataFrame:
+    """The ``hash`` form of :func:`latest_by_key`."""
+    kind = type(df.schema[sort_by].dataType)
+    if kind not in _ORDER_CODES:
+        raise ValueError(f"the hash form needs a fixed-width sort column, {sort_by} is {kind.__name__}")
+    # a null is above every value: it has a flag of its own in the buffers
+    code, null = _ORDER_CODES[kind](F.col(sort_by)), F.col(sort_by).isNull()
+    coded = df.withColumns({"__code": F.coalesce(code, F.lit(0).cast("long")), "__null": null.cast("int")})
+    best = coded.groupBy(F.col(key).alias("__key")).agg(
+        F.max("__null").alias("__top_null"), F.max(F.when(~null, F.col("__code"))).alias("__top"), F.count(F.lit(1)).alias("__rows")
+    )
+    best = best.select("__key", "__top_null", F.when(F.col("__top_null") == 0, F.col("__top")).otherwise(0).alias("__top_code"), "__rows")
+    met = F.col(key).eqNullSafe(F.col("__key")) & (F.col("__null") == F.col("__top_null")) & (F.col("__code") == F.col("__top_code"))
+    won = coded.join(best.hint("shuffle_hash"), met, "inner")
+    alone = won.where("__rows = 1").select(*df.columns)
+    # keys of several rows may have several at the top: the rows that tie are
+    # few, and go through the struct form
+    tied = latest_by_key(won.where("__rows > 1").select(*df.columns), key, sort_by, order)
+    return alone.unionByName(tied)
+
+
 def valid_keys(df: DataFrame, key: str = "id", alias: str = "__key") -> DataFrame:
     """A9 — the distinct non-null values of ``key`` (a one-column frame)."""
     return df.select(F.col(key).alias(alias)).where(F.col(alias).isNotNull()).distinct()
@@ -186,7 +235,7 @@ def null_dangling(
     replicates one row).
     """
     keys = valid_keys(targets, target_key, "__key").withColumn("__hit", F.lit(True))
-    hot = hot_key_table(df, link, hot_key_share) if hot_key_share else ()
+    hot = hot_key_sketch(df, link, hot_key_share) if hot_key_share else ()
     linked = df.where(F.col(link).isNotNull())
     unlinked = df.where(F.col(link).isNull())
     checked = (
@@ -241,10 +290,10 @@ def first_claim(
     The winner per link is a grouped ``min`` (partial aggregation, skew-safe),
     joined back on the link. The other side of that join holds one row per
     link, so AQE's skew split of a hot link re-reads little; with
-    ``hot_key_share`` the hot links are salted instead (:func:`hot_key_table`).
+    ``hot_key_share`` the hot links are salted instead (:func:`hot_key_sketch`).
     """
     order = _claim_order(df, link, order_by)
-    hot = hot_key_table(df, link, hot_key_share) if hot_key_share else ()
+    hot = hot_key_sketch(df, link, hot_key_share) if hot_key_share else ()
     winners = _claim_winners(df.where(F.col(link).isNotNull()), link, order)
     return _keep_winner(df, link, winners, order, hot)
 
@@ -255,26 +304,27 @@ def link_claims(
     targets: DataFrame,
     target_key: str = "id",
     order_by: Sequence[str] = ("created_at", "id"),
-    hot_key_share: float | None = None,
-    hot=None,
+    row_key: str = "id",
 ) -> DataFrame:
-    """J6 then A11 in one pass: a link survives only if its target exists and
-    this row is its first claimant among rows with an existing target.
-
-    Same result as ``first_claim(null_dangling(df))`` with one join fewer:
-    winners are computed over the rows that pass a semi-join with the target
-    keys, so a dangling link finds no winner and is nulled by the same
-    join-back that removes later claimants. ``hot`` lists links to salt;
-    by default they are sampled from ``df`` (pass a list sampled from the raw
-    input when ``df`` is itself an aggregate, so the sample stays a scan).
-    """
+    """J6 then A11 in one pass, for rows unique in ``row_key`` (as after
+    de-dup; at most one has a null there): a link survives only if its target
+    exists and this row is its first claimant.
+
+    Same result as ``first_claim(null_dangling(df))``. One grouping by link
+    finds the winner's ``row_key``, so a hot link leaves each map task as one
+    row; a semi-join of winners (one per link) with the target keys takes the
+    dangling links out; and the winners go back to the rows by ``row_key``,
+    by which ``df`` is partitioned and sorted already: that join has no hot
+    key, and the rows are not shuffled again."""
     keys = valid_keys(targets, target_key, "__key")
-    if hot is None:
-        hot = hot_key_table(df, link, hot_key_share) if hot_key_share else ()
-    valid = salted_join(df.where(F.col(link).isNotNull()), keys, link, "__key", "left_semi", False, hot)
-    order = _claim_order(df, link, order_by)
-    winners = _claim_winners(valid, link, order)
-    return _keep_winner(df, link, winners, order, hot)
+    order = list(order_by) + ([] if row_key in order_by else [row_key])
+    winners = (
+        _claim_winners(df.where(F.col(link).isNotNull()), link, order)
+        .join(keys, F.col("__wkey") == F.col("__key"), "left_semi")
+        .select(F.col("__wkey"), F.col(f"__winner._v{order.index(row_key)}").alias("__row"))
+    )
+    met = F.col(row_key).eqNullSafe(F.col("__row"))
+    return df.join(winners, met, "left").withColumn(link, F.col("__wkey")).select(*df.columns)
 
 
 def fill_from_linked(
@@ -315,7 +365,7 @@ def kyc_time_gate(
 
     The join is null-safe (ledger L16: a null player id matches the null-id
     player, of which de-dup leaves at most one) and salts the null keys and
-    the ``hot`` player ids (:func:`salted_join`; see :func:`hot_key_table`), so
+    the ``hot`` player ids (:func:`salted_join`; see :func:`hot_key_sketch`), so
     neither piles up in one partition. Without a hot list, a hot player is
     left to AQE's skew split or avoided by a broadcast of the players.
     The approval test is the text rule of L10 and is applied to the player

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from ledgerlake.functions.coerce import TIMESTAMP_PATTERN, coerce_frame
 from ledgerlake.operators.keyed import (
     fill_from_linked,
-    hot_key_table,
+    hot_key_sketch,
     kyc_time_gate,
     latest_by_key,
     link_claims,
@@ -37,7 +37,6 @@ def clean_players(
     players: DataFrame,
     affiliates: DataFrame,
     pattern: str = TIMESTAMP_PATTERN,
-    hot_key_share: float | None = None,
 ) -> DataFrame:
     """C1 — latest version per player, dangling affiliate links nulled, only
     the first claimant (by creation time, then id) keeps a shared link.
@@ -49,11 +48,8 @@ def clean_players(
     """
     p = _typed(players, PLAYERS, pattern, keep=("is_kyc_approved",))
     a = _typed(affiliates.select("id"), T.StructType([AFFILIATES["id"]]), pattern)
-    # Optional salting of hot links (AQE's split is cheap here, see
-    # first_claim); the sample reads the raw versions, one column.
-    hot = hot_key_table(p, "affiliate_id", hot_key_share) if hot_key_share else ()
     latest = latest_by_key(p, "id", "updated_at")
-    linked = link_claims(latest, "affiliate_id", a, "id", ("created_at", "id"), hot=hot)
+    linked = link_claims(latest, "affiliate_id", a, "id", ("created_at", "id"))
     return linked.select(*PLAYER_COLUMNS)
 
 
@@ -79,14 +75,15 @@ def clean_transactions(
     """C3 — latest version per transaction, only approved players, none
     before the player's creation time.
 
-    Player ids holding at least ``hot_key_share`` of a 1% sample of the raw
-    transactions are salted in the gate join
-    (:func:`ledgerlake.operators.keyed.hot_key_table`, a bounded table
-    broadcast into the join; no driver-side action); the sample reads only
-    the player id column. ``None`` leaves hot players to AQE's skew split."""
+    Player ids holding at least ``hot_key_share`` of the transactions are
+    salted in the gate join. They are found by a sketch over the de-duplicated
+    rows (:func:`ledgerlake.operators.keyed.hot_key_sketch`), which reads the
+    shuffle that the de-dup makes anyway: no driver-side action while the plan
+    is built, and one scan of the transactions. ``None`` leaves hot players to
+    AQE's skew split."""
     t = _typed(transactions, TRANSACTIONS, pattern)
-    hot = hot_key_table(t, "player_id", hot_key_share) if hot_key_share else ()
     latest = latest_by_key(t, "id", "timestamp")
+    hot = hot_key_sketch(latest, "player_id", hot_key_share) if hot_key_share else ()
     return kyc_time_gate(latest, cleaned_players, hot=hot).select(*TRANSACTION_COLUMNS)
 
 
@@ -94,16 +91,15 @@ def clean_all(
     raw: dict[str, DataFrame],
     pattern: str = TIMESTAMP_PATTERN,
     hot_player_share: float | None = 0.01,
-    hot_link_share: float | None = None,
 ) -> dict[str, DataFrame]:
     """C1–C3 on a dict of raw frames ``players``/``affiliates``/``transactions``.
 
     Cleaned players feed both other tables; the caller decides whether to
     persist or write them once (see :mod:`ledgerlake.plans.daily_run`).
-    ``hot_player_share`` / ``hot_link_share`` switch hot-key salting of the
-    KYC gate / the first-claim joins (None: AQE's skew split).
+    ``hot_player_share`` switches hot-key salting of the KYC gate (None: AQE's
+    skew split).
     """
-    players = clean_players(raw["players"], raw["affiliates"], pattern, hot_link_share)
+    players = clean_players(raw["players"], raw["affiliates"], pattern)
     return {
         "players": players,
         "affiliates": clean_affiliates(raw["affiliates"], players, pattern),

@@ -22,7 +22,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.operators.keyed import hot_key_table, null_safe_join
+from ledgerlake.operators.keyed import hot_key_sketch, null_safe_join
 
 @dataclass(frozen=True)
 class TableTests:
@@ -153,7 +153,7 @@ def invariant_report(
         F.col("created_at").alias("__created"),
     )
     # Null-safe left join with salted null keys and hot players (as the KYC gate).
-    t = null_safe_join(transactions, p, "player_id", "__pid", "left", hot=hot_key_table(transactions, "player_id"))
+    t = null_safe_join(transactions, p, "player_id", "__pid", "left", hot=hot_key_sketch(transactions, "player_id"))
     gate = t.agg(
         F.sum(
             F.when(F.coalesce(F.upper(F.col("__kyc")) == "TRUE", F.lit(False)), 0).otherwise(1)

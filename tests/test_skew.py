@@ -131,7 +131,7 @@ def test_null_safe_join_spreads_null_keys(spark):
 
 def test_hot_player_is_salted_in_the_gate(spark, skewed):
     txns, players = skewed
-    hot = keyed.hot_keys(txns, "player_id", share=0.05, sample=0.2)
+    hot = keyed.hot_keys(txns, "player_id", share=0.05)
     assert hot == [HOT_PLAYER]
     salted = keyed.kyc_time_gate(txns, players, hot=hot)
     plain = keyed.kyc_time_gate(txns, players)
@@ -152,17 +152,87 @@ def test_hot_link_first_claim_salted_equals_plain(spark):
         F.when(i % 3 == 0, F.lit(1)).when(i % 3 == 1, i % 500).alias("affiliate_id"),
         F.timestamp_seconds(F.lit(1_600_000_000) + (i * 7919) % 100_000).alias("created_at"),
     )
-    assert keyed.hot_keys(players, "affiliate_id", share=0.05, sample=0.3) == [1]
+    assert keyed.hot_keys(players, "affiliate_id", share=0.05) == [1]
     salted = keyed.first_claim(players, hot_key_share=0.05)
     plain = keyed.first_claim(players, hot_key_share=None)
     assert sorted(map(tuple, salted.collect())) == sorted(map(tuple, plain.collect()))
     assert salted.where(F.col("affiliate_id") == 1).count() == 1
 
 
-def test_lazy_hot_key_table_in_the_gate(spark, skewed):
+def test_hot_key_sketch_in_the_gate(spark, skewed):
     txns, players = skewed
-    table = keyed.hot_key_table(txns, "player_id", share=0.05, sample=0.2)
-    assert [r[0] for r in table.collect()] == [HOT_PLAYER]  # bounded: at most 1/share rows
-    salted = keyed.kyc_time_gate(txns, players, hot=table)
+    before = _jobs(spark)
+    hot = keyed.hot_key_sketch(txns, "player_id", share=0.05)
+    salted = keyed.kyc_time_gate(txns, players, hot=hot)
+    assert _jobs(spark) == before  # nothing ran while the plan was built
     plain = keyed.kyc_time_gate(txns, players)
     assert sorted(map(tuple, salted.collect())) == sorted(map(tuple, plain.collect()))
+
+
+def _jobs(spark):
+    return spark.sparkContext._jsc.sc().dagScheduler().nextJobId()
+
+
+def test_sketch_misses_no_key_above_the_share(spark):
+    # 10,000 different keys besides three that hold 30, 5 and 1.2 %; nulls hold 10 %
+    i = F.col("id")
+    k = F.when(i % 10 < 3, -1).when(i % 20 == 3, -2).when(i % 1000 < 520, F.when(i % 1000 >= 508, -3)).otherwise(i % 10007)
+    df = spark.range(0, 200000, 1, 8).select(k.alias("k"))
+    found = keyed.hot_keys(df, "k", share=0.01)
+    counts = {r[0]: r[1] for r in df.groupBy("k").count().collect()}
+    must = {x for x, n in counts.items() if x is not None and n >= 2000}
+    assert must <= set(found) and len(found) <= 100 and None not in found
+    assert all(counts[x] >= 1500 for x in found)  # the sketch's error is a small part of the share
+
+
+def test_clean_transactions_scans_once_and_runs_nothing_early(spark):
+    from ledgerlake.plans import clean
+    from ledgerlake.sources import staging
+
+    sf = "/root/testdata/sf0.001"
+    players = clean.clean_players(staging.raw_players(spark, sf), staging.raw_affiliates(spark, sf))
+    raw = staging.raw_transactions(spark, sf)  # reads a file's schema
+    before = _jobs(spark)
+    df = clean.clean_transactions(raw, players)
+    assert _jobs(spark) == before
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString()
+    final = final[: final.index("+- == Initial Plan ==\n   ")] if "+- == Initial Plan ==\n   " in final else final
+    assert "approx_top_k" in df._jdf.queryExecution().optimizedPlan().toString()
+    assert "ReusedExchange" in final
+
+
+FORMS_DATA = [
+    # key, sort, a, b: null sort wins, ties on sort, a null key, identical rows
+    (1, 5, "x", 1), (1, 7, "y", 2), (1, None, "z", 3), (2, 4, "p", 1), (2, 4, "q", 0), (2, 4, None, 9),
+    (3, 1, "one", 1), (None, 2, "n", 1), (None, 3, "m", 1), (4, 8, "s", 1), (4, 8, "s", 1),
+    (5, None, "a", 1), (5, None, "b", 1), (6, -(2**63), "low", 1), (6, 2**63 - 1, "high", 1), (7, 2**63 - 1, "v", 1), (7, None, "null", 1),
+]
+
+
+@pytest.mark.parametrize("form", ["struct", "hash", "window"])
+def test_latest_forms_agree(spark, form):
+    df = spark.createDataFrame(FORMS_DATA, "k long, t long, a string, b int").repartition(4)
+    got = sorted(map(str, keyed.latest_by_key(df, "k", "t", form=form).collect()))
+    want = {1: (1, None, "z", 3), 2: (2, 4, "q", 0), 3: (3, 1, "one", 1), None: (None, 3, "m", 1), 4: (4, 8, "s", 1),
+            5: (5, None, "b", 1), 6: (6, 2**63 - 1, "high", 1), 7: (7, None, "null", 1)}
+    assert got == sorted(map(str, spark.createDataFrame(list(want.values()), df.schema).collect()))
+
+
+@pytest.mark.parametrize("form", ["struct", "hash", "window"])
+def test_latest_forms_on_a_hot_key(skewed, form):
+    txns, _ = skewed
+    got = keyed.latest_by_key(txns, "id", "timestamp", form=form)
+    assert sorted(map(str, got.collect())) == sorted(map(str, keyed.latest_by_key(txns, "id", "timestamp").collect()))
+
+
+def test_hash_form_sorts_only_what_ties(spark):
+    df = spark.range(0, 1000, 1, 4).select((F.col("id") % 300).alias("k"), F.timestamp_seconds("id").alias("t"), F.lit("x").alias("v"))
+    out = keyed.latest_by_key(df, "k", "t", form="hash")
+    assert out.count() == 300
+    p = out._jdf.queryExecution().executedPlan().toString()
+    p = p[: p.index("== Initial Plan ==")] if "== Initial Plan ==" in p else p
+    alone = p[: p.index("SortAggregate")]  # the branch of keys with several rows comes second
+    assert "HashAggregate" in alone and "Sort [" not in alone and "SortMergeJoin" not in p
+    with pytest.raises(ValueError):
+        keyed.latest_by_key(df, "k", "v", form="hash")
