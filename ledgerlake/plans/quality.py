@@ -3,11 +3,14 @@ but never asserts.
 
 Every test yields rows ``(table_name, column_name, test_name, failures)``:
 
-* ``unique`` — number of non-null values that occur more than once (one
-  grouped count per tested column: partial aggregation, so a hot value is
-  combined map-side);
-* ``not_null`` — number of null rows; all not-null tests of one table share
-  a single aggregate pass over it.
+* ``unique`` — number of non-null values that occur more than once;
+* ``not_null`` — number of null rows.
+
+All tests of one table are one grouped aggregate over it: rows are grouped by
+the tested values (several unique columns are expanded into one stream of
+column number and value), null counts of the other columns ride along. So a
+table is read once and shuffled once, after partial aggregation, in which a
+hot value is combined map-side.
 
 :func:`run_tests` collects the report (one row per declared test, a bounded
 size) and raises if any test fails.
@@ -63,27 +66,52 @@ def duplicates(df: DataFrame, column: str) -> DataFrame:
 
 def check_unique(df: DataFrame, table: str, column: str) -> DataFrame:
     """T1 — one report row: how many values of ``column`` are duplicated."""
-    return duplicates(df, column).agg(F.count(F.lit(1)).alias("failures")).select(
-        F.lit(table).alias("table_name"),
-        F.lit(column).alias("column_name"),
-        F.lit("unique").alias("test_name"),
-        F.col("failures").cast("long").alias("failures"),
-    )
+    return check_columns(df, TableTests(table, unique=(column,)))
 
 
 def check_not_null(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
-    """T2 — one report row per column: its number of nulls. One scan of
-    ``df`` for all columns, then an ``unpivot`` of the single result row."""
-    counts = df.agg(
-        *[F.sum(F.col(c).isNull().cast("long")).alias(c) for c in columns]
-    ).fillna(0)
-    long_form = counts.unpivot([], list(columns), "column_name", "failures")
-    return long_form.select(
-        F.lit(table).alias("table_name"),
-        "column_name",
-        F.lit("not_null").alias("test_name"),
-        F.col("failures").cast("long").alias("failures"),
+    """T2 — one report row per column: its number of nulls."""
+    return check_columns(df, TableTests(table, not_null=tuple(columns)))
+
+
+def check_columns(df: DataFrame, tests: TableTests) -> DataFrame:
+    """T1 and T2 of one table in one pass: a report row per declared test."""
+    nulls = {c: f"__nulls{i}" for i, c in enumerate(tests.not_null)}
+    counted = [F.col(c).isNull().cast("long").alias(n) for c, n in nulls.items()]
+    sums = [F.sum(n).alias(n) for n in nulls.values()]
+    names = [f"__unique{i}" for i in range(len(tests.unique))]
+    if tests.unique:
+        if len(tests.unique) == 1:
+            rows = df.select(F.lit(0).alias("__at"), F.col(tests.unique[0]).alias("__value"), *counted)
+        else:
+            # a row per unique column; the null counts go with the first
+            pairs = F.array(*[F.struct(F.lit(i).alias("at"), F.col(c).cast("string").alias("value")) for i, c in enumerate(tests.unique)])
+            rows = df.select(F.explode(pairs).alias("__p"), *counted).select(
+                F.col("__p.at").alias("__at"),
+                F.col("__p.value").alias("__value"),
+                *[F.when(F.col("__p.at") == 0, F.col(n)).otherwise(0).alias(n) for n in nulls.values()],
+            )
+        # a constant is no grouping key: one column needs none
+        keys = ["__at", "__value"] if len(tests.unique) > 1 else ["__value"]
+        grouped = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), *sums)
+        twice = F.col("__value").isNotNull() & (F.col("__n") > 1)
+        found = [F.count(F.when(twice & (F.col("__at") == i if len(names) > 1 else F.lit(True)), 1)).alias(n) for i, n in enumerate(names)]
+        counts = grouped.agg(*found, *sums)
+    else:
+        counts = df.select(*counted).agg(*sums)
+    lines = [(c, "unique", n) for c, n in zip(tests.unique, names)] + [(c, "not_null", n) for c, n in nulls.items()]
+    listed = F.array(
+        *[
+            F.struct(
+                F.lit(tests.name).alias("table_name"),
+                F.lit(c).alias("column_name"),
+                F.lit(t).alias("test_name"),
+                F.coalesce(F.col(n), F.lit(0)).cast("long").alias("failures"),
+            )
+            for c, t, n in lines
+        ]
     )
+    return counts.select(F.explode(listed).alias("r")).select("r.*")
 
 
 def check_row_count(stored: DataFrame, written: DataFrame, table: str) -> DataFrame:
@@ -98,24 +126,13 @@ def check_row_count(stored: DataFrame, written: DataFrame, table: str) -> DataFr
     )
 
 
-def table_report(df: DataFrame, tests: TableTests) -> list[DataFrame]:
-    parts = [check_unique(df, tests.name, c) for c in tests.unique]
-    if tests.not_null:
-        parts.append(check_not_null(df, tests.name, tests.not_null))
-    return parts
-
-
 def union_all(parts: Iterable[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 def quality_report(tables: dict[str, DataFrame], declared: dict[str, TableTests] = DECLARED) -> DataFrame:
     """T3 report over the given tables (keys as in ``declared``)."""
-    parts: list[DataFrame] = []
-    for name, tests in declared.items():
-        if name in tables:
-            parts += table_report(tables[name], tests)
-    return union_all(parts)
+    return union_all(check_columns(tables[name], tests) for name, tests in declared.items() if name in tables)
 
 
 def invariant_report(
@@ -132,20 +149,16 @@ def invariant_report(
     * no transaction precedes its player's creation;
     * daily withdrawals are never positive.
     """
-    one_to_one = check_unique(players, "raw_players", "affiliate_id").withColumn(
-        "test_name", F.lit("one_player_per_affiliate")
-    )
+    # one grouping by link serves both link tests; affiliates are unique by id
     aff_ids = affiliates.select(F.col("id").alias("__aff")).where(F.col("__aff").isNotNull()).distinct()
-    dangling = (
-        players.where(F.col("affiliate_id").isNotNull())
-        .join(aff_ids, F.col("affiliate_id") == F.col("__aff"), "left_anti")
-        .agg(F.count(F.lit(1)).alias("failures"))
-        .select(
-            F.lit("raw_players").alias("table_name"),
-            F.lit("affiliate_id").alias("column_name"),
-            F.lit("affiliate_exists").alias("test_name"),
-            F.col("failures").cast("long"),
-        )
+    links = players.where(F.col("affiliate_id").isNotNull()).groupBy("affiliate_id").agg(F.count(F.lit(1)).alias("__n"))
+    link_rows = _report_rows(
+        links.join(aff_ids, F.col("affiliate_id") == F.col("__aff"), "left").agg(
+            F.count(F.when(F.col("__n") > 1, 1)).alias("one_player_per_affiliate"),
+            F.sum(F.when(F.col("__aff").isNull(), F.col("__n")).otherwise(0)).alias("affiliate_exists"),
+        ),
+        "raw_players",
+        "affiliate_id",
     )
     p = players.select(
         F.col("id").alias("__pid"),
@@ -157,24 +170,19 @@ def invariant_report(
     gate = t.agg(
         F.sum(
             F.when(F.coalesce(F.upper(F.col("__kyc")) == "TRUE", F.lit(False)), 0).otherwise(1)
-        ).alias("approved"),
-        F.sum(F.when(F.col("timestamp") >= F.col("__created"), 0).otherwise(1)).alias("after_creation"),
-    ).fillna(0)
-    gate_rows = gate.unpivot([], ["approved", "after_creation"], "test_name", "failures").select(
-        F.lit("raw_transactions").alias("table_name"),
-        F.lit("player_id").alias("column_name"),
-        F.concat(F.lit("player_"), F.col("test_name")).alias("test_name"),
-        F.col("failures").cast("long"),
+        ).alias("player_approved"),
+        F.sum(F.when(F.col("timestamp") >= F.col("__created"), 0).otherwise(1)).alias("player_after_creation"),
     )
-    withdrawals = ledger.agg(
-        F.coalesce(F.sum((F.col("withdrawals") > 0).cast("long")), F.lit(0)).alias("failures")
-    ).select(
-        F.lit("daily_ledger").alias("table_name"),
-        F.lit("withdrawals").alias("column_name"),
-        F.lit("not_positive").alias("test_name"),
-        F.col("failures").cast("long"),
+    gate_rows = _report_rows(gate, "raw_transactions", "player_id")
+    withdrawals = ledger.agg(F.sum((F.col("withdrawals") > 0).cast("long")).alias("not_positive"))
+    return union_all([link_rows, gate_rows, _report_rows(withdrawals, "daily_ledger", "withdrawals")])
+
+
+def _report_rows(counts: DataFrame, table: str, column: str) -> DataFrame:
+    """Report rows of a one-row frame of failures, a column per test."""
+    return counts.fillna(0).unpivot([], list(counts.columns), "test_name", "failures").select(
+        F.lit(table).alias("table_name"), F.lit(column).alias("column_name"), "test_name", F.col("failures").cast("long").alias("failures")
     )
-    return union_all([one_to_one, dangling, gate_rows, withdrawals])
 
 
 class QualityError(AssertionError):

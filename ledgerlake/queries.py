@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -220,7 +221,7 @@ def q_distinct_selected_players(spark, sf_dir):
 
 
 def q_segment_totals(spark, sf_dir):
-    c = _cleaned(spark, sf_dir)
+    c = _Stored(spark, sf_dir)  # players feed the selection, the affiliates and the gate
     return marts.segment_totals(c["players"], c["affiliates"], c["transactions"], stamp=False)
 
 
@@ -252,22 +253,30 @@ def q_check_not_null(spark, sf_dir):
     return quality.check_not_null(raw, "raw_players", raw.columns)
 
 
-def _landed(spark, sf_dir) -> dict[str, DataFrame]:
-    """The cleaned tables as the tests see them after the load: materialised
-    once (checkpoint in the shared folder) instead of recomputed per test."""
-    c = _cleaned(spark, sf_dir)
-    return {
-        "players": clean.landing_players(c["players"]).checkpoint(eager=True),
-        "affiliates": c["affiliates"].checkpoint(eager=True),
-        "transactions": c["transactions"].checkpoint(eager=True),
-    }
+class _Stored(_Cleaned):
+    """Cleaned tables as the daily run hands them on: each is written to the
+    shared folder once, and every reader reads the files. Players first; then
+    both others, which need only them, at the same time."""
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if not self._built:
+            plain = _cleaned(self.spark, self.sf_dir)
+            plain._built["players"] = self._built["players"] = self._written("players", plain["players"])
+            others = ("affiliates", "transactions")
+            with ThreadPoolExecutor(len(others)) as pool:
+                done = pool.map(lambda n: self._written(n, plain[n]), others)
+                self._built.update(zip(others, done))
+        return self._built[name]
+
+    def _written(self, name: str, df: DataFrame) -> DataFrame:
+        path = files.write_parquet(df, _folder(self.spark, f"cleaned-{name}"))
+        return self.spark.read.schema(df.schema).parquet(path)
 
 
 def q_quality_report(spark, sf_dir):
-    ensure_checkpoint_dir(spark)
-    c = _landed(spark, sf_dir)
+    c = _Stored(spark, sf_dir)
     tables = {
-        "raw_players": c["players"],
+        "raw_players": clean.landing_players(c["players"]),
         "raw_affiliates": c["affiliates"],
         "raw_transactions": c["transactions"],
         **_marts(c),
@@ -276,7 +285,7 @@ def q_quality_report(spark, sf_dir):
 
 
 def q_invariant_report(spark, sf_dir):
-    c = _cleaned(spark, sf_dir)
+    c = _Stored(spark, sf_dir)
     return quality.invariant_report(
         c["players"], c["affiliates"], c["transactions"], marts.daily_ledger(c["transactions"], stamp=False)
     )
