@@ -117,11 +117,10 @@ def daily_run(
         f"{work_dir}/transformed/transactions",
     )
 
-    # 3. Land (C4): fixed schema, full refresh.
+    # 3. Land (C4): fixed schema, full refresh, all three in one commit.
     transformed = {t: files.read_parquet(spark, p) for t, p in out.transformed.items()}
     transformed["players"] = clean.landing_players(transformed["players"])
-    for t in TABLES:
-        out.landing[t] = catalog.land(transformed[t], spark, database, t, buckets or None)
+    out.landing = catalog.land_all({t: transformed[t] for t in TABLES}, spark, database, buckets or None)
 
     # 4. Marts (M1–M3) from the landing tables, materialised.
     src = {t: catalog.source(spark, database, f"raw_{t}") for t in TABLES}

@@ -4,10 +4,20 @@ named source scans, and marts materialised as tables.
 Table writes go through Spark's catalog, so the declared types are enforced
 on load; in particular ``VARCHAR(4)`` rejects a longer country code
 (ledger L25).
+
+Every load writes new folders and then commits them all at once, by adding one
+file to the database's manifest: a numbered list of which folder each table
+has. :func:`snapshot` reads all tables of one number. The catalog's tables are
+pointed at the same folders after the commit, one by one, for SQL users; a
+load that finds them behind the manifest (because an earlier one was cut off
+there) brings them up to date first. Replaced folders stay for a grace period
+(:func:`vacuum`), so a reader that opened one can finish.
 """
 
 from __future__ import annotations
 
+import json
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -58,8 +68,7 @@ _VERSION = "__v_"
 def _version_path(spark: SparkSession, name: str) -> str:
     """A new folder next to the tables of the database of ``name``."""
     database, table = name.split(".")
-    base = spark.sql(f"DESCRIBE DATABASE {_q(database)}").where("info_name = 'Location'").first()[1]
-    return f"{base.rstrip('/')}/{table}{_VERSION}{uuid.uuid4().hex}"
+    return f"{_base(spark, database)}/{table}{_VERSION}{uuid.uuid4().hex}"
 
 
 def _delete(spark: SparkSession, path: str) -> None:
@@ -73,29 +82,119 @@ def _location(spark: SparkSession, name: str) -> str:
     return rows[0][1]
 
 
-def _switch(spark: SparkSession, name: str, path: str) -> None:
-    """Point table ``name`` at the files in ``path`` and drop the files of the
-    version it had, if an earlier load wrote them."""
-    before = _location(spark, name)
-    spark.sql(f"ALTER TABLE {_q(name)} SET LOCATION '{path}'")
-    spark.catalog.refreshTable(name)
-    if _VERSION in before:
-        _delete(spark, before)
+def _base(spark: SparkSession, database: str) -> str:
+    return spark.sql(f"DESCRIBE DATABASE {_q(database)}").where("info_name = 'Location'").first()[1].rstrip("/")
 
 
-def load_table(df: DataFrame, name: str, column_order: list[str] | None = None) -> str:
-    """S6 — replace the content of table ``name`` with ``df``, all or nothing.
+# --- the manifest ------------------------------------------------------------------
 
-    The rows are written to a new folder under the declared types first; only
-    when that has succeeded is the table pointed at it. A rejected load leaves
-    the table as it was.
+_MANIFEST = "_manifest"
+#: Seconds that a replaced folder stays readable.
+GRACE = 24 * 3600
 
-    Columns are selected in ``column_order`` (default: the table's own
-    order), because ``insertInto`` matches by position. For a bucketed table
-    the rows are first hash-partitioned on the bucket columns with the bucket
-    count, which is the same assignment the bucketing uses, so each task
-    writes one file per bucket instead of one per bucket it happens to see.
-    """
+
+def _fs(spark: SparkSession, path: str):
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
+
+
+def _versions(spark: SparkSession, database: str) -> list[int]:
+    """Committed manifest numbers, rising."""
+    fs, folder = _fs(spark, f"{_base(spark, database)}/{_MANIFEST}")
+    if not fs.exists(folder):
+        return []
+    names = [x.getPath().getName() for x in fs.listStatus(folder)]
+    return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
+
+
+def manifest(spark: SparkSession, database: str, version: int | None = None) -> dict:
+    """``{"version", "at", "tables": {name: folder}}`` of a committed version
+    (default: the latest; version 0, no tables, before the first load)."""
+    if version is None:
+        version = max(_versions(spark, database), default=0)
+    if not version:
+        return {"version": 0, "at": 0.0, "tables": {}}
+    fs, path = _fs(spark, f"{_base(spark, database)}/{_MANIFEST}/{version}.json")
+    stream = fs.open(path)
+    try:
+        return json.loads(bytes(stream.readAllBytes()).decode())
+    finally:
+        stream.close()
+
+
+def _commit(spark: SparkSession, database: str, tables: dict[str, str]) -> dict:
+    """Add a version in which ``tables`` have new folders. It is written aside
+    and renamed to its number, which fails if another load has taken it; then
+    the next number is tried, on top of that load."""
+    folder = f"{_base(spark, database)}/{_MANIFEST}"
+    fs, top = _fs(spark, folder)
+    fs.mkdirs(top)
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    none = spark.sparkContext._gateway.new_array(rename, 1)
+    none[0] = rename.NONE
+    while True:
+        last = manifest(spark, database)
+        new = {"version": last["version"] + 1, "at": time.time(), "tables": last["tables"] | tables}
+        _, aside = _fs(spark, f"{folder}/.{uuid.uuid4().hex}")
+        out = fs.create(aside, False)
+        out.write(bytearray(json.dumps(new).encode()))
+        out.close()
+        _, path = _fs(spark, f"{folder}/{new['version']}.json")
+        try:
+            jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf).rename(aside, path, none)
+            return new
+        except Exception:
+            fs.delete(aside, False)
+            if not fs.exists(path):
+                raise
+
+
+def sync(spark: SparkSession, database: str, version: dict | None = None) -> None:
+    """Point the catalog's tables at the folders of the latest version."""
+    for table, path in (version or manifest(spark, database))["tables"].items():
+        name = f"{database}.{table}"
+        if spark.catalog.tableExists(name) and _location(spark, name).rstrip("/") != path.rstrip("/"):
+            spark.sql(f"ALTER TABLE {_q(name)} SET LOCATION '{path}'")
+            spark.catalog.refreshTable(name)
+
+
+def snapshot(spark: SparkSession, database: str, version: int | None = None) -> dict[str, DataFrame]:
+    """All tables of one committed version (default: the latest), read from
+    its folders: tables loaded together are seen together, and later loads do
+    not change what the frames read."""
+    return {t: spark.read.parquet(p) for t, p in manifest(spark, database, version)["tables"].items()}
+
+
+def vacuum(spark: SparkSession, database: str, grace: float = GRACE) -> list[str]:
+    """Delete folders that no version has held for ``grace`` seconds, and
+    manifests older than the oldest version still needed; folders of loads
+    that never committed go after the same time. Returns what it deleted."""
+    now, numbers = time.time(), _versions(spark, database)
+    kept: set[str] = set()
+    known = [manifest(spark, database, v) for v in numbers]
+    # a version ends when the next one begins
+    ends = [*(m["at"] for m in known[1:]), now]
+    needed = [m for m, end in zip(known, ends) if m is known[-1] or end > now - grace]
+    for m in needed:
+        kept |= {p.rstrip("/").rsplit("/", 1)[1] for p in m["tables"].values()}
+    base = _base(spark, database)
+    fs, top = _fs(spark, base)
+    gone = []
+    for entry in fs.listStatus(top) if fs.exists(top) else []:
+        name = entry.getPath().getName()
+        if _VERSION in name and name not in kept and entry.getModificationTime() / 1000 <= now - grace:
+            gone.append(str(entry.getPath()))
+            _delete(spark, gone[-1])
+    for m in known:
+        if m not in needed:
+            _delete(spark, f"{base}/{_MANIFEST}/{m['version']}.json")
+    return gone
+
+
+def _stage(df: DataFrame, name: str, column_order: list[str] | None = None) -> str:
+    """Write ``df`` under the declared types of table ``name`` to a new folder
+    and return it; nothing is left if a row is rejected."""
     spark = df.sparkSession
     order = column_order or spark.table(name).columns
     out = df.select(*order)
@@ -113,7 +212,42 @@ def load_table(df: DataFrame, name: str, column_order: list[str] | None = None)
         _delete(spark, path)
         raise
     spark.sql(f"DROP TABLE {_q(staged)}")  # the entry only: its files were given a location
-    _switch(spark, name, path)
+    return path
+
+
+def load_tables(loads: dict[str, tuple[DataFrame, list[str] | None]], grace: float = GRACE) -> None:
+    """S6 for several tables of one database (``db.table`` → frame and column
+    order) in one commit: all of them change, or none."""
+    names = list(loads)
+    database = names[0].split(".")[0]
+    spark = loads[names[0]][0].sparkSession
+    sync(spark, database)
+    staged: dict[str, str] = {}
+    try:
+        for name, (df, order) in loads.items():
+            staged[name] = _stage(df, name, order)
+    except Exception:
+        for path in staged.values():
+            _delete(spark, path)
+        raise
+    sync(spark, database, _commit(spark, database, {n.split(".")[1]: p for n, p in staged.items()}))
+    vacuum(spark, database, grace)
+
+
+def load_table(df: DataFrame, name: str, column_order: list[str] | None = None) -> str:
+    """S6 — replace the content of table ``name`` with ``df``, all or nothing.
+
+    The rows are written to a new folder under the declared types first; only
+    when that has succeeded is the table pointed at it. A rejected load leaves
+    the table as it was.
+
+    Columns are selected in ``column_order`` (default: the table's own
+    order), because ``insertInto`` matches by position. For a bucketed table
+    the rows are first hash-partitioned on the bucket columns with the bucket
+    count, which is the same assignment the bucketing uses, so each task
+    writes one file per bucket instead of one per bucket it happens to see.
+    """
+    load_tables({name: (df, column_order)})
     return name
 
 
@@ -123,6 +257,14 @@ def land(df: DataFrame, spark: SparkSession, database: str, table: str, buckets:
     return load_table(df, name)
 
 
+def land_all(frames: dict[str, DataFrame], spark: SparkSession, database: str, buckets: int | None = None) -> dict[str, str]:
+    """C4 for several tables (``players``, ``affiliates``, ``transactions``)
+    in one commit: a failure in any of them leaves all as they were."""
+    names = {t: ensure_landing_table(spark, database, t, buckets) for t in frames}
+    load_tables({names[t]: (df, None) for t, df in frames.items()})
+    return names
+
+
 def source(spark: SparkSession, database: str, table: str) -> DataFrame:
     """S7 — scan a named table of the catalog."""
     return spark.table(f"{database}.{table}")
@@ -140,13 +282,16 @@ def materialize(df: DataFrame, database: str, name: str) -> str:
     except Exception:
         _delete(spark, path)
         raise
+    sync(spark, database)
+    version = _commit(spark, database, {name: path})
     known = spark.catalog.tableExists(full)
-    if known and [(f.name, f.dataType) for f in spark.table(full).schema] == [(f.name, f.dataType) for f in df.schema]:
-        _switch(spark, full, path)
-        return full
-    if known:
+    if known and [(f.name, f.dataType) for f in spark.table(full).schema] != [(f.name, f.dataType) for f in df.schema]:
         spark.sql(f"DROP TABLE {_q(full)}")
-    spark.catalog.createTable(full, path=path, source="parquet")
+        known = False
+    if not known:
+        spark.catalog.createTable(full, path=path, source="parquet")
+    sync(spark, database, version)
+    vacuum(spark, database)
     return full
 
 

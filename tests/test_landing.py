@@ -126,3 +126,79 @@ def test_csv_files_of_other_columns_raise(spark, tmp_dir):
     path = _csv(f"{tmp_dir}/h", a="id,code\n1,X\n", b="code,id\nY,2\n")
     with pytest.raises(Exception):
         files.read_csv(spark, path).collect()
+
+
+def _frames(spark, n):
+    affiliates = spark.range(n).select("id", F.lit("C").alias("code"), F.lit("X").alias("origin"), F.lit(None).cast("timestamp").alias("redeemed_at"))
+    txns = spark.range(n).select(
+        "id", F.lit(dt.datetime(2024, 1, 1)).alias("timestamp"), F.lit(1).cast("long").alias("player_id"), F.lit("Deposit").alias("type"), F.lit(1).cast("decimal(18,2)").alias("amount")
+    )
+    return {"players": clean.landing_players(players(spark)), "affiliates": affiliates, "transactions": txns}
+
+
+def test_three_tables_change_together_or_not_at_all(spark):
+    names = catalog.land_all(_frames(spark, 3), spark, "land_m", None)
+    assert catalog.manifest(spark, "land_m")["version"] == 1
+    old = {t: spark.table(n) for t, n in names.items()}
+    bad = _frames(spark, 5)
+    bad["transactions"] = bad["transactions"].withColumn("id", F.raise_error(F.lit("third table fails")).cast("long"))
+    with pytest.raises(Exception):
+        catalog.land_all(bad, spark, "land_m", None)
+    assert catalog.manifest(spark, "land_m")["version"] == 1
+    assert [spark.table(n).count() for n in names.values()] == [1, 3, 3]
+    catalog.land_all(_frames(spark, 5), spark, "land_m", None)
+    assert [spark.table(n).count() for n in names.values()] == [1, 5, 5]
+    # readers opened before the load finish, and a version can still be read whole
+    assert old["affiliates"].count() == 3 and old["transactions"].count() == 3
+    first, last = catalog.snapshot(spark, "land_m", 1), catalog.snapshot(spark, "land_m")
+    assert {t: f.count() for t, f in first.items()} == {"raw_players": 1, "raw_affiliates": 3, "raw_transactions": 3}
+    assert {t: f.count() for t, f in last.items()} == {"raw_players": 1, "raw_affiliates": 5, "raw_transactions": 5}
+
+
+def test_a_load_cut_off_after_its_commit_is_finished_by_the_next(spark, monkeypatch):
+    names = catalog.land_all(_frames(spark, 2), spark, "land_c", None)
+    real, calls = catalog.sync, []
+
+    def cut(*args):
+        calls.append(args)
+        if len(calls) == 2:  # the one after the commit
+            raise RuntimeError("driver lost")
+        return real(*args)
+
+    monkeypatch.setattr(catalog, "sync", cut)
+    with pytest.raises(RuntimeError):
+        catalog.land_all(_frames(spark, 4), spark, "land_c", None)
+    monkeypatch.undo()
+    assert catalog.snapshot(spark, "land_c")["raw_affiliates"].count() == 4
+    assert spark.table(names["affiliates"]).count() == 2  # the catalog is behind, for all three alike
+    catalog.sync(spark, "land_c")
+    assert [spark.table(n).count() for n in names.values()] == [1, 4, 4]
+
+
+def test_commits_of_two_loads_both_count(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS land_r")
+    first = catalog._commit(spark, "land_r", {"a": "file:/x/a"})
+    real = catalog.manifest
+    stale = iter([{"version": first["version"] - 1, "at": 0.0, "tables": {}}])
+    catalog.manifest = lambda *a: next(stale, None) or real(*a)  # another load commits in between
+    try:
+        second = catalog._commit(spark, "land_r", {"b": "file:/x/b"})
+    finally:
+        catalog.manifest = real
+    assert second["version"] == 2 and second["tables"] == {"a": "file:/x/a", "b": "file:/x/b"}
+
+
+def test_replaced_folders_go_after_the_grace_period(spark):
+    import os
+
+    names = catalog.land_all(_frames(spark, 2), spark, "land_v", None)
+    before = catalog.manifest(spark, "land_v")["tables"]
+    catalog.land_all(_frames(spark, 3), spark, "land_v", None)
+    folder = lambda p: p.removeprefix("file:")
+    assert all(os.path.isdir(folder(p)) for p in before.values())
+    assert catalog.vacuum(spark, "land_v") == []
+    gone = catalog.vacuum(spark, "land_v", grace=0)
+    assert {p.rsplit("/", 1)[1] for p in gone} == {p.rsplit("/", 1)[1] for p in before.values()}
+    assert not any(os.path.isdir(folder(p)) for p in before.values())
+    assert [spark.table(n).count() for n in names.values()] == [1, 3, 3]
+    assert catalog._versions(spark, "land_v") == [2]
