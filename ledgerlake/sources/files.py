@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from ledgerlake.functions.coerce import PANDAS_NA_TOKENS, TIMESTAMP_PATTERN, coerce_frame, null_tokens
 from ledgerlake.schemas import SCHEMAS
+from ledgerlake.sources import records
 
 # Text layout of timestamps written to CSV: "2024-01-10 17:07:01+00:00"
 # (``xxx`` prints "+00:00" for UTC where ``XXX`` would print "Z").
@@ -50,9 +51,10 @@ def read_csv(
     Nothing is read wrong in silence: a record with another number of fields
     than the header raises, and so does a file whose header differs from that
     of the first file. Text with line breaks inside quotes needs
-    ``multi_line=True``, which reads each file in one task; without it such a
-    record raises."""
-    df = (
+    ``multi_line=True``, which finds the records' ends by counting quotes, over
+    byte ranges in parallel (:mod:`ledgerlake.sources.records`, at the price of
+    a second scan); without it such a record raises."""
+    reader = (
         spark.read.option("header", True)
         .option("inferSchema", False)
         .option("enforceSchema", False)
@@ -60,8 +62,10 @@ def read_csv(
         .option("mode", "FAILFAST")
         .option("escape", '"')
         .option("multiLine", multi_line)
-        .csv(path)
     )
+    df = reader.csv(path)
+    if multi_line:  # of that reader only the names, from the first file's header
+        df = records.parsed(records.csv_records(spark, path), df.columns)
     df = df.select(*[null_tokens(F.col(f"`{c}`"), na_tokens).alias(c) for c in df.columns])
     return coerce_frame(df, schema, pattern) if schema is not None else df
 
