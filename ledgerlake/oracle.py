@@ -522,6 +522,51 @@ FROM orders"""
 # The run reads the declared columns only: the files have no version number.
 LATEST_VERSIONS_OF_FILES = LATEST_PLAYERS.replace(", ver DESC NULLS LAST", "")
 
+# The totals as the joins and the HAVING clause say it, on versions of players.
+SEGMENT_TOTALS_VERSIONS = """
+SELECT chosen.country_code, COUNT(paid.amount) AS deposit_count, CAST(SUM(paid.amount) AS DOUBLE) AS total_deposits
+FROM (SELECT DISTINCT p.id, CASE WHEN ver = 1 THEN 'X' || country_code ELSE country_code END AS country_code
+      FROM raw_players p JOIN raw_affiliates a ON p.affiliate_id = a.id
+      WHERE p.is_kyc_approved AND a.origin = 'Discord') chosen
+LEFT JOIN (SELECT t.player_id, t.amount
+           FROM raw_transactions t
+           JOIN (SELECT DISTINCT p.id, CASE WHEN ver = 1 THEN 'X' || country_code ELSE country_code END AS country_code
+                 FROM raw_players p JOIN raw_affiliates a ON p.affiliate_id = a.id
+                 WHERE p.is_kyc_approved AND a.origin = 'Discord') c ON t.player_id = c.id
+           WHERE t.type = 'Deposit') paid ON paid.player_id = chosen.id
+GROUP BY chosen.country_code HAVING COUNT(paid.amount) > 0"""
+
+
+def _daily_run() -> str:
+    """The whole run: raw tables without version numbers, extended to twice
+    their ids, cleaned, and each stored table's rows as text."""
+    files = [c.replace(", ver DESC NULLS LAST", "") for c in EXPANDED_PLAYERS + EXPANDED_AFFILIATES + EXPANDED_TRANSACTIONS]
+    extended = [
+        "x_players AS (SELECT * FROM expanded_players)",
+        "x_affiliates AS (SELECT id, code, origin, redeemed_at FROM raw_affiliates UNION ALL SELECT * FROM a_new)",
+        'x_transactions AS (SELECT id, "timestamp", player_id, type, amount FROM raw_transactions UNION ALL SELECT id, "timestamp", player_id, type, amount FROM t_new)',
+    ]
+    cleaning = [LATEST_VERSIONS_OF_FILES, *CLEANING[4:], CHANNEL_PAIRS, COUNTRY_TOTALS]
+    for t in ("players", "affiliates", "transactions"):
+        cleaning = [c.replace(f"raw_{t}", f"x_{t}") for c in cleaning]
+    money = "CAST(CAST({0} AS DECIMAL(28,2)) AS VARCHAR)"
+    ledger = [money.format(c) for c in ("deposits", "withdrawals", "summary")]
+    top = [x for n in ("first", "second", "third") for x in (money.format(f"{n}_largest_deposit"), f"{n}_largest_deposit_date")]
+    tables = {
+        "raw_players": ("clean_players", ["id", "affiliate_id", "country_code", "is_kyc_approved", "created_at", "updated_at"]),
+        "raw_affiliates": ("clean_affiliates", ["id", "code", "origin", "redeemed_at"]),
+        "raw_transactions": ("clean_transactions", ["id", '"timestamp"', "player_id", "type", "amount"]),
+        "daily_ledger": (f"({_ledger('clean_transactions')})", ["player_id", "transaction_date", *ledger]),
+        "segment_totals": ("country_totals", ["country_code", "deposit_count", money.format("total_deposits")]),
+        "top_n_wide": (f"({_top_three()})", ["player_id", *top]),
+    }
+    body = ["SELECT 'tests' AS table_name, '20' AS content"]
+    for name, (source, columns) in tables.items():
+        text = " || '|' || ".join(f"COALESCE(CAST({c} AS VARCHAR), '~')" for c in columns)
+        body.append(f"SELECT '{name}', {text} FROM {source}")
+    return with_ctes([*STAGING, *files, *extended, *cleaning], "\nUNION ALL\n".join(body))
+
+
 TEXT_TRUTH = """
 SELECT key, text
 FROM (SELECT c_custkey AS key,
@@ -589,18 +634,11 @@ SELECT id, "timestamp", player_id, type, CAST(amount AS DOUBLE) FROM t_new""",
         CLEANING,
         f"SELECT *, ROW_NUMBER() OVER (ORDER BY player_id NULLS LAST, transaction_date NULLS LAST) - 1 AS place FROM ({_ledger('clean_transactions')})",
     )
-    stored = {
-        "raw_players": "clean_players",
-        "raw_affiliates": "clean_affiliates",
-        "raw_transactions": "clean_transactions",
-        "daily_ledger": "m_daily",
-        "segment_totals": "m_segment",
-        "top_n_wide": "m_top",
-    }
-    q["daily_run"] = with_ctes(
-        [RAW_PLAYERS, RAW_AFFILIATES, RAW_TRANSACTIONS, LATEST_VERSIONS_OF_FILES, *CLEANING[4:], *MARTS],
-        "\nUNION ALL\n".join(f"SELECT '{k}' AS table_name, COUNT(*) AS n_rows, CAST(20 AS BIGINT) AS n_tests FROM {v}" for k, v in stored.items()),
-    )
+    place = "SELECT *, ROW_NUMBER() OVER (ORDER BY {order}) - 1 AS place FROM totals"
+    q["stored_totals"] = f"WITH totals AS ({q['segment_totals']})\n" + place.format(order="total_deposits DESC NULLS FIRST, country_code NULLS LAST")
+    q["stored_top_n"] = f"WITH totals AS ({q['top_n_wide']})\n" + place.format(order="player_id NULLS LAST")
+    q["segment_totals_versions"] = with_ctes(STAGING, SEGMENT_TOTALS_VERSIONS)
+    q["daily_run"] = _daily_run()
     q["check_unique"] = with_ctes(
         STAGING,
         "SELECT id, COUNT(*) AS n_records FROM raw_players WHERE id IS NOT NULL GROUP BY id HAVING COUNT(*) > 1",

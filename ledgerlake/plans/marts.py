@@ -8,7 +8,7 @@ sorts globally; :func:`display_order` gives the reference's reading order.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.functions.coerce import boolean
@@ -172,12 +172,22 @@ def top_n_wide(
     return _stamp(out, stamp)
 
 
+#: O3 — the reference's reading order of each mart (PostgreSQL null order). The
+#: last column of the totals only settles ties, which the reference leaves open.
+READING_ORDER = {
+    "daily_ledger": (("player_id", "asc_nulls_last"), ("transaction_date", "asc_nulls_last")),
+    "segment_totals": (("total_deposits", "desc_nulls_first"), ("country_code", "asc_nulls_last")),
+    "top_n_wide": (("player_id", "asc_nulls_last"),),
+}
+
+
+def reading_order(name: str) -> list[Column]:
+    return [getattr(F.col(c), how)() for c, how in READING_ORDER.get(name, ())]
+
+
 def display_order(name: str, df: DataFrame) -> DataFrame:
-    """O3 — the reference's reading order of a mart (PostgreSQL null order)."""
-    if name == "daily_ledger":
-        return df.orderBy(F.col("player_id").asc_nulls_last(), F.col("transaction_date").asc_nulls_last())
-    if name == "segment_totals":
-        return df.orderBy(F.col("total_deposits").desc_nulls_first())
-    if name == "top_n_wide":
-        return df.orderBy(F.col("player_id").asc_nulls_last())
-    return df
+    """O3 — a mart in the reference's reading order (other names: as it is).
+    A mart stored with ``materialize(..., order=reading_order(name))`` is in
+    that order already, file by file (:func:`ledgerlake.sources.catalog.places`)."""
+    order = reading_order(name)
+    return df.orderBy(*order) if order else df

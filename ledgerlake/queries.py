@@ -405,31 +405,48 @@ def q_land_players(spark, sf_dir):
     return catalog.source(spark, database, "raw_players")
 
 
+def _in_reading_order(spark, name, mart):
+    """S8, O3 — a mart stored in the reading order, with each row's place in
+    it read off the files."""
+    full = catalog.materialize(mart, _database(spark, "marts"), name, marts.reading_order(name))
+    return catalog.places(spark.table(full))
+
+
 def q_stored_ledger(spark, sf_dir):
-    """S8, O3 — the daily ledger as a stored table, with each row's place in
-    the reading order."""
-    full = catalog.materialize(_cleaned_ledger(spark, sf_dir), _database(spark, "marts"), "daily_ledger")
-    order = [F.col("player_id").asc_nulls_last(), F.col("transaction_date").asc_nulls_last()]
-    return sequence.row_index(spark.table(full), order, "place")
+    return _in_reading_order(spark, "daily_ledger", marts.daily_ledger(_cleaned(spark, sf_dir)["transactions"], stamp=False))
 
 
-def _cleaned_ledger(spark, sf_dir):
-    return marts.daily_ledger(_cleaned(spark, sf_dir)["transactions"], stamp=False)
+def q_stored_totals(spark, sf_dir):
+    return _in_reading_order(spark, "segment_totals", q_segment_totals(spark, sf_dir))
+
+
+def q_stored_top_n(spark, sf_dir):
+    return _in_reading_order(spark, "top_n_wide", q_top_n_wide(spark, sf_dir))
+
+
+def q_segment_totals_versions(spark, sf_dir):
+    """J5 on players that are not de-duplicated: the second version of a player
+    has another country, so each amount counts once per country code and
+    version, as the SQL does."""
+    country = F.when(F.col("ver") == 1, F.concat(F.lit("X"), F.col("country_code"))).otherwise(F.col("country_code"))
+    players = staging.raw_players(spark, sf_dir).withColumn("country_code", country)
+    return marts.segment_totals(players, staging.raw_affiliates(spark, sf_dir), staging.raw_transactions(spark, sf_dir), stamp=False)
 
 
 def q_daily_run(spark, sf_dir):
-    """R1 — raw CSV files through the whole run (no extension): the report of
-    its data tests with the rows of each stored table."""
+    """R1 — raw CSV files through the whole run: extension to twice the ids,
+    cleaning with hot players salted, landing, marts, tests. Every row of every
+    stored table, as text, and the number of tests passed."""
     raw = _folder(spark, "raw")
     for name, df in staging.raw_tables(spark, sf_dir).items():
         columns = [f.name for f in SCHEMAS[name].fields]
         files.write_csv(df.select(*columns), f"{raw}/{name}")
-    database = _database(spark, "run")
-    result = daily_run.daily_run(spark, raw, _folder(spark, "work"), database, extend=False, hot_key_share=None)
-    parts = [
-        spark.table(t).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(key).alias("table_name"), "n_rows", F.lit(len(result.tests)).cast("long").alias("n_tests"))
-        for key, t in {**{f"raw_{t}": n for t, n in result.landing.items()}, **result.marts}.items()
-    ]
+    result = daily_run.daily_run(spark, raw, _folder(spark, "work"), _database(spark, "run"), target=_doubled, seed=SEED, as_of=AS_OF)
+    parts = [spark.createDataFrame([("tests", str(len(result.tests)))], "table_name string, content string")]
+    for key, t in {**{f"raw_{t}": n for t, n in result.landing.items()}, **result.marts}.items():
+        df = spark.table(t).drop("updated_datetime")
+        text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in df.columns])
+        parts.append(df.select(F.lit(key).alias("table_name"), text.alias("content")))
     return quality.union_all(parts)
 
 
@@ -468,6 +485,9 @@ REGISTRY: dict[str, Query] = {
     "parquet_round_trip": q_parquet_round_trip,
     "land_players": q_land_players,
     "stored_ledger": q_stored_ledger,
+    "stored_totals": q_stored_totals,
+    "stored_top_n": q_stored_top_n,
+    "segment_totals_versions": q_segment_totals_versions,
     "daily_run": q_daily_run,
 }
 

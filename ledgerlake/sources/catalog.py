@@ -20,7 +20,7 @@ import json
 import time
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.schemas import LANDING_BUCKET_COLUMNS, LANDING_COLUMNS, LANDING_NAMES
@@ -270,10 +270,14 @@ def source(spark: SparkSession, database: str, table: str) -> DataFrame:
     return spark.table(f"{database}.{table}")
 
 
-def materialize(df: DataFrame, database: str, name: str) -> str:
+def materialize(df: DataFrame, database: str, name: str, order: list[Column] | None = None) -> str:
     """S8 — store a query result as a table, replacing the previous one only
-    once the new rows are written."""
+    once the new rows are written. With ``order`` the rows are range-partitioned
+    and sorted by it, one file per range in order, so that :func:`places`
+    reads the order off the files."""
     spark = df.sparkSession
+    if order:
+        df = df.repartitionByRange(*order).sortWithinPartitions(*order)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {_q(database)}")
     full = f"{database}.{name}"
     path = _version_path(spark, full)
@@ -295,6 +299,20 @@ def materialize(df: DataFrame, database: str, name: str) -> str:
     return full
 
 
+def places(df: DataFrame, name: str = "place") -> DataFrame:
+    """The rows of a table stored with an ``order``, with each row's place in
+    it from 0: rows of the files before it plus its index in its file. Neither
+    sorts nor shuffles the rows; the list of files (one row each) is broadcast.
+    """
+    # part-<number>-...: the number is the range's
+    number = F.regexp_extract(F.col("_metadata.file_name"), r"^part-(\d+)", 1).cast("long")
+    rows = df.select("*", number.alias("__file"), F.col("_metadata.row_index").alias("__row"))
+    files = df.groupBy(number.alias("__file")).agg(F.count(F.lit(1)).alias("__rows"))
+    before = Window.orderBy("__file").rowsBetween(Window.unboundedPreceding, -1)
+    starts = files.select("__file", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__start"))
+    return rows.join(F.broadcast(starts), "__file").select(*df.columns, (F.col("__start") + F.col("__row")).alias(name))
+
+
 def load_jdbc(
     df: DataFrame,
     url: str,
