@@ -151,7 +151,8 @@ def train(feats: list[np.ndarray], grades: np.ndarray, levels: int, bits: int, l
 def fit(docs: DataFrame, ratings: DataFrame, levels: int, most: int = 8000, bits: int = 18, l1: float = 3e-4) -> OrdinalModel:
     """Train on at most ``most`` ratings (columns ``doc_id``, ``grade`` 0 to
     ``levels - 1``), those that come first by a hash of the id, and the texts
-    they belong to. The chosen ratings, a bounded number, are broadcast to the
+    they belong to; of several texts of one id, one. The model does not depend
+    on the order of rows. The chosen ratings, a bounded number, are broadcast to the
     documents, so no text is shuffled that is not trained on."""
     prepare(docs.sparkSession)
     valid = ratings.where(f"doc_id IS NOT NULL AND grade BETWEEN 0 AND {levels - 1}").select(
@@ -160,7 +161,10 @@ def fit(docs: DataFrame, ratings: DataFrame, levels: int, most: int = 8000, bits
     n = valid.count()
     chosen = valid.where(unit_hash(F.col("h")) <= (2 * most + 50) / max(n, 1)).orderBy("h", "grade").limit(most)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    sample = texts.join(F.broadcast(chosen.distinct()), "doc_id").dropDuplicates(["h"])
+    # of several texts of one id the one with the smallest hash (then code
+    # points): the same whatever order the rows come in
+    rated = texts.join(F.broadcast(chosen.distinct()), "doc_id")
+    sample = rated.groupBy("h", "grade").agg(F.min(F.struct(F.xxhash64("text").alias("th"), "text")).alias("t")).select("h", "grade", "t.text")
 
     def run(batches):
         import pyarrow as pa
