@@ -16,9 +16,12 @@ larger ones. The target is cut exactly: each document is taken once per whole
 epoch, and the last, partial epoch ends inside one document.
 
 Defined cases: null text has size 0; a null source is a source of its own,
-last; null ids take part (as empty text in the hash); rows of the same id and size are interchangeable; sizes
-of zero give targets of zero; an empty table gives no row; extra columns are
-ignored by the plan and kept by :func:`mix_documents`.
+last; null ids take part (as empty text in the hash); rows of the same id,
+text and source are interchangeable; sizes of zero give targets of zero; an
+empty table gives no row; extra columns are ignored by the plan and kept by
+:func:`mix_documents`. Order keys hash the text and source with the id, so many
+rows of one id, or of none, spread over the slices like others; only identical
+rows meet, and those are added up to one row with a count before any window.
 """
 
 from __future__ import annotations
@@ -33,6 +36,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 # A cut after each word, so that the pieces join to the text again.
 _WORD_END = r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])"
 _WEIGHTS = 3
+_AT_ONCE = 1 << 16  # result rows of identical documents made in one go
 _HEX = 13  # hex digits of the hash that place a document in its slice
 
 
@@ -73,19 +77,23 @@ def targets(sized: DataFrame, most_epochs: int = 3) -> DataFrame:
     return level.select("source", "source_size", "documents", target.alias("target"))
 
 
-def mix_plan(
-    docs: DataFrame,
-    most_epochs: int = 3,
-    seed: str = "mix",
-    slice_rows: int | None = None,
-    order_key: Column | None = None,
-) -> DataFrame:
+def order_key(seed: str = "mix") -> Column:
+    """Hash of a row's id, text and source, nulls told from empty text."""
+    source = F.when(F.col("source").isNull(), F.lit("|")).otherwise(F.concat(F.lit("|="), F.col("source").cast("string")))
+    text = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
+    return F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("|"), text, source).cast("binary"))
+
+
+def mix_plan(docs: DataFrame, most_epochs: int = 3, seed: str = "mix", slice_rows: int | None = None) -> DataFrame:
     """``doc_id, size, source_size, target, taken`` (and the order key ``key``)
-    of every document."""
-    key = F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
-    sized = docs.select("doc_id", "source", words_in("text").alias("size"), (order_key if order_key is not None else key).alias("key"))
-    sized = written(sized, "sized")
-    goal = written(targets(sized, most_epochs).withColumn("c", F.col("documents")), "targets")
+    of every document; identical rows (of one ``key``) as one row with their
+    number ``same`` and what they take together, ``all_taken``."""
+    sized = docs.select("doc_id", "source", words_in("text").alias("size"), order_key(seed).alias("key"))
+    # identical rows become one, added up before the shuffle: one id and text
+    # may be a large part of all rows
+    same = ["doc_id", "source", "size", "key"]
+    sized = written(sized.groupBy(*same).agg(F.count(F.lit(1)).alias("same")).withColumn("in_all", F.col("size") * F.col("same")), "sized")
+    goal = written(targets(sized.select("source", F.col("in_all").alias("size")), most_epochs).withColumn("c", F.col("documents")), "targets")
     total = goal.agg(F.sum("c")).first()[0] or 0
     by_source = lambda df: df.withColumns({"s": F.coalesce("source", F.lit("")), "none": F.col("source").isNull()}).drop("source")
     # by default as many slices as rows in each: both grow with the square root
@@ -98,27 +106,41 @@ def mix_plan(
         # else the join's partitioning by source could serve the window below
         .repartition("s", "none", "slice")
     )
-    totals = placed.groupBy("s", "none", "slice").agg(F.sum("size").alias("in_slice"))
+    totals = placed.groupBy("s", "none", "slice").agg(F.sum("in_all").alias("in_slice"))
     earlier = Window.partitionBy("s", "none").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select("s", "none", "slice", F.coalesce(F.sum("in_slice").over(earlier), F.lit(0)).alias("base"))
-    inside = Window.partitionBy("s", "none", "slice").orderBy("key", "size").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("s", "none", "slice").orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
     running = (
-        placed.withColumn("run", F.coalesce(F.sum("size").over(inside), F.lit(0)))
+        placed.withColumn("run", F.coalesce(F.sum("in_all").over(inside), F.lit(0)))
         .join(bases, ["s", "none", "slice"])
         .withColumn("before", F.col("base") + F.col("run"))
     )
     cut = running.withColumn("budget", F.floor(F.col("target") + 0.5).cast("long")).withColumn(
         "epochs", F.expr("IF(source_size > 0, budget div source_size, 0)")
     )
-    part = F.greatest(F.lit(0), F.least(F.col("size"), F.col("budget") - F.col("epochs") * F.col("source_size") - F.col("before")))
-    taken = F.col("epochs") * F.col("size") + part
-    return cut.select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken"), "key")
+    # of the rows ``same`` the first ones are taken first
+    part = F.greatest(F.lit(0), F.least(F.col("in_all"), F.col("budget") - F.col("epochs") * F.col("source_size") - F.col("before")))
+    return cut.withColumn("part", part.cast("long")).select(
+        "doc_id", "size", "source_size", "target", "key", "same", "epochs", "part",
+        (F.col("epochs") * F.col("in_all") + F.col("part")).alias("all_taken"),
+    )
 
 
 def mix(docs: DataFrame, **settings) -> DataFrame:
-    """The plan's rows: ``doc_id, size, source_size, target, taken``."""
+    """The plan's rows: ``doc_id, size, source_size, target, taken``, one for
+    each row of ``docs``."""
     prepare(docs.sparkSession)
-    return mix_plan(docs, **settings).drop("key")
+    plan = written(mix_plan(docs, **settings), "mix")
+    # a row that stands for very many goes to several tasks
+    last = F.col("same") - 1
+    few = plan.where(F.col("same") <= _AT_ONCE).withColumn("nth", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    parts = plan.where(F.col("same") > _AT_ONCE).withColumn("lot", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(last / _AT_ONCE)))).repartition("key", "lot")
+    upto = F.least(last, F.col("lot") * _AT_ONCE + (_AT_ONCE - 1))
+    many = parts.withColumn("nth", F.explode(F.sequence(F.col("lot") * _AT_ONCE, upto))).drop("lot")
+    each = few.unionByName(many)
+    part = F.greatest(F.lit(0), F.least(F.col("size"), F.col("part") - F.col("nth") * F.col("size")))
+    taken = (F.col("epochs") * F.col("size") + part).cast("long")
+    return each.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
 
 
 def mix_documents(docs: DataFrame, **settings) -> DataFrame:
@@ -127,16 +149,12 @@ def mix_documents(docs: DataFrame, **settings) -> DataFrame:
     Columns are those of ``docs``; ``n_chars`` (if present) follows the text.
     Documents without words share no budget and are not part of the mix."""
     prepare(docs.sparkSession)
-    source = F.when(F.col("source").isNull(), F.lit("|")).otherwise(F.concat(F.lit("|="), F.col("source").cast("string")))
-    key = F.md5(F.concat(F.lit("mix|"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("|"), F.md5(F.coalesce("text", F.lit("")).cast("binary")), source).cast("binary"))
-    share = (
-        mix_plan(docs, order_key=key, **settings)
-        .groupBy("key")
-        .agg(F.sum("taken").alias("__taken"), F.first("size").alias("__size"), F.count(F.lit(1)).alias("__same"))
-        .where("__taken > 0")
-        .withColumnRenamed("key", "__key")
-    )
-    found = docs.withColumn("__key", key).join(share, "__key")
+    plan = mix_plan(docs, **settings).where("all_taken > 0")
+    share = written(plan.select(F.col("key").alias("__key"), F.col("all_taken").alias("__taken"), F.col("size").alias("__size"), F.col("same").alias("c")), "shares")
+    counted = share.agg(F.sum("c")).first()[0] or 0
+    # the row's number tells identical rows apart, so that a hot key is dealt
+    numbered = docs.withColumns({"__key": order_key(), "__row": F.monotonically_increasing_id()})
+    found = spread_join(numbered, share.withColumn("__same", F.col("c")), ["__key"], counted)
     # identical rows of one id and source share what they take; one of them stands for all
     rows = found.where("__same = 1").unionByName(found.where("__same > 1").dropDuplicates(["__key"]))
     rows = rows.withColumn("__whole", F.expr("CAST(__taken div __size AS INT)")).withColumn("__rest", F.expr("CAST(__taken % __size AS INT)"))

@@ -213,7 +213,7 @@ FROM marked GROUP BY conv_id
     "op8_mix_sources": r"""
 WITH sized AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
-         md5('mix|' || coalesce(CAST(doc_id AS VARCHAR), '')) AS key
+         md5('mix|' || coalesce(CAST(doc_id AS VARCHAR), '') || '|' || md5(coalesce(text, '')) || coalesce('|=' || source, '|')) AS key
   FROM documents
 ),
 per AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source),
@@ -233,7 +233,7 @@ goal AS (
 ),
 placed AS (
   SELECT s.doc_id, s.size, g.source_size, g.target, CAST(floor(g.target + 0.5) AS BIGINT) AS budget,
-         coalesce(sum(s.size) OVER (PARTITION BY s.source ORDER BY s.key, s.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+         coalesce(sum(s.size) OVER (PARTITION BY s.source ORDER BY s.key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
   FROM sized s JOIN goal g ON s.source IS NOT DISTINCT FROM g.source
 )
 SELECT doc_id, size, source_size, target,
