@@ -10,11 +10,15 @@ all of its words; a document without words links with nothing.
 2. Representatives that share a band key are tied to the smallest one of that
    key (one row per member, never all pairs). Their connected components are
    groups that no candidate pair leaves.
-3. The full sets of the members of each group are built again from the whole
-   texts and compared inside the group, in blocks of bounded size: a large
-   group is cut into chunks and each pair of chunks is one unit of work. A
-   unit gives out one row per member (its links, and a spanning tie), never
-   a row per pair.
+3. The full sets of the members are built again from the whole texts and meet
+   in units: a group as a whole where that ships fewer sets (near copies share
+   most bands), else each band bucket of it (long chains of texts that share
+   few). A large unit is cut into chunks, and each pair of chunks is a unit of
+   bounded size. So a set is shipped at most as often as it has bands, beyond
+   the pairs of chunks that a bucket's own pairs need.
+   Inside a unit only pairs that share a band are verified, in a bucket only
+   those for which it is the first. A unit gives out one row per member (its
+   links, and a spanning tie), never a row per pair.
 4. Ties of verified links give the result's components.
 
 Band and row counts follow from the threshold and the target recall.
@@ -147,11 +151,45 @@ def _sets(docs: DataFrame, n: int, carry: list[str]) -> DataFrame:
     return docs.select(*carry, "text").mapInArrow(run, schema)
 
 
-def linked(a: list[np.ndarray], b: list[np.ndarray] | None, threshold: float, room: int = 1 << 22) -> np.ndarray:
+def sharing(a: np.ndarray, b: np.ndarray | None, key: int | None = None) -> np.ndarray:
+    """Which rows of the band keys ``a`` and ``b`` (of ``a`` among themselves
+    if None) share a band: a boolean matrix. With ``key``, only pairs whose
+    first shared band has that key."""
+    other = a if b is None else b
+    out = np.zeros((len(a), len(other)), bool)
+    for k in reversed(range(a.shape[1])):
+        same = a[:, k, None] == other[None, :, k]
+        if key is None:
+            out |= same
+        else:  # earlier bands come later here, and decide
+            out = np.where(same, (a[:, k] == key)[:, None], out)
+    if b is None:
+        np.fill_diagonal(out, False)
+    return out
+
+
+def linked(a: list[np.ndarray], b: list[np.ndarray] | None, threshold: float, pairs: np.ndarray | None = None, room: int = 1 << 22) -> np.ndarray:
     """Which sets of ``a`` and ``b`` (of ``a`` among themselves if None) have a
-    Jaccard similarity of at least ``threshold``: a boolean matrix. Counts
-    shared elements exactly, with products of 0/1 matrices in slices of at
-    most ``room`` cells."""
+    Jaccard similarity of at least ``threshold``: a boolean matrix; of
+    ``pairs`` only, if given. Shared elements are counted exactly: where most
+    pairs are asked for with products of 0/1 matrices in slices of at most
+    ``room`` cells, else pair by pair."""
+    if pairs is not None and 2 * pairs.sum() < pairs.size:
+        near = np.zeros(pairs.shape, bool)
+        other = a if b is None else b
+        for x, y in zip(*np.nonzero(pairs)):
+            if b is None and x > y:
+                continue
+            p, q = a[x], other[y]
+            small, large = (p, q) if len(p) <= len(q) else (q, p)
+            # whole numbers: shared / union >= threshold without rounding a boundary away
+            if len(small) < threshold * len(large) - 1e-6:
+                continue
+            common = int((large[np.minimum(np.searchsorted(large, small), len(large) - 1)] == small).sum())
+            near[x, y] = common >= threshold * (len(p) + len(q) - common) - 1e-6
+            if b is None:
+                near[y, x] = near[x, y]
+        return near
     both = a if b is None else a + b
     size = np.array([len(x) for x in both])
     values, back = np.unique(np.concatenate(both), return_inverse=True)
@@ -171,11 +209,10 @@ def linked(a: list[np.ndarray], b: list[np.ndarray] | None, threshold: float, ro
         common += m[: len(a)] @ (m if b is None else m[len(a) :]).T
     left, right = size[: len(a)], size if b is None else size[len(a) :]
     union = left[:, None] + right[None, :] - common
-    # whole numbers: shared / union >= threshold without rounding a boundary away
     near = (common >= threshold * union - 1e-6) & (union > 0)
     if b is None:
         np.fill_diagonal(near, False)
-    return near
+    return near if pairs is None else near & pairs
 
 
 def spanning(near: np.ndarray) -> np.ndarray:
@@ -202,29 +239,36 @@ def ties(near: np.ndarray, ids: np.ndarray, weight: np.ndarray, cross: int | Non
 
 
 def compare_blocks(blocks: DataFrame, threshold: float) -> DataFrame:
-    """Compare the members of each unit (``grp, i, j``); ``side`` 0 belongs to
+    """Verify the pairs that share a band in each unit (``unit, bucket, i,
+    j``; ``bucket``: the unit is the band key ``unit``); ``side`` 0 belongs to
     chunk i, 1 to chunk j. Returns ``cls, links, tied``."""
     import pandas as pd
 
+    names = ["bucket", "unit", "i", "j"]
+
     def run(frames):
-        for f in whole_groups(frames, ["grp", "i", "j"], ["side", "cls"]):
+        for f in whole_groups(frames, names, ["side", "cls"]):
             out = []
-            key = f[["grp", "i", "j"]].to_numpy()
+            key = f[names].to_numpy(np.int64)
             edge = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]).any(axis=1), [True])))
-            ids, weight, side, grams = (f[c].to_numpy() for c in ("cls", "copies", "side", "grams"))
+            ids, weight, side, grams, bands = (f[c].to_numpy() for c in ("cls", "copies", "side", "grams", "bands"))
             for lo, hi in zip(edge[:-1], edge[1:]):
                 sets = [np.frombuffer(x, np.uint64) for x in grams[lo:hi]]
-                if key[lo, 1] == key[lo, 2]:
-                    if hi - lo > 1:
-                        out.append(ties(linked(sets, None, threshold), ids[lo:hi], weight[lo:hi]))
+                keys = np.stack(bands[lo:hi])
+                first = int(key[lo, 1]) if key[lo, 0] else None
+                if key[lo, 2] == key[lo, 3]:
+                    if hi - lo > 1 and (pairs := sharing(keys, None, first)).any():
+                        out.append(ties(linked(sets, None, threshold, pairs), ids[lo:hi], weight[lo:hi]))
                 elif (cut := int((side[lo:hi] == 0).sum())) and cut < len(sets):
-                    out.append(ties(linked(sets[:cut], sets[cut:], threshold), ids[lo:hi], weight[lo:hi], cut))
+                    pairs = sharing(keys[:cut], keys[cut:], first)
+                    if pairs.any():
+                        out.append(ties(linked(sets[:cut], sets[cut:], threshold, pairs), ids[lo:hi], weight[lo:hi], cut))
             if out:
                 yield pd.DataFrame({c: np.concatenate([o[k] for o in out]) for k, c in enumerate(("cls", "links", "tied"))})
 
     return (
-        blocks.repartition("grp", "i", "j")
-        .sortWithinPartitions("grp", "i", "j", "side", "cls")
+        blocks.repartition(*names)
+        .sortWithinPartitions(*names, "side", "cls")
         .mapInPandas(run, "cls long, links long, tied long")
     )
 
@@ -262,34 +306,47 @@ def near_documents(
         "classes",
     )
     n_classes = classes.count()
-    keys = (
-        one.where("n_shingles > 0")
-        .join(classes.select("h1", "h2", "rep", "cls"), ["h1", "h2"])
-        .where("doc_id = rep")
-        .select("cls", F.explode("bands").alias("key"))
+    signed_classes = one.where("n_shingles > 0").join(classes.select("h1", "h2", "rep", "cls", F.col("th").alias("__th")), ["h1", "h2"]).where(
+        "doc_id = rep AND th = __th"
     )
-    first = keys.groupBy("key").agg(F.min("cls").alias("m"), F.count(F.lit(1)).alias("c")).where("c > 1")
-    candidate = spread_join(keys, first, ["key"], bands * n_classes).select(F.col("cls").alias("u"), F.col("m").alias("v"))
-    member = components(candidate)
+    keys = signed_classes.select("cls", "n_shingles", F.explode("bands").alias("key"))
+    load = F.sum(F.col("n_shingles") + _ROW_COST)
+    chunks_of = F.ceil(load / F.lit(chunk_shingles)).cast("int").alias("chunks")
+    buckets = written(keys.groupBy("key").agg(F.min("cls").alias("m"), F.count(F.lit(1)).alias("c"), chunks_of).where("c > 1"), "buckets")
+    in_bucket = written(spread_join(keys.select("cls", "key"), buckets, ["key"], bands * n_classes), "in-buckets")
+    member = components(in_bucket.select(F.col("cls").alias("u"), F.col("m").alias("v")))
     roots = member.select("component").distinct().select(F.col("component").alias("cls"), F.col("component").alias("grp"))
-    member = member.select(F.col("node").alias("cls"), F.col("component").alias("grp")).unionByName(roots)
-    member = written(member.join(classes.select("cls", "rep", "th", "copies", "n_shingles"), "cls"), "members")
-    size = member.groupBy("grp").agg(
-        F.ceil(F.sum(F.col("n_shingles") + _ROW_COST) / F.lit(chunk_shingles)).cast("int").alias("chunks"), F.count(F.lit(1)).alias("c")
+    member = written(member.select(F.col("node").alias("cls"), F.col("component").alias("grp")).unionByName(roots), "members")
+    # sets shipped if the group is one unit, or if each of its buckets is
+    by_bucket = buckets.join(member, F.col("m") == F.col("cls")).groupBy("grp").agg(F.sum(F.col("c") * F.col("chunks")).alias("by_bucket"))
+    size = (
+        member.join(classes.select("cls", "n_shingles"), "cls")
+        .groupBy("grp")
+        .agg(chunks_of, F.count(F.lit(1)).alias("c"))
+        .join(by_bucket, "grp")
+        .select("grp", "c", "chunks", (F.col("by_bucket") < F.col("c") * F.col("chunks")).alias("bucket"))
     )
     # a group may hold a large part of all documents
-    member = spread_join(member, size, ["grp"], n_classes)
-
+    member = written(spread_join(member, size, ["grp"], n_classes), "sized-members")
+    split = in_bucket.join(member.where("bucket").select("cls"), "cls").groupBy("cls").agg(F.collect_list(F.struct(F.col("key").alias("unit"), "chunks")).alias("units"))
+    member = (
+        member.join(split, "cls", "left")
+        .select("cls", "bucket", F.coalesce("units", F.array(F.struct(F.col("grp").alias("unit"), "chunks"))).alias("units"))
+        .join(signed_classes.select("cls", "bands"), "cls")
+        .join(classes.select("cls", "rep", "th", "copies"), "cls")
+    )
     texts = _rows(docs).withColumnRenamed("doc_id", "rep").join(
         # the members grow with the corpus, so they are never broadcast
-        member.select("rep", "th", "cls", "grp", "copies", "chunks").hint("merge"), ["rep", "th"]
+        member.hint("merge"), ["rep", "th"]
     )
-    sets = _sets(texts, n, ["cls", "grp", "copies", "chunks"])
-    sets = sets.withColumn("c", F.pmod(F.xxhash64("cls"), F.col("chunks")).cast("int"))
-    spread = F.explode(
-        F.expr("transform(sequence(0, chunks - 1), o -> struct(least(c, o) AS i, greatest(c, o) AS j, IF(c <= o, 0, 1) AS side))")
+    carried = ["cls", "bucket", "units", "copies", "bands"]
+    place = "pmod(xxhash64(cls), u.chunks)"
+    spread = F.expr(
+        f"""flatten(transform(units, u -> transform(sequence(0, u.chunks - 1), o -> struct(
+              u.unit AS unit, int(least({place}, o)) AS i, int(greatest({place}, o)) AS j, IF({place} <= o, 0, 1) AS side))))"""
     )
-    blocks = sets.select("cls", "grp", "copies", "grams", spread.alias("b")).select("cls", "grp", "copies", "grams", "b.*")
+    blocks = _sets(texts, n, carried).select("cls", "copies", "grams", "bands", F.col("bucket").cast("int").alias("bucket"), F.explode(spread).alias("b"))
+    blocks = blocks.select("cls", "copies", "grams", "bands", "bucket", "b.*")
     found = written(compare_blocks(blocks, threshold), "links")
     links = found.groupBy("cls").agg(F.sum("links").alias("links"))
     linked_to = components(found.select(F.col("cls").alias("u"), F.col("tied").alias("v")))
