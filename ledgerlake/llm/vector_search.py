@@ -4,15 +4,22 @@ scan.
 Vectors are normalised (largest cosine = smallest distance) and rotated by a
 random orthogonal matrix, so that any prefix of their columns is an unbiased
 sample of a distance. Centroids are fitted on a bounded sample; every vector
-is filed under its nearest centroid. A query visits its nearest lists. Inside
-a list, columns come in blocks: after each block, candidates whose scaled
-partial distance rejects "closer than the current k-th" by a hypothesis test
-are abandoned; survivors get their exact cosine on the original vectors.
+is filed under its nearest centroid, one list number a row. How many of its
+nearest lists a query visits is measured on the sample: as many as hold the
+wanted share of the true neighbours there. Vectors with clusters need few;
+without clusters most lists are needed, and the work then grows with queries
+times vectors whatever the index.
 
-A list is split by a hash of row numbers into parts of bounded size and its
-queries into batches, and each (part, batch) is one unit of work, so no list, however
-large, meets in one task. Queries that find fewer than ``k`` candidates in
-their lists search all lists.
+Inside a list, columns come in blocks: after each block, candidates whose
+scaled partial distance rejects "closer than the current k-th" by a hypothesis
+test are abandoned; survivors get their exact cosine on the original vectors.
+
+A list is split by a hash of row numbers into parts, small enough for the
+memory and for the number of queries that visit it. Each part is one unit of
+work: every vector is sent to one part, once, and the queries go to the parts
+of their lists and stream past the vectors there. So no list, however large,
+meets in one task. Queries that find fewer than ``k`` candidates in their
+lists search all lists.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite
 components, or with a null id, take no part; queries meet candidates of their
@@ -32,7 +39,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import prepare, unit_hash, whole_groups, written
+from ledgerlake.llm.common import prepare, unit_hash, written
 from ledgerlake.llm.vector_dedup import _matrix, usable
 
 
@@ -87,21 +94,39 @@ def scan(
     return best_id, best
 
 
+def probes_for(sample: np.ndarray, c: np.ndarray, k: int, recall: float, asked: int = 512) -> int:
+    """How many nearest lists hold ``recall`` of the ``k`` true neighbours of
+    vectors of the sample (unit vectors, in random order)."""
+    q = sample[:asked]
+    near = q @ sample.T
+    near[np.arange(len(q)), np.arange(len(q))] = -np.inf
+    k = min(k, len(sample) - 1)
+    if k < 1:
+        return 1
+    best = np.argpartition(-near, k - 1, axis=1)[:, :k]
+    home = (sample @ c.T).argmax(axis=1)[best]
+    to = q @ c.T
+    before = (to[:, None, :] > np.take_along_axis(to, home, axis=1)[:, :, None]).sum(axis=2)
+    return int(np.quantile(before, recall, method="higher")) + 1
+
+
 def search(
     vectors: DataFrame,
     is_query: Column,
     k: int = 5,
     sample_rows: int = 20_000,
-    most_lists: int = 4096,
-    probe_share: float = 0.6,
+    rows_per_list: float | None = None,
+    recall: float = 0.97,
     part_rows: int = 4096,
-    query_batch: int = 1024,
+    unit_pairs: int = 1 << 28,
     block: int = 16,
-    eps: float = 2.1,
+    eps: float = 2.4,
     seed: int = 5,
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` nearest of each different row
-    of ``vectors`` (columns ``vec_id``, ``embedding``) where ``is_query`` holds."""
+    of ``vectors`` (columns ``vec_id``, ``embedding``) where ``is_query`` holds.
+    There are as many lists as vectors in each, by default, but no more than
+    the sample can place (a sixteenth of its rows); longer lists have more parts."""
     spark = prepare(vectors.sparkSession)
     base = (
         vectors.where(usable(F.col("embedding")) & F.col("vec_id").isNotNull())
@@ -124,8 +149,9 @@ def search(
         )
         flat = rows.column("v").combine_chunks()
         points = unit(_matrix(flat.flatten().to_numpy().reshape(len(rows), dim))) if len(rows) else unit(np.ones((1, dim)))
-        lists = max(1, min(most_lists, round(math.sqrt(n)), len(points)))
-        models[dim] = centroids(points, lists, 8, seed)
+        wanted = math.sqrt(n) if rows_per_list is None else n / rows_per_list
+        c = centroids(points, max(1, min(round(wanted), max(round(math.sqrt(len(points))), len(points) // 16))), 8, seed)
+        models[dim] = c, probes_for(points, c, k, recall)
     shared = spark.sparkContext.broadcast(models)
 
     def file_rows(batches):
@@ -134,27 +160,27 @@ def search(
         for b in batches:
             dims, flat = b.column("dim").to_numpy(), b.column("v")
             column = pd.Series(flat.to_pylist(), dtype=object)
-            lists: list = [None] * len(column)
+            home, lists, asks = np.zeros(len(column), np.int32), [None] * len(column), b.column("q").to_pylist()
             for dim in np.unique(dims):
                 rows = np.flatnonzero(dims == dim)
-                c = shared.value[int(dim)]
+                c, probes = shared.value[int(dim)]
                 near = unit(_matrix(column.iloc[rows])) @ c.T
-                probes = max(1, min(len(c), max(4, math.ceil(len(c) * probe_share))))
-                order = np.argsort(-near, axis=1, kind="stable")[:, :probes]
-                for r, o in zip(rows, order):
-                    lists[r] = o.tolist()
+                home[rows] = near.argmax(axis=1)
+                for r, to in zip(rows, near):
+                    if asks[r]:  # only queries need more than their own list
+                        lists[r] = np.argsort(-to, kind="stable")[:probes].tolist()
             out = {n: b.column(n) for n in b.schema.names}
-            yield pa.RecordBatch.from_pydict(out | {"lists": pa.array(lists, pa.list_(pa.int32()))})
+            yield pa.RecordBatch.from_pydict(out | {"list": pa.array(home), "lists": pa.array(lists, pa.list_(pa.int32()))})
 
-    filed = base.mapInArrow(file_rows, "vec_id long, v array<double>, q boolean, dim int, lists array<int>")
+    filed = base.mapInArrow(file_rows, "vec_id long, v array<double>, q boolean, dim int, list int, lists array<int>")
     # an id may be that of many rows, so rows go by a number of their own
     filed = written(filed.withColumn("row", F.monotonically_increasing_id()), "filed")
-    entries = filed.select("row", "vec_id", "v", "dim", F.col("lists")[0].alias("list"))
-    counts = entries.groupBy("dim", "list").agg(F.ceil(F.count(F.lit(1)) / part_rows).cast("int").alias("parts"))
+    entries = filed.select("row", "vec_id", "v", "dim", "list")
+    counts = entries.groupBy("dim", "list").agg(F.count(F.lit(1)).alias("held"))
     asking = filed.where("q").withColumns({"h1": F.xxhash64("v"), "h2": F.xxhash64(F.lit(1), "v")}).dropDuplicates(["vec_id", "h1", "h2"])
     asking = written(asking.select("row", "vec_id", "v", "dim", "lists"), "queries")
     visits = asking.select("row", "vec_id", "v", "dim", F.explode("lists").alias("list"))
-    first = _scan_units(entries, visits, counts, k, part_rows, query_batch, block, eps, seed)
+    first = _scan_units(entries, visits, counts, k, part_rows, unit_pairs, block, eps, seed)
     merged = written(_merge(first, k), "found")
 
     # queries whose lists held fewer than k candidates search all lists
@@ -170,45 +196,56 @@ def search(
     if short.isEmpty():
         return merged.drop("row")
     every = short.join(counts.select("dim", "list"), "dim")
-    rest = _merge(_scan_units(entries, every, counts, k, part_rows, query_batch, block, eps, seed), k)
+    rest = _merge(_scan_units(entries, every, counts, k, part_rows, unit_pairs, block, eps, seed), k)
     return merged.join(short.select("row"), "row", "left_anti").unionByName(rest).drop("row")
 
 
-def _scan_units(entries, visits, counts, k, part_rows, query_batch, block, eps, seed) -> DataFrame:
-    """Run every (part of a list, batch of its queries)."""
-    batches = visits.groupBy("dim", "list").agg(F.ceil(F.count(F.lit(1)) / query_batch).cast("int").alias("batches"))
-    # at most ``most_lists`` rows of each dimension; a list may hold a large part
-    # of all vectors, so they are not shuffled by it
-    plan = F.broadcast(counts.join(batches, ["dim", "list"]))
+def _units(entries, visits, counts, part_rows, unit_pairs) -> DataFrame:
+    """``dim, list, part, kind, row, vec_id, v``: every stored vector
+    (kind 0) in its part, every query (kind 1) in all parts of its lists."""
+    asked_of = visits.groupBy("dim", "list").agg(F.count(F.lit(1)).alias("asked"))
+    parts = F.greatest(F.ceil(F.col("held") / part_rows), F.ceil(F.col("held") * F.col("asked") / F.lit(unit_pairs)))
+    # one row per list, of which there are no more than the sample has rows; a
+    # list may hold a large part of all vectors, so they are not shuffled by it
+    plan = F.broadcast(counts.join(asked_of, ["dim", "list"]).select("dim", "list", F.least(parts, F.col("held")).cast("int").alias("parts")))
     mine = F.pmod(F.xxhash64("row"), F.col("parts")).cast("int")
-    turn = F.pmod(F.xxhash64(F.lit(3), "row"), F.col("batches")).cast("int")
-    stored = entries.join(plan, ["dim", "list"]).select(
-        "dim", "list", mine.alias("part"), F.explode(F.sequence(F.lit(0), F.col("batches") - 1)).alias("batch"), F.lit(0).alias("kind"), "row", "vec_id", "v"
-    )
-    asked = visits.join(plan, ["dim", "list"]).select(
-        "dim", "list", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), turn.alias("batch"), F.lit(1).alias("kind"), "row", "vec_id", "v"
-    )
+    stored = entries.join(plan, ["dim", "list"]).select("dim", "list", mine.alias("part"), F.lit(0).alias("kind"), "row", "vec_id", "v")
+    every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    asked = visits.join(plan, ["dim", "list"]).select("dim", "list", every.alias("part"), F.lit(1).alias("kind"), "row", "vec_id", "v")
+    return stored.unionByName(asked)
+
+
+def _scan_units(entries, visits, counts, k, part_rows, unit_pairs, block, eps, seed) -> DataFrame:
+    """Scan every part of the visited lists for the queries that visit it."""
+    keys = ["dim", "list", "part"]
 
     def run(frames):
-        keys = ["dim", "list", "part", "batch"]
-        for f in whole_groups(frames, keys):
+        now, held, ready = None, [], None  # the part at hand: its rows, then ready for queries
+        for f in frames:
             out: list[tuple] = []
-            for (dim, *_), g in f.groupby(keys, sort=False):
-                kind = g["kind"].to_numpy()
-                if kind.min() == kind.max():
+            for key, g in f.groupby(keys, sort=False):
+                if key != now:
+                    now, held, ready = key, [], None
+                stored = g[g["kind"] == 0]
+                if len(stored):
+                    held.append((unit(_matrix(stored["v"])), stored["vec_id"].to_numpy()))
+                asking = g[g["kind"] == 1]
+                if not len(asking) or not held:
                     continue
-                m, ids, row = unit(_matrix(g["v"])), g["vec_id"].to_numpy(), g["row"].to_numpy()
-                turned = m @ rotation(int(dim), seed)
-                s, a = kind == 0, kind == 1
-                for q in np.flatnonzero(a):
-                    found, score = scan(turned[q], ids[q], turned[s], ids[s], m[s], m[q], k, block, eps)
-                    out += [(int(row[q]), int(ids[q]), int(i), float(c)) for i, c in zip(found, score)]
+                if ready is None:
+                    m, ids = np.concatenate([x for x, _ in held]), np.concatenate([y for _, y in held])
+                    ready = m, ids, m @ rotation(int(key[0]), seed)
+                m, ids, turned = ready
+                q = unit(_matrix(asking["v"]))
+                for i, (raw, there) in enumerate(zip(q, q @ rotation(int(key[0]), seed))):
+                    qid = int(asking["vec_id"].iloc[i])
+                    found, score = scan(there, qid, turned, ids, m, raw, k, block, eps)
+                    out += [(int(asking["row"].iloc[i]), qid, int(x), float(c)) for x, c in zip(found, score)]
             if out:
                 yield pd.DataFrame(out, columns=["row", "query_id", "vec_id", "score"])
 
-    keys = ["dim", "list", "part", "batch"]
     return (
-        stored.unionByName(asked)
+        _units(entries, visits, counts, part_rows, unit_pairs)
         .repartition(*keys)
         .sortWithinPartitions(*keys, "kind", "row")
         .mapInPandas(run, "row long, query_id long, vec_id long, score double")
