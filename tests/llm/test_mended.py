@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import jaccard_join, mixing, ordinal_quality
+from ledgerlake.llm import jaccard_join, mixing, ordinal_quality, vector_search
 from ledgerlake.llm.common import prepare
 
 
@@ -179,3 +179,52 @@ def test_chains_of_overlapping_texts(session, chunk):
             group |= new
             todo += new
         assert got[i].component_id == min(group)
+
+
+# --- vector search -------------------------------------------------------------------------
+
+
+def _true_share(found, rows, queries, k=5):
+    m = np.array([v for _, v in rows])
+    m /= np.linalg.norm(m, axis=1, keepdims=True)
+    hits = 0
+    for q in queries:
+        near = m @ m[q]
+        near[q] = -2
+        hits += len(set(np.argsort(-near, kind="stable")[:k].tolist()) & found[q])
+    return hits / (k * len(queries))
+
+
+@pytest.mark.parametrize("kind", ["clustered", "spread"])
+def test_search_recall_and_probes(session, kind):
+    rng = np.random.default_rng(6)
+    centres = rng.standard_normal((60, 32))
+    points = rng.standard_normal((4000, 32)) * (0.25 if kind == "clustered" else 1.0) + (centres[rng.integers(0, 60, 4000)] if kind == "clustered" else 0)
+    rows = [(i, v.tolist()) for i, v in enumerate(points)]
+    frame = session.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    found = {}
+    for r in vector_search.search(frame, F.col("vec_id") % 50 == 0).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    assert _true_share(found, rows, range(0, 4000, 50)) >= 0.95
+    unit = vector_search.unit(points)
+    c = vector_search.centroids(unit, 63, 8, 5)
+    probes = vector_search.probes_for(unit, c, 5, 0.97)
+    assert probes <= 6 if kind == "clustered" else probes > 10
+
+
+@pytest.mark.parametrize("n", [1000, 3000])
+def test_each_vector_is_sent_once(session, n, monkeypatch):
+    rng = np.random.default_rng(7)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.standard_normal((n, 8)))]
+    sent = []
+    real = vector_search._units
+
+    def counted(*args):
+        out = real(*args)
+        sent.append({r[0]: r[1] for r in out.groupBy("kind").count().collect()})
+        return out
+
+    monkeypatch.setattr(vector_search, "_units", counted)
+    got = vector_search.search(session.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0, unit_pairs=2000)
+    assert got.count() == n // 50 * 5
+    assert sent[0][0] == n  # whatever the number of queries and parts

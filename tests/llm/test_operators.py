@@ -388,7 +388,7 @@ def test_near_vectors_of_one_id_with_different_vectors(session, chunk):
 
 def test_search_recall_and_order(session, vectors):
     good = {r.vec_id: r.embedding for r in vectors.collect() if r.vec_id is not None and usable(r.embedding)}
-    out = vector_search.search(vectors, vectors.vec_id % 50 == 0, part_rows=40, query_batch=3).toPandas()
+    out = vector_search.search(vectors, vectors.vec_id % 50 == 0, part_rows=40, unit_pairs=200).toPandas()
     hits = total = 0
     for q in [i for i in good if i % 50 == 0]:
         mine = out[out["query_id"] == q].sort_values("rank")
@@ -410,7 +410,7 @@ def test_search_of_repeated_query_rows(session):
     # one query row three times, a hot id of equal and different vectors
     rows += [rows[10]] * 2 + [rows[20]] * 30 + [(20, v) for v in rng.standard_normal((3, 8)).tolist()]
     frame = session.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
-    out = vector_search.search(frame, F.col("vec_id") % 10 == 0, part_rows=8, query_batch=3, probe_share=1.0, eps=50.0).collect()
+    out = vector_search.search(frame, F.col("vec_id") % 10 == 0, part_rows=8, unit_pairs=100, recall=1.0, eps=50.0).collect()
     want = []
     for q, v in {(i, tuple(x)) for i, x in rows if i % 10 == 0}:
         best = sorted((-cosine(v, x), i) for i, x in rows if i != q)[:5]
