@@ -7,6 +7,7 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,6 +22,7 @@ BATCH_ROWS = 512
 HOT_SHARE = 1000
 
 _SHIPPED: set[str] = set()
+_WRITTEN: list[str] = []  # folders made by written(), for scratch()
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -65,10 +67,30 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back: lineage
     is cut and a lost executor costs nothing already written."""
     path = shared_path(df.sparkSession, name)
+    _WRITTEN.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder, wherever it lies."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession, keep: list[str]):
+    """On leaving, delete the folders that :func:`written` made inside, but for
+    those whose name begins with one of ``keep``. Whatever is still needed must
+    have been written there by then."""
+    start = len(_WRITTEN)
+    yield
+    for path in _WRITTEN[start:]:
+        if not any(path.rsplit("/", 1)[1].startswith(k) for k in keep):
+            delete(spark, path)
+    del _WRITTEN[start:]
+
+
 def unit_hash(h: Column) -> Column:
     """A 64-bit hash as a number from 0 to 1."""
     return h.cast("double") / F.lit(2.0**64) + F.lit(0.5)
