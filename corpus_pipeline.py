@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlake.llm import jaccard_join, language_id, line_dedup, mixing, packing
-from ledgerlake.llm.common import prepare, table, written
+from ledgerlake.llm.common import delete, prepare, scratch, table, written
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,14 +59,19 @@ STAGES = [
     ("best_fit_packing", pack_sequences),
 ]
 
-#: Tokenisation and the trained language model have no SQL form; the tests hold
-#: the stages against brute force instead.
+#: Tokenisation and the trained language model have no SQL form;
+#: tests/llm/test_pipeline.py holds the chained stages against plain Python.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply all stages to the whole ``documents`` table."""
-    docs = table(spark, sf_dir, "documents")
+    """Apply all stages to the whole ``documents`` table. What a stage wrote on
+    its way goes when its result is written, and its input with it."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        with scratch(spark, keep=[f"stage-{name}"]):
+            docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        if before is not None:
+            delete(spark, before)
+        before = docs.inputFiles()[0].rsplit("/", 1)[0] if docs.inputFiles() else None
     return docs
