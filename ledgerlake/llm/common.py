@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 
 from ledgerlake.session import ensure_checkpoint_dir
 
-# Rows of one Arrow batch: texts are long, so batches stay at a few MB.
-BATCH_ROWS = 512
+# Rows and bytes of one Arrow batch: most batches of texts are a few MB, and
+# very long texts or whole files make shorter ones.
+BATCH_ROWS, BATCH_BYTES = 512, 64 << 20
 
 # A key with more than this part (1 / HOT_SHARE) of the rows is dealt over tasks.
 HOT_SHARE = 1000
@@ -29,6 +30,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Session settings the operators rely on: small Arrow batches, a checkpoint
     folder, and this package on the workers' path."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     ensure_checkpoint_dir(spark)
     ship_package(spark)
     return spark

@@ -40,6 +40,7 @@ from ledgerlake.llm.bpe import default_paths, tokens
 from ledgerlake.llm.common import prepare, shared_path, written
 from ledgerlake.llm.packing import cut_points
 from ledgerlake.llm.spans import mix
+from ledgerlake.session import parallelism
 
 NULL_ID = -(1 << 63)
 
@@ -83,9 +84,11 @@ def write_shards(
     key: int = 2024,
     end_id: int = 2,
     paths: tuple[str, str] | None = None,
+    shards_per_task: int = 16,
 ) -> int:
     """Write all sequences of ``docs`` below ``path`` (one folder per shard, one
-    file in each); returns the number of sequences."""
+    file in each); returns the number of sequences. A task writes a range of
+    at most ``shards_per_task`` shards, fewer where that leaves cores idle."""
     spark = prepare(docs.sparkSession)
     ranks, json_file = paths or default_paths()
     source = _text(docs)
@@ -133,10 +136,13 @@ def write_shards(
             raise ValueError("the input was split differently the second time; store it first")
 
     placed = source.mapInArrow(write, "slot long, record binary").withColumn("shard", F.expr(f"slot div {shard_rows}"))
-    # the text writer adds the line feed that ends each record
+    # slots have no gaps, so equal ranges of whole shards are known beforehand
+    shards = -(-total // shard_rows)
+    each = max(1, min(shards_per_task, shards // max(1, parallelism(spark))))
     (
-        placed.repartition("shard")
+        placed.repartitionById(-(-shards // each), F.expr(f"cast(shard div {each} as int)"))
         .sortWithinPartitions("shard", "slot")
+        # the text writer adds the line feed that ends each record
         .select(F.col("record").cast("string").alias("value"), "shard")
         .write.partitionBy("shard")
         .option("lineSep", "\n")
@@ -173,7 +179,6 @@ def read_shards(spark: SparkSession, path: str, length: int = 256, shard_rows: i
                     }
                 )
 
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
     shard = F.regexp_extract(F.col("path"), r"/shard=(\d+)/", 1).cast("long").alias("shard")
     return files.select(shard, "content").mapInArrow(run, schema)
