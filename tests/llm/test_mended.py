@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import jaccard_join, mixing, ordinal_quality, vector_search
+from ledgerlake.llm import jaccard_join, mixing, ordinal_quality, training_order, vector_search
 from ledgerlake.llm.common import prepare
 
 
@@ -228,3 +228,25 @@ def test_each_vector_is_sent_once(session, n, monkeypatch):
     got = vector_search.search(session.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0, unit_pairs=2000)
     assert got.count() == n // 50 * 5
     assert sent[0][0] == n  # whatever the number of queries and parts
+
+
+# --- training order --------------------------------------------------------------------------
+
+
+def test_shards_are_written_by_exact_ranges(session, tmp_path, monkeypatch):
+    frame = type(session.range(0))
+    seen, real = [], frame.repartitionById
+
+    def watched(self, n, expr):
+        out = real(self, n, expr)
+        seen.append((n, {(r[0], r[1]) for r in out.select(F.spark_partition_id(), "shard").distinct().collect()}))
+        return out
+
+    monkeypatch.setattr(frame, "repartitionById", watched)
+    session.createDataFrame([(i, "some words of a text " * (i % 9)) for i in range(400)], "doc_id long, text string").write.parquet(f"{tmp_path}/docs")
+    total = training_order.write_shards(session.read.parquet(f"{tmp_path}/docs"), f"{tmp_path}/out", length=8, shard_rows=16, shards_per_task=3)
+    (n, pairs), shards = seen[0], -(-total // 16)
+    assert len(pairs) == shards and {s for _, s in pairs} == set(range(shards))
+    assert all(p == s // -(-shards // n) for p, s in pairs)  # each task a range of whole shards
+    back = training_order.read_shards(session, f"{tmp_path}/out", length=8, shard_rows=16)
+    assert [r.slot for r in back.orderBy("slot").collect()] == list(range(total)) and back.where("NOT intact").count() == 0
