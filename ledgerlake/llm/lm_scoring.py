@@ -14,9 +14,9 @@ predicted one by one:
 * their log-odds are added under weights; which set of weights holds is gated
   by the predictors' confidence and the depth in the code;
 * a second map, interpolated over the mixed log-odds, refines the result;
-* weights and map start from those learned online on a sample of the training
-  documents, and go on learning inside each document: a block of tokens is
-  predicted with what the tokens before it taught.
+* weights and map start from those that suit all training documents best, and
+  go on learning inside each document: a block of tokens is predicted with what
+  the tokens before it taught.
 
 So the probabilities of all continuations add up to at most one, and the sum of
 the decisions' logarithms is the text's log probability (``score``, base 10;
@@ -25,8 +25,12 @@ the decisions' logarithms is the text's log probability (``score``, base 10;
 What is gathered from the training documents: the counts of all tokens (they
 grow with the corpus, are summed per task, then shuffled); bit counts of all
 decisions, hashed to a table per context that grows with the corpus up to
-``most_slots`` slots; weights from at most about ``sample_docs`` documents, and
-not more than a fifth, which the bit counts leave out. Tokens with more than
+``most_slots`` slots; what the mixers read at all decisions, as counts of gate,
+log-odds and bit, from which the weights and maps are fitted. A document's own
+bits must not vouch for it there: the documents fall into two folds, and each
+is read with the bit counts of the other; the model's are those of both.
+(``sample_docs``, if given, fits the weights to about so many documents
+only; the bit counts still cover all.) Tokens with more than
 one ``1 / frequent`` of all occurrences are fewer than ``frequent``: they make
 the code book and their counts go to every task. The others meet their counts
 in a join, where none of them is hot.
@@ -42,7 +46,6 @@ batch.
 from __future__ import annotations
 
 import math
-import pickle
 from functools import lru_cache
 
 import numpy as np
@@ -61,6 +64,9 @@ END_OF_TEXT = -7046029254386353131  # the end's entry among the hashed tokens
 #: from. Weights are kept in parts of ``_UNIT``, which they divide.
 NOVEL, _UNIT = 3, 6
 _GATES, _DEPTHS, _KNOTS = 64, 4, 25
+# levels of a log-odds when weights are fitted, in steps of a quarter; all inputs of a mixer
+_LEVELS = 97
+_INPUTS = _GATES * _LEVELS**ORDERS * 2
 _TOPICS, _COMMON = 64, 1024
 # bytes of text counted at a time, and scored at a time (arrays then stay in cache)
 _SEGMENT, _SCORED = 1 << 19, 1 << 19
@@ -437,24 +443,6 @@ class Scorer:
     def fresh(self, lanes: int):
         return self.words.start(lanes), self.spelled.start(lanes)
 
-    def learn(self, texts: list[bytes]) -> tuple["Mixer", "Mixer", int]:
-        """Weights met on the way through ``texts``, one after another, on
-        average over the texts."""
-        state, n = self.fresh(1), 0
-        mean = [[np.zeros(x.shape) for x in m] for m in state]
-        for text in texts:
-            data = np.frombuffer(text, np.uint8)
-            place, kept = 0, (0, 0)
-            for _, _, part, cut, ended in segments(data, np.array([0, len(data)]), _SCORED):
-                t = Tokens(part, cut, ended)
-                ctx = Contexts(t, self.book, kept)
-                self.score(t, ctx, state, place)
-                place, kept, n = place + len(t.h), ctx.state, n + len(t.h)
-            for total, now in zip(mean, state):
-                for x, y in zip(total, now):
-                    x += y / len(texts)
-        return Mixer(*mean[0]), Mixer(*mean[1]), n
-
 
 # --- gathering from the training documents --------------------------------------------
 
@@ -583,90 +571,231 @@ class BitCounts:
         self._waiting = sum(len(x) for y in self._slots for x in y)
 
 
-def bit_tables(docs: DataFrame, book: Book, shared, chunk: int = 1 << 13) -> list[np.ndarray]:
-    """:func:`predictions` from all decisions in ``docs``, one table per context.
-    Each task counts its own documents, then sends the slots it has met.
-    ``shared``: the broadcast ``book``."""
-
-    def run(batches):
-        import pyarrow as pa
-
-        own = shared.value
-        counts = BitCounts(own)
-        for b in batches:
-            state = {}
-            for i, _, data, cut, ended in segments(*raw_texts(b.column("text"))):
-                t = Tokens(data, cut, ended)
-                ctx = Contexts(t, own, state.pop(i, (0, 0)))
-                state[i] = ctx.state
-                counts.add(t, ctx)
-        table, rows = counts.close(), []
-        for k in range(ORDERS):
-            for at in range(0, 2 * own.slots, 2 * chunk):
-                part = table[k, at : at + 2 * chunk]
-                some = np.flatnonzero(part)
-                if len(some):
-                    rows.append((k, at // (2 * chunk), some.astype("<u2").tobytes(), part[some].astype("<i4").tobytes()))
-            cols = list(zip(*rows)) or [()] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, x) for c, x in zip(cols, (pa.int32(), pa.int32(), pa.binary(), pa.binary()))], names=["k", "part", "slots", "counts"])
-            rows = []
+def bit_tables(docs: DataFrame, book: Book, shared, chunk: int = 1 << 13) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """:func:`predictions` from all decisions in ``docs`` (``text, fold``), one
+    table per context; and those that each fold is read with, one behind the
+    other, from the decisions of the other fold. Each task counts documents of
+    one fold, then sends the slots it has met. ``shared``: the broadcast
+    ``book``."""
+
+    def run(fold):
+        def count(batches):
+            import pyarrow as pa
+
+            own = shared.value
+            counts = BitCounts(own)
+            for b in batches:
+                state = {}
+                for i, _, data, cut, ended in segments(*raw_texts(b.column("text"))):
+                    t = Tokens(data, cut, ended)
+                    ctx = Contexts(t, own, state.pop(i, (0, 0)))
+                    state[i] = ctx.state
+                    counts.add(t, ctx)
+            table, rows = counts.close(), []
+            for k in range(ORDERS):
+                for at in range(0, 2 * own.slots, 2 * chunk):
+                    part = table[k, at : at + 2 * chunk]
+                    some = np.flatnonzero(part)
+                    if len(some):
+                        rows.append((fold, k, at // (2 * chunk), some.astype("<u2").tobytes(), part[some].astype("<i4").tobytes()))
+                cols = list(zip(*rows)) or [()] * 5
+                yield pa.RecordBatch.from_arrays([pa.array(c, x) for c, x in zip(cols, (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()))], names=["fold", "k", "part", "slots", "counts"])
+                rows = []
+
+        return count
 
     def add(batches):
         import pyarrow as pa
 
-        total = {}  # of the parts of the tables that came to this task
+        total = {}  # of the parts of the tables that came to this task, by fold
         for b in batches:
-            for k, part, s, c in zip(*(b.column(x).to_pylist() for x in ("k", "part", "slots", "counts"))):
+            for fold, k, part, s, c in zip(*(b.column(x).to_pylist() for x in ("fold", "k", "part", "slots", "counts"))):
                 if (k, part) not in total:
-                    total[k, part] = np.zeros(2 * chunk, np.int64)
-                total[k, part][np.frombuffer(s, "<u2")] += np.frombuffer(c, "<i4")
+                    total[k, part] = np.zeros((2, 2 * chunk), np.int64)
+                total[k, part][fold, np.frombuffer(s, "<u2")] += np.frombuffer(c, "<i4")
         for (k, part), t in total.items():
-            odds = predictions(t[::2], t[1::2]).astype("<i2").tobytes()
-            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([part], pa.int32()), pa.array([odds], pa.binary())], names=["k", "part", "odds"])
+            odds = [pa.array([predictions(x[::2], x[1::2]).astype("<i2").tobytes()], pa.binary()) for x in (t.sum(axis=0), t[1], t[0])]
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([part], pa.int32()), *odds], names=["k", "part", "odds", "other0", "other1"])
 
-    counted = docs.select("text").mapInArrow(run, "k int, part int, slots binary, counts binary")
-    summed = counted.repartition("k", "part").mapInArrow(add, "k int, part int, odds binary")
+    counted = [docs.where(F.col("fold") == f).select("text").mapInArrow(run(f), "fold int, k int, part int, slots binary, counts binary") for f in (0, 1)]
+    summed = counted[0].union(counted[1]).repartition("k", "part").mapInArrow(add, "k int, part int, odds binary, other0 binary, other1 binary")
     tables = [np.zeros(book.slots, np.int16) for _ in range(ORDERS)]
-    for r in summed.collect():  # most_slots * ORDERS numbers at most
-        tables[r["k"]][r["part"] * chunk : (r["part"] + 1) * chunk] = np.frombuffer(r["odds"], "<i2")[: book.slots]
-    return tables
+    others = [np.zeros(2 * book.slots, np.int16) for _ in range(ORDERS)]
+    for r in summed.collect():  # 3 * most_slots * ORDERS numbers at most
+        at = r["part"] * chunk
+        for to, x in ((tables[r["k"]], r["odds"]), (others[r["k"]][: book.slots], r["other0"]), (others[r["k"]][book.slots :], r["other1"])):
+            to[at : at + chunk] = np.frombuffer(x, "<i2")[: book.slots]
+    return tables, others
+
+
+class MixerInputs:
+    """How often a task's texts show a mixer each input: gate, levels of the
+    log-odds and the bit, for words and for spelling. ``tables``: the second
+    ones of :func:`bit_tables`. Tokens are gathered first, as for the bit
+    counts, so that each with its contexts is expanded once."""
+
+    def __init__(self, book: Book, tables):
+        self.book, self.tables = book, tables
+        self.met = np.zeros((2, _INPUTS), np.int64)
+        self._words, self._bytes = [], []
+        self._cells, self._times, self._waiting = [[], []], [[], []], 0
+
+    def add(self, t: Tokens, ctx: Contexts, fold: np.ndarray) -> None:
+        """``fold``: of each token."""
+        context = (fold << 7 | ctx.topic) << 17 | ctx.previous
+        self._words.append(context << 32 | (ctx.rank + 1))
+        if sum(len(w) for w in self._words) > 1 << 20:
+            self._meet_words()
+        known = np.where(ctx.rank >= 0, self.book.count.take(np.maximum(ctx.rank, 0)), 0)
+        new = np.flatnonzero((known > 0) & (known <= NOVEL) & (t.h != END_OF_TEXT))
+        if len(new):
+            self._meet(0, np.full(len(new), self.book.escape), (ctx.topic[new], ctx.previous[new] + _APART), fold[new], _UNIT // known[new])
+        rare = np.flatnonzero(ctx.rank < 0)
+        if len(rare) or len(new):
+            some = np.concatenate((rare, new))
+            weight = np.full(len(some), _UNIT)
+            weight[len(rare) :] //= known[new]
+            owner, _, symbol, contexts = ctx.byte_decisions(some)
+            key = ((contexts[0] - (2 << 40)) * 128 + contexts[1] % 128) * 2 + fold[some].take(owner)
+            self._bytes.append((key * 257 + symbol, weight.take(owner)))
+            if sum(len(x[0]) for x in self._bytes) > 1 << 20:
+                self._meet_bytes()
+
+    def close(self) -> np.ndarray:
+        if self._words:
+            self._meet_words()
+        if self._bytes:
+            self._meet_bytes()
+        self._pour()
+        return self.met
 
+    def _meet_words(self) -> None:
+        word, times = np.unique(np.concatenate(self._words), return_counts=True)
+        self._words.clear()
+        topic, previous = word >> 49 & 127, word >> 32 & 0x1FFFF
+        self._meet(0, self.book.codes((word & 0xFFFFFFFF) - 1), (topic, previous + _APART), word >> 56, _UNIT * times)
 
-def learned_mixers(sample: DataFrame, scorer: Scorer, book, groups: int = 8) -> tuple[Mixer, Mixer]:
-    """Mixers learned online on ``sample`` (``text, key``), in some groups at a
-    time, whose weights are averaged by their tokens. ``book``: broadcast."""
-    shared = sample.sparkSession.sparkContext.broadcast(scorer)
+    def _meet_bytes(self) -> None:
+        key, weight = (np.concatenate(x) for x in zip(*self._bytes))
+        self._bytes.clear()
+        key, back = np.unique(key, return_inverse=True)
+        times = np.bincount(back, weights=weight).astype(np.int64)
+        context = key // 257
+        three, topic = context // 256, context // 2 % 128
+        self._meet(1, self.book.byte_code[key % 257], (three + (2 << 40), three // 257 * 128 + topic + (3 << 40)), context % 2, times)
+
+    def _meet(self, kind: int, code, contexts, fold, times) -> None:
+        for some in range(0, len(code), 1 << 13):
+            part = slice(some, some + (1 << 13))
+            owner, bit, depth, slots = self.book.expand(code[part], [c[part] for c in contexts])
+            start = (fold[part] * self.book.slots).take(owner)
+            cell, levels = np.minimum(depth >> 2, _DEPTHS - 1), []
+            for table, s in zip(self.tables, slots):
+                read = table.take(s + start)
+                cell = cell * 4 + (read & 3)
+                levels.append(((read >> 2) + np.int16(160 * (_LEVELS // 2) + 80)) // np.int16(160))
+            for x in levels:
+                cell = cell * _LEVELS + x
+            self._cells[kind].append((2 * cell + bit).astype(np.int32))
+            self._times[kind].append(times[part].take(owner).astype(np.int32))
+            self._waiting += len(owner)
+            if self._waiting > 1 << 22:
+                self._pour()
+
+    def _pour(self) -> None:
+        for kind in (0, 1):
+            if self._cells[kind]:
+                cells, times = np.concatenate(self._cells[kind]), np.concatenate(self._times[kind])
+                self.met[kind] += np.bincount(cells, weights=times, minlength=_INPUTS).astype(np.int64)
+            self._cells[kind], self._times[kind] = [], []
+        self._waiting = 0
+
+
+def fitted(met: np.ndarray) -> Mixer:
+    """The mixer whose weights, then map, give the bits of ``met`` (one row of
+    :class:`MixerInputs`) the highest likelihood; a little weight holds what is
+    met seldom to the start."""
+    mixer, bits = Mixer(), met.reshape(-1, 2) / _UNIT
+    some = np.flatnonzero(bits.sum(axis=1))
+    zeros, ones = bits[some].T
+    gate = some // _LEVELS**ORDERS
+    x = [(some // _LEVELS ** (ORDERS - 1 - k) % _LEVELS - _LEVELS // 2) / 4 for k in range(ORDERS)]
+    inputs = np.stack([*x, np.ones(len(some))], axis=1)
+    weights = mixer.weights.astype(np.float64)
+    slot = np.tile(np.arange(ORDERS + 1), (len(some), 1))
+    weights = _likeliest(gate, slot, inputs, zeros, ones, weights, np.zeros(len(some)))
+    place = np.clip((weights[gate] * inputs).sum(axis=1), -11.9, 11.9) + 12
+    knot = place.astype(np.int64)
+    part = place - knot
+    deep = gate // 4**ORDERS
+    knots = mixer.knots.astype(np.float64).reshape(_DEPTHS, _KNOTS)
+    between = np.stack((knot, knot + 1), axis=1)
+    knots = _likeliest(deep, between, 0.5 * np.stack((1 - part, part), axis=1), zeros, ones, knots, 0.5 * (place - 12))
+    return Mixer(weights, knots.ravel())
+
+
+def _likeliest(group, slot, inputs, zeros, ones, start, offset, rounds: int = 40) -> np.ndarray:
+    """Logistic regressions, one per row of ``start``, on cells of ``group``
+    with ``zeros`` and ``ones``: Newton's method with bounded steps. A cell's
+    log-odds are ``offset`` and ``inputs`` times the entries ``slot`` of its
+    group's row; a distance from ``start`` of one costs half a bit or so."""
+    groups, width = start.shape
+    at, w = group[:, None] * width + slot, start.copy()
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-(offset + (w.ravel()[at] * inputs).sum(axis=1))))
+        error = ones - (zeros + ones) * p
+        slope = np.bincount(at.ravel(), (error[:, None] * inputs).ravel(), groups * width).reshape(groups, width) - (w - start)
+        bend = np.tile(np.eye(width), (groups, 1, 1))
+        sharp = (zeros + ones) * p * (1 - p)
+        for i in range(slot.shape[1]):
+            for j in range(slot.shape[1]):
+                bend += np.bincount(at[:, i] * width + slot[:, j], sharp * inputs[:, i] * inputs[:, j], groups * width * width).reshape(bend.shape)
+        move = np.linalg.solve(bend, slope[:, :, None])[:, :, 0]
+        w += np.clip(move, -1, 1)
+        if np.abs(move).max() < 1e-9:
+            break
+    return w
+
+
+def learned_mixers(docs: DataFrame, tables, book) -> tuple[Mixer, Mixer]:
+    """Mixers of words and spelling, fitted to all decisions in ``docs``
+    (``text, fold``) with the ``tables`` of the other fold. ``book``: broadcast."""
+    shared = docs.sparkSession.sparkContext.broadcast(tables)
 
     def run(batches):
         import pyarrow as pa
 
-        texts = [(t or "").encode() for b in batches for t in b.column("text").to_pylist()]
-        if texts:
-            words, spelled, n = shared.value.using(book.value).learn(texts)
-            yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([pickle.dumps((words, spelled))], pa.binary())], names=["n", "mixers"])
-
-    dealt = sample.repartition(groups, "key").sortWithinPartitions("key").select("text")
-    got = [(r["n"], pickle.loads(r["mixers"])) for r in dealt.mapInArrow(run, "n long, mixers binary").collect()]
+        inputs = MixerInputs(book.value, shared.value)
+        for b in batches:
+            state, folds = {}, b.column("fold").to_numpy(zero_copy_only=False).astype(np.int64)
+            for i, _, data, cut, ended in segments(*raw_texts(b.column("text"))):
+                t = Tokens(data, cut, ended)
+                ctx = Contexts(t, book.value, state.pop(i, (0, 0)))
+                state[i] = ctx.state
+                inputs.add(t, ctx, folds[t.text + i])
+        met = inputs.close()
+        for kind in (0, 1):
+            some = np.flatnonzero(met[kind])
+            yield pa.RecordBatch.from_arrays([pa.array(some + kind * _INPUTS, pa.int64()), pa.array(met[kind, some], pa.int64())], names=["input", "times"])
+
+    met = np.zeros(2 * _INPUTS, np.int64)
+    got = docs.select("text", "fold").mapInArrow(run, "input long, times long").groupBy("input").agg(F.sum("times").alias("times")).toPandas()
+    met[got["input"].to_numpy(np.int64)] = got["times"].to_numpy(np.int64)  # 2 * _INPUTS rows at most
     shared.destroy()
-    total = sum(n for n, _ in got)
-    if not total:
-        return Mixer(), Mixer()
-    return tuple(
-        Mixer(sum(n / total * m[i].weights for n, m in got), sum(n / total * m[i].knots for n, m in got)) for i in (0, 1)
-    )
+    return fitted(met[:_INPUTS]), fitted(met[_INPUTS:])
 
 
-def train(docs: DataFrame, frequent: int = 1 << 24, most_slots: int = 1 << 21, sample_docs: int = 1000):
+def train(docs: DataFrame, frequent: int = 1 << 24, most_slots: int = 1 << 21, sample_docs: int | None = None):
     """The model of ``docs`` (``text, key``, key a hash of the row), its book
-    as a broadcast, and the stored counts of its tokens."""
+    as a broadcast, and the stored counts of its tokens. Weights are fitted to
+    all documents, unless ``sample_docs`` asks for about so many only."""
     counts = written(token_counts(docs), "token-counts")
     book = code_book(counts, frequent, most_slots)
-    share = min(0.2, sample_docs / max(book.texts, 1))
-    chosen = unit_hash(F.col("key")) < share
+    docs = docs.select("text", "key", F.col("key").bitwiseAND(1).cast("int").alias("fold"))
     shared = docs.sparkSession.sparkContext.broadcast(book)
-    scorer = Scorer(book, bit_tables(docs.where(~chosen), book, shared), Mixer(), Mixer())
-    scorer.words, scorer.spelled = learned_mixers(docs.where(chosen), scorer, shared)
-    return scorer, shared, counts
+    tables, others = bit_tables(docs, book, shared)
+    fit = docs if sample_docs is None else docs.where(unit_hash(F.col("key")) < sample_docs / max(book.texts, 1))
+    return Scorer(book, tables, *learned_mixers(fit, others, shared)), shared, counts
 
 
 def score_documents(docs: DataFrame, **settings) -> DataFrame:

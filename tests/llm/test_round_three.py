@@ -266,6 +266,60 @@ def test_bits_follow_a_scalar_rendering_of_the_mixer():
     assert abs(_cost(model, [text])[0] - total) < 1e-3 * total
 
 
+def test_model_is_learned_from_every_training_document(session):
+    """Bit counts cover all texts, and weights are fitted to the decisions of
+    all texts, each read with the bit counts of the other fold's."""
+    rng = random.Random(12)
+    words = ["".join(rng.choice("abcde") for _ in range(rng.randint(1, 4))) for _ in range(90)]
+    rows = [(_prose(rng, rng.randint(1, 40), words), rng.randrange(-(1 << 63), 1 << 63)) for _ in range(150)] + [(None, 4), ("once met", 5)]
+    docs = session.createDataFrame(rows, "text string, key long")
+    model, book, _ = lm_scoring.train(docs.repartition(5), frequent=100, most_slots=1 << 16)
+    assert model.book.n == sum(len(_tokens(t)) for t, _ in rows)
+
+    def read(text):
+        data = np.frombuffer((text or "").encode(), np.uint8)
+        t = lm_scoring.Tokens(data, np.array([0, len(data)]), np.ones(1, np.int64))
+        return t, lm_scoring.Contexts(t, model.book)
+
+    counts = [lm_scoring.BitCounts(model.book) for _ in range(2)]
+    for text, key in rows:
+        counts[key & 1].add(*read(text))
+    by_fold = [c.close().astype(np.int64) for c in counts]
+    tables = [[lm_scoring.predictions(x[::2], x[1::2]) for x in c] for c in (by_fold[0] + by_fold[1], *by_fold)]
+    assert all(np.array_equal(a, b) for a, b in zip(model.tables, tables[0]))
+
+    met = np.zeros((2, lm_scoring._INPUTS))
+    for text, key in rows:
+        t, ctx = read(text)
+        for i in range(len(t.h)):
+            known = model.book.count[ctx.rank[i]] if ctx.rank[i] >= 0 else 0
+            new = 1 / known if 0 < known <= lm_scoring.NOVEL and t.h[i] != lm_scoring.END_OF_TEXT else 0
+            one = np.array([i])
+            contexts = (ctx.topic[one], ctx.previous[one] + lm_scoring._APART)
+            streams = [(0, 1, ctx.word_decisions(one))]
+            if new:
+                streams.append((0, new, model.book.expand(np.array([model.book.escape]), contexts)))
+            if new or ctx.rank[i] < 0:
+                _, _, symbol, spelled = ctx.byte_decisions(one)
+                streams.append((1, new or 1, model.book.expand(model.book.byte_code[symbol], spelled)))
+            for kind, share, (_, bits, depth, slots) in streams:
+                for k, bit in enumerate(bits.tolist()):
+                    seen = [int(table[s[k]]) for table, s in zip(tables[2 - (key & 1)], slots)]
+                    cell = min(int(depth[k]) >> 2, 3)
+                    for x in seen:
+                        cell = cell * 4 + (x & 3)
+                    for x in seen:
+                        cell = cell * 97 + math.floor((x >> 2) / 160 + 0.5) + 48
+                    met[kind, 2 * cell + bit] += share * lm_scoring._UNIT
+    met = np.rint(met).astype(np.int64)
+    assert met[0].sum() > 0 and met[1].sum() > 0
+    for kind, mixer in enumerate((model.words, model.spelled)):
+        want = lm_scoring.fitted(met[kind])
+        assert np.allclose(mixer.weights, want.weights, atol=1e-4) and np.allclose(mixer.knots, want.knots, atol=1e-4)
+        assert not np.allclose(mixer.weights, lm_scoring.Mixer().weights, atol=1e-2)
+    book.destroy()
+
+
 def test_model_beats_single_tokens_on_held_out_documents(session):
     docs = session.read.parquet("/root/testdata/sf0.1/documents.parquet")
     got = lm_scoring.score_documents(docs).where("held_out").selectExpr("sum(score)", "sum(base_score)", "count(*)").first()
