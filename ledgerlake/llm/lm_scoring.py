@@ -267,6 +267,11 @@ class Contexts:
         self.previous = previous
         self.state = state if not n else (int(self.rank[at.max()]) + 1 if at.max() >= 0 else state[0], int(kind[-1]))
 
+    def packed(self) -> np.ndarray:
+        """Topic (from bit 49), previous token (from bit 32) and rank + 1 of
+        every token in one number."""
+        return (self.topic << 17 | self.previous) << 32 | (self.rank + 1)
+
     def word_decisions(self, which: np.ndarray):
         """:meth:`Book.expand` of the tokens ``which``."""
         code = self.book.codes(self.rank.take(which))
@@ -506,11 +511,10 @@ class BitCounts:
         self.book = book
         self.table = np.zeros((ORDERS, 2 * book.slots), np.int32)
         self._words, self._bytes = [], []
-        self._slots, self._times, self._waiting = [[] for _ in range(ORDERS)], [[] for _ in range(ORDERS)], 0
 
     def add(self, t: Tokens, ctx: Contexts) -> None:
-        self._words.append((ctx.rank, ctx.topic, ctx.previous + _APART))
-        if sum(len(w[0]) for w in self._words) > 1 << 20:
+        self._words.append(ctx.packed())
+        if sum(len(w) for w in self._words) > 1 << 21:
             self._count_words()
         known = np.where(ctx.rank >= 0, self.book.count.take(np.maximum(ctx.rank, 0)), 0)
         new = np.flatnonzero((known > 0) & (known <= NOVEL) & (t.h != END_OF_TEXT))
@@ -533,16 +537,14 @@ class BitCounts:
             self._count_words()
         if self._bytes:
             self._count_bytes()
-        for k in range(ORDERS):
-            self._pour(k)
         return self.table
 
     def _count_words(self) -> None:
-        rank = np.concatenate([w[0] for w in self._words])
-        for k in range(ORDERS):
-            pair, times = np.unique(np.concatenate([w[1 + k] for w in self._words]) << 32 | (rank + 1), return_counts=True)
-            self._count(k, self.book.codes((pair & 0xFFFFFFFF) - 1), pair >> 32, _UNIT * times)
+        words = np.concatenate(self._words)
         self._words.clear()
+        for k, (pairs, apart) in enumerate((((words >> 49) << 32 | words & 0xFFFFFFFF, 0), (words & (1 << 49) - 1, _APART))):
+            pair, times = np.unique(pairs, return_counts=True)
+            self._count(k, self.book.codes((pair & 0xFFFFFFFF) - 1), (pair >> 32) + apart, _UNIT * times)
 
     def _count_bytes(self) -> None:
         symbol, weight, *contexts = (np.concatenate(x) for x in zip(*self._bytes))
@@ -557,18 +559,7 @@ class BitCounts:
         for some in range(0, len(code), 1 << 13):
             part = slice(some, some + (1 << 13))
             owner, bit, _, slots = self.book.expand(code[part], [context[part]], k)
-            self._slots[k].append((2 * slots[0] + bit).astype(np.int32))
-            self._times[k].append(times[part].take(owner).astype(np.int32))
-            self._waiting += len(owner)
-            if self._waiting > 1 << 22:
-                self._pour(k)
-
-    def _pour(self, k: int) -> None:
-        if self._slots[k]:
-            slots, times = np.concatenate(self._slots[k]), np.concatenate(self._times[k])
-            self.table[k] += np.bincount(slots, weights=times, minlength=self.table.shape[1]).astype(np.int32)
-        self._slots[k], self._times[k] = [], []
-        self._waiting = sum(len(x) for y in self._slots for x in y)
+            np.add.at(self.table[k], 2 * slots[0] + bit, times[part].take(owner).astype(np.int32))
 
 
 def bit_tables(docs: DataFrame, book: Book, shared, chunk: int = 1 << 13) -> tuple[list[np.ndarray], list[np.ndarray]]:
@@ -638,13 +629,11 @@ class MixerInputs:
         self.book, self.tables = book, tables
         self.met = np.zeros((2, _INPUTS), np.int64)
         self._words, self._bytes = [], []
-        self._cells, self._times, self._waiting = [[], []], [[], []], 0
 
     def add(self, t: Tokens, ctx: Contexts, fold: np.ndarray) -> None:
         """``fold``: of each token."""
-        context = (fold << 7 | ctx.topic) << 17 | ctx.previous
-        self._words.append(context << 32 | (ctx.rank + 1))
-        if sum(len(w) for w in self._words) > 1 << 20:
+        self._words.append(fold << 56 | ctx.packed())
+        if sum(len(w) for w in self._words) > 1 << 21:
             self._meet_words()
         known = np.where(ctx.rank >= 0, self.book.count.take(np.maximum(ctx.rank, 0)), 0)
         new = np.flatnonzero((known > 0) & (known <= NOVEL) & (t.h != END_OF_TEXT))
@@ -666,7 +655,6 @@ class MixerInputs:
             self._meet_words()
         if self._bytes:
             self._meet_bytes()
-        self._pour()
         return self.met
 
     def _meet_words(self) -> None:
@@ -696,19 +684,7 @@ class MixerInputs:
                 levels.append(((read >> 2) + np.int16(160 * (_LEVELS // 2) + 80)) // np.int16(160))
             for x in levels:
                 cell = cell * _LEVELS + x
-            self._cells[kind].append((2 * cell + bit).astype(np.int32))
-            self._times[kind].append(times[part].take(owner).astype(np.int32))
-            self._waiting += len(owner)
-            if self._waiting > 1 << 22:
-                self._pour()
-
-    def _pour(self) -> None:
-        for kind in (0, 1):
-            if self._cells[kind]:
-                cells, times = np.concatenate(self._cells[kind]), np.concatenate(self._times[kind])
-                self.met[kind] += np.bincount(cells, weights=times, minlength=_INPUTS).astype(np.int64)
-            self._cells[kind], self._times[kind] = [], []
-        self._waiting = 0
+            np.add.at(self.met[kind], 2 * cell + bit, times[part].take(owner))
 
 
 def fitted(met: np.ndarray) -> Mixer:
