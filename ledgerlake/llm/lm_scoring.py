@@ -26,9 +26,11 @@ What is gathered from the training documents: the counts of all tokens (they
 grow with the corpus, are summed per task, then shuffled); bit counts of all
 decisions, hashed to a table per context that grows with the corpus up to
 ``most_slots`` slots; what the mixers read at all decisions, as counts of gate,
-log-odds and bit, from which the weights and maps are fitted. A document's own
-bits must not vouch for it there: the documents fall into two folds, and each
-is read with the bit counts of the other; the model's are those of both.
+log-odds and bit, from which the weights and maps are fitted. The first bits of
+code words are counted apart, as they come in few combinations with contexts.
+A document's own bits must not vouch for it when weights are fitted: the
+documents fall into two folds, and each is read with the bit counts of the
+other; the model's are those of both.
 (``sample_docs``, if given, fits the weights to about so many documents
 only; the bit counts still cover all.) Tokens with more than
 one ``1 / frequent`` of all occurrences are fewer than ``frequent``: they make
@@ -72,6 +74,10 @@ _TOPICS, _COMMON = 64, 1024
 _SEGMENT, _SCORED = 1 << 19, 1 << 19
 _BLOCK, _LONGEST, _BYTES, _AT_ONCE = 16, 4096, 1 << 14, 1 << 17
 _APART = 1 << 20
+# the first bits of a code word come in fewer combinations with contexts: they are
+# counted apart and read from rows of the most frequent contexts
+_HEAD, _NEAR = 9, 1024
+_LOW = 0xFFFFFFFF
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double"
@@ -86,13 +92,13 @@ def fold(doc_id: str = "doc_id", parts: int = 7) -> Column:
 
 
 @lru_cache(maxsize=1)
-def _bytes_tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Lower case, white space flag and hash of every byte."""
-    lower = np.arange(256, dtype=np.uint8)
-    lower[65:91] += 32
-    space = np.zeros(256, bool)
-    space[[0x20, *range(0x09, 0x0E)]] = True
-    return lower, space, mix(np.arange(1, 257, dtype=np.uint64) * _ODD)
+def _bytes_hashes() -> np.ndarray:
+    return mix(np.arange(1, 257, dtype=np.uint64) * _ODD)
+
+
+def _is_space(data: np.ndarray) -> np.ndarray:
+    """White space flag of bytes."""
+    return (data == 0x20) | (data - np.uint8(0x09) < 5)
 
 
 class Tokens:
@@ -100,23 +106,23 @@ class Tokens:
     text, start and end of each, an end token behind every text of ``ended``."""
 
     def __init__(self, data: np.ndarray, cut: np.ndarray, ended: np.ndarray):
-        lower, space, hashes = _bytes_tables()
-        self.low = lower[data]
+        self.low = data + (data - np.uint8(65) < 26) * np.uint8(32)
         n = len(data)
         word = np.zeros(n + 2, bool)
-        word[1:-1] = ~space[data]
+        word[1:-1] = ~_is_space(data)
         first = np.zeros(n + 1, bool)
         first[cut] = True
         begin = np.flatnonzero(word[1:-1] & (~word[:-2] | first[:n]))
         end = np.flatnonzero(word[1:-1] & (~word[2:] | first[1:])) + 1
         up, down = _powers(1 << max(16, int(n + 1).bit_length()))
         sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(hashes[self.low] * up[:n], out=sums[1:])
+        each = _bytes_hashes().take(self.low)
+        each *= up[:n]
+        np.cumsum(each, out=sums[1:])
         h = mix((sums[end] - sums[begin]) * down[begin] + (end - begin).astype(np.uint64)).view(np.int64)
-        text = np.searchsorted(cut, begin, side="right") - 1
-        each = np.bincount(text, minlength=len(cut) - 1)
+        each = np.diff(np.searchsorted(begin, cut))
         shift = np.cumsum(ended) - ended
-        at = np.arange(len(h)) + shift[text]
+        at = np.arange(len(h)) + np.repeat(shift, each)
         self.count = each + ended
         self.first = np.cumsum(self.count) - self.count
         total = int(self.count.sum())
@@ -142,7 +148,6 @@ def segments(data: np.ndarray, cut: np.ndarray, size: int = _SEGMENT):
     of about ``size`` bytes; a longer text comes alone, in several pieces cut
     at white space, of which the last is ended."""
     i, n = 0, len(cut) - 1
-    space = _bytes_tables()[1]
     while i < n:
         j = max(i + 1, int(np.searchsorted(cut, cut[i] + size, side="right")) - 1)
         if cut[j] - cut[i] <= size:
@@ -151,8 +156,8 @@ def segments(data: np.ndarray, cut: np.ndarray, size: int = _SEGMENT):
             lo, stop = int(cut[i]), int(cut[j])
             while lo < stop:
                 hi = min(lo + size, stop)
-                while hi < stop and not space[data[hi]]:
-                    ahead = np.flatnonzero(space[data[hi : min(hi + size, stop)]])
+                while hi < stop and not _is_space(data[hi : hi + 1])[0]:
+                    ahead = np.flatnonzero(_is_space(data[hi : min(hi + size, stop)]))
                     hi = hi + int(ahead[0]) if len(ahead) else min(hi + size, stop)
                 yield i, j, data[lo:hi], np.array([0, hi - lo]), np.array([int(hi == stop)])
                 lo = hi
@@ -209,43 +214,87 @@ class Book:
         """Rank by frequency of each token, -1 outside the book."""
         key = h.view(np.uint64)
         lead = (key >> np.uint64(64 - self._bits)).view(np.int64)
-        at, stop = self._start.take(lead), self._start.take(lead + 1)
-        out = np.full(len(h), -1, np.int64)
-        left = np.flatnonzero(at < stop)
+        at = self._start.take(lead)
+        same = self._key.take(at, mode="clip") == key
+        out = np.where(same, self._rank.take(at, mode="clip"), -1)
+        left = np.flatnonzero(~same)
+        at, stop = at.take(left) + 1, self._start.take(lead.take(left) + 1)
         while len(left):
-            here = at.take(left)
-            same = self._key.take(here) == key.take(left)
-            out[left[same]] = self._rank.take(here[same])
-            left = left[~same]
-            at[left] += 1
-            left = left[at.take(left) < stop.take(left)]
+            some = np.flatnonzero(at < stop)
+            left, at, stop = left.take(some), at.take(some), stop.take(some)
+            same = self._key.take(at) == key.take(left)
+            out[left[same]] = self._rank.take(at[same])
+            at += 1
+            at[same] = stop[same]
         return out
 
     def codes(self, rank: np.ndarray) -> np.ndarray:
         return np.where(rank >= 0, self.code.take(np.maximum(rank, 0)), self.escape)
 
+    @staticmethod
+    def bits(code: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The last ``length`` bits of code words, one word after the other,
+        and all bits before each, with the leading one."""
+        left = np.repeat(np.cumsum(length) - 1, length)
+        left -= np.arange(len(left))
+        prefix = np.repeat(code, length)
+        prefix >>= left
+        bit = (prefix & 1).astype(np.int8)
+        prefix >>= 1
+        return bit, prefix
+
+    @staticmethod
+    def keys(contexts, first: int = 0) -> list[np.ndarray]:
+        """Hashes of ``contexts``, which belong to the orders from ``first``."""
+        return [mix(c.astype(np.int64).view(np.uint64) * _STEP + np.uint64(first + k + 1)) for k, c in enumerate(contexts)]
+
+    def places(self, keys, length: np.ndarray, prefix: np.ndarray) -> list[np.ndarray]:
+        """Slots of :meth:`bits`, per context; ``keys`` and ``length`` are of
+        the code words."""
+        place = prefix.view(np.uint64) * _ODD
+        shift = np.uint64(64 - (self.slots.bit_length() - 1))
+        slots = []
+        for key in keys:
+            x = np.repeat(key, length)
+            x ^= place
+            x *= _STEP
+            x ^= x >> np.uint64(29)
+            x *= _ODD
+            x >>= shift
+            slots.append(x.view(np.int64))
+        return slots
+
     def expand(self, code: np.ndarray, contexts, first: int = 0):
         """The bits of code words: (number of the word, bit, depth, slots per
         context); ``contexts`` belong to the orders from ``first``."""
         length = _length(code)
+        bit, prefix = self.bits(code, length)
         owner = np.repeat(np.arange(len(code)), length)
-        left = np.cumsum(length).take(owner) - np.arange(len(owner))
-        full = code.take(owner)
-        bit = (full >> (left - 1)) & 1
-        place = (full >> left).view(np.uint64) * _ODD
-        shift = np.uint64(64 - (self.slots.bit_length() - 1))
-        slots = []
-        for k, c in enumerate(contexts):
-            key = mix(c.astype(np.int64).view(np.uint64) * _STEP + np.uint64(first + k + 1))
-            x = (key.take(owner) ^ place) * _STEP
-            slots.append(((x ^ (x >> np.uint64(29))) * _ODD >> shift).view(np.int64))
-        return owner, bit, length.take(owner) - left, slots
+        return owner, bit, _length(prefix), self.places(self.keys(contexts, first), length, prefix)
 
 
 def _length(code: np.ndarray) -> np.ndarray:
     return np.frexp(code.astype(np.float64))[1].astype(np.int64) - 1
 
 
+@lru_cache(maxsize=1)
+def _depth_classes() -> np.ndarray:
+    prefix = np.arange((1 << 4 * (_DEPTHS - 1)) + 1)
+    return sum((prefix >= 1 << 4 * k).astype(np.int8) for k in range(1, _DEPTHS))
+
+
+def _deep(prefix: np.ndarray) -> np.ndarray:
+    """Class of a bit's depth: four bits each, the last open."""
+    return _depth_classes().take(prefix, mode="clip")
+
+
+def _changes(x: np.ndarray) -> np.ndarray:
+    """Where an array's value differs from that before; the first does."""
+    out = np.ones(len(x), bool)
+    np.not_equal(x[1:], x[:-1], out=out[1:])
+    return np.flatnonzero(out)
+
+
 class Contexts:
     """Ranks and contexts of the tokens of a slice; ``state`` holds the last
     topic and previous token of a text that goes on."""
@@ -274,8 +323,7 @@ class Contexts:
 
     def word_decisions(self, which: np.ndarray):
         """:meth:`Book.expand` of the tokens ``which``."""
-        code = self.book.codes(self.rank.take(which))
-        return self.book.expand(code, (self.topic.take(which), self.previous.take(which) + _APART))
+        return self.book.expand(self.book.codes(self.rank.take(which)), (self.topic.take(which), self.previous.take(which) + _APART))
 
     def byte_decisions(self, which: np.ndarray):
         """The bytes of the tokens ``which``, an end mark (256) behind each:
@@ -284,13 +332,14 @@ class Contexts:
         n = t.end[which] - t.begin[which] + 1
         owner = np.repeat(np.arange(len(which)), n)
         place = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
-        at = t.begin[which][owner] + place
-        here = np.zeros((4, len(owner)), np.int64)
+        at = t.begin.take(which).take(owner) + place
+        here = []  # the byte, and those before it in the token plus one
         for back in range(4):
-            ok = place >= back
-            source = np.minimum(at - back, len(t.low) - 1)
-            here[back][ok] = t.low[source[ok]].astype(np.int64) + 1
-        symbol = np.where(place == n[owner] - 1, 256, here[0] - 1)
+            here.append(t.low.take(at - back, mode="clip").astype(np.int64))
+            if back:
+                here[back] += 1
+                here[back] *= place >= back
+        symbol = np.where(place == n.take(owner) - 1, 256, here[0])
         two = here[1] * 257 + here[2]
         return owner, place, symbol, (two * 257 + here[3] + (2 << 40), two * 128 + self.topic[which].take(owner) + (3 << 40))
 
@@ -320,45 +369,65 @@ class Mixer:
         self.weights, self.knots = weights.astype(np.float32), knots.astype(np.float32)
 
     def start(self, lanes: int) -> tuple[np.ndarray, np.ndarray]:
-        return np.tile(self.weights, (lanes, 1)), np.tile(self.knots, lanes)
+        return np.tile(self.weights.T, (1, lanes)), np.tile(self.knots, lanes)
 
-    def step(self, state, lane: np.ndarray, bit: np.ndarray, depth: np.ndarray, slots, tables) -> np.ndarray:
+    def step(self, state, lane: np.ndarray, length: np.ndarray, bit: np.ndarray, deep: np.ndarray, reads) -> np.ndarray:
         """Cost of the decisions per lane (natural logarithm); afterwards the
-        lanes' state has learned from them."""
+        lanes' state has learned from them. ``lane`` and ``length`` are of the
+        code words, ``bit``, :func:`_deep` and what is read in the tables
+        (changed here) of their bits."""
         w, knots = state
-        deep = np.minimum(depth >> 2, _DEPTHS - 1)
-        x, gate = [], deep
-        for k, s in enumerate(slots):
-            read = tables[k].take(s)
-            x.append((read >> 2) * np.float32(1 / 640))
-            gate = gate * 4 + (read & 3)
-        at = lane * _GATES + gate
-        row = w.take(at, axis=0)
-        mixed = row[:, ORDERS] + row[:, 0] * x[0]
-        for k in range(1, ORDERS):
-            mixed += row[:, k] * x[k]
-        place = np.clip(mixed, np.float32(-11.9), np.float32(11.9)) + np.float32(12)
-        knot = place.astype(np.int64)
+        x, gate = [], deep.astype(np.int16)
+        for read in reads:
+            gate *= np.int16(4)
+            gate += read & np.int16(3)
+            read >>= 2
+            x.append(read.astype(np.float32))
+            x[-1] *= np.float32(1 / 640)
+        # texts come one after another, perhaps again with further bits
+        new = _changes(lane)
+        lane, upto = lane.take(new), np.concatenate((np.cumsum(length).take(new[1:] - 1), [len(bit)]))
+        many = upto.copy()
+        many[1:] -= upto[:-1]
+        at = np.repeat(lane * _GATES, many)
+        at += gate
+        place = w[ORDERS].take(at)
+        for own, y in zip(w, x):
+            place += own.take(at) * y
+        np.clip(place, np.float32(-11.9), np.float32(11.9), out=place)
+        place += np.float32(12)
+        knot = place.astype(np.int32)
         part = place - knot.astype(np.float32)
-        on = (lane * _DEPTHS + deep) * _KNOTS + knot
-        refined = knots.take(on)
-        refined += (knots.take(on + 1) - refined) * part
-        sign = (2 * bit - 1).astype(np.float32)
-        odds = np.exp(sign * np.float32(-0.5) * (place - np.float32(12) + refined))
-        lanes = np.arange(lane[0], lane[-1] + 1)  # texts come one after another
-        first = np.searchsorted(lane, lanes)
-        some = np.flatnonzero(np.diff(first, append=len(lane)))
-        cost = np.zeros(len(w) // _GATES)
-        cost[lanes[some]] = np.add.reduceat(np.log1p(odds), first[some], dtype=np.float64)
-        error = (sign * (odds / (1 + odds))).astype(np.float64)
-        low, n = lanes[0] * _GATES, len(lanes) * _GATES
+        knot += deep * np.int32(_KNOTS)
+        on = np.repeat(lane * (_DEPTHS * _KNOTS), many)
+        on += knot
+        odds = knots.take(on)
+        rise = knots[1:].take(on)
+        rise -= odds
+        rise *= part
+        odds += rise
+        place -= np.float32(12)
+        odds += place
+        against = np.float32(0.5) - bit.astype(np.float32)
+        odds *= against
+        np.exp(odds, out=odds)
+        cost = np.bincount(lane, np.add.reduceat(np.log1p(odds), upto - many, dtype=np.float64), len(knots) // (_DEPTHS * _KNOTS))
+        odds /= odds + np.float32(1)
+        odds *= against
+        odds *= np.float32(-2)
+        error = odds.astype(np.float64)
+        first = int(lane.min())
+        lanes = int(lane.max()) - first + 1
+        low, n = first * _GATES, lanes * _GATES
         at -= low
-        own = w[low : low + n]
+        own = w[:, low : low + n]
         gain = self.rate / np.sqrt(np.bincount(at, minlength=n) + 1.0)
         for k in range(ORDERS):
-            own[:, k] += gain * np.bincount(at, weights=error * x[k], minlength=n)
-        own[:, ORDERS] += gain * np.bincount(at, weights=error, minlength=n)
-        low, n = lanes[0] * _DEPTHS * _KNOTS, len(lanes) * _DEPTHS * _KNOTS
+            pull = x[k].astype(np.float64)
+            pull *= error
+            own[k] += gain * np.bincount(at, weights=pull, minlength=n)
+        own[ORDERS] += gain * np.bincount(at, weights=error, minlength=n)
+        low, n = first * _DEPTHS * _KNOTS, lanes * _DEPTHS * _KNOTS
         on += part > 0.5
         on -= low
         knots[low : low + n] += self.refine * np.bincount(on, weights=error, minlength=n) / np.sqrt(np.bincount(on, minlength=n) + 1.0)
@@ -389,27 +458,64 @@ class Scorer:
 
     def __init__(self, book: Book, tables, words: Mixer, spelled: Mixer):
         self.book, self.tables, self.words, self.spelled = book, tables, words, spelled
+        self._near = None
 
     def __getstate__(self):
-        return self.__dict__ | {"book": None}  # sent once, on its own
+        return self.__dict__ | {"book": None, "_near": None}  # the book is sent once, on its own
 
     def using(self, book: Book) -> "Scorer":
         self.book = book
         return self
 
+    def near(self, ctx: Contexts):
+        """What the tables hold for the heads of code words after each topic
+        and after the most frequent previous tokens of the slice met first,
+        row by row; and the rows by context, -1 if there is none."""
+        if self._near is None:
+            met = np.bincount(ctx.previous, minlength=4096 + (1 << 16))
+            often = np.argsort(-met, kind="stable")[:_NEAR]
+            row = np.full(len(met), -1, np.int64)
+            row[often] = np.arange(len(often)) << _HEAD
+            prefix, rows = np.arange(1 << _HEAD), []
+            for k, contexts in enumerate((np.arange(_TOPICS + 1), often + _APART)):
+                length = np.full(len(contexts), 1 << _HEAD)
+                (slots,) = self.book.places(self.book.keys([contexts], k), length, np.tile(prefix, len(contexts)))
+                rows.append(self.tables[k].take(slots))
+            self._near = rows, row
+        return self._near
+
     def score(self, t: Tokens, ctx: Contexts, state, place: int = 0) -> np.ndarray:
         """Natural log cost of each text of a slice; ``state`` is that of the
         two mixers, ``place`` the tokens of the text before this slice."""
         lanes = len(t.count)
         cost = np.zeros(lanes)
+        if not len(t.h):
+            return cost
+        rows, row = self.near(ctx)
+        code = self.book.codes(ctx.rank)
+        keys = self.book.keys((ctx.topic, ctx.previous + _APART))
+        starts = ctx.topic << _HEAD, row.take(ctx.previous)
+        head = _length(code)
+        tail = np.maximum(head - _HEAD, 0)
+        tail[starts[1] < 0] = head[starts[1] < 0]
+        head -= tail
         block = block_of(np.arange(len(t.h)) - t.first[t.text] + place)
         order = np.argsort(block, kind="stable")
-        edges = np.concatenate((np.flatnonzero(np.diff(block[order], prepend=-1)), [len(order)])) if len(order) else np.zeros(1, int)
+        edges = np.append(_changes(block.take(order)), len(order))
         for lo, hi in zip(edges[:-1], edges[1:]):
             for some in self._whole_lanes(order[lo:hi], t.text):
-                owner, bit, depth, slots = ctx.word_decisions(some)
-                cost += self.words.step(state[0], t.text[some].take(owner), bit, depth, slots, self.tables)
-                rare = some[ctx.rank[some] < 0]
+                # heads from the rows, then what is left from the tables
+                one, two = some[head.take(some) > 0], some[tail.take(some) > 0]
+                lengths = head.take(one), tail.take(two)
+                bits, prefix = zip(self.book.bits(code.take(one) >> tail.take(one), lengths[0]), self.book.bits(code.take(two), lengths[1]))
+                reads, slots = [], self.book.places([x.take(two) for x in keys], lengths[1], prefix[1])
+                for near, start, table, s in zip(rows, starts, self.tables, slots):
+                    at = np.repeat(start.take(one), lengths[0])
+                    at += prefix[0]
+                    reads.append(np.concatenate((near.take(at), table.take(s))))
+                lane = t.text.take(np.concatenate((one, two)))
+                cost += self.words.step(state[0], lane, np.concatenate(lengths), np.concatenate(bits), np.concatenate([_deep(x) for x in prefix]), reads)
+                rare = some[ctx.rank.take(some) < 0]
                 if len(rare):
                     cost += self._spell(t, ctx, rare, state[1])
         return cost
@@ -420,7 +526,7 @@ class Scorer:
         size."""
         if len(which) * 14 <= _AT_ONCE:
             return [which]
-        change = np.flatnonzero(np.diff(text[which], prepend=-1))
+        change = _changes(text[which])
         part = change // max(1, _AT_ONCE // 14)
         return np.split(which, change[np.flatnonzero(np.diff(part))  + 1])
 
@@ -428,21 +534,26 @@ class Scorer:
         """Bytes of the tokens outside the book; a text with very many of them
         in the block learns in between."""
         cost = np.zeros(len(t.count))
-        size = t.end[rare] - t.begin[rare] + 1
-        upto = np.cumsum(size)
-        first = np.flatnonzero(np.diff(t.text[rare], prepend=-1))
-        before = np.repeat((upto - size)[first], np.diff(np.append(first, len(rare))))
-        turn = (upto - size - before) // _BYTES
+        size = t.end.take(rare) - t.begin.take(rare) + 1
+        before = np.cumsum(size) - size
+        turn = np.zeros(1, np.int64)
+        if before[-1] >= _BYTES:
+            first = _changes(t.text[rare])
+            turn = (before - np.repeat(before[first], np.diff(np.append(first, len(rare))))) // _BYTES
         for r in range(int(turn.max()) + 1):
-            some = rare[turn == r]
+            some = rare if len(turn) == 1 else rare[turn == r]
             if not len(some):
                 continue
             owner, place, symbol, contexts = ctx.byte_decisions(some)
-            code = self.book.byte_code[symbol]
-            for k in range(int(place.max()) // _BYTES + 1):  # more than one only for a token of that length
-                now = place // _BYTES == k
-                inner, bit, depth, slots = ctx.book.expand(code[now], [c[now] for c in contexts])
-                cost += self.spelled.step(state, t.text[some][owner[now]].take(inner), bit, depth, slots, self.tables)
+            code, lane, keys = self.book.byte_code.take(symbol), t.text.take(some).take(owner), self.book.keys(contexts)
+            times = int(place.max()) // _BYTES + 1
+            for k in range(times):  # more than one only for a token of that length
+                now = slice(None) if times == 1 else place // _BYTES == k
+                length = _length(code[now])
+                bit, prefix = self.book.bits(code[now], length)
+                slots = self.book.places([x[now] for x in keys], length, prefix)
+                reads = [table.take(s) for table, s in zip(self.tables, slots)]
+                cost += self.spelled.step(state, lane[now], length, bit, _deep(prefix), reads)
         return cost
 
     def fresh(self, lanes: int):
@@ -468,12 +579,11 @@ def token_counts(docs: DataFrame) -> DataFrame:
         def rows(kind, h, c):
             return pa.RecordBatch.from_arrays([pa.array(np.full(len(h), kind), pa.int32()), pa.array(h, pa.int64()), pa.array(c, pa.int64())], names=["kind", "h", "c"])
 
-        space = _bytes_tables()[1]
         for b in batches:
             for _, _, data, cut, ended in segments(*raw_texts(b.column("text"))):
                 t = Tokens(data, cut, ended)
                 held.append(np.unique(t.h, return_counts=True))
-                seen[:256] += np.bincount(t.low[~space[t.low]], minlength=256)
+                seen[:256] += np.bincount(t.low[~_is_space(t.low)], minlength=256)
                 seen[256] += len(t.h)
                 size += len(held[-1][0])
                 if size > 1 << 20:
@@ -486,7 +596,8 @@ def token_counts(docs: DataFrame) -> DataFrame:
             yield rows(0, *total())
         yield rows(1, np.arange(257), seen)
 
-    return docs.select("text").mapInArrow(run, "kind int, h long, c long").groupBy("kind", "h").agg(F.sum("c").alias("c"))
+    # summed by task already, so another partial sum before the shuffle would find next to nothing to add
+    return docs.select("text").mapInArrow(run, "kind int, h long, c long").repartition("kind", "h").groupBy("kind", "h").agg(F.sum("c").alias("c"))
 
 
 def code_book(counts: DataFrame, frequent: int, most_slots: int) -> Book:
@@ -528,7 +639,8 @@ class BitCounts:
             weight = np.full(len(some), _UNIT)
             weight[len(rare) :] //= known[new]
             owner, _, symbol, contexts = ctx.byte_decisions(some)
-            self._bytes.append((symbol, weight.take(owner), *contexts))
+            # weights are below eight, bytes and the end mark below 512
+            self._bytes.append([c << 12 | symbol << 3 | weight.take(owner) for c in contexts])
             if sum(len(x[0]) for x in self._bytes) > 1 << 20:
                 self._count_bytes()
 
@@ -540,50 +652,69 @@ class BitCounts:
         return self.table
 
     def _count_words(self) -> None:
-        words = np.concatenate(self._words)
+        heads, tails = _halves(self.book, np.concatenate(self._words))
         self._words.clear()
-        for k, (pairs, apart) in enumerate((((words >> 49) << 32 | words & 0xFFFFFFFF, 0), (words & (1 << 49) - 1, _APART))):
-            pair, times = np.unique(pairs, return_counts=True)
-            self._count(k, self.book.codes((pair & 0xFFFFFFFF) - 1), (pair >> 32) + apart, _UNIT * times)
+        for k, (place, bits, apart) in enumerate(((49, 7, 0), (32, 17, _APART))):
+            context = ((1 << bits) - 1) << place
+            pair, times = np.unique((heads & context) >> place << 32 | heads & _LOW, return_counts=True)
+            self._count(k, pair & _LOW, (pair >> 32) + apart, _UNIT * times)
+            pair, times = np.unique((tails & context) >> place << 32 | tails & _LOW, return_counts=True)
+            code = self.book.codes((pair & _LOW) - 1)
+            self._count(k, code, (pair >> 32) + apart, _UNIT * times, _length(code) - _HEAD)
 
     def _count_bytes(self) -> None:
-        symbol, weight, *contexts = (np.concatenate(x) for x in zip(*self._bytes))
-        for k in range(ORDERS):
-            # each (context, byte) once, with its weight
-            pair, back = np.unique(contexts[k] * 257 + symbol, return_inverse=True)
-            times = np.bincount(back, weights=weight).astype(np.int64)
-            self._count(k, self.book.byte_code[pair % 257], pair // 257, times)
+        for k, keys in enumerate(zip(*self._bytes)):
+            # each (context, byte, weight) once
+            pair, times = np.unique(np.concatenate(keys), return_counts=True)
+            times *= pair & 7
+            self._count(k, self.book.byte_code.take(pair >> 3 & 511), pair >> 12, times)
         self._bytes.clear()
 
-    def _count(self, k: int, code, context, times) -> None:
+    def _count(self, k: int, code, context, times, length=None) -> None:
+        length, times = _length(code) if length is None else length, times.astype(np.int32)
         for some in range(0, len(code), 1 << 13):
             part = slice(some, some + (1 << 13))
-            owner, bit, _, slots = self.book.expand(code[part], [context[part]], k)
-            np.add.at(self.table[k], 2 * slots[0] + bit, times[part].take(owner).astype(np.int32))
+            bit, prefix = self.book.bits(code[part], length[part])
+            (slots,) = self.book.places(self.book.keys([context[part]], k), length[part], prefix)
+            slots <<= 1
+            slots += bit
+            np.add.at(self.table[k], slots, np.repeat(times[part], length[part]))
+
+
+def _halves(book: Book, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of tokens with their contexts (:meth:`Contexts.packed`), the first bits of
+    the code words in place of the ranks, and those tokens that have more."""
+    code = book.codes((words & _LOW) - 1)
+    tail = np.maximum(_length(code) - _HEAD, 0)
+    code >>= tail
+    return words >> 32 << 32 | code, words[tail > 0]
 
 
 def bit_tables(docs: DataFrame, book: Book, shared, chunk: int = 1 << 13) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """:func:`predictions` from all decisions in ``docs`` (``text, fold``), one
     table per context; and those that each fold is read with, one behind the
-    other, from the decisions of the other fold. Each task counts documents of
-    one fold, then sends the slots it has met. ``shared``: the broadcast
+    other, from the decisions of the other fold. Each task counts its
+    documents by fold, then sends the slots it has met. ``shared``: the broadcast
     ``book``."""
 
-    def run(fold):
-        def count(batches):
-            import pyarrow as pa
+    def run(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
 
-            own = shared.value
-            counts = BitCounts(own)
-            for b in batches:
-                state = {}
-                for i, _, data, cut, ended in segments(*raw_texts(b.column("text"))):
+        own = shared.value
+        counts = BitCounts(own), BitCounts(own)
+        for b in batches:
+            for fold in (0, 1):
+                state, column = {}, b.column("text").filter(pc.equal(b.column("fold"), fold))
+                for i, _, data, cut, ended in segments(*raw_texts(column)) if len(column) else ():
                     t = Tokens(data, cut, ended)
                     ctx = Contexts(t, own, state.pop(i, (0, 0)))
                     state[i] = ctx.state
-                    counts.add(t, ctx)
-            table, rows = counts.close(), []
+                    counts[fold].add(t, ctx)
+        for fold in (0, 1):
+            table = counts[fold].close()
             for k in range(ORDERS):
+                rows = []
                 for at in range(0, 2 * own.slots, 2 * chunk):
                     part = table[k, at : at + 2 * chunk]
                     some = np.flatnonzero(part)
@@ -591,9 +722,6 @@ def bit_tables(docs: DataFrame, book: Book, shared, chunk: int = 1 << 13) -> tup
                         rows.append((fold, k, at // (2 * chunk), some.astype("<u2").tobytes(), part[some].astype("<i4").tobytes()))
                 cols = list(zip(*rows)) or [()] * 5
                 yield pa.RecordBatch.from_arrays([pa.array(c, x) for c, x in zip(cols, (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()))], names=["fold", "k", "part", "slots", "counts"])
-                rows = []
-
-        return count
 
     def add(batches):
         import pyarrow as pa
@@ -603,13 +731,14 @@ def bit_tables(docs: DataFrame, book: Book, shared, chunk: int = 1 << 13) -> tup
             for fold, k, part, s, c in zip(*(b.column(x).to_pylist() for x in ("fold", "k", "part", "slots", "counts"))):
                 if (k, part) not in total:
                     total[k, part] = np.zeros((2, 2 * chunk), np.int64)
-                total[k, part][fold, np.frombuffer(s, "<u2")] += np.frombuffer(c, "<i4")
+                to = total[k, part][fold]
+                to[np.frombuffer(s, "<u2").astype(np.intp)] += np.frombuffer(c, "<i4")
         for (k, part), t in total.items():
             odds = [pa.array([predictions(x[::2], x[1::2]).astype("<i2").tobytes()], pa.binary()) for x in (t.sum(axis=0), t[1], t[0])]
             yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([part], pa.int32()), *odds], names=["k", "part", "odds", "other0", "other1"])
 
-    counted = [docs.where(F.col("fold") == f).select("text").mapInArrow(run(f), "fold int, k int, part int, slots binary, counts binary") for f in (0, 1)]
-    summed = counted[0].union(counted[1]).repartition("k", "part").mapInArrow(add, "k int, part int, odds binary, other0 binary, other1 binary")
+    counted = docs.select("text", "fold").mapInArrow(run, "fold int, k int, part int, slots binary, counts binary")
+    summed = counted.repartition("k", "part").mapInArrow(add, "k int, part int, odds binary, other0 binary, other1 binary")
     tables = [np.zeros(book.slots, np.int16) for _ in range(ORDERS)]
     others = [np.zeros(2 * book.slots, np.int16) for _ in range(ORDERS)]
     for r in summed.collect():  # 3 * most_slots * ORDERS numbers at most
@@ -621,12 +750,15 @@ def bit_tables(docs: DataFrame, book: Book, shared, chunk: int = 1 << 13) -> tup
 
 class MixerInputs:
     """How often a task's texts show a mixer each input: gate, levels of the
-    log-odds and the bit, for words and for spelling. ``tables``: the second
-    ones of :func:`bit_tables`. Tokens are gathered first, as for the bit
-    counts, so that each with its contexts is expanded once."""
+    log-odds and the bit, for words and for spelling. ``tables``: :func:`_levels`
+    of the second ones of :func:`bit_tables`. Tokens are gathered first, as for
+    the bit counts, so that each with its contexts is expanded once."""
 
     def __init__(self, book: Book, tables):
         self.book, self.tables = book, tables
+        # what the read of each context adds to the number of an input
+        read = np.arange(4 * _LEVELS)
+        self._adds = [(read & 3) * 4 ** (ORDERS - 1 - k) * _LEVELS**ORDERS + (read >> 2) * _LEVELS ** (ORDERS - 1 - k) for k in range(ORDERS)]
         self.met = np.zeros((2, _INPUTS), np.int64)
         self._words, self._bytes = [], []
 
@@ -638,16 +770,17 @@ class MixerInputs:
         known = np.where(ctx.rank >= 0, self.book.count.take(np.maximum(ctx.rank, 0)), 0)
         new = np.flatnonzero((known > 0) & (known <= NOVEL) & (t.h != END_OF_TEXT))
         if len(new):
-            self._meet(0, np.full(len(new), self.book.escape), (ctx.topic[new], ctx.previous[new] + _APART), fold[new], _UNIT // known[new])
+            for f in (0, 1):
+                some = new[fold.take(new) == f]
+                self._meet(0, f, np.full(len(some), self.book.escape), (ctx.topic[some], ctx.previous[some] + _APART), _UNIT // known[some])
         rare = np.flatnonzero(ctx.rank < 0)
         if len(rare) or len(new):
             some = np.concatenate((rare, new))
             weight = np.full(len(some), _UNIT)
             weight[len(rare) :] //= known[new]
             owner, _, symbol, contexts = ctx.byte_decisions(some)
-            key = ((contexts[0] - (2 << 40)) * 128 + contexts[1] % 128) * 2 + fold[some].take(owner)
-            self._bytes.append((key * 257 + symbol, weight.take(owner)))
-            if sum(len(x[0]) for x in self._bytes) > 1 << 20:
+            self._bytes.append(fold[some].take(owner) << 56 | (contexts[0] - (2 << 40)) << 19 | (contexts[1] & 127) << 12 | symbol << 3 | weight.take(owner))
+            if sum(len(x) for x in self._bytes) > 1 << 20:
                 self._meet_bytes()
 
     def close(self) -> np.ndarray:
@@ -658,33 +791,47 @@ class MixerInputs:
         return self.met
 
     def _meet_words(self) -> None:
-        word, times = np.unique(np.concatenate(self._words), return_counts=True)
+        heads, tails = _halves(self.book, np.concatenate(self._words))
         self._words.clear()
-        topic, previous = word >> 49 & 127, word >> 32 & 0x1FFFF
-        self._meet(0, self.book.codes((word & 0xFFFFFFFF) - 1), (topic, previous + _APART), word >> 56, _UNIT * times)
+        for words in (heads, tails):
+            word, times = np.unique(words, return_counts=True)
+            code = word & _LOW if words is heads else self.book.codes((word & _LOW) - 1)
+            length = _length(code) - (0 if words is heads else _HEAD)
+            contexts = word >> 49 & 127, (word >> 32 & 0x1FFFF) + _APART
+            self._meet_folds(0, word, code, contexts, _UNIT * times, length)
 
     def _meet_bytes(self) -> None:
-        key, weight = (np.concatenate(x) for x in zip(*self._bytes))
+        key, times = np.unique(np.concatenate(self._bytes), return_counts=True)
         self._bytes.clear()
-        key, back = np.unique(key, return_inverse=True)
-        times = np.bincount(back, weights=weight).astype(np.int64)
-        context = key // 257
-        three, topic = context // 256, context // 2 % 128
-        self._meet(1, self.book.byte_code[key % 257], (three + (2 << 40), three // 257 * 128 + topic + (3 << 40)), context % 2, times)
-
-    def _meet(self, kind: int, code, contexts, fold, times) -> None:
+        times *= key & 7
+        three, topic = key >> 19 & (1 << 37) - 1, key >> 12 & 127
+        code = self.book.byte_code.take(key >> 3 & 511)
+        self._meet_folds(1, key, code, (three + (2 << 40), three // 257 * 128 + topic + (3 << 40)), times, _length(code))
+
+    def _meet_folds(self, kind: int, key, code, contexts, times, length) -> None:
+        edge = int(np.searchsorted(key, 1 << 56))
+        for fold, part in enumerate((slice(edge), slice(edge, None))):
+            self._meet(kind, fold, code[part], [c[part] for c in contexts], times[part], length[part])
+
+    def _meet(self, kind: int, fold: int, code, contexts, times, length=None) -> None:
+        length = _length(code) if length is None else length
+        tables = [table[fold * self.book.slots :] for table in self.tables]
         for some in range(0, len(code), 1 << 13):
             part = slice(some, some + (1 << 13))
-            owner, bit, depth, slots = self.book.expand(code[part], [c[part] for c in contexts])
-            start = (fold[part] * self.book.slots).take(owner)
-            cell, levels = np.minimum(depth >> 2, _DEPTHS - 1), []
-            for table, s in zip(self.tables, slots):
-                read = table.take(s + start)
-                cell = cell * 4 + (read & 3)
-                levels.append(((read >> 2) + np.int16(160 * (_LEVELS // 2) + 80)) // np.int16(160))
-            for x in levels:
-                cell = cell * _LEVELS + x
-            np.add.at(self.met[kind], 2 * cell + bit, times[part].take(owner))
+            bit, prefix = self.book.bits(code[part], length[part])
+            slots = self.book.places(self.book.keys([c[part] for c in contexts]), length[part], prefix)
+            cell = _deep(prefix) * np.int64(4**ORDERS * _LEVELS**ORDERS)
+            for table, s, add in zip(tables, slots, self._adds):
+                cell += add.take(table.take(s))
+            cell <<= 1
+            cell += bit
+            np.add.at(self.met[kind], cell, np.repeat(times[part], length[part]))
+
+
+def _levels(read: np.ndarray) -> np.ndarray:
+    """Level of the log-odds and the two bits of :func:`predictions`."""
+    half = np.int16(160 * (_LEVELS // 2) + 80)
+    return ((read >> 2) + half) // np.int16(160) * np.int16(4) + (read & np.int16(3))
 
 
 def fitted(met: np.ndarray) -> Mixer:
@@ -736,7 +883,7 @@ def _likeliest(group, slot, inputs, zeros, ones, start, offset, rounds: int = 40
 def learned_mixers(docs: DataFrame, tables, book) -> tuple[Mixer, Mixer]:
     """Mixers of words and spelling, fitted to all decisions in ``docs``
     (``text, fold``) with the ``tables`` of the other fold. ``book``: broadcast."""
-    shared = docs.sparkSession.sparkContext.broadcast(tables)
+    shared = docs.sparkSession.sparkContext.broadcast([_levels(x) for x in tables])
 
     def run(batches):
         import pyarrow as pa

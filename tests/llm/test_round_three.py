@@ -326,6 +326,55 @@ def test_model_beats_single_tokens_on_held_out_documents(session):
     assert got[2] > 1000 and got[0] > 0.98 * got[1]  # scores are negative
 
 
+def test_training_reads_the_documents_once_a_step(session):
+    """Token counts, bit counts and weights: three readings."""
+    rng = random.Random(13)
+    words = ["".join(rng.choice("abcde") for _ in range(rng.randint(1, 4))) for _ in range(50)]
+    rows = [(_prose(rng, rng.randint(1, 20), words), rng.randrange(-(1 << 63), 1 << 63)) for _ in range(60)]
+    read = session.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    docs = session.createDataFrame(rows, "text string, key long").repartition(3).mapInArrow(count, "text string, key long")
+    _, book, _ = lm_scoring.train(docs, most_slots=1 << 16)
+    book.destroy()
+    assert read.value == 3 * len(rows)
+
+
+def test_first_bits_counted_apart_add_up_to_all_bits():
+    rng = random.Random(14)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 5))) for _ in range(3000)]
+    model = _model([_prose(rng, 60, words) for _ in range(120)], least=1)
+    assert max(c.bit_length() - 1 for c in model.book.code.tolist()) > lm_scoring._HEAD
+    data = np.frombuffer(_prose(rng, 4000, words).encode(), np.uint8)
+    t = lm_scoring.Tokens(data, np.array([0, len(data)]), np.ones(1, np.int64))
+    ctx = lm_scoring.Contexts(t, model.book)
+    counts = lm_scoring.BitCounts(model.book)
+    counts._words.append(ctx.packed())
+    got, want = counts.close(), np.zeros_like(counts.table)
+    _, bit, _, slots = ctx.word_decisions(np.arange(len(t.h)))
+    for k, s in enumerate(slots):
+        np.add.at(want[k], 2 * s + bit, lm_scoring._UNIT)
+    assert want.sum() > 0 and np.array_equal(got, want)
+
+
+def test_score_does_not_depend_on_the_contexts_that_have_rows(monkeypatch):
+    """Rows of frequent contexts hold what the tables hold."""
+    rng = random.Random(15)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 5))) for _ in range(2000)]
+    texts = [_prose(rng, rng.randint(0, 200), words) for _ in range(40)] + ["", "never seen"]
+    model = _model(texts)
+    costs = []
+    for near in (1024, 3, 0):
+        monkeypatch.setattr(lm_scoring, "_NEAR", near)
+        model._near = None
+        costs.append(_cost(model, texts))
+    assert np.allclose(costs[0], costs[1], rtol=1e-9) and np.allclose(costs[0], costs[2], rtol=1e-9)
+
+
 # --- tokenizer alignment -----------------------------------------------------------------
 
 
